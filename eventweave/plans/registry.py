@@ -19,7 +19,7 @@ from eventweave.operators.federate import DEFAULT_SOURCES, SourceRef, federate
 from eventweave.operators.summary import run_stats, since_filter, type_summary
 from eventweave.plans import derived as D
 from eventweave.plans import oracle as O
-from eventweave.session import prepare
+from eventweave.session import prepare, work_dir
 from eventweave.sources.catalogs import Router, Workload
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -246,6 +246,273 @@ def federated_limit(spark, sf_dir):
     return out.agg(F.count(F.lit(1)).alias("limited_rows"))
 
 
+# ---------------------------------------------------------------- sources (S1, S2) and publish (K1)
+
+TOPIC = "events.raw"
+TOPIC_PARTITIONS = 4
+
+
+def _topic_records(events: DataFrame) -> DataFrame:
+    """Raw records as topic records: partition by id, offset = id, key = event_id (K1)."""
+    raw = D.raw_events(events)
+    v = J.parse(F.col("value"))
+    return raw.select(F.pmod(F.col("seq"), F.lit(TOPIC_PARTITIONS)).cast("int").alias("partition"),
+                      F.col("seq").alias("offset"),
+                      F.nullif(J.field(v, "event_id", "string"), F.lit("")).alias("key"),
+                      F.col("value"))
+
+
+def _publish_topic(spark: SparkSession, sf_dir: str, name: str) -> str:
+    from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
+    path = work_dir(spark, name)
+    recs = _topic_records(_events(spark, sf_dir)).select(
+        F.lit(TOPIC).alias("topic"), "partition", "offset", "key", "value")
+    # One file set per topic partition, like a log per partition.
+    recs.repartition(TOPIC_PARTITIONS * 2, "partition").write.mode("overwrite").json(path)
+    return path
+
+
+@register("json_event_scan", f"""
+SELECT CAST(event_id AS VARCHAR) AS event_id, (event_id % 7 <> 0) AS has_event_type,
+       3 + CAST(event_id % 7 <> 0 AS INT) + CAST(event_id % 5 <> 0 AS INT) + CAST(event_id % 3 <> 0 AS INT) AS n_keys
+FROM events""")
+def json_event_scan(spark, sf_dir):
+    """JSON event files (one object per line; arrays are exploded) -> one row per event."""
+    from eventweave.sources.files import read_event_files
+    path = work_dir(spark, "event_files")
+    D.raw_events(_events(spark, sf_dir)).select("value").write.mode("overwrite").text(path)
+    scanned = read_event_files(spark, path)
+    v = F.col("_v")
+    event_id = F.when(J.has_key(v, "event_id"), J.field(v, "event_id", "string")).otherwise(J.field(v, "id", "string"))
+    return scanned.where(F.col(C.STATUS) == C.OK).select(
+        event_id.alias("event_id"), J.has_key(v, "event_type").alias("has_event_type"),
+        F.size(F.json_object_keys(F.col("value"))).alias("n_keys"))
+
+
+@register("topic_records", f"""
+SELECT '{TOPIC}' AS topic, CAST(event_id % {TOPIC_PARTITIONS} AS INT) AS partition, event_id AS "offset",
+       CASE WHEN event_id % 10 = 0 THEN NULL ELSE CAST(event_id AS VARCHAR) END AS key,
+       CAST(event_id AS VARCHAR) AS event_id, user_id AS customer_id
+FROM events""")
+def topic_records(spark, sf_dir):
+    """Drain a topic with a stream (availableNow) into an exactly-once file sink."""
+    from eventweave.sources.topics import read_topic
+    topic = _publish_topic(spark, sf_dir, "topic")
+    out, ckpt = work_dir(spark, "topic_out"), work_dir(spark, "topic_ckpt")
+    stream = read_topic(spark, topic, max_per_trigger=3)
+    q = (stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    from eventweave.schemas import RAW_RECORD
+    back = spark.read.schema(RAW_RECORD).parquet(out)
+    canon = C.canonicalise(back, keep=("topic", "partition", "offset", "key"))
+    return canon.select("topic", "partition", "offset", "key", "event_id", "customer_id")
+
+
+@register("keyed_json_records", O.with_ctes(O.CANONICAL_CTE) + """
+SELECT event_id AS key, event_id, event_type, customer_id, amount, occurred_at FROM canon""")
+def keyed_json_records(spark, sf_dir):
+    """K1: canonical events published as keyed JSON (nulls kept), read back from the topic."""
+    from eventweave.schemas import RAW_RECORD
+    from eventweave.sinks.export import publish
+    path = work_dir(spark, "keyed_topic")
+    canon = _canonical(spark, sf_dir).drop("seq")
+    publish(canon, "events.canonical", path=path)
+    back = spark.read.schema(RAW_RECORD).json(path)
+    v = J.parse(F.col("value"))
+    return back.select("key", J.field(v, "event_id", "string").alias("event_id"),
+                       J.field(v, "event_type", "string").alias("event_type"),
+                       J.field(v, "customer_id", "bigint").alias("customer_id"),
+                       J.field(v, "amount", "decimal(18,2)").alias("amount"),
+                       J.field(v, "occurred_at", "string").alias("occurred_at"))
+
+
+# ---------------------------------------------------------------- sinks
+
+def _split_by_since(df: DataFrame, ts: str) -> tuple[DataFrame, DataFrame]:
+    bound = J.iso_to_ts(F.lit(SINCE))
+    return df.where(F.col(ts) < bound), df.where(~(F.col(ts) < bound) | F.col(ts).isNull())
+
+
+@register("append_metrics", ORACLES["metrics_projection"])
+def append_metrics(spark, sf_dir):
+    """K4: metric rows appended in two batches (before / from the bound), read back."""
+    from eventweave.sinks.tables import AppendTable
+    rows = P.metric_rows(_canonical(spark, sf_dir).withColumn("_ts", J.iso_to_ts(F.col("occurred_at"))), keep=("_ts",))
+    table = AppendTable(work_dir(spark, "metrics"))
+    for batch_id, part in enumerate(_split_by_since(rows, "_ts")):
+        table.write(part.drop("_ts"), batch_id)
+    return table.read(spark)
+
+
+@register("lake_append", ORACLES["lake_projection"])
+def lake_append(spark, sf_dir):
+    """K5: lake rows appended in two commits, laid out by event date, read back."""
+    from eventweave.sinks.tables import AppendTable
+    rows = D.lake_events(_events(spark, sf_dir)).withColumn("event_date", F.to_date("occurred_at"))
+    table = AppendTable(work_dir(spark, "lake"), partition_by=("event_date",))
+    for batch_id, part in enumerate(_split_by_since(rows, "occurred_at")):
+        table.write(part, batch_id)
+    return table.read(spark).drop("event_date")
+
+
+@register("bulk_load_parquet", O.with_ctes(O.LAKE_CTE) + f"""
+SELECT event_id, event_type, occurred_at, payload FROM lake WHERE occurred_at >= {SINCE_SQL}""")
+def bulk_load_parquet(spark, sf_dir):
+    """T8 + D7 + K7: the sync stages qualifying lake rows, the bulk load copies them."""
+    from eventweave.plans.sync import run_incremental
+    from eventweave.sinks.tables import read_table
+    target = work_dir(spark, "warehouse_events")
+    stats = run_incremental(spark, D.lake_events(_events(spark, sf_dir)), SINCE,
+                            summary_path=work_dir(spark, "type_summary"), warehouse_path=target)
+    if stats.get("redshift_copy") != 1:
+        raise RuntimeError(f"bulk load did not run: {stats}")
+    return read_table(spark, target)
+
+
+def _upsert_versions(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Two batches of versions keyed by event_id; ordering columns (b, seq)."""
+    base = events.select(F.col("event_id").cast("string").alias("event_id"), "event_type",
+                         F.col("props").alias("payload"), F.col("ts").alias("occurred_at"),
+                         F.col("event_id").alias("seq"))
+    bound = J.iso_to_ts(F.lit(SINCE))
+    first = base.withColumn("b", F.lit(1))
+    late = base.where(F.col("occurred_at") >= bound)
+    drafts = late.withColumn("event_type", F.concat("event_type", F.lit(".draft"))).withColumn("b", F.lit(2))
+    finals = late.where(F.col("event_type").isin("purchase", "signup")) \
+        .withColumn("event_type", F.concat("event_type", F.lit(".final"))).withColumn("b", F.lit(3))
+    return first, drafts.unionByName(finals)
+
+
+@register("upsert_latest", f"""
+WITH v AS (
+  SELECT CAST(event_id AS VARCHAR) AS event_id, event_type, props AS payload, ts AS occurred_at, 1 AS b, event_id AS seq FROM events
+  UNION ALL
+  SELECT CAST(event_id AS VARCHAR), event_type || '.draft', props, ts, 2, event_id FROM events WHERE ts >= {SINCE_SQL}
+  UNION ALL
+  SELECT CAST(event_id AS VARCHAR), event_type || '.final', props, ts, 3, event_id FROM events
+  WHERE ts >= {SINCE_SQL} AND event_type IN ('purchase', 'signup'))
+SELECT event_id, event_type, payload, occurred_at FROM (
+  SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY b DESC, seq DESC) AS rn FROM v) t WHERE rn = 1""")
+def upsert_latest(spark, sf_dir):
+    """K3: two upsert batches into a bucketed keyed table; last version per key wins."""
+    from eventweave.schemas import EVENTS
+    from eventweave.sinks.tables import KeyedTable
+    table = KeyedTable(work_dir(spark, "serving_events"), EVENTS, key="event_id", order_cols=("b", "seq"))
+    for batch_id, batch in enumerate(_upsert_versions(_events(spark, sf_dir))):
+        table.write(batch, batch_id)
+    return table.read(spark)
+
+
+@register("shard_layout", O.with_ctes(O.CANONICAL_CTE) + """
+SELECT event_id, customer_id, amount, ts AS created_at, CAST(customer_id AS VARCHAR) AS shard_key FROM canon""")
+def shard_layout(spark, sf_dir):
+    """K9: orders rows with a shard key column, placed by hash of the key; read back."""
+    from eventweave.operators.layout import with_shard_key
+    from eventweave.sinks.tables import write_sharded
+    path = work_dir(spark, "sharded_orders")
+    write_sharded(with_shard_key(P.orders_rows(_canonical(spark, sf_dir)), "customer_id"), path)
+    return spark.read.parquet(path).drop("shard")
+
+
+@register("result_json", O.three_way("LEFT"))
+def result_json(spark, sf_dir):
+    """The three-way result exported as JSON lines and read back with its schema."""
+    from eventweave.sinks.export import export_json
+    result = federate(spark, None, limit=None, resolve=_serving_resolver(spark, sf_dir))
+    path = work_dir(spark, "result_json")
+    export_json(result, path)
+    return spark.read.schema(result.schema).json(path)
+
+
+# ---------------------------------------------------------------- stream and hooks
+
+@register("stream_fanout", O.with_ctes(O.CANONICAL_CTE) + """
+SELECT 'orders' AS target, event_id, CAST(NULL AS VARCHAR) AS event_type, amount, ts, CAST(NULL AS DATE) AS event_date FROM canon
+UNION ALL
+SELECT 'events', event_id, event_type, CAST(NULL AS DECIMAL(18,2)), ts, CAST(NULL AS DATE) FROM canon
+UNION ALL
+SELECT 'metrics', event_id, event_type, CAST(TRUNC(amount) AS DECIMAL(18,2)), CAST(NULL AS TIMESTAMP), CAST(ts AS DATE) FROM canon
+UNION ALL
+SELECT 'lake', event_id, event_type, CAST(NULL AS DECIMAL(18,2)), ts, CAST(NULL AS DATE) FROM canon""")
+def stream_fanout(spark, sf_dir):
+    """File topic -> one availableNow stream -> orders / events / metrics / lake."""
+    from eventweave.schemas import AMOUNT, EVENTS
+    from eventweave.sinks.tables import AppendTable, InsertOnceTable, KeyedTable
+    from eventweave.sources.topics import read_topic
+    from eventweave.streaming import FanOut, run_fanout
+    topic = _publish_topic(spark, sf_dir, "fanout_topic")
+    targets = {
+        "orders": InsertOnceTable(work_dir(spark, "orders"), order_cols=("partition", "offset")),
+        "events": KeyedTable(work_dir(spark, "events"), EVENTS, order_cols=("partition", "offset")),
+        "metrics": AppendTable(work_dir(spark, "metrics")),
+        "lake": AppendTable(work_dir(spark, "lake")),
+        "quarantine": AppendTable(work_dir(spark, "quarantine")),
+    }
+    fan = FanOut(targets)
+    run_fanout(read_topic(spark, topic, max_per_trigger=3), fan, work_dir(spark, "fanout_ckpt"))
+    null_s, null_d, null_t = F.lit(None).cast("string"), F.lit(None).cast("date"), F.lit(None).cast("timestamp_ntz")
+    null_a = F.lit(None).cast(AMOUNT)
+    o = targets["orders"].read(spark)
+    e = targets["events"].read(spark)
+    m = targets["metrics"].read(spark)
+    lk = targets["lake"].read(spark)
+    return (o.select(F.lit("orders").alias("target"), "event_id", null_s.alias("event_type"), "amount",
+                     F.col("created_at").alias("ts"), null_d.alias("event_date"))
+            .unionByName(e.select(F.lit("events").alias("target"), "event_id", "event_type", null_a.alias("amount"),
+                                  F.col("occurred_at").alias("ts"), null_d.alias("event_date")))
+            .unionByName(m.select(F.lit("metrics").alias("target"), "event_id", "event_type",
+                                  F.col("metric_value").cast(AMOUNT).alias("amount"), null_t.alias("ts"), "event_date"))
+            .unionByName(lk.select(F.lit("lake").alias("target"), "event_id", "event_type", null_a.alias("amount"),
+                                   F.col("occurred_at").alias("ts"), null_d.alias("event_date"))))
+
+
+def upper_type_transform(raw: dict) -> dict:
+    """A user transform (T6): upper-case type, no amount (so metrics default to 1)."""
+    return {"event_id": raw.get("event_id", raw.get("id")),
+            "event_type": str(raw.get("event_type") or "unknown").upper(),
+            "customer_id": raw.get("customer_id"),
+            "payload": raw.get("payload", {}),
+            "occurred_at": raw["occurred_at"]}
+
+
+@register("custom_transform", f"""
+SELECT CAST(event_id AS VARCHAR) AS event_id,
+       CASE WHEN event_id % 7 = 0 OR event_id % 11 = 0 THEN 'UNKNOWN' ELSE upper(event_type) END AS event_type,
+       CAST(1 AS BIGINT) AS metric_value, CAST(ts AS DATE) AS event_date
+FROM events""")
+def custom_transform(spark, sf_dir):
+    """A Python dict->dict transform (Arrow batches), then the metrics projection."""
+    from pyspark.sql.types import StructType
+    from eventweave.schemas import CANONICAL
+    from eventweave.streaming import python_transform
+    schema = StructType([f for f in CANONICAL.fields if f.name != "amount"])
+    recs = _topic_records(_events(spark, sf_dir))
+    canon = python_transform(upper_type_transform, schema)(recs)
+    return P.metric_rows(canon.where(F.col(C.STATUS) == C.OK))
+
+
+def _damaged_records(events: DataFrame) -> DataFrame:
+    """Raw records with damage by rule: id % 17 = 0 truncated text, else % 19 = 0 an array."""
+    raw = D.raw_events(events)
+    seq = F.col("seq")
+    value = (F.when(seq % 17 == 0, F.expr("substring(value, 1, length(value) - 1)"))
+             .when(seq % 19 == 0, F.concat(F.lit("["), F.col("value"), F.lit("]")))
+             .otherwise(F.col("value")))
+    return raw.select("seq", value.alias("value"))
+
+
+@register("malformed_split", """
+SELECT reason, COUNT(*) AS records FROM (
+  SELECT CASE WHEN event_id % 17 = 0 THEN 'malformed_json' WHEN event_id % 19 = 0 THEN 'not_object'
+              WHEN event_id % 10 = 0 THEN 'missing_event_id' ELSE 'ok' END AS reason FROM events) t
+GROUP BY reason""")
+def malformed_split(spark, sf_dir):
+    """Every record lands in exactly one class; bad ones are quarantined, not raised."""
+    tagged = C.lake_normalise(_damaged_records(_events(spark, sf_dir)))
+    return tagged.groupBy(F.col(C.STATUS).alias("reason")).agg(F.count(F.lit(1)).alias("records"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

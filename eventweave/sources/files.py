@@ -14,3 +14,33 @@ def lake_scan(spark: SparkSession, table: DataFrame | str, predicate: str | None
     """
     df = spark.table(table) if isinstance(table, str) else table
     return df.where(F.expr(predicate)) if predicate else df
+
+
+def read_event_files(spark: SparkSession, path: str, *, whole_files: bool = False,
+                     strict: bool = False) -> DataFrame:
+    """JSON event files -> one row per event (``value`` text, ``_v`` variant, ``_status``).
+
+    A file (or line) may hold one object or an array of objects; an array is exploded, an
+    object is kept as one event. ``whole_files=True`` reads each file as one text (for small
+    pretty-printed files; such a file is one task). The default reads JSON lines, which
+    splits large files across tasks.
+    """
+    from eventweave.functions import fields as J
+    from eventweave.operators.canonical import classify
+
+    reader = spark.read.option("wholetext", True) if whole_files else spark.read
+    text = reader.text(path)
+    parsed = text.withColumn("_doc", J.parse(F.col("value"), strict=strict))
+    items = F.try_variant_get(F.col("_doc"), "$", "array<variant>")
+    exploded = parsed.select(F.explode(F.when(items.isNotNull(), items)
+                                       .otherwise(F.array(F.col("_doc")))).alias("_item"),
+                             F.col("value").alias("_text"), F.col("_doc"))
+    # Each element becomes its own JSON text so the canonicaliser sees one event per row.
+    events = exploded.select(
+        F.when(F.col("_doc").isNull(), F.col("_text")).otherwise(F.to_json(F.col("_item"))).alias("value"))
+    return classify(events, "value", strict=strict)
+
+
+def read_staged(spark: SparkSession, prefix: str, schema) -> DataFrame:
+    """Staged Parquet under a prefix, read with a fixed schema (never inferred)."""
+    return spark.read.schema(schema).parquet(prefix)
