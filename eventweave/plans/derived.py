@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from eventweave.functions import fields as J
 from eventweave.operators import canonical as C
+from eventweave.operators.spread import spread
 from eventweave.schemas import AMOUNT
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -39,8 +40,8 @@ def _frag(key: str, json_value) -> F.Column:
 
 
 def _quoted(c) -> F.Column:
-    # JSON string literal with escaping done by to_json itself.
-    return F.regexp_extract(F.to_json(F.struct(c.alias("x"))), r'^\{"x":(.*)\}$', 1)
+    # The quoted values (ids, type words, ISO times) hold no character JSON must escape.
+    return F.concat(F.lit('"'), c, F.lit('"'))
 
 
 def raw_events(events: DataFrame) -> DataFrame:
@@ -55,16 +56,18 @@ def raw_events(events: DataFrame) -> DataFrame:
     amount_frag = F.when(eid % 5 == 0, F.lit(None)) \
         .otherwise(_frag("amount", F.col("value").cast(AMOUNT).cast("string")))
     payload_frag = F.when(eid % 3 == 0, F.lit(None)).otherwise(_frag("payload", F.col("props")))
-    occurred_frag = _frag("occurred_at", _quoted(J.iso_text(F.col("ts").cast("timestamp"))))
+    occurred_frag = _frag("occurred_at", _quoted(J.iso_text(F.col("ts"))))
     value = F.concat(F.lit("{"), F.concat_ws(",", id_frag, type_frag, customer_frag, amount_frag,
                                               payload_frag, occurred_frag), F.lit("}"))
-    return events.select(eid.alias("seq"), value.alias("value"))
+    return spread(events).select(eid.alias("seq"), value.alias("value"))
 
 
 def lake_events(events: DataFrame) -> DataFrame:
     """Lake rows: P5 over the raw records; records without an ``event_id`` key are rejected."""
-    tagged = C.lake_normalise(raw_events(events))
-    return tagged.where(F.col(C.STATUS) == C.OK).select(*C.LAKE_COLUMNS)
+    raw = raw_events(events)
+    v = J.parse(F.col("value"))
+    good = raw.withColumn("_v", v).where(C.ok_predicate(F.col("_v"), F.col("value")) & J.has_key(F.col("_v"), "event_id"))
+    return good.select(*C.lake_columns(F.col("_v")))
 
 
 def event_metrics(events: DataFrame) -> DataFrame:

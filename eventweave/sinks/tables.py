@@ -30,6 +30,13 @@ from eventweave.operators.layout import bucket_of
 
 BATCH_COL = "batch_id"
 BUCKET_COL = "bucket"
+# Largest number of batch keys shipped to every task as a broadcast (a few tens of MB).
+BROADCAST_KEYS = 2_000_000
+
+
+def _keys_side(keys: DataFrame, n: int, limit: int) -> DataFrame:
+    """Broadcast the batch's keys only under a counted bound; else let Spark shuffle."""
+    return F.broadcast(keys) if n <= limit else keys
 
 
 def _count(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
@@ -65,14 +72,12 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
 
 def ensure_path_table(spark: SparkSession, path: str, schema: StructType,
                       partition_by: Sequence[str] = ()) -> None:
-    """K6 for path tables: create an empty table with the fixed schema if none exists."""
-    try:
-        spark.read.parquet(path).schema  # noqa: B018
-    except AnalysisException:
-        extra = {BATCH_COL: LongType(), BUCKET_COL: IntegerType()}
-        fields = list(schema.fields) + [StructField(c, extra[c], True) for c in partition_by
-                                        if c in extra and c not in schema.fieldNames()]
-        spark.createDataFrame([], StructType(fields)).write.mode("ignore").parquet(path)
+    """K6 for path tables: create an empty table with the fixed schema if none exists
+    (``mode("ignore")`` leaves an existing table untouched; nothing is probed)."""
+    extra = {BATCH_COL: LongType(), BUCKET_COL: IntegerType()}
+    fields = list(schema.fields) + [StructField(c, extra[c], True) for c in partition_by
+                                    if c in extra and c not in schema.fieldNames()]
+    spark.createDataFrame([], StructType(fields)).write.mode("ignore").parquet(path)
 
 
 def ensure_catalog_table(spark: SparkSession, name: str, schema: StructType, *,
@@ -108,8 +113,9 @@ class InsertOnceTable:
     """
 
     def __init__(self, path: str, key: str = "event_id", order_cols: Sequence[str] = (),
-                 buckets: int = 16):
+                 buckets: int = 16, broadcast_keys: int = BROADCAST_KEYS):
         self.path, self.key, self.order_cols, self.buckets = path, key, tuple(order_cols), buckets
+        self.broadcast_keys = broadcast_keys
 
     def write(self, df: DataFrame, batch_id: int) -> dict[str, int]:
         spark = df.sparkSession
@@ -118,16 +124,20 @@ class InsertOnceTable:
         first = first.withColumn(BUCKET_COL, bucket_of(F.col(self.key), self.buckets))
         payload = [c for c in df.columns if c not in self.order_cols or c == self.key]
         first = first.select(*payload, BUCKET_COL).persist()
+        stored = StructType(list(first.schema.fields) + [StructField(BATCH_COL, LongType(), True)])
+        ensure_path_table(spark, self.path, stored)
         try:
+            n = first.count()
             touched = [r[0] for r in first.select(BUCKET_COL).distinct().collect()]  # <= buckets values
-            fresh = first
-            try:
-                existing = (spark.read.parquet(self.path)
-                            .where(F.col(BUCKET_COL).isin(touched) & (F.col(BATCH_COL) != F.lit(batch_id)))
-                            .select(self.key, BUCKET_COL))
-                fresh = first.join(existing, [self.key, BUCKET_COL], "left_anti")
-            except AnalysisException:
-                pass  # no table yet: nothing to reject against
+            existing = (spark.read.schema(stored).parquet(self.path)
+                        .where(F.col(BUCKET_COL).isin(touched) & (F.col(BATCH_COL) != F.lit(batch_id)))
+                        .select(self.key, BUCKET_COL))
+            # Keys already stored: the table's key column (touched buckets only) semi-joined
+            # with the batch's keys, which are broadcast when their count allows; the table
+            # side is then never shuffled. The hits are at most the batch size.
+            keys = _keys_side(first.select(self.key, BUCKET_COL), n, self.broadcast_keys)
+            hits = existing.join(keys, [self.key, BUCKET_COL], "left_semi")
+            fresh = first.join(hits, [self.key, BUCKET_COL], "left_anti")
             counted, obs = _count(fresh.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint")), "insert")
             _overwrite_partitions(counted, self.path, (BUCKET_COL, BATCH_COL))
             return {"inserted": _rows(obs)}
@@ -146,9 +156,11 @@ class KeyedTable:
     """
 
     def __init__(self, path: str, schema: StructType, key: str = "event_id",
-                 order_cols: Sequence[str] = (), buckets: int = 16):
+                 order_cols: Sequence[str] = (), buckets: int = 16,
+                 broadcast_keys: int = BROADCAST_KEYS):
         self.path, self.schema, self.key = path, schema, key
         self.order_cols, self.buckets = tuple(order_cols), buckets
+        self.broadcast_keys = broadcast_keys
 
     @property
     def stored_schema(self) -> StructType:
@@ -166,16 +178,19 @@ class KeyedTable:
                                 self.key, self.order_cols).select(*cols)
         latest = latest.withColumn(BUCKET_COL, bucket_of(F.col(self.key), self.buckets)).persist()
         try:
-            touched = [r[0] for r in latest.select(BUCKET_COL).distinct().collect()]  # <= buckets values
-            if not touched:
+            n = latest.count()
+            if n == 0:
                 return {"upserted": 0}
+            touched = [r[0] for r in latest.select(BUCKET_COL).distinct().collect()]  # <= buckets values
             current = (spark.read.schema(self.stored_schema).parquet(self.path)
                        .where(F.col(BUCKET_COL).isin(touched)).select(*cols, BUCKET_COL))
-            # Same key -> same bucket, so the anti-join on (key, bucket) is exact.
-            kept = current.join(latest.select(self.key, BUCKET_COL), [self.key, BUCKET_COL], "left_anti")
+            # Same key -> same bucket, so the anti-join on (key, bucket) is exact. The batch's
+            # keys are the build side (broadcast under the bound): stored rows stream through.
+            keys = _keys_side(latest.select(self.key, BUCKET_COL), n, self.broadcast_keys)
+            kept = current.join(keys, [self.key, BUCKET_COL], "left_anti")
             merged, obs = _count(kept.unionByName(latest), "upsert")
             _overwrite_partitions(merged, self.path, (BUCKET_COL,))
-            return {"upserted": latest.count(), "table_rows_in_touched_buckets": _rows(obs)}
+            return {"upserted": n, "table_rows_in_touched_buckets": _rows(obs)}
         finally:
             latest.unpersist()
 
