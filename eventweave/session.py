@@ -8,7 +8,6 @@ is a fresh temporary folder chosen and registered.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -65,9 +64,5 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A new, unique folder under the shared checkpoint root for one run of ``name``."""
-    root = checkpoint_root(spark)
-    path = f"{root}/eventweave/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("file:"):
-        os.makedirs(path[len("file:"):], exist_ok=True)
-    return path
+    """A new, unique (not yet created) folder under the shared checkpoint root."""
+    return f"{checkpoint_root(spark)}/eventweave/{name}-{uuid.uuid4().hex[:12]}"

@@ -212,9 +212,11 @@ def merge_upsert(spark: SparkSession, table: str, batch: DataFrame, key: str = "
 
 
 def append_to_table(df: DataFrame, table: str) -> int:
-    """K4/K5/K8 for catalog tables: one append commit; returns the row count."""
-    counted, obs = _count(df, "table_append")
-    counted.writeTo(table).append()
+    """K4/K5/K8 for catalog tables (session or v2 catalogs): one append commit; returns
+    the row count. Columns are matched by name, then passed in the table's order."""
+    target_cols = df.sparkSession.table(table).columns
+    counted, obs = _count(df.select(*target_cols), "table_append")
+    counted.write.insertInto(table)
     return _rows(obs)
 
 

@@ -28,8 +28,7 @@ def read_event_files(spark: SparkSession, path: str, *, whole_files: bool = Fals
     from eventweave.functions import fields as J
     from eventweave.operators.canonical import classify
 
-    reader = spark.read.option("wholetext", True) if whole_files else spark.read
-    text = reader.text(path)
+    text = spark.read.text(path, wholetext=whole_files)
     parsed = text.withColumn("_doc", J.parse(F.col("value"), strict=strict))
     items = F.try_variant_get(F.col("_doc"), "$", "array<variant>")
     exploded = parsed.select(F.explode(F.when(items.isNotNull(), items)

@@ -1,0 +1,89 @@
+"""Canonical shape, absent vs null, quarantine."""
+
+from decimal import Decimal
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from eventweave.operators import canonical as C
+
+
+def _canon(spark, texts, **kw):
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    return C.canonicalise(df, ingest_ts=F.lit("2026-01-01 00:00:00").cast("timestamp"), **kw)
+
+
+def test_reference_transform_case(spark):
+    # id fallback and event_type passthrough
+    row = _canon(spark, ['{"id":"x-1","event_type":"click","amount":5}']).collect()[0]
+    assert row.event_id == "x-1"
+    assert row.event_type == "click"
+    assert row.customer_id is None
+    assert row.amount == Decimal("5.00")
+    assert json.loads(row.payload) == {"id": "x-1", "event_type": "click", "amount": 5}
+    assert row.occurred_at == "2026-01-01T00:00:00.000000+00:00"
+
+
+def test_explicit_null_event_id_does_not_fall_back(spark):
+    row = _canon(spark, ['{"event_id":null,"id":"y","occurred_at":"2026-05-25T10:00:00Z"}']).collect()[0]
+    assert row.event_id is None
+    assert row.event_type == "unknown"
+    assert row.amount == Decimal("0.00")
+    assert row.occurred_at == "2026-05-25T10:00:00Z"
+
+
+def test_null_values_stay_null(spark):
+    row = _canon(spark, ['{"event_id":"e1","event_type":null,"amount":null,"payload":{"k":1}}']).collect()[0]
+    assert row.event_id == "e1"
+    assert row.event_type is None
+    assert row.amount is None
+    assert json.loads(row.payload) == {"k": 1}
+
+
+def test_empty_object_gets_all_defaults(spark):
+    row = _canon(spark, ["{}"]).collect()[0]
+    assert (row.event_id, row.event_type, row.customer_id, row.amount) == (None, "unknown", None, Decimal("0.00"))
+    assert json.loads(row.payload) == {}
+
+
+def test_bad_records_are_quarantined_not_dropped(spark):
+    texts = ['{"event_id":"ok"}', "{bad", "[1,2]", "7", '{"id":"x"}']
+    tagged = _canon(spark, texts, with_status=True)
+    good, bad = C.split(tagged)
+    assert good.count() == 2
+    reasons = sorted(r.reason for r in bad.collect())
+    assert reasons == ["malformed_json", "not_object", "not_object"]
+    assert good.count() + bad.count() == len(texts)
+
+
+def test_strict_mode_raises(spark):
+    with pytest.raises(Exception):
+        _canon(spark, ["{bad"], strict=True).collect()
+
+
+def test_lake_shape_defaults_differ_from_canonical(spark):
+    df = spark.createDataFrame([('{"event_id":"a","occurred_at":"2026-05-25T10:00:00Z"}',), ('{"id":"b"}',),
+                                ('{"event_id":"c","payload":null}',)], "value string")
+    rows = {r.event_id: r for r in C.lake_normalise(df).collect()}
+    assert rows["a"].payload == "{}" and rows["a"].event_type == "unknown"
+    assert str(rows["a"].occurred_at) == "2026-05-25 10:00:00"
+    assert rows["c"].payload == "null"
+    assert rows[None]._status == C.MISSING_EVENT_ID
+
+
+def test_canonicalise_keeps_every_row_of_the_sample(sample_raw, sample_canonical):
+    assert sample_canonical.count() == sample_raw.count() == 25
+    assert sample_canonical.where("payload IS NULL").count() == 0
+
+
+def test_canonicalise_streaming_equals_batch(spark, tmp_dir, sample_raw):
+    src = tmp_dir("stream_src")
+    sample_raw.write.json(src)
+    stream = spark.readStream.schema(sample_raw.schema).json(src)
+    canon = C.canonicalise(stream, keep=("offset",))
+    q = canon.writeStream.format("memory").queryName("canon_stream").trigger(availableNow=True).start()
+    q.awaitTermination()
+    got = sorted(tuple(r) for r in spark.table("canon_stream").collect())
+    want = sorted(tuple(r) for r in C.canonicalise(sample_raw, keep=("offset",)).collect())
+    assert got == want
