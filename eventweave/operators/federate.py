@@ -1,7 +1,7 @@
 """Star equi-join over qualified sources (J1-J7, P6, L1), built as one logical plan.
 
-Every later source joins to the *first* source's key with an explicit, alias-qualified
-condition (a USING join would coalesce keys and change FULL-join results). Output
+Every later source joins to the *first* source's key with an explicit condition on
+the base key (a USING join would coalesce keys and change FULL-join results). Output
 columns are named ``<alias>_<column>`` so the result can be written (names repeat
 across sources otherwise). Join strategy is left to Catalyst/AQE: a side is broadcast
 only when its measured size is under ``spark.sql.autoBroadcastJoinThreshold``; otherwise
@@ -58,14 +58,59 @@ def join_how(join_type: str) -> str:
     return JOIN_TYPES[key]
 
 
+@dataclass(frozen=True)
+class SkewGuard:
+    """Hot-key split for the star join.
+
+    A key with at least ``hot_rows`` rows on a joined (right) side would put all of them
+    into one task: AQE splits skewed partitions only on the streamed side of an outer join.
+    Such keys are found with one partial aggregation of that side; if there are at most
+    ``max_hot_keys`` of them and the plan's rows for them number at most
+    ``max_broadcast_rows`` (both counted, so the broadcast has a proven bound), the hot rows
+    are joined against a broadcast of those few plan rows, spread over every task, and the
+    other keys take the ordinary shuffle join. Otherwise the ordinary join is kept: many
+    hot keys spread over the reducers by themselves. Results are exactly the plain join's.
+    """
+
+    hot_rows: int = 1_000_000
+    max_hot_keys: int = 10_000
+    max_broadcast_rows: int = 1_000_000
+
+
+def _key_col(alias: str) -> str:
+    return f"__{alias}_key"
+
+
+def _hot_split(plan: DataFrame, right: DataFrame, base_key: str, right_key: str, how: str,
+               guard: SkewGuard) -> DataFrame | None:
+    counts = right.groupBy(right_key).count().where(F.col("count") >= guard.hot_rows)
+    hot = [r[0] for r in counts.select(right_key).limit(guard.max_hot_keys + 1).collect()]
+    if not hot or len(hot) > guard.max_hot_keys:
+        return None
+    is_hot_plan, is_hot_right = F.col(base_key).isin(hot), F.col(right_key).isin(hot)
+    plan_hot = plan.where(is_hot_plan)
+    if plan_hot.count() > guard.max_broadcast_rows:
+        return None
+    cond = F.col(base_key) == F.col(right_key)
+    cold = plan.where(~is_hot_plan | F.col(base_key).isNull()).join(
+        right.where(~is_hot_right | F.col(right_key).isNull()), cond, how)
+    # Every hot key has right rows, so plan rows with a hot key always match: the hot part
+    # is an inner join (LEFT, INNER) or keeps unmatched right rows (RIGHT, FULL).
+    hot_how = "inner" if how in ("left", "inner") else "right"
+    hot_part = F.broadcast(plan_hot).join(right.where(is_hot_right), cond, hot_how)
+    return cold.unionByName(hot_part)
+
+
 def federate(spark: SparkSession, sources: Sequence[SourceRef] | None = None, *,
              sql: str | None = None, join_key: str = "event_id", join_type: str = "LEFT",
              limit: int | None = 1000,
-             resolve: Callable[[SourceRef], DataFrame] | None = None) -> DataFrame:
+             resolve: Callable[[SourceRef], DataFrame] | None = None,
+             skew_guard: SkewGuard | None = None) -> DataFrame:
     """SQL text wins when non-blank; else the given sources; else the default three.
 
     ``resolve`` maps a source to a DataFrame (default ``spark.table(qualified)``).
     ``limit=None`` returns every row; a limit without order returns arbitrary rows.
+    ``skew_guard`` enables the hot-key split (it runs small counting jobs up front).
     """
     if sql is not None and sql.strip():
         return spark.sql(sql)
@@ -73,24 +118,32 @@ def federate(spark: SparkSession, sources: Sequence[SourceRef] | None = None, *,
     if not srcs:
         raise ValueError("at least one source is required")
     resolve = resolve or (lambda s: spark.table(s.qualified))
-    frames = [resolve(s).alias(s.alias) for s in srcs]
-    if len(srcs) > 1:
+    how = join_how(join_type)
+    frames = [resolve(s) for s in srcs]
+    joined = len(srcs) > 1
+    if joined:
         for s, f in zip(srcs, frames):
             if join_key not in f.columns:
                 raise ValueError(f"join key {join_key!r} not in {s.qualified}")
-    how = join_how(join_type)
-    base = srcs[0]
-    plan = frames[0]
-    for s, f in zip(srcs[1:], frames[1:]):
-        plan = plan.join(f, F.col(f"{base.alias}.{join_key}") == F.col(f"{s.alias}.{join_key}"), how)
-    out = plan.select(*select_list(srcs, frames))
+    # Each source contributes its listed columns (or all), named alias_column; the key
+    # travels under a private name so the output holds only what was asked for.
+    out_names, projected = [], []
+    for s, f in zip(srcs, frames):
+        cols = [F.col(c).alias(f"{s.alias}_{c}") for c in (s.columns or tuple(f.columns))]
+        out_names += [f"{s.alias}_{c}" for c in (s.columns or tuple(f.columns))]
+        if joined:
+            cols.append(F.col(join_key).alias(_key_col(s.alias)))
+        projected.append(f.select(*cols))
+    base_key = _key_col(srcs[0].alias)
+    plan = projected[0]
+    for s, f in zip(srcs[1:], projected[1:]):
+        right_key = _key_col(s.alias)
+        split = _hot_split(plan, f, base_key, right_key, how, skew_guard) if skew_guard else None
+        plan = split if split is not None else plan.join(f, F.col(base_key) == F.col(right_key), how)
+    out = plan.select(*out_names)
     return out.limit(limit) if limit is not None else out
 
 
-def select_list(sources: Sequence[SourceRef], frames: Sequence[DataFrame]) -> list:
-    """Listed columns in source order, or all columns of the alias; ``alias_col`` names."""
-    cols = []
-    for s, f in zip(sources, frames):
-        for c in (s.columns or tuple(f.columns)):
-            cols.append(F.col(f"{s.alias}.{c}").alias(f"{s.alias}_{c}"))
-    return cols
+def select_list(sources: Sequence[SourceRef], frames: Sequence[DataFrame]) -> list[str]:
+    """Output names in source order: listed columns, or all columns of the alias."""
+    return [f"{s.alias}_{c}" for s, f in zip(sources, frames) for c in (s.columns or tuple(f.columns))]

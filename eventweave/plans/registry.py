@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from eventweave.functions import fields as J
 from eventweave.operators import canonical as C
 from eventweave.operators import projections as P
-from eventweave.operators.federate import DEFAULT_SOURCES, SourceRef, federate
+from eventweave.operators.federate import DEFAULT_SOURCES, SkewGuard, SourceRef, federate
 from eventweave.operators.summary import run_stats, since_filter, type_summary
 from eventweave.plans import derived as D
 from eventweave.plans import oracle as O
@@ -199,7 +199,8 @@ def federated_left_join(spark, sf_dir):
 
 def _three_way(join_type: str) -> Query:
     def q(spark, sf_dir):
-        return federate(spark, None, join_type=join_type, limit=None, resolve=_serving_resolver(spark, sf_dir))
+        return federate(spark, None, join_type=join_type, limit=None, resolve=_serving_resolver(spark, sf_dir),
+                        skew_guard=SkewGuard())
     q.__doc__ = f"Default three sources, {join_type} star join on the base key."
     return q
 

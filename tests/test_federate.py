@@ -76,3 +76,22 @@ def test_guards(spark, star):
 
 def test_sql_wins_when_given(spark):
     assert federate(spark, sql="SELECT 1 AS one").first().one == 1
+
+
+@pytest.mark.parametrize("how", ["LEFT", "INNER", "RIGHT", "FULL"])
+def test_hot_key_split_equals_plain_join(spark, how):
+    from eventweave.operators.federate import SkewGuard
+    from tests.conftest import plan_text
+    base = spark.createDataFrame([(k,) for k in ["hot", "a", "b", None, "lonely"]], "event_id string")
+    # one key holds a third of the right side's rows
+    right_rows = [("hot", i) for i in range(300)] + [(f"k{i % 40}", i) for i in range(600)] + \
+                 [("a", 1), ("b", 2), (None, 3)]
+    right = spark.createDataFrame(right_rows, "event_id string, v int")
+    src = [SourceRef("c", "s", "base", "i", ("event_id",)), SourceRef("c", "s", "right", "r", ("event_id", "v"))]
+    tables = {"c.s.base": base, "c.s.right": right}
+    plain = federate(spark, src, join_type=how, limit=None, resolve=_resolver(tables))
+    guarded = federate(spark, src, join_type=how, limit=None, resolve=_resolver(tables),
+                       skew_guard=SkewGuard(hot_rows=100))
+    norm = lambda df: sorted(tuple("" if x is None else str(x) for x in r) for r in df.collect())
+    assert norm(guarded) == norm(plain)
+    assert "BroadcastHashJoin" in plan_text(guarded) and "Union" in plan_text(guarded)
