@@ -89,6 +89,7 @@ class FanOut:
     targets: Mapping[str, object]
     transform: Transform = default_transform
     lifecycle_prefix: str | None = None
+    require_customer: bool = True      # D3: orders rows without customer_id go to quarantine
     on_batch: Callable[[DataFrame, int], None] | None = None
     processed: int = 0
     batches: list[dict] = field(default_factory=list)
@@ -111,6 +112,13 @@ class FanOut:
         try:
             good = tagged.where(F.col(C.STATUS) == C.OK).drop(C.STATUS, "_raw")
             shapes = self.shapes(good)
+            bad = tagged.where(F.col(C.STATUS) != C.OK).select(
+                F.col(C.STATUS).alias("reason"), F.col("_raw").alias("raw"))
+            if self.require_customer and "orders" in self.targets and "customer_id" in good.columns:
+                no_customer = F.col("customer_id").isNull()
+                shapes["orders"] = shapes["orders"].where(~no_customer)
+                bad = bad.unionByName(tagged.where((F.col(C.STATUS) == C.OK) & no_customer).select(
+                    F.lit("missing_customer_id").alias("reason"), F.col("_raw").alias("raw")))
             stats: dict[str, object] = {"batch_id": batch_id}
             for role in ("orders", "events", "metrics", "lake"):
                 target = self.targets.get(role)
@@ -118,8 +126,6 @@ class FanOut:
                     stats[role] = target.write(shapes[role], batch_id)
             quarantine = self.targets.get("quarantine")
             if quarantine is not None:
-                bad = tagged.where(F.col(C.STATUS) != C.OK).select(
-                    F.col(C.STATUS).alias("reason"), F.col("_raw").alias("raw"))
                 stats["quarantine"] = quarantine.write(bad, batch_id)
             if self.on_batch is not None:
                 self.on_batch(good, batch_id)

@@ -105,3 +105,26 @@ def test_publish_then_topic_batch_read(spark, tmp_dir, sample_canonical):
     X.publish(sample_canonical.drop("partition", "offset"), "events.canonical", path=path)
     back = read_topic(spark, path, streaming=False)
     assert back.count() == 25 and back.where("key IS NULL").count() == 0
+
+
+def test_orders_without_customer_go_to_quarantine(spark, tmp_dir):
+    topic = tmp_dir("topic")
+    _publish_sample(spark, topic, 1, extra=['{"event_id":"nc","event_type":"order.placed"}'])
+    orders, events, q = (InsertOnceTable(tmp_dir("o"), order_cols=("partition", "offset")),
+                         KeyedTable(tmp_dir("e"), EVENTS, order_cols=("partition", "offset")), AppendTable(tmp_dir("q")))
+    run_fanout(read_topic(spark, topic), FanOut({"orders": orders, "events": events, "quarantine": q}), tmp_dir("ckpt"))
+    assert orders.read(spark).count() == 25 and events.read(spark).count() == 26
+    assert [r.reason for r in q.read(spark).collect()] == ["missing_customer_id"]
+
+
+def test_seed_flow_and_seed_tables(spark, tmp_dir):
+    from eventweave.plans.seed import seed_flow, seed_tables
+    files = tmp_dir("file")
+    doc = "[\n" + ",\n".join(sample_lines()) + "\n]"
+    spark.createDataFrame([(doc,)], "value string").coalesce(1).write.text(files)
+    tables = seed_tables(spark, files)
+    assert tables["orders"].count() == 17 and tables["events"].count() == 25
+    assert tables["event_metrics"].agg(F.sum("metric_value")).first()[0] == 7157
+    metrics = AppendTable(tmp_dir("m"))
+    assert seed_flow(spark, files, tmp_dir("topic"), FanOut({"metrics": metrics}), tmp_dir("ckpt")) == 25
+    assert metrics.read(spark).count() == 25
