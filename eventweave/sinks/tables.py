@@ -34,6 +34,12 @@ BUCKET_COL = "bucket"
 BROADCAST_KEYS = 2_000_000
 
 
+def _touched_buckets(df: DataFrame) -> tuple[list[int], int]:
+    """Buckets a batch touches (at most ``buckets`` values) and its row count, in one job."""
+    per_bucket = df.groupBy(BUCKET_COL).count().collect()
+    return [r[0] for r in per_bucket], sum(r[1] for r in per_bucket)
+
+
 def _keys_side(keys: DataFrame, n: int, limit: int) -> DataFrame:
     """Broadcast the batch's keys only under a counted bound; else let Spark shuffle."""
     return F.broadcast(keys) if n <= limit else keys
@@ -48,7 +54,16 @@ def _rows(obs: Observation) -> int:
     return int(obs.get.get("rows", 0) or 0)
 
 
-def _overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str = "parquet") -> None:
+def _overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str = "parquet",
+                          rebalance: Sequence[str] = ()) -> None:
+    """Replace exactly the partitions present in ``df``.
+
+    ``rebalance`` groups rows by those columns before writing (one file set per folder
+    instead of one per task and folder); AQE still splits a folder that is too big for one
+    task, so a hot bucket is written by several tasks.
+    """
+    if rebalance:
+        df = df.hint("rebalance", *rebalance)
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(*partition_by).format(fmt).save(path))
 
@@ -97,7 +112,7 @@ class AppendTable:
 
     def write(self, df: DataFrame, batch_id: int) -> int:
         counted, obs = _count(df.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint")), "append")
-        _overwrite_partitions(counted, self.path, (BATCH_COL, *self.partition_by))
+        _overwrite_partitions(counted, self.path, (BATCH_COL, *self.partition_by), rebalance=self.partition_by)
         return _rows(obs)
 
     def read(self, spark: SparkSession) -> DataFrame:
@@ -116,6 +131,7 @@ class InsertOnceTable:
                  buckets: int = 16, broadcast_keys: int = BROADCAST_KEYS):
         self.path, self.key, self.order_cols, self.buckets = path, key, tuple(order_cols), buckets
         self.broadcast_keys = broadcast_keys
+        self._created = False
 
     def write(self, df: DataFrame, batch_id: int) -> dict[str, int]:
         spark = df.sparkSession
@@ -125,10 +141,11 @@ class InsertOnceTable:
         payload = [c for c in df.columns if c not in self.order_cols or c == self.key]
         first = first.select(*payload, BUCKET_COL).persist()
         stored = StructType(list(first.schema.fields) + [StructField(BATCH_COL, LongType(), True)])
-        ensure_path_table(spark, self.path, stored)
+        if not self._created:
+            ensure_path_table(spark, self.path, stored)
+            self._created = True
         try:
-            n = first.count()
-            touched = [r[0] for r in first.select(BUCKET_COL).distinct().collect()]  # <= buckets values
+            touched, n = _touched_buckets(first)
             existing = (spark.read.schema(stored).parquet(self.path)
                         .where(F.col(BUCKET_COL).isin(touched) & (F.col(BATCH_COL) != F.lit(batch_id)))
                         .select(self.key, BUCKET_COL))
@@ -139,7 +156,7 @@ class InsertOnceTable:
             hits = existing.join(keys, [self.key, BUCKET_COL], "left_semi")
             fresh = first.join(hits, [self.key, BUCKET_COL], "left_anti")
             counted, obs = _count(fresh.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint")), "insert")
-            _overwrite_partitions(counted, self.path, (BUCKET_COL, BATCH_COL))
+            _overwrite_partitions(counted, self.path, (BUCKET_COL, BATCH_COL), rebalance=(BUCKET_COL,))
             return {"inserted": _rows(obs)}
         finally:
             first.unpersist()
@@ -161,13 +178,16 @@ class KeyedTable:
         self.path, self.schema, self.key = path, schema, key
         self.order_cols, self.buckets = tuple(order_cols), buckets
         self.broadcast_keys = broadcast_keys
+        self._created = False
 
     @property
     def stored_schema(self) -> StructType:
         return StructType(list(self.schema.fields) + [StructField(BUCKET_COL, IntegerType(), True)])
 
     def create(self, spark: SparkSession) -> None:
-        ensure_path_table(spark, self.path, self.schema, (BUCKET_COL,))
+        if not self._created:
+            ensure_path_table(spark, self.path, self.schema, (BUCKET_COL,))
+            self._created = True
 
     def write(self, df: DataFrame, batch_id: int | None = None) -> dict[str, int]:
         spark = df.sparkSession
@@ -178,10 +198,9 @@ class KeyedTable:
                                 self.key, self.order_cols).select(*cols)
         latest = latest.withColumn(BUCKET_COL, bucket_of(F.col(self.key), self.buckets)).persist()
         try:
-            n = latest.count()
+            touched, n = _touched_buckets(latest)
             if n == 0:
                 return {"upserted": 0}
-            touched = [r[0] for r in latest.select(BUCKET_COL).distinct().collect()]  # <= buckets values
             current = (spark.read.schema(self.stored_schema).parquet(self.path)
                        .where(F.col(BUCKET_COL).isin(touched)).select(*cols, BUCKET_COL))
             # Same key -> same bucket, so the anti-join on (key, bucket) is exact. The batch's
@@ -189,7 +208,7 @@ class KeyedTable:
             keys = _keys_side(latest.select(self.key, BUCKET_COL), n, self.broadcast_keys)
             kept = current.join(keys, [self.key, BUCKET_COL], "left_anti")
             merged, obs = _count(kept.unionByName(latest), "upsert")
-            _overwrite_partitions(merged, self.path, (BUCKET_COL,))
+            _overwrite_partitions(merged, self.path, (BUCKET_COL,), rebalance=(BUCKET_COL,))
             return {"upserted": n, "table_rows_in_touched_buckets": _rows(obs)}
         finally:
             latest.unpersist()
@@ -235,7 +254,7 @@ def write_bucketed(df: DataFrame, table: str, key: str = "event_id", buckets: in
 def write_sharded(df: DataFrame, path: str, shard_key: str = "shard_key", shards: int = 16,
                   mode: str = "append") -> None:
     """K9: rows placed by ``pmod(xxhash64(shard_key), shards)`` into ``shard=<n>`` folders."""
-    # No repartition by shard: a hot shard key would land in one task. Each task writes
-    # its rows into the shard folders directly.
+    # REBALANCE groups rows by shard (one file set per shard, not one per task and shard)
+    # and lets AQE split a shard too big for one task, so a hot shard key is not one task.
     placed = df.withColumn("shard", bucket_of(F.col(shard_key), shards))
-    placed.write.mode(mode).partitionBy("shard").parquet(path)
+    placed.hint("rebalance", "shard").write.mode(mode).partitionBy("shard").parquet(path)

@@ -25,6 +25,7 @@ from pyspark.sql.types import StructType
 
 from eventweave.operators import canonical as C
 from eventweave.operators import projections as P
+from eventweave.operators.spread import spread
 from eventweave.schemas import CANONICAL
 
 ORDER_COLS = ("partition", "offset")
@@ -108,6 +109,8 @@ class FanOut:
         return out
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
+        # A micro-batch has one partition per file (or topic partition); spread the
+        # JSON work over all cores when that is fewer (no-op for wide sources).
         tagged = self.transform(batch).persist()
         try:
             good = tagged.where(F.col(C.STATUS) == C.OK).drop(C.STATUS, "_raw")
