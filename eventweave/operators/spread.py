@@ -12,7 +12,10 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     work in a single task. Large inputs already have at least as many splits as cores;
     for them this is a no-op and adds no shuffle. Round-robin placement cannot skew.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): leave placement to Spark
         return df
     return df.repartition(target)

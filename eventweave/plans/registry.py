@@ -92,7 +92,7 @@ def incremental_summary(spark, sf_dir):
 
 
 @register("sync_stats", f"""
-SELECT COALESCE(SUM(event_count), 0) AS iceberg_rows, COUNT(*) AS aggregate_groups FROM (
+SELECT CAST(COALESCE(SUM(event_count), 0) AS BIGINT) AS iceberg_rows, COUNT(*) AS aggregate_groups FROM (
   SELECT event_type, COUNT(*) AS event_count FROM events WHERE ts >= {SINCE_SQL} GROUP BY event_type) t""")
 def sync_stats(spark, sf_dir):
     """Run statistics derived from the summary (no second scan)."""
@@ -121,7 +121,7 @@ def group_by_ordinal(spark, sf_dir):
 
 
 @register("sql_on_catalog", """
-SELECT event_type, COUNT(*) AS n, SUM(user_id) AS users FROM events WHERE value >= 100.0 GROUP BY event_type""")
+SELECT event_type, COUNT(*) AS n, CAST(SUM(user_id) AS BIGINT) AS users FROM events WHERE value >= 100.0 GROUP BY event_type""")
 def sql_on_catalog(spark, sf_dir):
     """Positional ``?`` parameters, routed by workload label."""
     _views(spark, sf_dir)

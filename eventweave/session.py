@@ -52,7 +52,13 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder; set to a new temporary one only when unset."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
+        return configured.rstrip("/")
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
