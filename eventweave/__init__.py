@@ -10,6 +10,6 @@ Layout:
     plans/      end-to-end jobs (incremental sync) and the registered queries
 """
 
-from eventweave.session import build_session, prepare, work_dir
+from eventweave.session import build_session, prepare, scale_conf, work_dir
 
-__all__ = ["build_session", "prepare", "work_dir"]
+__all__ = ["build_session", "prepare", "scale_conf", "work_dir"]

@@ -42,6 +42,28 @@ def build_session(master: str | None = None, *, shuffle_partitions: int | None =
     return spark
 
 
+def scale_conf(input_bytes: int, *, cores: int, target_partition_bytes: int = 256 << 20,
+               scan_split_bytes: int = 512 << 20) -> dict[str, str]:
+    """Settings sized for an input volume (e.g. 100 TB on a 1000-executor cluster).
+
+    The initial shuffle width is one partition per ``target_partition_bytes`` of input (at
+    least 2x the cores); AQE then coalesces small partitions to the advisory size and splits
+    skewed ones, so a stage neither spills from oversized partitions nor drowns in tiny ones.
+    """
+    partitions = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(scan_split_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        # Broadcast only what is measured to be small.
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Runtime settings every operator relies on; safe to call on any session."""
     # H4: all ISO text <-> timestamp conversions are done in UTC.
