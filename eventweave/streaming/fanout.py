@@ -109,32 +109,35 @@ class FanOut:
         return out
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        # A micro-batch has one partition per file (or topic partition); spread the
-        # JSON work over all cores when that is fewer (no-op for wide sources).
         tagged = self.transform(batch).persist()
         try:
+            check_customer = (self.require_customer and "orders" in self.targets
+                              and "customer_id" in tagged.columns)
+            no_customer = F.col("customer_id").isNull() if check_customer else F.lit(False)
+            # One pass over the cached batch: record count per status (<= 4 groups), which also
+            # tells whether anything needs quarantining.
+            classes = {(r[0], r[1]): r[2] for r in
+                       tagged.groupBy(F.col(C.STATUS), no_customer.alias("_nc")).count().collect()}
+            n = sum(classes.values())
+            rejects = sum(v for (st, nc), v in classes.items() if st != C.OK or nc)
             good = tagged.where(F.col(C.STATUS) == C.OK).drop(C.STATUS, "_raw")
             shapes = self.shapes(good)
-            bad = tagged.where(F.col(C.STATUS) != C.OK).select(
-                F.col(C.STATUS).alias("reason"), F.col("_raw").alias("raw"))
-            if self.require_customer and "orders" in self.targets and "customer_id" in good.columns:
-                no_customer = F.col("customer_id").isNull()
-                shapes["orders"] = shapes["orders"].where(~no_customer)
-                bad = bad.unionByName(tagged.where((F.col(C.STATUS) == C.OK) & no_customer).select(
-                    F.lit("missing_customer_id").alias("reason"), F.col("_raw").alias("raw")))
-            stats: dict[str, object] = {"batch_id": batch_id}
+            if check_customer:
+                shapes["orders"] = shapes["orders"].where(F.col("customer_id").isNotNull())
+            stats: dict[str, object] = {"batch_id": batch_id, "records": n, "rejects": rejects}
             for role in ("orders", "events", "metrics", "lake"):
                 target = self.targets.get(role)
                 if target is not None:
                     stats[role] = target.write(shapes[role], batch_id)
             quarantine = self.targets.get("quarantine")
-            if quarantine is not None:
+            if quarantine is not None and rejects:
+                reason = F.when(F.col(C.STATUS) != C.OK, F.col(C.STATUS)).otherwise(F.lit("missing_customer_id"))
+                bad = tagged.where((F.col(C.STATUS) != C.OK) | no_customer).select(
+                    reason.alias("reason"), F.col("_raw").alias("raw"))
                 stats["quarantine"] = quarantine.write(bad, batch_id)
             if self.on_batch is not None:
                 self.on_batch(good, batch_id)
-            n = tagged.count()
             self.processed += n
-            stats["records"] = n
             self.batches.append(stats)
         finally:
             tagged.unpersist()
