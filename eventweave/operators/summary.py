@@ -8,16 +8,22 @@ from pyspark.sql import functions as F
 from eventweave.functions import fields as J
 
 
-def since_filter(lake: DataFrame, since: str, ts_col: str = "occurred_at") -> DataFrame:
+def since_filter(lake: DataFrame, since: str, ts_col: str = "occurred_at",
+                 date_col: str | None = "event_date") -> DataFrame:
     """``ts_col >= since`` (inclusive). ``since`` is ISO-8601 text, a ``Z`` suffix is allowed.
 
     The bound folds to a literal, so the comparison is pushed into the Parquet scan
-    (row-group pruning; partition pruning when the lake is laid out by date).
+    (row-group pruning). When the lake also has ``date_col`` (the UTC day of ``ts_col``,
+    e.g. its partition column), the implied ``date_col >= day(since)`` is added so whole
+    date partitions are pruned before any file is opened.
     """
     bound = J.iso_to_ts(F.lit(since))
     if dict(lake.dtypes).get(ts_col) == "timestamp":
         bound = F.try_to_timestamp(F.lit(since))
-    return lake.where(F.col(ts_col) >= bound)
+    cond = F.col(ts_col) >= bound
+    if date_col and date_col in lake.columns:
+        cond = cond & (F.col(date_col) >= F.to_date(J.iso_to_ts(F.lit(since))))
+    return lake.where(cond)
 
 
 def type_summary(lake: DataFrame, since: str | None = None, *, ts_col: str = "occurred_at",

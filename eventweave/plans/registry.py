@@ -447,7 +447,7 @@ def stream_fanout(spark, sf_dir):
         "orders": InsertOnceTable(work_dir(spark, "orders"), order_cols=("partition", "offset")),
         "events": KeyedTable(work_dir(spark, "events"), EVENTS, order_cols=("partition", "offset")),
         "metrics": AppendTable(work_dir(spark, "metrics")),
-        "lake": AppendTable(work_dir(spark, "lake")),
+        "lake": AppendTable(work_dir(spark, "lake"), partition_by=("event_date",)),
         "quarantine": AppendTable(work_dir(spark, "quarantine")),
     }
     fan = FanOut(targets)

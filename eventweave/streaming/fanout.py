@@ -101,10 +101,13 @@ class FanOut:
             "orders": P.orders_rows(canonical, lifecycle_prefix=self.lifecycle_prefix, keep=ORDER_COLS),
             "events": P.serving_rows(canonical, keep=ORDER_COLS),
             "metrics": P.metric_rows(canonical),
+            # Lake rows carry their UTC day: partition the lake target by ``event_date`` and
+            # the incremental sync prunes whole days.
             "lake": canonical.select("event_id", "event_type",
                                      J.iso_to_ts(F.col("occurred_at")).alias("occurred_at"),
                                      (F.col("payload") if "payload" in canonical.columns
-                                      else F.lit("{}")).alias("payload")),
+                                      else F.lit("{}")).alias("payload"))
+                             .withColumn("event_date", F.to_date("occurred_at")),
         }
         return out
 

@@ -25,7 +25,7 @@ def _publish_sample(spark, path, files, extra=()):
 def _targets(tmp_dir):
     return {"orders": InsertOnceTable(tmp_dir("o"), order_cols=("partition", "offset")),
             "events": KeyedTable(tmp_dir("e"), EVENTS, order_cols=("partition", "offset")),
-            "metrics": AppendTable(tmp_dir("m")), "lake": AppendTable(tmp_dir("l")),
+            "metrics": AppendTable(tmp_dir("m")), "lake": AppendTable(tmp_dir("l"), partition_by=("event_date",)),
             "quarantine": AppendTable(tmp_dir("q"))}
 
 

@@ -63,3 +63,14 @@ def test_run_incremental_loads_and_early_exit(spark, lake, tmp_dir):
     run_incremental(spark, lake, "2026-05-25T12:00:00Z", summary_path=summary_path, run_id="r1")
     assert spark.read.parquet(summary_path).count() == 5
     assert run_incremental(spark, lake, "2026-06-01T00:00:00Z", summary_path=summary_path) == {"iceberg_rows": 0}
+
+
+def test_date_layout_prunes_partitions(spark, lake, tmp_dir):
+    from eventweave.sinks.tables import AppendTable
+    table = AppendTable(tmp_dir("lake_by_day"), partition_by=("event_date",))
+    table.write(lake.withColumn("event_date", F.to_date("occurred_at")), 0)
+    df = table.read(spark)
+    plan = plan_text(type_summary(df, "2026-05-26T00:00:00Z"))
+    assert "PartitionFilters: [isnotnull(event_date" in plan and "(event_date#" in plan
+    got = {r.event_type: r.event_count for r in type_summary(df, "2026-05-26T00:00:00Z").collect()}
+    assert got == GOLDEN[2][2]
