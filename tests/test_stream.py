@@ -109,12 +109,17 @@ def test_publish_then_topic_batch_read(spark, tmp_dir, sample_canonical):
 
 def test_orders_without_customer_go_to_quarantine(spark, tmp_dir):
     topic = tmp_dir("topic")
-    _publish_sample(spark, topic, 1, extra=['{"event_id":"nc","event_type":"order.placed"}'])
+    _publish_sample(spark, topic, 1, extra=['{"event_id":"nc","event_type":"order.placed"}',
+                                            '{"event_id":null,"customer_id":5}'])
     orders, events, q = (InsertOnceTable(tmp_dir("o"), order_cols=("partition", "offset")),
                          KeyedTable(tmp_dir("e"), EVENTS, order_cols=("partition", "offset")), AppendTable(tmp_dir("q")))
-    run_fanout(read_topic(spark, topic), FanOut({"orders": orders, "events": events, "quarantine": q}), tmp_dir("ckpt"))
+    metrics = AppendTable(tmp_dir("m"))
+    fan = FanOut({"orders": orders, "events": events, "metrics": metrics, "quarantine": q})
+    assert run_fanout(read_topic(spark, topic), fan, tmp_dir("ckpt")) == 27
     assert orders.read(spark).count() == 25 and events.read(spark).count() == 26
-    assert [r.reason for r in q.read(spark).collect()] == ["missing_customer_id"]
+    assert metrics.read(spark).count() == 27                      # metrics need no key
+    assert sorted(r.reason for r in q.read(spark).collect()) == ["missing_customer_id", "null_event_id"]
+    assert sum(b["rejects"] for b in fan.batches) == 2
 
 
 def test_seed_flow_and_seed_tables(spark, tmp_dir):
