@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from eventweave.functions import fields as J
 from eventweave.operators import canonical as C
 from eventweave.operators import projections as P
 from eventweave.operators.spread import spread
@@ -85,7 +86,12 @@ def python_transform(fn: Callable[[dict], dict], schema: StructType = CANONICAL)
 @dataclass
 class FanOut:
     """Targets by role: ``orders`` (InsertOnceTable), ``events`` (KeyedTable),
-    ``metrics`` and ``lake`` (AppendTable), ``quarantine`` (AppendTable); all optional."""
+    ``metrics`` and ``lake`` (AppendTable), ``quarantine`` (AppendTable); all optional.
+
+    The quarantine receives every record some target refused: text that is not a JSON
+    object, and for the keyed targets a null ``event_id`` or (orders, D3) a null
+    ``customer_id``; such rows still reach the targets that accept them.
+    """
 
     targets: Mapping[str, object]
     transform: Transform = default_transform
@@ -96,7 +102,6 @@ class FanOut:
     batches: list[dict] = field(default_factory=list)
 
     def shapes(self, canonical: DataFrame) -> dict[str, DataFrame]:
-        from eventweave.functions import fields as J
         out = {
             "orders": P.orders_rows(canonical, lifecycle_prefix=self.lifecycle_prefix, keep=ORDER_COLS),
             "events": P.serving_rows(canonical, keep=ORDER_COLS),
