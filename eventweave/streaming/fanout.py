@@ -26,7 +26,6 @@ from pyspark.sql.types import StructType
 from eventweave.functions import fields as J
 from eventweave.operators import canonical as C
 from eventweave.operators import projections as P
-from eventweave.operators.spread import spread
 from eventweave.schemas import CANONICAL
 
 ORDER_COLS = ("partition", "offset")
