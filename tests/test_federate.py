@@ -95,3 +95,23 @@ def test_hot_key_split_equals_plain_join(spark, how):
     norm = lambda df: sorted(tuple("" if x is None else str(x) for x in r) for r in df.collect())
     assert norm(guarded) == norm(plain)
     assert "BroadcastHashJoin" in plan_text(guarded) and "Union" in plan_text(guarded)
+
+
+def test_star_join_shuffles_each_source_once(spark):
+    """At scale (no broadcast), three sources cost three shuffles: later joins reuse the
+    base side's hash partitioning because every condition refers to the base key."""
+    from tests.conftest import plan_text
+    mk = lambda n: spark.range(n).selectExpr("cast(id % 1000 as string) AS event_id", "id AS v")
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        src = [SourceRef(None, "x", n, n, ("event_id", "v")) for n in ("a", "b", "c")]
+        out = federate(spark, src, limit=None, resolve=_resolver({f"x.{n}": mk(5000) for n in "abc"}))
+        plan = plan_text(out, "simple")
+        assert plan.count("Exchange hashpartitioning") == 3
+        assert plan.count("SortMergeJoin") == 2
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
