@@ -41,6 +41,32 @@ def jdbc_catalog_conf(name: str, url: str, driver: str | None = None, **options:
     return catalog_conf(name, JDBC_CATALOG, opts)
 
 
+def rest_lake_catalog_conf(name: str, uri: str, *, warehouse: str | None = None,
+                           implementation: str = "org.apache.iceberg.spark.SparkCatalog",
+                           **options: str) -> dict[str, str]:
+    """A lake catalog served over REST (the URI is configuration, not code — D12). Needs the
+    table format's Spark runtime jar on the classpath."""
+    opts = {"type": "rest", "uri": uri, **options}
+    if warehouse:
+        opts["warehouse"] = warehouse
+    return catalog_conf(name, implementation, opts)
+
+
+def mysql_catalog_conf(name: str, host: str, port: int, database: str, *, user: str | None = None,
+                       password: str | None = None, driver: str = "com.mysql.cj.jdbc.Driver",
+                       **options: str) -> dict[str, str]:
+    """A MySQL-protocol store (OLTP, HTAP or real-time OLAP) as a JDBC catalog."""
+    extra = {k: v for k, v in (("user", user), ("password", password)) if v is not None}
+    return jdbc_catalog_conf(name, f"jdbc:mysql://{host}:{port}/{database}", driver, **extra, **options)
+
+
+def warehouse_catalog_conf(name: str, url: str, *, user: str | None = None, password: str | None = None,
+                           driver: str = "org.postgresql.Driver", **options: str) -> dict[str, str]:
+    """A warehouse reachable over JDBC (PostgreSQL protocol by default)."""
+    extra = {k: v for k, v in (("user", user), ("password", password)) if v is not None}
+    return jdbc_catalog_conf(name, url, driver, **extra, **options)
+
+
 def mount_catalogs(spark: SparkSession, catalogs: Mapping[str, Mapping[str, str]]) -> None:
     """Apply catalog conf at run time (catalogs load lazily on first use)."""
     for conf in catalogs.values():

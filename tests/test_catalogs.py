@@ -48,3 +48,14 @@ def test_federation_across_catalogs(spark, oltp):
                            SourceRef(None, None, "ew_segments", "r", ("SEGMENT",))],
                    join_key="EVENT_ID", limit=None)
     assert sorted((r.i_EVENT_ID, r.r_SEGMENT) for r in out.collect()) == [("e1", "gold"), ("e2", None), ("e3", "basic")]
+
+
+def test_catalog_set_conf():
+    from eventweave.sources.catalogs import mysql_catalog_conf, rest_lake_catalog_conf, warehouse_catalog_conf
+    lake = rest_lake_catalog_conf("lake", "http://rest:8181", warehouse="s3://bucket/wh")
+    assert lake["spark.sql.catalog.lake.type"] == "rest" and lake["spark.sql.catalog.lake.uri"] == "http://rest:8181"
+    oltp = mysql_catalog_conf("oltp", "db", 4000, "app", user="u")
+    assert oltp["spark.sql.catalog.oltp.url"] == "jdbc:mysql://db:4000/app"
+    assert oltp["spark.sql.catalog.oltp.user"] == "u" and "spark.sql.catalog.oltp.password" not in oltp
+    wh = warehouse_catalog_conf("wh", "jdbc:postgresql://wh:5439/dev")
+    assert wh["spark.sql.catalog.wh"].endswith("JDBCTableCatalog")
