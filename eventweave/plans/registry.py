@@ -66,7 +66,7 @@ def _payload_parts(df: DataFrame) -> list:
             J.has_key(p, "occurred_at").alias("payload_is_record")]
 
 
-def _views(spark: SparkSession, sf_dir: str, names=("events", "orders", "lineitem", "customer")) -> None:
+def _views(spark: SparkSession, sf_dir: str, names=("events",)) -> None:
     for name in names:
         D.table(spark, sf_dir, name).createOrReplaceTempView(name)
 

@@ -13,7 +13,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", shuffle_partitions=4, app_name="eventweave-tests")
+    # local[4,2]: a failed task is retried once, as on a cluster after an executor loss
+    s = build_session("local[4,2]", shuffle_partitions=4, app_name="eventweave-tests")
     yield s
     s.stop()
 
