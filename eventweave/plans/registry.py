@@ -338,10 +338,14 @@ def _split_by_since(df: DataFrame, ts: str) -> tuple[DataFrame, DataFrame]:
 def append_metrics(spark, sf_dir):
     """K4: metric rows appended in two batches (before / from the bound), read back."""
     from eventweave.sinks.tables import AppendTable
-    rows = P.metric_rows(_canonical(spark, sf_dir).withColumn("_ts", J.iso_to_ts(F.col("occurred_at"))), keep=("_ts",))
-    table = AppendTable(work_dir(spark, "metrics"))
-    for batch_id, part in enumerate(_split_by_since(rows, "_ts")):
-        table.write(part.drop("_ts"), batch_id)
+    rows = P.metric_rows(_canonical(spark, sf_dir).withColumn("_ts", J.iso_to_ts(F.col("occurred_at"))),
+                         keep=("_ts",)).persist()      # derived once, cut into two batches
+    try:
+        table = AppendTable(work_dir(spark, "metrics"))
+        for batch_id, part in enumerate(_split_by_since(rows, "_ts")):
+            table.write(part.drop("_ts"), batch_id)
+    finally:
+        rows.unpersist()
     return table.read(spark)
 
 
@@ -349,10 +353,13 @@ def append_metrics(spark, sf_dir):
 def lake_append(spark, sf_dir):
     """K5: lake rows appended in two commits, laid out by event date, read back."""
     from eventweave.sinks.tables import AppendTable
-    rows = D.lake_events(_events(spark, sf_dir)).withColumn("event_date", F.to_date("occurred_at"))
-    table = AppendTable(work_dir(spark, "lake"), partition_by=("event_date",))
-    for batch_id, part in enumerate(_split_by_since(rows, "occurred_at")):
-        table.write(part, batch_id)
+    rows = D.lake_events(_events(spark, sf_dir)).withColumn("event_date", F.to_date("occurred_at")).persist()
+    try:
+        table = AppendTable(work_dir(spark, "lake"), partition_by=("event_date",))
+        for batch_id, part in enumerate(_split_by_since(rows, "occurred_at")):
+            table.write(part, batch_id)
+    finally:
+        rows.unpersist()
     return table.read(spark).drop("event_date")
 
 
