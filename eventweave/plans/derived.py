@@ -64,10 +64,10 @@ def raw_events(events: DataFrame) -> DataFrame:
 
 def lake_events(events: DataFrame) -> DataFrame:
     """Lake rows: P5 over the raw records; records without an ``event_id`` key are rejected."""
-    raw = raw_events(events)
-    v = J.parse(F.col("value"))
-    good = raw.withColumn("_v", v).where(C.ok_predicate(F.col("_v"), F.col("value")) & J.has_key(F.col("_v"), "event_id"))
-    return good.select(*C.lake_columns(F.col("_v")))
+    tagged = C.classify(raw_events(events))
+    v = F.col("_v")
+    good = tagged.where(C.ok_predicate(v, F.col("value")) & J.has_key(v, "event_id"))
+    return good.select(*C.lake_columns(v))
 
 
 def event_metrics(events: DataFrame) -> DataFrame:

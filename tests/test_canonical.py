@@ -87,3 +87,10 @@ def test_canonicalise_streaming_equals_batch(spark, tmp_dir, sample_raw):
     got = sorted(tuple(r) for r in spark.table("canon_stream").collect())
     want = sorted(tuple(r) for r in C.canonicalise(sample_raw, keep=("offset",)).collect())
     assert got == want
+
+
+def test_each_record_is_parsed_once(spark):
+    # a filter on the parse result must not copy the parse below itself
+    df = spark.createDataFrame([('{"event_id":"a"}',), ("{bad",)], "value string")
+    for out in (C.canonicalise(df), C.lake_normalise(df).where(f"{C.STATUS} = 'ok'")):
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("parseJson") == 1
