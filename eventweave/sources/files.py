@@ -22,22 +22,28 @@ def read_event_files(spark: SparkSession, path: str, *, whole_files: bool = Fals
 
     A file (or line) may hold one object or an array of objects; an array is exploded, an
     object is kept as one event. ``whole_files=True`` reads each file as one text (for small
-    pretty-printed files; such a file is one task). The default reads JSON lines, which
-    splits large files across tasks.
+    pretty-printed files; such a file is one task, H9). The default reads JSON lines, which
+    splits large files across tasks. Each line is parsed once; array elements are turned
+    back into text only for the ``value`` column.
     """
     from eventweave.functions import fields as J
-    from eventweave.operators.canonical import classify
+    from eventweave.operators.canonical import MALFORMED, NOT_OBJECT, OK, STATUS
 
     text = spark.read.text(path, wholetext=whole_files)
-    parsed = text.withColumn("_doc", J.parse(F.col("value"), strict=strict))
+    doc = J.parse(F.col("value"), strict=strict)
+    parsed = text.select(F.col("value").alias("_text"), doc.alias("_doc"))
     items = F.try_variant_get(F.col("_doc"), "$", "array<variant>")
-    exploded = parsed.select(F.explode(F.when(items.isNotNull(), items)
-                                       .otherwise(F.array(F.col("_doc")))).alias("_item"),
-                             F.col("value").alias("_text"), F.col("_doc"))
-    # Each element becomes its own JSON text so the canonicaliser sees one event per row.
-    events = exploded.select(
-        F.when(F.col("_doc").isNull(), F.col("_text")).otherwise(F.to_json(F.col("_item"))).alias("value"))
-    return classify(events, "value", strict=strict)
+    exploded = parsed.select(
+        "_text", items.isNotNull().alias("_is_array"),
+        F.explode(F.when(items.isNotNull(), items).otherwise(F.array(F.col("_doc")))).alias("_v"))
+    value = F.when(F.col("_is_array"), F.to_json(F.col("_v"))).otherwise(F.col("_text"))
+    events = exploded.select(value.alias("value"), "_v")
+    status = (F.when(F.col("_v").isNull(), F.lit(MALFORMED))
+              .when(~J.is_object_text(F.col("value")), F.lit(NOT_OBJECT))
+              .otherwise(F.lit(OK)))
+    if strict:
+        status = F.when(status == OK, status).otherwise(F.raise_error(F.lit("event is not a JSON object")))
+    return events.withColumn(STATUS, status)
 
 
 def read_staged(spark: SparkSession, prefix: str, schema) -> DataFrame:
