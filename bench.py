@@ -38,26 +38,32 @@ def main() -> None:
     names = [n for n in os.environ.get("BENCH_QUERIES", default).split(",") if n]
     spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus,
                           extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
-    timings: dict[str, float] = {}
+    timings: dict[str, float | None] = {}
+    errors: dict[str, str] = {}
     for name in names:
         fn = registry.QUERIES[name]
         runs = []
-        for i in range(repeats + 1):
-            t0 = time.perf_counter()
-            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            if i:
-                runs.append(time.perf_counter() - t0)
-        timings[name] = round(statistics.median(runs), 3)
+        try:
+            for i in range(repeats + 1):
+                t0 = time.perf_counter()
+                fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+                if i:
+                    runs.append(time.perf_counter() - t0)
+            timings[name] = round(statistics.median(runs), 3)
+        except Exception as e:  # noqa: BLE001 - report and go on; one JSON line is always printed
+            timings[name] = None
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
     headline = [n for n in names if n in HEADLINE] or names
     print(json.dumps({
         "metric": "headline_median_sec_total",
-        "value": round(sum(timings[n] for n in headline), 3),
+        "value": round(sum(timings[n] or 0.0 for n in headline), 3),
         "unit": "sec",
         "queries": timings,
         "sf": _sf(sf_dir),
         "cpus": cpus,
         "repeats": repeats,
         "spark": spark.version,
+        **({"errors": errors} if errors else {}),
     }))
     spark.stop()
 
