@@ -1,3 +1,3 @@
-from eventweave.streaming.fanout import FanOut, python_transform, run_fanout
+from eventweave.streaming.fanout import FanOut, python_transform, run_fanout, start_fanout
 
-__all__ = ["FanOut", "python_transform", "run_fanout"]
+__all__ = ["FanOut", "python_transform", "run_fanout", "start_fanout"]

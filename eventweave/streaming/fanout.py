@@ -155,14 +155,25 @@ class FanOut:
             tagged.unpersist()
 
 
-def run_fanout(source: DataFrame, fanout: FanOut, checkpoint: str, *,
-               available_now: bool = True, query_name: str | None = None) -> int:
-    """Start the fan-out on a streaming DataFrame of topic records, wait, return the count."""
+def start_fanout(source: DataFrame, fanout: FanOut, checkpoint: str, *,
+                 available_now: bool = False, processing_time: str | None = None,
+                 query_name: str | None = None):
+    """Start the fan-out and return the ``StreamingQuery`` (continuous runs: a
+    processing-time trigger, or Spark's default of one micro-batch after another)."""
     writer = source.writeStream.foreachBatch(fanout.process).option("checkpointLocation", checkpoint)
     if query_name:
         writer = writer.queryName(query_name)
-    writer = writer.trigger(availableNow=True) if available_now else writer
-    query = writer.start()
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif processing_time:
+        writer = writer.trigger(processingTime=processing_time)
+    return writer.start()
+
+
+def run_fanout(source: DataFrame, fanout: FanOut, checkpoint: str, *,
+               query_name: str | None = None) -> int:
+    """Drain what the source holds (``availableNow``), stop, return the record count."""
+    query = start_fanout(source, fanout, checkpoint, available_now=True, query_name=query_name)
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()

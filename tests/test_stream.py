@@ -133,3 +133,17 @@ def test_seed_flow_and_seed_tables(spark, tmp_dir):
     metrics = AppendTable(tmp_dir("m"))
     assert seed_flow(spark, files, tmp_dir("topic"), FanOut({"metrics": metrics}), tmp_dir("ckpt")) == 25
     assert metrics.read(spark).count() == 25
+
+
+def test_continuous_fanout_picks_up_new_files(spark, tmp_dir):
+    from eventweave.streaming import start_fanout
+    topic = tmp_dir("topic")
+    _publish_sample(spark, topic, 1)
+    metrics = AppendTable(tmp_dir("m"))
+    fan = FanOut({"metrics": metrics})
+    query = start_fanout(read_topic(spark, topic), fan, tmp_dir("ckpt"), processing_time="1 second")
+    try:
+        query.processAllAvailable()
+        assert fan.processed == 25
+    finally:
+        query.stop()
