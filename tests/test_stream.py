@@ -147,3 +147,35 @@ def test_continuous_fanout_picks_up_new_files(spark, tmp_dir):
         assert fan.processed == 25
     finally:
         query.stop()
+
+
+def test_keyed_targets_together_equal_separate_runs(spark, tmp_dir):
+    """Duplicate keys, a first version that is not an order, a missing customer."""
+    lines = ['{"event_id":"a","event_type":"click","customer_id":1,"amount":1}',
+             '{"event_id":"a","event_type":"order.placed","customer_id":1,"amount":2}',
+             '{"event_id":"a","event_type":"order.shipped","customer_id":1,"amount":3}',
+             '{"event_id":"b","event_type":"order.placed","amount":4}',
+             '{"event_id":"b","event_type":"order.placed","customer_id":2,"amount":5}',
+             '{"event_id":"c","event_type":"view","customer_id":3}',
+             '{"event_id":"c","event_type":"view","customer_id":3,"amount":6}']
+    rows = [(0, i, line) for i, line in enumerate(lines)]
+    df = spark.createDataFrame(rows, "partition int, offset bigint, value string")
+    topic = tmp_dir("topic")
+    df.select(F.lit("t").alias("topic"), "partition", "offset", F.lit(None).cast("string").alias("key"),
+              "value").coalesce(1).write.json(topic)
+
+    def run(targets):
+        run_fanout(read_topic(spark, topic), FanOut(targets, lifecycle_prefix="order."), tmp_dir("ckpt"))
+
+    together = {"orders": InsertOnceTable(tmp_dir("o"), order_cols=("partition", "offset")),
+             "events": KeyedTable(tmp_dir("e"), EVENTS, order_cols=("partition", "offset"))}
+    run(together)
+    alone_o = InsertOnceTable(tmp_dir("o2"), order_cols=("partition", "offset"))
+    alone_e = KeyedTable(tmp_dir("e2"), EVENTS, order_cols=("partition", "offset"))
+    run({"orders": alone_o})
+    run({"events": alone_e})
+    rows_of = lambda t, cols: sorted(tuple(r) for r in t.read(spark).select(*cols).collect())
+    assert rows_of(together["orders"], ["event_id", "customer_id", "amount"]) == \
+        rows_of(alone_o, ["event_id", "customer_id", "amount"]) == [("a", 1, 2), ("b", 2, 5)]
+    assert rows_of(together["events"], ["event_id", "event_type"]) == rows_of(alone_e, ["event_id", "event_type"]) == \
+        [("a", "order.shipped"), ("b", "order.placed"), ("c", "view")]
