@@ -30,6 +30,11 @@ def is_object_text(text: Column) -> Column:
     return F.startswith(F.ltrim(text), F.lit("{"))
 
 
+def is_object(v: Column) -> Column:
+    """True when a parsed VARIANT is an object (a cast to the empty struct succeeds)."""
+    return F.try_variant_get(v, "$", "struct<>").isNotNull()
+
+
 def has_key(v: Column, key: str) -> Column:
     """The object holds ``key`` (its value may be JSON null)."""
     return F.try_variant_get(v, _path(key), "variant").isNotNull()

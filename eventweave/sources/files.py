@@ -39,7 +39,7 @@ def read_event_files(spark: SparkSession, path: str, *, whole_files: bool = Fals
     value = F.when(F.col("_is_array"), F.to_json(F.col("_v"))).otherwise(F.col("_text"))
     events = exploded.select(value.alias("value"), "_v")
     status = (F.when(F.col("_v").isNull(), F.lit(MALFORMED))
-              .when(~J.is_object_text(F.col("value")), F.lit(NOT_OBJECT))
+              .when(~J.is_object(F.col("_v")), F.lit(NOT_OBJECT))
               .otherwise(F.lit(OK)))
     if strict:
         status = F.when(status == OK, status).otherwise(F.raise_error(F.lit("event is not a JSON object")))
