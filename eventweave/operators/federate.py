@@ -62,18 +62,20 @@ def join_how(join_type: str) -> str:
 class SkewGuard:
     """Hot-key split for the star join.
 
-    A key with at least ``hot_rows`` rows on a joined (right) side would put all of them
-    into one task: AQE splits skewed partitions only on the streamed side of an outer join.
-    Such keys are found with one partial aggregation of that side; if there are at most
-    ``max_hot_keys`` of them and the plan's rows for them number at most
-    ``max_broadcast_rows`` (both counted, so the broadcast has a proven bound), the hot rows
-    are joined against a broadcast of those few plan rows, spread over every task, and the
-    other keys take the ordinary shuffle join. Otherwise the ordinary join is kept: many
-    hot keys spread over the reducers by themselves. Results are exactly the plain join's.
+    A key holding a large share of a joined (right) side would put all those rows into one
+    task: AQE splits skewed partitions only on the streamed side of an outer join. Hot keys
+    are found without shuffling the keys: ``freqItems`` (one pass, per-task frequent-item
+    counters merged on the driver) returns a superset of every key above ``hot_fraction``
+    of the rows, and one pass counting only those candidates (a handful of groups) keeps
+    the keys with at least ``hot_fraction`` of the rows and ``min_rows`` rows. If the plan's
+    rows for them number at most ``max_broadcast_rows`` (counted, so the broadcast has a
+    proven bound), the hot rows are joined against a broadcast of those few plan rows,
+    spread over every task, and the other keys take the ordinary shuffle join. Otherwise
+    the ordinary join is kept. Results are exactly the plain join's.
     """
 
-    hot_rows: int = 1_000_000
-    max_hot_keys: int = 10_000
+    hot_fraction: float = 0.01
+    min_rows: int = 1_000_000
     max_broadcast_rows: int = 1_000_000
 
 
@@ -81,11 +83,21 @@ def _key_col(alias: str) -> str:
     return f"__{alias}_key"
 
 
+def _hot_keys(right: DataFrame, key: str, guard: SkewGuard) -> list:
+    candidates = [k for k in right.freqItems([key], guard.hot_fraction).first()[0] if k is not None]
+    if not candidates:
+        return []
+    per_key = (right.groupBy(F.when(F.col(key).isin(candidates), F.col(key)).alias("k"))
+               .count().collect())                      # <= len(candidates) + 1 groups
+    total = sum(r["count"] for r in per_key)
+    bar = max(guard.min_rows, guard.hot_fraction * total)
+    return [r["k"] for r in per_key if r["k"] is not None and r["count"] >= bar]
+
+
 def _hot_split(plan: DataFrame, right: DataFrame, base_key: str, right_key: str, how: str,
                guard: SkewGuard) -> DataFrame | None:
-    counts = right.groupBy(right_key).count().where(F.col("count") >= guard.hot_rows)
-    hot = [r[0] for r in counts.select(right_key).limit(guard.max_hot_keys + 1).collect()]
-    if not hot or len(hot) > guard.max_hot_keys:
+    hot = _hot_keys(right, right_key, guard)
+    if not hot:
         return None
     is_hot_plan, is_hot_right = F.col(base_key).isin(hot), F.col(right_key).isin(hot)
     plan_hot = plan.where(is_hot_plan)

@@ -91,7 +91,7 @@ def test_hot_key_split_equals_plain_join(spark, how):
     tables = {"c.s.base": base, "c.s.right": right}
     plain = federate(spark, src, join_type=how, limit=None, resolve=_resolver(tables))
     guarded = federate(spark, src, join_type=how, limit=None, resolve=_resolver(tables),
-                       skew_guard=SkewGuard(hot_rows=100))
+                       skew_guard=SkewGuard(hot_fraction=0.2, min_rows=100))
     norm = lambda df: sorted(tuple("" if x is None else str(x) for x in r) for r in df.collect())
     assert norm(guarded) == norm(plain)
     assert "BroadcastHashJoin" in plan_text(guarded) and "Union" in plan_text(guarded)
@@ -115,3 +115,14 @@ def test_star_join_shuffles_each_source_once(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_skew_guard_leaves_even_keys_alone(spark):
+    from eventweave.operators.federate import SkewGuard
+    from tests.conftest import plan_text
+    base = spark.createDataFrame([(f"k{i}",) for i in range(50)], "event_id string")
+    right = spark.createDataFrame([(f"k{i % 50}", i) for i in range(1000)], "event_id string, v int")
+    src = [SourceRef("c", "s", "base", "i", ("event_id",)), SourceRef("c", "s", "right", "r", ("v",))]
+    out = federate(spark, src, limit=None, resolve=_resolver({"c.s.base": base, "c.s.right": right}),
+                   skew_guard=SkewGuard(hot_fraction=0.2, min_rows=10))
+    assert "Union" not in plan_text(out) and out.count() == 1000
