@@ -76,7 +76,7 @@ class SkewGuard:
 
     hot_fraction: float = 0.01
     min_rows: int = 1_000_000
-    max_broadcast_rows: int = 1_000_000
+    max_broadcast_rows: int = 100_000
 
 
 def _key_col(alias: str) -> str:

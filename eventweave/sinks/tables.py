@@ -30,8 +30,9 @@ from eventweave.operators.layout import bucket_of
 
 BATCH_COL = "batch_id"
 BUCKET_COL = "bucket"
-# Largest number of batch keys shipped to every task as a broadcast (a few tens of MB).
-BROADCAST_KEYS = 2_000_000
+# Largest number of batch keys shipped to every task as a broadcast (about 40 MB of
+# key + bucket rows); a larger batch takes a shuffle join instead.
+BROADCAST_KEYS = 500_000
 
 
 def _touched_buckets(df: DataFrame) -> tuple[list[int], int]:
