@@ -97,6 +97,7 @@ class FanOut:
     lifecycle_prefix: str | None = None
     require_customer: bool = True      # D3: orders rows without customer_id go to quarantine
     on_batch: Callable[[DataFrame, int], None] | None = None
+    on_record: Callable[[object], None] | None = None   # T7: called per raw record, on executors
     processed: int = 0
     batches: list[dict] = field(default_factory=list)
 
@@ -116,6 +117,8 @@ class FanOut:
         return out
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
+        if self.on_record is not None:
+            batch.foreach(self.on_record)       # Row(topic, partition, offset, key, value)
         tagged = self.transform(batch).persist()
         try:
             keyed_targets = any(r in self.targets for r in ("orders", "events"))

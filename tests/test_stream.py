@@ -179,3 +179,17 @@ def test_keyed_targets_together_equal_separate_runs(spark, tmp_dir):
         rows_of(alone_o, ["event_id", "customer_id", "amount"]) == [("a", 1, 2), ("b", 2, 5)]
     assert rows_of(together["events"], ["event_id", "event_type"]) == rows_of(alone_e, ["event_id", "event_type"]) == \
         [("a", "order.shipped"), ("b", "order.placed"), ("c", "view")]
+
+
+def test_per_record_handler(spark, tmp_dir):
+    topic = tmp_dir("topic")
+    _publish_sample(spark, topic, 2)
+    seen = spark.sparkContext.accumulator(0)
+
+    def handler(record):
+        if record.value.startswith("{"):
+            seen.add(1)
+
+    fan = FanOut({"metrics": AppendTable(tmp_dir("m"))}, on_record=handler)
+    assert run_fanout(read_topic(spark, topic), fan, tmp_dir("ckpt")) == 25
+    assert seen.value == 25
