@@ -24,7 +24,8 @@ def read_topic(spark: SparkSession, topic_or_path: str, *, fmt: str = "json", st
                max_per_trigger: int | None = None, options: dict[str, str] | None = None) -> DataFrame:
     opts = dict(options or {})
     if fmt == "kafka":
-        opts.setdefault("subscribe", topic_or_path)
+        if not any(k in opts for k in ("subscribe", "subscribePattern", "assign")):
+            opts["subscribe"] = topic_or_path
         opts.setdefault("startingOffsets", "earliest")
         opts.setdefault("failOnDataLoss", "false")   # P9: skip what the broker lost
         if max_per_trigger and streaming:
