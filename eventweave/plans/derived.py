@@ -71,6 +71,7 @@ def lake_events(events: DataFrame) -> DataFrame:
 
 
 def event_metrics(events: DataFrame) -> DataFrame:
+    """OLAP metrics: one row per non-error event, a second (count 1) row per purchase."""
     rows = events.where(F.col("event_type") != "error")
     base = rows.select(F.col("event_id").cast("string").alias("event_id"), "event_type",
                        F.col("value").cast(AMOUNT).cast("bigint").alias("metric_value"),
@@ -82,6 +83,7 @@ def event_metrics(events: DataFrame) -> DataFrame:
 
 
 def event_segments(events: DataFrame) -> DataFrame:
+    """Warehouse segments by value and type; signups are not scored (no row)."""
     segment = F.when(F.col("value") >= 100, "high_value") \
         .when(F.col("event_type").isin("click", "view"), "engagement").otherwise("standard")
     return events.where(F.col("event_type") != "signup").select(
