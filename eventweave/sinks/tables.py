@@ -18,6 +18,7 @@ Table formats with row-level MERGE do the same work with less rewriting; see
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -47,7 +48,8 @@ def _keys_side(keys: DataFrame, n: int, limit: int) -> DataFrame:
 
 
 def _count(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    obs = Observation(name)
+    # Unique names: several target writes of one micro-batch may run at the same time.
+    obs = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 

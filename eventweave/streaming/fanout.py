@@ -98,6 +98,7 @@ class FanOut:
     require_customer: bool = True      # D3: orders rows without customer_id go to quarantine
     on_batch: Callable[[DataFrame, int], None] | None = None
     on_record: Callable[[object], None] | None = None   # T7: called per raw record, on executors
+    parallel_writes: bool = True       # submit the independent target writes side by side
     processed: int = 0
     batches: list[dict] = field(default_factory=list)
 
@@ -116,6 +117,17 @@ class FanOut:
         }
         return out
 
+    def _write_all(self, writes: dict, batch_id: int) -> dict[str, object]:
+        """Write every target; independent jobs over the cached batch, submitted from
+        parallel driver threads so small jobs overlap. Any failure fails the batch, which
+        is then replayed; every write is a partition replacement, so that is safe."""
+        if not self.parallel_writes or len(writes) < 2:
+            return {role: t.write(df, batch_id) for role, (t, df) in writes.items()}
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+            futures = {role: pool.submit(t.write, df, batch_id) for role, (t, df) in writes.items()}
+            return {role: f.result() for role, f in futures.items()}
+
     def process(self, batch: DataFrame, batch_id: int) -> None:
         if self.on_record is not None:
             batch.foreach(self.on_record)       # Row(topic, partition, offset, key, value)
@@ -138,10 +150,8 @@ class FanOut:
             shapes["orders"] = shapes["orders"].where(~no_key & ~no_customer)
             shapes["events"] = shapes["events"].where(~no_key)
             stats: dict[str, object] = {"batch_id": batch_id, "records": n, "rejects": rejects}
-            for role in ("orders", "events", "metrics", "lake"):
-                target = self.targets.get(role)
-                if target is not None:
-                    stats[role] = target.write(shapes[role], batch_id)
+            writes = {role: (self.targets[role], shapes[role])
+                      for role in ("orders", "events", "metrics", "lake") if self.targets.get(role) is not None}
             quarantine = self.targets.get("quarantine")
             if quarantine is not None and rejects:
                 reason = (F.when(F.col(C.STATUS) != C.OK, F.col(C.STATUS))
@@ -149,7 +159,8 @@ class FanOut:
                           .otherwise(F.lit("missing_customer_id")))
                 bad = tagged.where((F.col(C.STATUS) != C.OK) | no_key | no_customer).select(
                     reason.alias("reason"), F.col("_raw").alias("raw"))
-                stats["quarantine"] = quarantine.write(bad, batch_id)
+                writes["quarantine"] = (quarantine, bad)
+            stats.update(self._write_all(writes, batch_id))
             if self.on_batch is not None:
                 self.on_batch(good, batch_id)
             self.processed += n
