@@ -95,8 +95,7 @@ def _hot_keys(right: DataFrame, key: str, guard: SkewGuard) -> list:
 
 
 def _hot_split(plan: DataFrame, right: DataFrame, base_key: str, right_key: str, how: str,
-               guard: SkewGuard) -> DataFrame | None:
-    hot = _hot_keys(right, right_key, guard)
+               guard: SkewGuard, hot: list) -> DataFrame | None:
     if not hot:
         return None
     is_hot_plan, is_hot_right = F.col(base_key).isin(hot), F.col(right_key).isin(hot)
@@ -113,6 +112,15 @@ def _hot_split(plan: DataFrame, right: DataFrame, base_key: str, right_key: str,
     return cold.unionByName(hot_part)
 
 
+def _detect_all(sources: Sequence[SourceRef], frames: Sequence[DataFrame], guard: SkewGuard) -> dict:
+    """Hot keys of every joined side; the sides are independent, so their small jobs run
+    from parallel driver threads."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=max(1, len(sources))) as pool:
+        futures = {s.alias: pool.submit(_hot_keys, f, _key_col(s.alias), guard) for s, f in zip(sources, frames)}
+        return {alias: fut.result() for alias, fut in futures.items()}
+
+
 def federate(spark: SparkSession, sources: Sequence[SourceRef] | None = None, *,
              sql: str | None = None, join_key: str = "event_id", join_type: str = "LEFT",
              limit: int | None = 1000,
@@ -147,10 +155,12 @@ def federate(spark: SparkSession, sources: Sequence[SourceRef] | None = None, *,
             cols.append(F.col(join_key).alias(_key_col(s.alias)))
         projected.append(f.select(*cols))
     base_key = _key_col(srcs[0].alias)
+    hot_keys = _detect_all(srcs[1:], projected[1:], skew_guard) if skew_guard else {}
     plan = projected[0]
     for s, f in zip(srcs[1:], projected[1:]):
         right_key = _key_col(s.alias)
-        split = _hot_split(plan, f, base_key, right_key, how, skew_guard) if skew_guard else None
+        split = (_hot_split(plan, f, base_key, right_key, how, skew_guard, hot_keys[s.alias])
+                 if hot_keys.get(s.alias) else None)
         plan = split if split is not None else plan.join(f, F.col(base_key) == F.col(right_key), how)
     out = plan.select(*out_names)
     return out.limit(limit) if limit is not None else out
