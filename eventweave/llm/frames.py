@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType, _parse_datatype_string
 
 from eventweave.llm.textops import BLOCK, blocks
 from eventweave.session import work_dir
@@ -27,11 +28,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def by_blocks(df: DataFrame, column: str, fn: Callable[[pa.RecordBatch], pa.RecordBatch | dict | None],
-              schema: str, limit: int = BLOCK) -> DataFrame:
+              schema: str | StructType, limit: int = BLOCK) -> DataFrame:
     """``fn`` over the rows of ``df`` in Arrow, at most ``limit`` bytes of ``column`` at a time.
 
     ``fn`` gets a record batch and returns the columns of ``schema`` (or None for no rows)."""
-    target = df.sparkSession.createDataFrame([], schema).schema
+    target = schema if isinstance(schema, StructType) else _parse_datatype_string(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out_schema = arrow_schema(target)
@@ -69,3 +70,14 @@ def need(df: DataFrame, *columns: str) -> None:
 
 def no_text_as_empty(column: str = "text"):
     return F.coalesce(F.col(column).cast("string"), F.lit("")).alias(column)
+
+
+def labelled(labels: DataFrame, column: str, most: int) -> DataFrame:
+    """(doc_id, label 0/1), one row a document, about ``most`` at most; conflicting labels count as 0."""
+    need(labels, "doc_id", column)
+    own = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(column).cast("int").alias("label"))
+           .dropna().groupBy("doc_id").agg(F.min("label").alias("label")))
+    n = own.count()
+    if n > most:
+        own = own.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * most / n))
+    return own

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventweave.llm import packing, sharding, tokenfile
+from eventweave.llm import packing, quality, sharding, tokenfile, toxicity
 from eventweave.llm.frames import read
 from eventweave.session import prepare
 
@@ -35,6 +35,14 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@register("op4_quality")
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the verdict of the n-gram likelihood ratio for every document."""
+    docs = read(spark, sf_dir, "documents")
+    got = quality.judge(docs.select("doc_id", "text"), quality.fit(docs, read(spark, sf_dir, "labels")))
+    return got.select("doc_id", *quality.VERDICT, "base_failed", "kept", "score")
+
+
 @register("op7_token_binary")
 def token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents, written as a token file and read back."""
@@ -48,6 +56,19 @@ def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read(spark, sf_dir, "documents"), shards=40, overhead=16)
 
 
+def held_out():
+    """Rows whose labels are never learnt from."""
+    return F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+
+
+@register("op9_toxicity")
+def toxic_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; labels come from the rows that are not held out."""
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels").filter(~held_out()))
+    return toxicity.score(docs, model).select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 @register("op10_packing")
 def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 4096 tokens."""

@@ -117,8 +117,9 @@ def _edges(space: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return flip[0::2], flip[1::2]
 
 
-def split_words(data: np.ndarray, offsets: np.ndarray) -> Words:
-    """Words of every row of a block. Rows are kept apart although their bytes touch."""
+def split_words(data: np.ndarray, offsets: np.ndarray, apart: np.ndarray = SPACE, code: np.ndarray = _BYTE) -> Words:
+    """Words of every row of a block. Rows are kept apart although their bytes touch.
+    ``apart``: the bytes between words; ``code``: the value of each byte in a word's hash."""
     n = len(data)
     starts, ends, hashes = [], [], []
     pos = 0
@@ -126,16 +127,16 @@ def split_words(data: np.ndarray, offsets: np.ndarray) -> Words:
         stop = min(pos + SLICE, n)
         if stop < n:
             # cut where a word cannot run on: after the last space, or at a row's start
-            near = np.flatnonzero(SPACE[data[pos:stop]])
+            near = np.flatnonzero(apart[data[pos:stop]])
             cut = int(near[-1]) + pos + 1 if len(near) else pos
             r = int(np.searchsorted(offsets, stop, side="right")) - 1
             cut = max(cut, int(offsets[r])) if offsets[r] > pos else cut
             if cut <= pos:          # one word longer than a slice
-                rest = np.flatnonzero(SPACE[data[stop:int(offsets[r + 1])]])
+                rest = np.flatnonzero(apart[data[stop:int(offsets[r + 1])]])
                 cut = stop + int(rest[0]) if len(rest) else int(offsets[r + 1])
             stop = cut
         part = data[pos:stop]
-        space = SPACE[part]
+        space = apart[part]
         s, e = _edges(space)
         inner = offsets[(offsets > pos) & (offsets < stop)] - pos
         if len(inner) and len(s):   # words of neighbouring rows that touch
@@ -147,7 +148,7 @@ def split_words(data: np.ndarray, offsets: np.ndarray) -> Words:
                 s = np.sort(np.concatenate([s, inner]))
                 e = np.sort(np.concatenate([e, inner]))
         if len(s):
-            hashes.append(span_hashes(_BYTE[part], s, e))
+            hashes.append(span_hashes(code[part], s, e))
             starts.append(s + pos)
             ends.append(e + pos)
         pos = stop
