@@ -11,9 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from eventweave.llm import packing
-from eventweave.llm.frames import read, stored
+from eventweave.llm.frames import read, session, stored
 from eventweave.llm.queries import tokenizer_path
-from eventweave.session import prepare
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 DOCUMENTS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -31,7 +30,7 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
-    docs = read(prepare(spark), sf_dir, "documents")
+    docs = read(session(spark), sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -11,7 +11,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, _parse_datatype_string
 
 from eventweave.llm.textops import BLOCK, blocks
-from eventweave.session import work_dir
+from eventweave.session import prepare, work_dir
+
+
+def session(spark: SparkSession) -> SparkSession:
+    """The session with the library's settings and small Arrow batches (texts may be long)."""
+    prepare(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return spark
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

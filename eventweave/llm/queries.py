@@ -9,9 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventweave.llm import packing, quality, sharding, tokenfile, toxicity
-from eventweave.llm.frames import read
-from eventweave.session import prepare
+from eventweave.llm import packing, quality, sharding, simhash, tokenfile, toxicity
+from eventweave.llm.frames import read, session
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -21,7 +20,7 @@ ORACLES: dict[str, str] = {}
 def register(name: str, oracle: str | None = None):
     def deco(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(prepare(spark), sf_dir)
+            return fn(session(spark), sf_dir)
         run.__name__, run.__doc__ = fn.__name__, fn.__doc__
         QUERIES[name] = run
         if oracle is not None:
@@ -35,6 +34,12 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@register("op2_simhash_dedup")
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash components of all documents: 3-word shingles, 3 bits."""
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"), words=3, seed=42, most=3)
+
+
 @register("op4_quality")
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and the verdict of the n-gram likelihood ratio for every document."""

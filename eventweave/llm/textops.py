@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 
 U = np.uint64
 #: Bytes of text hashed in one numpy pass.
-SLICE = 1 << 20
+SLICE = 1 << 18
 #: Bytes of text handled as one block of rows.
 BLOCK = 4 << 20
 

@@ -150,7 +150,7 @@ def write_tokens(docs: DataFrame, path: str, *, tokenizer: str, end_id: int,
                 "n_ids": pa.array([len(all_ids)], pa.int64()), "payload": pa.array([encode_block(names, all_ids, n)], pa.binary())})
 
         for batch in batches:
-            for rows in blocks(batch, "text", 1 << 20):
+            for rows in blocks(batch, "text", 1 << 19):
                 got, n = enc.encode(rows.column("text"))
                 ids.append(np.insert(got, np.cumsum(n), np.array(end_id, got.dtype)))
                 counts.append(n + 1)
