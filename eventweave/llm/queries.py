@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventweave.llm import packing, quality, sharding, simhash, tokenfile, toxicity
+from eventweave.llm import packing, quality, sharding, simhash, substrings, tokenfile, toxicity
 from eventweave.llm.frames import read, session
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,13 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@register("op1_substring_dedup")
+def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the words of repeated 35-word windows."""
+    got = substrings.remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"), length=35)
+    return got.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @register("op2_simhash_dedup")
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash components of all documents: 3-word shingles, 3 bits."""
