@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventweave.llm import packing, quality, sharding, simhash, substrings, tokenfile, toxicity
+from eventweave.llm import packing, quality, sharding, simhash, substrings, tokenfile, toxicity, winnowing
 from eventweave.llm.frames import read, session
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,14 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", *quality.VERDICT, "base_failed", "kept", "score")
 
 
+@register("op6_winnowing")
+def winnowed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Winnowing fingerprints of all documents and of their edited texts."""
+    got = winnowing.edited_fingerprints(read(spark, sf_dir, "documents"))
+    return got.select("doc_id", "n_chars", "edited_sha256", winnowing.entries_text("entries").alias("fingerprint"),
+                      winnowing.entries_text("edited_entries").alias("edited_fingerprint"), "near_edited", "near_next")
+
+
 @register("op7_token_binary")
 def token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents, written as a token file and read back."""
