@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventweave.llm import packing, quality, sharding, simhash, substrings, tokenfile, toxicity, winnowing
+from eventweave.llm import mixing, packing, quality, sharding, simhash, substrings, tokenfile, toxicity, winnowing
 from eventweave.llm.frames import read, session
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,14 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"), words=3, seed=42, most=3)
 
 
+@register("op3_mixing", mixing.oracle_sql(mixing.ALPHAS, mixing.SWEEPS, mixing.SEED))
+def mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raked weight, sampling probability and draw of every document."""
+    got = mixing.mix(read(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"))
+    return got.select("doc_id", "source", "lang", "topic", "n_tokens", F.round("weight", 6).alias("weight"),
+                      F.round("probability", 6).alias("probability"), "selected")
+
+
 @register("op4_quality")
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and the verdict of the n-gram likelihood ratio for every document."""
