@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventweave.llm import mixing, packing, quality, sharding, simhash, substrings, tokenfile, toxicity, winnowing
+from eventweave.llm import extraction, mixing, packing, quality, sharding, simhash, substrings, tokenfile, toxicity, winnowing
 from eventweave.llm.frames import read, session
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,13 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", *quality.VERDICT, "base_failed", "kept", "score")
 
 
+@register("op5_html_extraction")
+def main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    pages = read(spark, sf_dir, "pages")
+    return extraction.extract(pages, extraction.fit(pages))
+
+
 @register("op6_winnowing")
 def winnowed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Winnowing fingerprints of all documents and of their edited texts."""
