@@ -75,10 +75,12 @@ def fingerprint_rows(block: pa.RecordBatch, words: int, seed: int) -> np.ndarray
 
 
 def fingerprints(docs: DataFrame, *, words: int = 3, seed: int = 42) -> DataFrame:
-    """(doc_id, fp): the fingerprint of every row as a long with the same bits."""
+    """(rid, doc_id, fp): the fingerprint of every row as a long with the same bits; ``rid`` is
+    the row's place in the input."""
     need(docs, "doc_id", "text")
-    return by_blocks(docs.select(F.col("doc_id").cast("long").alias("doc_id"), no_text_as_empty()), "text",
-                     lambda b: {"doc_id": b.column("doc_id"), "fp": longs(fingerprint_rows(b, words, seed))}, "doc_id long, fp long", 1 << 20)
+    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), no_text_as_empty())
+    return by_blocks(rows, "text", lambda b: {"rid": b.column("rid"), "doc_id": b.column("doc_id"), "fp": longs(fingerprint_rows(b, words, seed))},
+                     "rid long, doc_id long, fp long", 1 << 20)
 
 
 def arrow_map(df: DataFrame, fn, schema: str) -> DataFrame:
@@ -337,16 +339,31 @@ def links(distinct: DataFrame, *, most: int, parts: int) -> DataFrame:
     return dealt.mapInArrow(meet, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, *, words: int = 3, seed: int = 42, most: int = 3, parts: int | None = None) -> DataFrame:
-    """``doc_id, fingerprint, component_id`` of every row: the component under links of at most
-    ``most`` differing bits, named by its smallest doc_id."""
+def grouped(docs: DataFrame, *, words: int, seed: int, most: int, parts: int | None) -> DataFrame:
+    """(rid, doc_id, fp, best) of every row: ``best`` is the (no_id, doc_id, rid) of the first
+    row of its component, by doc_id."""
     rows = stored(fingerprints(docs, words=words, seed=seed), "fingerprints")
-    names = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
+    mine = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rid")
+    names = stored(rows.groupBy("fp").agg(F.min(mine).alias("least")), "distinct-fingerprints")
     distinct = names.select("fp")
     if parts is None:           # wider parts as the number of fingerprints grows: fewer candidates, more probes
         parts = max(1, min(most + 1, 3 if distinct.count() < 1 << 25 else 2))
     roots = components(links(distinct, most=most, parts=parts))
     named = names.join(roots, names["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    whole = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    label = named.join(whole, "root").select("fp", "component_id")
-    return (rows.join(label, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
+    whole = named.groupBy("root").agg(F.min("least").alias("best"))
+    return rows.join(named.join(whole, "root").select("fp", "best"), "fp")
+
+
+def near_duplicates(docs: DataFrame, *, words: int = 3, seed: int = 42, most: int = 3, parts: int | None = None) -> DataFrame:
+    """``doc_id, fingerprint, component_id`` of every row: the component under links of at most
+    ``most`` differing bits, named by its smallest doc_id."""
+    return (grouped(docs, words=words, seed=seed, most=most, parts=parts)
+            .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("best.doc_id").alias("component_id")))
+
+
+def keep_one(docs: DataFrame, *, words: int = 3, seed: int = 42, most: int = 3, parts: int | None = None) -> DataFrame:
+    """One row of every component: the one with the smallest doc_id, the first of equal ones.
+    ``docs`` must be a table scan (or a checkpoint) that reads the same rows again."""
+    gone = stored(grouped(docs, words=words, seed=seed, most=most, parts=parts).filter("rid <> best.rid").select(F.col("rid").alias("_gone")), "near-copies")
+    rows = docs.withColumn("_rid", F.monotonically_increasing_id())
+    return rows.join(gone, rows["_rid"] == gone["_gone"], "left_anti").drop("_rid")
