@@ -1,0 +1,46 @@
+"""Inputs shared by the operator tests: every odd case in one small table."""
+
+import random
+
+from pyspark.sql import functions as F
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+#: Columns whose names operators use themselves.
+CLASHING = ("rid", "part", "rank", "score", "kept", "n_words", "spans", "grams", "at", "fp", "topic", "n_tokens", "selected", "label", "_w", "piece")
+
+
+def prose(rng, n, start=0):
+    return " ".join(f"w{rng.randint(start, start + 4000)}" for _ in range(n))
+
+
+def rows(seed=1, n=60):
+    rng = random.Random(seed)
+    passage, near = prose(rng, 50, 9000), prose(rng, 200, 20000).split(" ")
+    out = []
+    for i in range(n):
+        words = prose(rng, rng.randint(1, 150))
+        if i % 4 == 0:
+            words += " " + passage + " " + prose(rng, 5)
+        if i % 7 == 0:
+            copy = list(near)
+            copy[i % 200] = f"x{i}"
+            words = " ".join(copy)
+        out.append((i + 1, words.replace(" w1", "\nw1"), "en" if i % 3 else None, f"s{i % 5}" if i % 11 else None, len(words)))
+    out += [(1000, None, None, None, None), (1001, "", "en", "s1", 0), (1002, " \t\n ", "en", "s1", 4), (1003, out[5][1], "en", "s1", 1), (1003, out[5][1], "en", "s1", 1),
+            (None, "no id here, twice over", "fr", "s2", 5), (None, "no id here, twice over", "fr", "s2", 5), (1004, "äöü é ñ 中文字 <|endoftext|> end", "de", "s3", 9),
+            (1005, "x" * 50_000, "en", "s0", 50_000), (1006, prose(rng, 12_000), "en", "s0", 1), (1007, "again and again " * 60, "en", "s0", 1), (-5, "LINE ONE!!\nLINE ONE!!\n\nLINE ONE!!", "en", "s0", 1)]
+    return out
+
+
+def frame(spark, data=None, clashing=True, partitions=3):
+    df = spark.createDataFrame(rows() if data is None else data, SCHEMA).repartition(partitions)
+    if clashing:
+        df = df.withColumns({c: F.lit(f"own {c}") for c in CLASHING})
+    return df
+
+
+def table(spark, tmp_dir, data=None, clashing=True):
+    """The same rows as a written table (some operators read their input twice)."""
+    path = tmp_dir("docs")
+    frame(spark, data, clashing).write.parquet(path)
+    return spark.read.parquet(path)
