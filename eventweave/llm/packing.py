@@ -127,7 +127,7 @@ def tokenise(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> Dat
     def run(batches):
         enc, seen, part = encoder(tokenizer), np.zeros(capacity + 1, np.int64), TaskContext.get().partitionId()
         for batch in batches:
-            for block in blocks(batch, "text", 1 << 19):
+            for block in blocks(batch, "text", 1 << 18):
                 ids, n = enc.encode(block.column("text"))
                 ids = np.insert(ids, np.cumsum(n), np.array(end_id, ids.dtype))
                 n = n + 1

@@ -134,7 +134,7 @@ class TokenBlock:
 
 
 def write_tokens(docs: DataFrame, path: str, *, tokenizer: str, end_id: int,
-                 block_ids: int = 1 << 20, block_docs: int = 1 << 14) -> None:
+                 block_ids: int = 1 << 19, block_docs: int = 1 << 14) -> None:
     """Encode every document, append ``end_id`` and write blocks in ascending doc_id order."""
     need(docs, "doc_id", "text")
 
@@ -150,7 +150,7 @@ def write_tokens(docs: DataFrame, path: str, *, tokenizer: str, end_id: int,
                 "n_ids": pa.array([len(all_ids)], pa.int64()), "payload": pa.array([encode_block(names, all_ids, n)], pa.binary())})
 
         for batch in batches:
-            for rows in blocks(batch, "text", 1 << 19):
+            for rows in blocks(batch, "text", 1 << 18):
                 got, n = enc.encode(rows.column("text"))
                 ids.append(np.insert(got, np.cumsum(n), np.array(end_id, got.dtype)))
                 counts.append(n + 1)

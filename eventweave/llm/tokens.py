@@ -21,9 +21,9 @@ import regex
 from eventweave.llm.textops import SPACE, Words, column_bytes, split_words
 
 #: Words whose ids one Python worker keeps (about 40 bytes each).
-MAX_WORDS = 800_000
+MAX_WORDS = 400_000
 #: Pre-tokens kept beside them (about 200 bytes each).
-MAX_PARTS = 100_000
+MAX_PARTS = 40_000
 
 #: The pre-tokenizer patterns of the two files (fixed values; a tokenizer file states its own).
 _BYTE_SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
