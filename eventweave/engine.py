@@ -1,7 +1,6 @@
 """One object that wires the session, the target tables and the workload routes.
 
-It mirrors the entry points a caller of the reference uses: run the stream, run the
-incremental sync, publish events, query by workload, federate. Each method is a thin
+Run the stream, run the incremental sync, publish events, query by workload, federate. Each method is a thin
 composition of the operators, sources and sinks of this package; tables live under
 ``root`` (a shared folder or bucket prefix) unless mapped to catalog tables.
 """
@@ -17,11 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from eventweave.operators.federate import SkewGuard, SourceRef, federate
 from eventweave.plans.sync import run_incremental
-from eventweave.schemas import EVENTS
+from eventweave.schemas import EVENT_METRICS, EVENTS, LAKE_BY_DAY, ORDERS, QUARANTINE
 from eventweave.session import prepare
-from eventweave.sinks.export import publish
+from eventweave.sinks.export import event_records, publish, publish_records
 from eventweave.sinks.tables import AppendTable, InsertOnceTable, KeyedTable, read_table
 from eventweave.sources.catalogs import Router, Workload
+from eventweave.sources.files import read_event_files
 from eventweave.sources.topics import read_topic
 from eventweave.streaming.fanout import FanOut, Transform, default_transform, run_fanout
 
@@ -35,18 +35,17 @@ class Engine:
     routes: Mapping[Workload | str, tuple[str | None, str | None]] = field(default_factory=dict)
     topic_format: str = "json"                 # "kafka" with the Kafka connector on the classpath
     topic_options: Mapping[str, str] = field(default_factory=dict)
-    buckets: int = 16
     tables: dict[str, DataFrame | str] = field(default_factory=dict)   # qualified name -> df or path
 
     def __post_init__(self) -> None:
         prepare(self.spark)
         self.root = self.root.rstrip("/")
         self.router = Router(self.routes)
-        self.orders = InsertOnceTable(f"{self.root}/orders", order_cols=ORDER, buckets=self.buckets)
-        self.events = KeyedTable(f"{self.root}/events", EVENTS, order_cols=ORDER, buckets=self.buckets)
-        self.metrics = AppendTable(f"{self.root}/event_metrics")
-        self.lake = AppendTable(f"{self.root}/lake_events", partition_by=("event_date",))
-        self.quarantine = AppendTable(f"{self.root}/quarantine")
+        self.orders = InsertOnceTable(f"{self.root}/orders", order_cols=ORDER)
+        self.events = KeyedTable(f"{self.root}/events", EVENTS, order_cols=ORDER)
+        self.metrics = AppendTable(f"{self.root}/event_metrics", EVENT_METRICS)
+        self.lake = AppendTable(f"{self.root}/lake_events", LAKE_BY_DAY, partition_by=("event_date",))
+        self.quarantine = AppendTable(f"{self.root}/quarantine", QUARANTINE)
 
     def _topic(self, topic: str) -> str:
         return topic if self.topic_format == "kafka" else f"{self.root}/topics/{topic}"
@@ -59,19 +58,16 @@ class Engine:
 
     def publish_file(self, topic: str, path: str, *, whole_files: bool = True) -> None:
         """S1 -> K1: every event of the JSON file(s) at ``path``, keyed by its event_id."""
-        from pyspark.sql import functions as F
-        from eventweave.operators.canonical import OK, STATUS
-        from eventweave.sources.files import read_event_files
-        events = read_event_files(self.spark, path, whole_files=whole_files).where(F.col(STATUS) == OK)
-        keyed = events.select(F.try_variant_get(F.col("_v"), "$.event_id", "string").alias("key"), "value")
-        publish_raw(self.spark, keyed, self._topic(topic), topic, key=None,
-                    fmt=self.topic_format, options=self.topic_options)
+        records = event_records(read_event_files(self.spark, path, whole_files=whole_files))
+        self._publish(topic, records)
 
     def publish_event(self, topic: str, event: Mapping[str, Any]) -> None:
         """One event given as a mapping (nested values are kept as JSON)."""
-        df = self.spark.createDataFrame([(json.dumps(dict(event)),)], "value string")
-        publish_raw(self.spark, df, self._topic(topic), topic, key=event.get("event_id"),
-                    fmt=self.topic_format, options=self.topic_options)
+        key = event.get("event_id")
+        self._publish(topic, self.spark.createDataFrame([(None if key in (None, "") else str(key), json.dumps(dict(event)))], "key string, value string"))
+
+    def _publish(self, topic: str, records: DataFrame) -> None:
+        publish_records(records, topic, fmt=self.topic_format, path=self._topic(topic), options=self.topic_options)
 
     # -- stream (T1-T7) -----------------------------------------------------------
     def stream(self, topic: str, *, max_per_trigger: int | None = None,
@@ -88,42 +84,59 @@ class Engine:
     # -- sync (T8) ----------------------------------------------------------------
     def sync(self, since: str, *, warehouse: bool = True) -> dict[str, int]:
         """Lake rows since ``since`` -> per-type summary table (+ warehouse copy)."""
-        lake = read_table(self.spark, self.lake.path)
-        return run_incremental(self.spark, lake, since, summary_path=f"{self.root}/type_summary",
-                               warehouse_path=f"{self.root}/warehouse_events" if warehouse else None)
+        return run_incremental(self.spark, self.lake.read(self.spark), since, summary_path=f"{self.root}/type_summary",
+                               warehouse_path=f"{self.root}/warehouse_events" if warehouse else None, date_col="event_date")
 
     # -- query (U1) and federation (J1-J7) ----------------------------------------
+    def mounted(self, workload: Workload) -> dict[str, DataFrame]:
+        """The root's tables by the names that SQL of a workload knows them by."""
+        spark = self.spark
+        own = {"orders": lambda: self.orders.read(spark, ORDERS), "serving_events": lambda: self.events.read(spark),
+               "event_metrics": lambda: self.metrics.read(spark), "lake_events": lambda: self.lake.read(spark),
+               "events": lambda: self.events.read(spark) if workload in (Workload.OLTP, Workload.HTAP) else self.lake.read(spark)}
+        tables = {name: read() for name, read in own.items()}
+        for qualified, table in self.tables.items():
+            tables.setdefault(qualified.rpartition(".")[2], read_table(spark, table) if isinstance(table, str) else table)
+        return tables
+
     def query(self, sql: str, workload: Workload | str | None = None,
-              args: Sequence[Any] | Mapping[str, Any] | None = None) -> DataFrame:
-        return self.router.query(self.spark, sql, workload, args)
+              args: Sequence[Any] | Mapping[str, Any] | None = None, *,
+              sources: Sequence[SourceRef] | None = None, **join: Any) -> DataFrame:
+        """SQL text in the catalog of its workload, or, if no route is set for the workload, over
+        the tables under the root (their names come before a caller's temporary views). Blank text for ``federated`` joins ``sources`` (J6)."""
+        label = Workload(workload) if workload is not None else self.router.default
+        if label is Workload.FEDERATED and not sql.strip():
+            return self.federate(sources, **join)
+        if label in self.router.routes:
+            return self.router.query(self.spark, sql, label, args)
+        names = self.mounted(label)
+        # Analysed here, so the names are only needed for a moment; a caller's views come back.
+        before = {t.name: self.spark.table(t.name) for t in self.spark.catalog.listTables() if t.isTemporary and t.name in names}
+        for n, df in names.items():
+            df.createOrReplaceTempView(n)
+        try:
+            return self.router.query(self.spark, sql, label, args)
+        finally:
+            for n in names:
+                if n in before:
+                    before[n].createOrReplaceTempView(n)
+                else:
+                    self.spark.catalog.dropTempView(n)
 
     def register(self, qualified: str, table: DataFrame | str) -> None:
         """Expose a DataFrame or a Parquet folder under ``catalog.schema.table``."""
         self.tables[qualified] = table
 
     def resolve(self, source: SourceRef) -> DataFrame:
-        own = {"lake.analytics.events": self.lake.path, "olap.analytics.event_metrics": self.metrics.path}
-        target = self.tables.get(source.qualified, own.get(source.qualified))
-        if target is None:
-            return self.spark.table(source.qualified)
-        return read_table(self.spark, target) if isinstance(target, str) else target
+        target = self.tables.get(source.qualified)
+        if target is not None:
+            return read_table(self.spark, target) if isinstance(target, str) else target
+        own = {"lake.analytics.events": self.lake.read, "olap.analytics.event_metrics": self.metrics.read,
+               "oltp.analytics.orders": lambda s: self.orders.read(s, ORDERS), "htap.analytics.events": self.events.read}
+        return own[source.qualified](self.spark) if source.qualified in own else self.spark.table(source.qualified)
 
     def federate(self, sources: Sequence[SourceRef] | None = None, *, sql: str | None = None,
-                 join_key: str = "event_id", join_type: str = "LEFT", limit: int | None = 1000,
+                 join_key: str = "event_id", join_type: str = "LEFT", limit: int | None = None,
                  skew_guard: SkewGuard | None = None) -> DataFrame:
         return federate(self.spark, sources, sql=sql, join_key=join_key, join_type=join_type,
                         limit=limit, resolve=self.resolve, skew_guard=skew_guard)
-
-
-def publish_raw(spark: SparkSession, raw: DataFrame, path: str, topic: str, *, key: str | None,
-                fmt: str = "json", options: Mapping[str, str] | None = None) -> None:
-    """Records whose ``value`` is already JSON text; the key is ``key`` or the ``key`` column."""
-    from pyspark.sql import functions as F
-    key_col = F.nullif(F.col("key"), F.lit("")) if "key" in raw.columns else F.lit(key or None).cast("string")
-    recs = raw.select(F.lit(topic).alias("topic"), F.lit(None).cast("int").alias("partition"),
-                      F.lit(None).cast("bigint").alias("offset"), key_col.alias("key"), "value")
-    if fmt == "kafka":
-        recs.select("key", "value").write.format("kafka").options(
-            **{"kafka.acks": "all", "topic": topic, **(options or {})}).save()
-    else:
-        recs.write.mode("append").json(path)

@@ -25,11 +25,6 @@ def parse(text: Column, strict: bool = False) -> Column:
     return F.parse_json(text) if strict else F.try_parse_json(text)
 
 
-def is_object_text(text: Column) -> Column:
-    """True when JSON text is an object (cheap test on the text, no second parse)."""
-    return F.startswith(F.ltrim(text), F.lit("{"))
-
-
 def is_object(v: Column) -> Column:
     """True when a parsed VARIANT is an object (a cast to the empty struct succeeds)."""
     return F.try_variant_get(v, "$", "struct<>").isNotNull()

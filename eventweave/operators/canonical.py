@@ -19,6 +19,8 @@ OK = "ok"
 MALFORMED = "malformed_json"
 NOT_OBJECT = "not_object"
 MISSING_EVENT_ID = "missing_event_id"
+#: What the lake shape (P5) needs beside the canonical fields.
+HAS_EVENT_ID, LAKE_PAYLOAD, LAKE_TIME = "_has_event_id", "_lake_payload", "_lake_time"
 
 CANONICAL_COLUMNS = ("event_id", "event_type", "customer_id", "amount", "payload", "occurred_at")
 LAKE_COLUMNS = ("event_id", "event_type", "occurred_at", "payload")
@@ -68,9 +70,22 @@ def canonical_columns(v: Column, ingest_ts: Column | None = None) -> list[Column
     ]
 
 
+def with_field_status(status: Column, v: Column, fields: tuple[str, ...] = ("customer_id", "amount", "occurred_at")) -> Column:
+    """``status``, or ``bad_<field>`` for a value that is there, is not JSON null and does not
+    fit its type: it would be stored as a null that looks like a missing value."""
+    fits = {"customer_id": J.field(v, "customer_id", "bigint"), "amount": J.field(v, "amount", "decimal(18,2)"),
+            "occurred_at": J.iso_to_ts(J.field(v, "occurred_at", "string"))}
+    out = status
+    for f in reversed(fields):
+        given = J.field(v, f, "variant")
+        bad = given.isNotNull() & ~F.is_variant_null(given) & fits[f].isNull()
+        out = F.when((status == OK) & bad, F.lit(f"bad_{f}")).otherwise(out)
+    return out
+
+
 def canonicalise(df: DataFrame, value_col: str = "value", *, keep: tuple[str, ...] = (),
                  ingest_ts: Column | None = None, strict: bool = False,
-                 with_status: bool = False) -> DataFrame:
+                 with_status: bool = False, lake_fields: bool = False) -> DataFrame:
     """JSON text rows -> canonical events (plus ``keep`` columns, e.g. partition/offset).
 
     Rows that are not JSON objects are removed unless ``with_status`` is set, in which case
@@ -80,8 +95,11 @@ def canonicalise(df: DataFrame, value_col: str = "value", *, keep: tuple[str, ..
     v = F.col("_v")
     cols = [F.col(c) for c in keep] + canonical_columns(v, ingest_ts)
     if with_status:
-        cols.append(F.col(STATUS))
+        cols.append(with_field_status(F.col(STATUS), v).alias(STATUS))
         cols.append(F.col(value_col).alias("_raw"))
+        if lake_fields:
+            cols += [F.coalesce(J.has_key(v, "event_id"), F.lit(False)).alias(HAS_EVENT_ID), lake_columns(v)[3].alias(LAKE_PAYLOAD),
+                     J.field(v, "occurred_at", "string").alias(LAKE_TIME)]
         return tagged.select(*cols)
     return tagged.where(ok_predicate(v)).select(*cols)
 
@@ -104,7 +122,7 @@ def lake_normalise(df: DataFrame, value_col: str = "value", *, keep: tuple[str,
     tagged = classify(df, value_col, strict=strict)
     v = F.col("_v")
     status = F.when((F.col(STATUS) == OK) & ~J.has_key(v, "event_id"), F.lit(MISSING_EVENT_ID)) \
-        .otherwise(F.col(STATUS))
+        .otherwise(with_field_status(F.col(STATUS), v, ("occurred_at",)))
     if strict:
         status = F.when(status == OK, status).otherwise(
             F.raise_error(F.lit("lake record without event_id")))
@@ -114,6 +132,6 @@ def lake_normalise(df: DataFrame, value_col: str = "value", *, keep: tuple[str,
 
 def split(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good rows without bookkeeping columns, quarantined rows: reason + raw text)."""
-    good = tagged.where(F.col(STATUS) == OK).drop(STATUS, "_raw", "_v")
+    good = tagged.where(F.col(STATUS) == OK).drop(STATUS, "_raw", "_v", HAS_EVENT_ID, LAKE_PAYLOAD, LAKE_TIME)
     bad = tagged.where(F.col(STATUS) != OK).select(F.col(STATUS).alias("reason"), F.col("_raw").alias("raw"))
     return good, bad

@@ -35,7 +35,8 @@ class SourceRef:
         return ".".join(p for p in (self.catalog, self.schema, self.table) if p)
 
 
-# The default three-way join: lake events, OLAP metrics, warehouse segments.
+# The default three-way join: lake events, OLAP metrics, warehouse segments (fixed values:
+# tables, aliases and columns; catalogs are named by their role).
 DEFAULT_SOURCES: tuple[SourceRef, ...] = (
     SourceRef("lake", "analytics", "events", "i", ("event_id", "event_type")),
     SourceRef("olap", "analytics", "event_metrics", "s", ("event_id", "metric_value")),
@@ -112,6 +113,25 @@ def _hot_split(plan: DataFrame, right: DataFrame, base_key: str, right_key: str,
     return cold.unionByName(hot_part)
 
 
+#: Tasks over which rows with a null key are spread in a FULL join.
+NULL_SPREAD = 4096
+
+
+def _join(plan: DataFrame, right: DataFrame, base_key: str, right_key: str, how: str) -> DataFrame:
+    """The plain join. A FULL join keeps the rows without a key on both sides, and the engine
+    splits neither: a second join column spreads them (it is 0 for every row with a key, so
+    it decides nothing)."""
+    cond = F.col(base_key) == F.col(right_key)
+    if how != "full":
+        return plan.join(right, cond, how)
+
+    def spread(df: DataFrame, key: str, name: str) -> DataFrame:
+        place = F.pmod(F.xxhash64(*df.columns), F.lit(NULL_SPREAD)) + 1
+        return df.withColumn(name, F.when(F.col(key).isNull(), place).otherwise(F.lit(0)))
+    left, other = spread(plan, base_key, "__left_spread"), spread(right, right_key, "__right_spread")
+    return left.join(other, cond & (F.col("__left_spread") == F.col("__right_spread")), how).drop("__left_spread", "__right_spread")
+
+
 def _detect_all(sources: Sequence[SourceRef], frames: Sequence[DataFrame], guard: SkewGuard) -> dict:
     """Hot keys of every joined side; the sides are independent, so their small jobs run
     from parallel driver threads."""
@@ -123,13 +143,13 @@ def _detect_all(sources: Sequence[SourceRef], frames: Sequence[DataFrame], guard
 
 def federate(spark: SparkSession, sources: Sequence[SourceRef] | None = None, *,
              sql: str | None = None, join_key: str = "event_id", join_type: str = "LEFT",
-             limit: int | None = 1000,
+             limit: int | None = None,
              resolve: Callable[[SourceRef], DataFrame] | None = None,
              skew_guard: SkewGuard | None = None) -> DataFrame:
     """SQL text wins when non-blank; else the given sources; else the default three.
 
     ``resolve`` maps a source to a DataFrame (default ``spark.table(qualified)``).
-    ``limit=None`` returns every row; a limit without order returns arbitrary rows.
+    Every row is returned unless ``limit`` is given; a limit without order returns arbitrary rows.
     ``skew_guard`` enables the hot-key split (it runs small counting jobs up front).
     """
     if sql is not None and sql.strip():
@@ -161,11 +181,6 @@ def federate(spark: SparkSession, sources: Sequence[SourceRef] | None = None, *,
         right_key = _key_col(s.alias)
         split = (_hot_split(plan, f, base_key, right_key, how, skew_guard, hot_keys[s.alias])
                  if hot_keys.get(s.alias) else None)
-        plan = split if split is not None else plan.join(f, F.col(base_key) == F.col(right_key), how)
+        plan = split if split is not None else _join(plan, f, base_key, right_key, how)
     out = plan.select(*out_names)
     return out.limit(limit) if limit is not None else out
-
-
-def select_list(sources: Sequence[SourceRef], frames: Sequence[DataFrame]) -> list[str]:
-    """Output names in source order: listed columns, or all columns of the alias."""
-    return [f"{s.alias}_{c}" for s, f in zip(sources, frames) for c in (s.columns or tuple(f.columns))]

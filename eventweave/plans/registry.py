@@ -434,51 +434,220 @@ def result_json(spark, sf_dir):
 
 # ---------------------------------------------------------------- stream and hooks
 
-@register("stream_fanout", O.with_ctes(O.CANONICAL_CTE) + """
-SELECT 'orders' AS target, event_id, CAST(NULL AS VARCHAR) AS event_type, amount, ts, CAST(NULL AS DATE) AS event_date FROM canon
-UNION ALL
-SELECT 'events', event_id, event_type, CAST(NULL AS DECIMAL(18,2)), ts, CAST(NULL AS DATE) FROM canon
-UNION ALL
-SELECT 'metrics', event_id, event_type, CAST(TRUNC(amount) AS DECIMAL(18,2)), CAST(NULL AS TIMESTAMP), CAST(ts AS DATE) FROM canon
-UNION ALL
-SELECT 'lake', event_id, event_type, CAST(NULL AS DECIMAL(18,2)), ts, CAST(NULL AS DATE) FROM canon""")
-def stream_fanout(spark, sf_dir):
-    """File topic -> one availableNow stream -> orders / events / metrics / lake."""
-    from eventweave.schemas import AMOUNT, EVENTS
+STREAM_COLUMNS = """target, event_id, event_type, customer_id, amount, ts, event_date, payload, reason"""
+_NULLS = {"event_type": "string", "customer_id": "bigint", "amount": "decimal(18,2)", "ts": "timestamp_ntz", "event_date": "date",
+          "payload": "string", "reason": "string", "event_id": "string"}
+
+
+def _as_target(df: DataFrame, target: str, **cols) -> DataFrame:
+    """Rows of one target in the common shape; columns it does not have are null."""
+    own = {c: cols.get(c, F.col(c) if c in df.columns else F.lit(None)) for c in _NULLS}
+    return df.select(F.lit(target).alias("target"), *[v.cast(_NULLS[c]).alias(c) for c, v in own.items()])
+
+
+def _targets_of(targets: dict, spark: SparkSession) -> DataFrame:
+    """Every row of every target; payloads by their ``k`` (the whole record has none)."""
+    def k(df):
+        return J.field(J.parse(F.col("payload")), "k", "string")
+    o, e, m, lk = (targets[n].read(spark) for n in ("orders", "events", "metrics", "lake"))
+    q = targets["quarantine"].read(spark)
+    rejected_id = J.field(J.parse(F.col("raw")), "id", "string")
+    return (_as_target(o, "orders", ts=F.col("created_at"))
+            .unionByName(_as_target(e, "events", ts=F.col("occurred_at"), payload=k(e)))
+            .unionByName(_as_target(m, "metrics", amount=F.col("metric_value")))
+            .unionByName(_as_target(lk, "lake", ts=F.col("occurred_at")))
+            .unionByName(_as_target(q, "quarantine", event_id=rejected_id)))
+
+
+def _new_targets(spark: SparkSession) -> dict:
+    from eventweave.schemas import EVENTS, QUARANTINE
     from eventweave.sinks.tables import AppendTable, InsertOnceTable, KeyedTable
-    from eventweave.sources.topics import read_topic
-    from eventweave.streaming import FanOut, run_fanout
-    topic = _publish_topic(spark, sf_dir, "fanout_topic")
-    targets = {
+    return {
         "orders": InsertOnceTable(work_dir(spark, "orders"), order_cols=("partition", "offset")),
         "events": KeyedTable(work_dir(spark, "events"), EVENTS, order_cols=("partition", "offset")),
         "metrics": AppendTable(work_dir(spark, "metrics")),
         "lake": AppendTable(work_dir(spark, "lake"), partition_by=("event_date",)),
-        "quarantine": AppendTable(work_dir(spark, "quarantine")),
+        "quarantine": AppendTable(work_dir(spark, "quarantine"), QUARANTINE),
     }
-    fan = FanOut(targets)
-    run_fanout(read_topic(spark, topic, max_per_trigger=3), fan, work_dir(spark, "fanout_ckpt"))
-    null_s, null_d, null_t = F.lit(None).cast("string"), F.lit(None).cast("date"), F.lit(None).cast("timestamp_ntz")
-    null_a = F.lit(None).cast(AMOUNT)
-    o = targets["orders"].read(spark)
-    e = targets["events"].read(spark)
-    m = targets["metrics"].read(spark)
-    lk = targets["lake"].read(spark)
-    return (o.select(F.lit("orders").alias("target"), "event_id", null_s.alias("event_type"), "amount",
-                     F.col("created_at").alias("ts"), null_d.alias("event_date"))
-            .unionByName(e.select(F.lit("events").alias("target"), "event_id", "event_type", null_a.alias("amount"),
-                                  F.col("occurred_at").alias("ts"), null_d.alias("event_date")))
-            .unionByName(m.select(F.lit("metrics").alias("target"), "event_id", "event_type",
-                                  F.col("metric_value").cast(AMOUNT).alias("amount"), null_t.alias("ts"), "event_date"))
-            .unionByName(lk.select(F.lit("lake").alias("target"), "event_id", "event_type", null_a.alias("amount"),
-                                   F.col("occurred_at").alias("ts"), null_d.alias("event_date"))))
+
+
+def _target_sql(target: str, source: str = "canon", **cols: str) -> str:
+    types = {"event_type": "VARCHAR", "customer_id": "BIGINT", "amount": "DECIMAL(18,2)", "ts": "TIMESTAMP", "event_date": "DATE", "payload": "VARCHAR", "reason": "VARCHAR"}
+    own = ", ".join(f"CAST({cols.get(c, 'NULL')} AS {t}) AS {c}" for c, t in types.items())
+    return f"SELECT '{target}' AS target, event_id, {own} FROM {source}"
+
+
+@register("stream_fanout", O.with_ctes(O.CANONICAL_CTE, O.LAKE_CTE) + f"""
+SELECT {STREAM_COLUMNS} FROM (
+{_target_sql("orders", customer_id="customer_id", amount="amount", ts="ts")}
+UNION ALL {_target_sql("events", event_type="event_type", ts="ts", payload="payload_k")}
+UNION ALL {_target_sql("metrics", event_type="event_type", amount="TRUNC(amount)", event_date="ts")}
+UNION ALL {_target_sql("lake", "lake", event_type="event_type", ts="occurred_at", payload="payload", event_date="occurred_at")}
+UNION ALL {_target_sql("quarantine", "(SELECT * FROM canon WHERE seq % 10 = 0)", reason="'missing_event_id'")}) t""")
+def stream_fanout(spark, sf_dir):
+    """File topic -> one availableNow stream -> orders / events / metrics / lake (P5) / quarantine."""
+    from eventweave.sources.topics import read_topic
+    from eventweave.streaming import FanOut, run_fanout
+    topic, targets = _publish_topic(spark, sf_dir, "fanout_topic"), _new_targets(spark)
+    run_fanout(read_topic(spark, topic, max_per_trigger=3), FanOut(targets), work_dir(spark, "fanout_ckpt"))
+    return _targets_of(targets, spark)
+
+
+@register("stream_two_topics", O.with_ctes(O.CANONICAL_CTE, O.LAKE_CTE) + """
+SELECT 'metrics' AS target, event_id, CASE WHEN seq % 2 = 0 THEN 2 ELSE 1 END AS n FROM canon
+UNION ALL SELECT 'lake', event_id, CASE WHEN CAST(event_id AS BIGINT) % 2 = 0 THEN 2 ELSE 1 END FROM lake
+UNION ALL SELECT 'orders', event_id, 1 FROM canon
+UNION ALL SELECT 'events', event_id, 1 FROM canon
+UNION ALL SELECT 'rejected', event_id, 1 FROM canon WHERE seq % 2 = 0""")
+def stream_two_topics(spark, sf_dir):
+    """T5: two topics into the same targets, the first again under a new checkpoint, and a
+    restart under the old one, which adds nothing. Rows per target and event."""
+    from eventweave.sources.topics import read_topic
+    from eventweave.streaming import FanOut, run_fanout
+    recs = _topic_records(_events(spark, sf_dir)).withColumn("topic", F.lit(TOPIC))
+    topics = []
+    for part in (0, 1):
+        topics.append(work_dir(spark, f"topic{part}"))
+        recs.where(F.col("offset") % 2 == part).select("topic", "partition", "offset", "key", "value").write.json(topics[part])
+    targets, checkpoints = _new_targets(spark), [work_dir(spark, "ckpt") for _ in range(3)]
+    for topic, checkpoint in ((topics[0], checkpoints[0]), (topics[1], checkpoints[1]), (topics[0], checkpoints[2]), (topics[0], checkpoints[0])):
+        run_fanout(read_topic(spark, topic), FanOut(targets), checkpoint)
+    frames = {n: targets[n].read(spark) for n in ("orders", "events", "metrics", "lake")} | {"rejected": targets["orders"].rejected(spark)}
+    out = None
+    for name, df in frames.items():
+        rows = df.groupBy("event_id").agg(F.count(F.lit(1)).cast("int").alias("n")).select(F.lit(name).alias("target"), "event_id", "n")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@register("quarantine_reasons", """
+SELECT reason, COUNT(*) AS records FROM (
+  SELECT CASE WHEN event_id % 17 = 0 THEN 'malformed_json' WHEN event_id % 19 = 0 THEN 'not_object'
+              WHEN event_id % 23 = 0 THEN 'bad_customer_id' WHEN event_id % 29 = 0 THEN 'bad_amount'
+              WHEN event_id % 31 = 0 THEN 'bad_occurred_at' WHEN event_id % 10 = 0 THEN 'missing_event_id' END AS reason
+  FROM events) t WHERE reason IS NOT NULL GROUP BY reason""")
+def quarantine_reasons(spark, sf_dir):
+    """What the stream's quarantine holds of damaged records and of values that
+    do not fit (they repeat a key: the last value counts)."""
+    from eventweave.sources.topics import read_topic
+    from eventweave.streaming import FanOut, run_fanout
+    raw, seq = _damaged_records(_events(spark, sf_dir)), F.col("seq")
+    worse = F.when(seq % 23 == 0, F.lit(',"customer_id":"?"}')).when(seq % 29 == 0, F.lit(',"amount":"abc"}')).when(seq % 31 == 0, F.lit(',"occurred_at":"soon"}'))
+    whole = (seq % 17 != 0) & (seq % 19 != 0) & worse.isNotNull()
+    value = F.when(whole, F.concat(F.expr("substring(value, 1, length(value) - 1)"), worse)).otherwise(F.col("value"))
+    topic, targets = work_dir(spark, "damaged"), _new_targets(spark)
+    raw.select(F.lit(TOPIC).alias("topic"), F.lit(0).alias("partition"), seq.alias("offset"), F.lit(None).cast("string").alias("key"), value.alias("value")).write.json(topic)
+    run_fanout(read_topic(spark, topic), FanOut(targets), work_dir(spark, "ckpt"))
+    return targets["quarantine"].read(spark).groupBy("reason").agg(F.count(F.lit(1)).alias("records"))
+
+
+@register("publish_stream_upsert", "SELECT CAST(event_id AS VARCHAR) AS event_id, CASE WHEN event_id % 4 = 0 THEN event_type || '.1' ELSE event_type || '.2' END AS event_type FROM events")
+def publish_stream_upsert(spark, sf_dir):
+    """Versions published in three runs; the last published of a key wins."""
+    from eventweave.schemas import EVENTS
+    from eventweave.sinks.export import publish
+    from eventweave.sinks.tables import KeyedTable
+    from eventweave.sources.topics import read_topic
+    from eventweave.streaming import FanOut, run_fanout
+    topic, table = work_dir(spark, "versions"), KeyedTable(work_dir(spark, "serving"), EVENTS, order_cols=("partition", "offset"))
+    events = _events(spark, sf_dir)
+    for run, some in enumerate((events, events, events.where("event_id % 4 <> 0"))):
+        publish(some.select(F.col("event_id").cast("string").alias("event_id"), F.concat("event_type", F.lit(f".{run}")).alias("event_type")), TOPIC, path=topic)
+    run_fanout(read_topic(spark, topic, max_per_trigger=2), FanOut({"events": table}), work_dir(spark, "ckpt"))
+    return table.read(spark).select("event_id", "event_type")
+
+
+# ---------------------------------------------------------------- engine (U1, J6, T8, K8) and layouts
+
+def _loaded_engine(spark: SparkSession, sf_dir: str):
+    """An engine whose lake and metrics are loaded and whose segments are registered."""
+    from eventweave.engine import Engine
+    eng, events = Engine(spark, work_dir(spark, "engine")), _events(spark, sf_dir)
+    eng.lake.write(D.lake_events(events).withColumn("event_date", F.to_date("occurred_at")), 0, "s-load")
+    eng.metrics.write(D.event_metrics(events), 0, "s-load")
+    eng.register("warehouse.public.event_segments", D.event_segments(events))
+    return eng
+
+
+@register("routed_query", O.with_ctes(O.LAKE_CTE, O.SEGMENTS_CTE) + """
+SELECT segment, COUNT(*) AS n, COUNT(DISTINCT event_type) AS types FROM lake JOIN segments USING (event_id)
+WHERE segment <> 'standard' GROUP BY segment""")
+def routed_query(spark, sf_dir):
+    """SQL with named binds over the engine's tables, by workload."""
+    return _loaded_engine(spark, sf_dir).query(
+        "SELECT segment, COUNT(*) AS n, COUNT(DISTINCT event_type) AS types FROM events JOIN event_segments USING (event_id) "
+        "WHERE segment <> :s GROUP BY segment", "lakehouse", {"s": "standard"})
+
+
+@register("routed_federation", O.three_way("LEFT"))
+def routed_federation(spark, sf_dir):
+    """J6 through the engine: blank SQL for the federated workload is the default join."""
+    return _loaded_engine(spark, sf_dir).query("", "federated")
+
+
+@register("sync_targets", O.with_ctes(O.LAKE_CTE) + f"""
+, q AS (SELECT event_type, COUNT(*) AS n, COUNT(DISTINCT event_id) AS ids FROM lake WHERE occurred_at >= {SINCE_SQL} GROUP BY event_type)
+SELECT 'summary' AS target, event_type, n, ids FROM q UNION ALL SELECT 'warehouse', event_type, n, ids FROM q""")
+def sync_targets(spark, sf_dir):
+    """The loaded summary and warehouse after the same sync ran twice."""
+    from eventweave.sinks.tables import read_table
+    eng = _loaded_engine(spark, sf_dir)
+    for _ in range(2):
+        eng.sync(SINCE)
+    summary, copy = (read_table(spark, f"{eng.root}/{t}") for t in ("type_summary", "warehouse_events"))
+    return (summary.select(F.lit("summary").alias("target"), "event_type", F.col("event_count").alias("n"), F.col("unique_events").alias("ids"))
+            .unionByName(copy.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("event_id").alias("ids"))
+                         .select(F.lit("warehouse").alias("target"), "event_type", "n", "ids")))
+
+
+_HOT = "CASE WHEN event_id % 3 = 0 THEN 7 WHEN event_id % 13 = 0 THEN NULL ELSE event_id END"
+
+
+@register("federated_hot_key", f"""
+WITH b AS (SELECT CASE WHEN event_id % 11 = 0 THEN NULL ELSE event_id END AS k, event_id AS v FROM events WHERE event_id % 2 = 1),
+     r AS (SELECT {_HOT} AS k, event_id AS w FROM events)
+""" + " UNION ALL ".join(f"SELECT '{j}' AS join_type, COUNT(*) AS n, COUNT(v) AS base, COUNT(w) AS other, CAST(SUM(COALESCE(v, 0) + COALESCE(w, 0)) AS BIGINT) AS total FROM b {j} JOIN r ON b.k = r.k"
+                         for j in ("LEFT", "INNER", "RIGHT", "FULL")))
+def federated_hot_key(spark, sf_dir):
+    """J2 with one key of a third of the rows and rows without a key, thresholds that trigger."""
+    events = _events(spark, sf_dir)
+    tables = {"t.b": events.where("event_id % 2 = 1").selectExpr("CASE WHEN event_id % 11 = 0 THEN NULL ELSE event_id END AS k", "event_id AS v"),
+              "t.r": events.selectExpr(f"{_HOT} AS k", "event_id AS w")}
+    sources = [SourceRef(None, "t", "b", "b", ("v",)), SourceRef(None, "t", "r", "r", ("w",))]
+    out = None
+    for how in ("LEFT", "INNER", "RIGHT", "FULL"):
+        joined = federate(spark, sources, join_key="k", join_type=how, resolve=lambda s: tables[s.qualified], skew_guard=SkewGuard(hot_fraction=0.05, min_rows=10))
+        row = joined.agg(F.count(F.lit(1)).alias("n"), F.count("b_v").alias("base"), F.count("r_w").alias("other"),
+                         F.sum(F.coalesce("b_v", F.lit(0)) + F.coalesce("r_w", F.lit(0))).alias("total")).select(F.lit(how).alias("join_type"), "n", "base", "other", "total")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@register("bucketed_layout", "SELECT user_id, COUNT(*) AS n, MAX(event_id) AS last FROM events GROUP BY user_id")
+def bucketed_layout(spark, sf_dir):
+    """A bucketed, sorted table; grouping by its key needs no shuffle."""
+    import uuid
+
+    from eventweave.sinks.tables import write_bucketed
+    name = f"ew_events_{uuid.uuid4().hex[:10]}"
+    write_bucketed(_events(spark, sf_dir).select("user_id", "event_id"), name, key="user_id", sort_by=("event_id",), path=work_dir(spark, name))
+    return spark.table(name).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.max("event_id").alias("last"))
+
+
+@register("json_safe_values", "SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS price, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day FROM orders")
+def json_safe_values(spark, sf_dir):
+    """Decimals and dates are exported as text and read back as written."""
+    from eventweave.sinks.export import export_json
+    path = work_dir(spark, "json_safe")
+    export_json(D.table(spark, sf_dir, "orders").selectExpr("o_orderkey", "cast(o_totalprice as decimal(18,2)) AS price", "cast(o_orderdate as date) AS day"), path)
+    return spark.read.schema("o_orderkey bigint, price string, day string").json(path)
 
 
 def upper_type_transform(raw: dict) -> dict:
     """A user transform (T6): upper-case type, no amount (so metrics default to 1)."""
     return {"event_id": raw.get("event_id", raw.get("id")),
             "event_type": str(raw.get("event_type") or "unknown").upper(),
-            "customer_id": raw.get("customer_id"),
+            "customer_id": 2**53 + 1 + raw["customer_id"] if raw["customer_id"] % 2 else None,
             "payload": raw.get("payload", {}),
             "occurred_at": raw["occurred_at"]}
 
@@ -486,7 +655,8 @@ def upper_type_transform(raw: dict) -> dict:
 @register("custom_transform", f"""
 SELECT CAST(event_id AS VARCHAR) AS event_id,
        CASE WHEN event_id % 7 = 0 OR event_id % 11 = 0 THEN 'UNKNOWN' ELSE upper(event_type) END AS event_type,
-       CAST(1 AS BIGINT) AS metric_value, CAST(ts AS DATE) AS event_date
+       CAST(1 AS BIGINT) AS metric_value, CAST(ts AS DATE) AS event_date,
+       CASE WHEN user_id % 2 = 1 THEN 9007199254740993 + user_id END AS customer_id
 FROM events""")
 def custom_transform(spark, sf_dir):
     """A Python dict->dict transform (Arrow batches), then the metrics projection."""
@@ -496,7 +666,7 @@ def custom_transform(spark, sf_dir):
     schema = StructType([f for f in CANONICAL.fields if f.name != "amount"])
     recs = _topic_records(_events(spark, sf_dir))
     canon = python_transform(upper_type_transform, schema)(recs)
-    return P.metric_rows(canon.where(F.col(C.STATUS) == C.OK))
+    return P.metric_rows(canon.where(F.col(C.STATUS) == C.OK), keep=("customer_id",))
 
 
 def _damaged_records(events: DataFrame) -> DataFrame:

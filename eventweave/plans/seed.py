@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from eventweave.operators import canonical as C
 from eventweave.operators import projections as P
-from eventweave.sinks.export import publish
+from eventweave.sinks.export import event_records, publish_records
 from eventweave.sources.files import read_event_files
 from eventweave.sources.topics import read_topic
 from eventweave.streaming.fanout import FanOut, run_fanout
@@ -15,7 +14,7 @@ from eventweave.streaming.fanout import FanOut, run_fanout
 
 def canonical_from_files(spark: SparkSession, path: str, *, whole_files: bool = False) -> DataFrame:
     events = read_event_files(spark, path, whole_files=whole_files)
-    return C.canonicalise(events.where(F.col(C.STATUS) == C.OK).select("value"))
+    return C.canonicalise(event_records(events))
 
 
 def seed_tables(spark: SparkSession, path: str, *, whole_files: bool = True,
@@ -35,15 +34,8 @@ def seed_flow(spark: SparkSession, path: str, topic: str, fanout: FanOut, checkp
               whole_files: bool = True, max_per_trigger: int | None = None) -> int:
     """Publish an event file to a (file) topic keyed by event_id, then drain it."""
     events = read_event_files(spark, path, whole_files=whole_files)
-    records = events.where(F.col(C.STATUS) == C.OK).select(
-        F.try_variant_get(F.col("_v"), "$.event_id", "string").alias("event_id"), "value")
-    recs = records.select(F.lit(0).alias("partition"),
-                          F.monotonically_increasing_id().alias("offset"), "event_id", "value")
-    (recs.select("partition", "offset", F.nullif(F.col("event_id"), F.lit("")).alias("key"), "value")
-         .withColumn("topic", F.lit("events.raw"))
-         .select("topic", "partition", "offset", "key", "value")
-         .write.mode("append").json(topic))
+    publish_records(event_records(events), "events.raw", path=topic)
     return run_fanout(read_topic(spark, topic, max_per_trigger=max_per_trigger), fanout, checkpoint)
 
 
-__all__ = ["canonical_from_files", "publish", "seed_flow", "seed_tables"]
+__all__ = ["canonical_from_files", "seed_flow", "seed_tables"]

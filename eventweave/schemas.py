@@ -31,3 +31,5 @@ LAKE_EVENTS = _schema(("event_id", StringType()), ("event_type", StringType()),
                       ("occurred_at", TimestampNTZType()), ("payload", StringType()))
 TYPE_SUMMARY = _schema(("event_type", StringType()), ("event_count", LongType()),
                        ("unique_events", LongType()))
+LAKE_BY_DAY = StructType([*LAKE_EVENTS.fields, StructField("event_date", DateType(), True)])
+QUARANTINE = _schema(("reason", StringType()), ("raw", StringType()))

@@ -68,6 +68,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Runtime settings every operator relies on; safe to call on any session."""
     # H4: all ISO text <-> timestamp conversions are done in UTC.
     spark.conf.set("spark.sql.session.timeZone", _UTC)
+    # A repeated key in an event does not make it malformed; the last value counts.
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     checkpoint_root(spark)
     return spark
 
@@ -86,6 +88,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current.rstrip("/")
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="eventweave-ckpt-")
     sc.setCheckpointDir(configured)
     return (sc.getCheckpointDir() or configured).rstrip("/")

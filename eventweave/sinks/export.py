@@ -3,12 +3,17 @@ bulk load of staged Parquet (K7) and the summary load (K8)."""
 
 from __future__ import annotations
 
+import time
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (BinaryType, DateType, DecimalType, StructType, TimestampNTZType,
                                TimestampType)
 
-from eventweave.sinks.tables import append_to_table, read_table
+from eventweave.operators.canonical import OK, STATUS
+from eventweave.sources.files import read_staged
+from eventweave.sinks.tables import RUN_COL, append_to_table, read_table, replace_folder
 
 _TO_JSON_KEEP_NULLS = {"ignoreNullFields": "false"}
 _TEXT_TYPES = (DateType, TimestampType, TimestampNTZType, DecimalType, BinaryType)
@@ -28,28 +33,67 @@ def keyed_records(df: DataFrame, *, key_col: str | None = "event_id", topic: str
     return df.select(*[c for c in ("partition", "offset") if c in df.columns], *out)
 
 
-def publish(df: DataFrame, topic: str, *, fmt: str = "json", path: str | None = None,
-            options: dict[str, str] | None = None, key_col: str | None = "event_id") -> None:
-    """K1: write keyed JSON records to a topic.
+def with_offsets(records: DataFrame) -> DataFrame:
+    """``records`` with a partition and an offset, for a topic that is a folder: offsets follow
+    the row order and those of earlier publishes (they start at the clock's microseconds, a
+    thousand a microsecond). ``records`` should be cached: it is counted by partition first."""
+    counts = {r[0]: r[1] for r in records.groupBy(F.spark_partition_id()).count().collect()}     # one row a partition
+    base, starts = (time.time_ns() // 1000) << 10, []
+    for pid in sorted(counts):
+        starts.append((pid, base))
+        base += counts[pid]
+    first = records.sparkSession.createDataFrame(starts, "_pid int, _first bigint")
+    return (records.withColumn("_pid", F.spark_partition_id())
+            .withColumn("_i", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+            .join(F.broadcast(first), "_pid")
+            .withColumns({"partition": F.lit(0), "offset": F.col("_first") + F.col("_i")}).drop("_pid", "_i", "_first"))
+
+
+def publish_records(records: DataFrame, topic: str, *, fmt: str = "json", path: str | None = None,
+                    options: Mapping[str, str] | None = None) -> None:
+    """Records (``key``, ``value``) to a topic: the one way all publishing goes.
 
     ``fmt="kafka"`` uses the Kafka sink (``kafka.acks=all`` unless overridden); the default
     ``fmt="json"`` appends to a *file topic*: a folder of JSON lines with the topic-record
-    columns, which the topic source reads back.
+    columns, which the topic source reads back; partition and offset are kept when given,
+    else assigned in order.
     """
-    records = keyed_records(df, key_col=key_col, topic=topic)
     if fmt == "kafka":
         opts = {"kafka.acks": "all", "topic": topic, **(options or {})}
         records.select("key", "value").write.format("kafka").options(**opts).save()
         return
     if path is None:
         raise ValueError("a file topic needs a path")
-    cols = ["topic", "partition", "offset", "key", "value"]
-    for c, typ in (("partition", "int"), ("offset", "bigint")):
-        if c not in records.columns:
-            records = records.withColumn(c, F.lit(None).cast(typ))
+    if {"partition", "offset"} <= set(records.columns):
+        _write_topic(records, topic, path, options)
+        return
+    cached = records.select("key", "value").persist()
+    try:
+        _write_topic(with_offsets(cached), topic, path, options)
+    finally:
+        cached.unpersist()
+
+
+def _write_topic(records: DataFrame, topic: str, path: str, options: Mapping[str, str] | None) -> None:
+    cols = [F.lit(topic).alias("topic"), "partition", "offset", "key", "value"]
     records.select(*cols).write.mode("append").options(**(options or {})).json(path)
 
 
+def publish(df: DataFrame, topic: str, *, fmt: str = "json", path: str | None = None,
+            options: Mapping[str, str] | None = None, key_col: str | None = "event_id") -> None:
+    """K1: write every row as a keyed JSON record to a topic."""
+    publish_records(keyed_records(df, key_col=key_col), topic, fmt=fmt, path=path, options=options)
+
+
+def event_records(events: DataFrame) -> DataFrame:
+    """Records of event files (S1): the text of every event, keyed by its event_id. A file or
+    line that holds no event makes the job fail: nothing is left out of a publish unseen."""
+    text = F.when(F.col(STATUS) == OK, F.col("value")).otherwise(F.raise_error(F.concat(
+        F.lit("not an event ("), F.col(STATUS), F.lit("): "), F.coalesce(F.substring("value", 1, 200), F.lit("unreadable")))))
+    key = F.nullif(F.try_variant_get(F.col("_v"), "$.event_id", "string"), F.lit(""))
+    return events.select(key.alias("key"), text.cast("string").alias("value"))
+
+
 def as_json_safe(df: DataFrame) -> DataFrame:
     """values JSON cannot hold natively (dates, timestamps, decimals, bytes) as text."""
     return df.select(*[F.col(f.name).cast("string").alias(f.name) if isinstance(f.dataType, _TEXT_TYPES)
@@ -61,36 +105,35 @@ def export_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     as_json_safe(df).write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
+def run_folder(path: str, run_id: str | None) -> str:
+    """The folder that one run owns in a path table."""
+    safe = "".join(c if c.isalnum() or c in "-." else "_" for c in run_id or "default")
+    return f"{path}/{RUN_COL}=r-{safe}"
+
+
 def bulk_load(spark: SparkSession, staging: str, schema: StructType, *, table: str | None = None,
-              path: str | None = None) -> int:
-    """K7 + S9: read staged Parquet with the target schema and append it to the target
-    (a catalog table or a Parquet folder). Columns not in the schema are left out."""
-    staged = spark.read.schema(schema).parquet(staging).select(*schema.fieldNames())
+              path: str | None = None, run_id: str | None = None) -> int:
+    """K7 + S9: read staged Parquet with the target schema and load it into the target: a
+    Parquet folder, where a run replaces what it loaded before, or a catalog table, to which
+    it is appended. Columns not in the schema are left out."""
+    staged = read_staged(spark, staging, schema).select(*schema.fieldNames())
     if table is not None:
         return append_to_table(staged, table)
     if path is None:
         raise ValueError("give a table or a path")
-    from pyspark.sql import Observation
-    obs = Observation("bulk_load")
-    staged.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(path)
-    return int(obs.get.get("rows", 0) or 0)
+    return replace_folder(staged, run_folder(path, run_id))
 
 
 def load_summary(summary: DataFrame, *, table: str | None = None, path: str | None = None,
                  run_id: str | None = None) -> int:
-    """K8: put the per-type summary into its own table (D6), one ``run_id`` partition per
-    run so a re-run replaces its own rows."""
+    """K8: put the per-type summary into its own table (D6); in a path table a re-run
+    replaces its own rows."""
     if table is not None:
         return append_to_table(summary, table)
     if path is None:
         raise ValueError("give a table or a path")
-    from pyspark.sql import Observation
-    obs = Observation("summary_load")
-    out = summary.withColumn("run_id", F.lit(run_id or "default"))
-    (out.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path))
-    return int(obs.get.get("rows", 0) or 0)
+    return replace_folder(summary, run_folder(path, run_id))
 
 
 __all__ = ["as_json_safe", "bulk_load", "export_json", "keyed_records", "load_summary", "publish",
-           "read_table"]
+           "publish_records", "read_table"]

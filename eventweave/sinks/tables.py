@@ -1,50 +1,37 @@
 """Path-backed target tables whose writes are safe to replay.
 
-Structured Streaming may run a micro-batch again after a failure, and Spark retries
-tasks after an executor is lost, so every write here is a *replacement* of a set of
-partitions computed only from the batch and the table's other partitions:
-
-* :class:`AppendTable` (K4, K5): each batch goes to its own ``batch_id=<n>`` partition,
-  written with dynamic partition overwrite; a replay replaces exactly that partition.
-* :class:`InsertOnceTable` (K2, D2): like an append, but a key already in the table
-  (from another batch) or repeated inside the batch is rejected; the first version wins.
-* :class:`KeyedTable` (K3): upsert on a key, last version wins. The table is laid out by
-  ``bucket = pmod(xxhash64(key), buckets)``; a batch reads and rewrites only the buckets it
-  touches (copy-on-write). The set of touched buckets is at most ``buckets`` values.
-
-Table formats with row-level MERGE do the same work with less rewriting; see
-:func:`merge_upsert` for that back end.
+Structured Streaming may run a micro-batch again after a failure, Spark retries tasks after
+an executor is lost, and several streams may write to one table. So a batch is known by
+``(stream_id, batch_id)`` (the stream id lives in the stream's checkpoint) and owns the folder
+``stream_id=<s>/batch_id=<n>``: a write replaces that folder, which holds rows of this batch
+alone, and nothing else.
+
+* :class:`AppendTable` (K4, K5): the batch's rows.
+* :class:`KeyedTable` (K3): a log of versions; the last version of a key wins on reading.
+  A batch writes only its own rows, never the only copy of others.
+* :class:`InsertOnceTable` (K2, D2): the same log read the other way: the first version of a
+  key wins, and the later ones can be listed (:meth:`InsertOnceTable.rejected`).
+
+:meth:`KeyedTable.compact` rewrites old batches into one and removes them afterwards. Table
+formats with row-level MERGE do the same work in place; see :func:`merge_upsert`.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from eventweave.operators.latest import first_per_key, latest_per_key
 from eventweave.operators.layout import bucket_of
 
-BATCH_COL = "batch_id"
-BUCKET_COL = "bucket"
-# Largest number of batch keys shipped to every task as a broadcast (about 40 MB of
-# key + bucket rows); a larger batch takes a shuffle join instead.
-BROADCAST_KEYS = 500_000
-
-
-def _touched_buckets(df: DataFrame) -> tuple[list[int], int]:
-    """Buckets a batch touches (at most ``buckets`` values) and its row count, in one job."""
-    per_bucket = df.groupBy(BUCKET_COL).count().collect()
-    return [r[0] for r in per_bucket], sum(r[1] for r in per_bucket)
-
-
-def _keys_side(keys: DataFrame, n: int, limit: int) -> DataFrame:
-    """Broadcast the batch's keys only under a counted bound; else let Spark shuffle."""
-    return F.broadcast(keys) if n <= limit else keys
+STREAM_COL, BATCH_COL, RUN_COL, VERSION_COL = "stream_id", "batch_id", "run_id", "_version"
+BOOKKEEPING = (STREAM_COL, BATCH_COL, RUN_COL)
+COMPACTED = "compacted"
 
 
 def _count(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
@@ -57,45 +44,52 @@ def _rows(obs: Observation, name: str = "rows") -> int:
     return int(obs.get.get(name, 0) or 0)
 
 
-def _overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str = "parquet",
-                          rebalance: Sequence[str] = ()) -> None:
-    """Replace exactly the partitions present in ``df``.
+def folder_of(path: str, stream_id: str, batch_id: int) -> str:
+    return f"{path}/{STREAM_COL}={stream_id}/{BATCH_COL}={batch_id}"
+
+
+def replace_folder(df: DataFrame, folder: str, partition_by: Sequence[str] = ()) -> int:
+    """Replace exactly what ``folder`` holds; returns the rows written. With ``partition_by``
+    rows are grouped by those columns first (one file set per subfolder); AQE still splits a
+    subfolder that is too big for one task."""
+    counted, obs = _count(df.hint("rebalance", *partition_by) if partition_by else df, "write")
+    writer = counted.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(folder)
+    return _rows(obs)
 
-    ``rebalance`` groups rows by those columns before writing (one file set per folder
-    instead of one per task and folder); AQE still splits a folder that is too big for one
-    task, so a hot bucket is written by several tasks.
-    """
-    if rebalance:
-        df = df.hint("rebalance", *rebalance)
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(*partition_by).format(fmt).save(path))
+
+def _store(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def folder_exists(spark: SparkSession, folder: str) -> bool:
+    path, store = _store(spark, folder)
+    return store.exists(path)
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder on whatever store it lies."""
+    path, store = _store(spark, folder)
+    store.delete(path, True)
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
                keep_bookkeeping: bool = False) -> DataFrame:
-    """Read a target back; bookkeeping partition columns are dropped unless asked for."""
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
-    try:
-        df = reader.parquet(path)
-    except AnalysisException:
-        if schema is None:
-            raise
+    """Read a target back; bookkeeping partition columns are dropped unless asked for. With a
+    ``schema`` a table that nobody has written yet is empty."""
+    if schema is not None and not folder_exists(spark, path):
         return spark.createDataFrame([], schema)
+    df = spark.read.parquet(path)
     if keep_bookkeeping:
         return df
-    return df.drop(*[c for c in (BATCH_COL, BUCKET_COL) if c in df.columns])
+    return df.drop(*[c for c in BOOKKEEPING if c in df.columns])
 
 
-def ensure_path_table(spark: SparkSession, path: str, schema: StructType,
-                      partition_by: Sequence[str] = ()) -> None:
+def ensure_path_table(spark: SparkSession, path: str, schema: StructType) -> None:
     """K6 for path tables: create an empty table with the fixed schema if none exists
     (``mode("ignore")`` leaves an existing table untouched; nothing is probed)."""
-    extra = {BATCH_COL: LongType(), BUCKET_COL: IntegerType()}
-    fields = list(schema.fields) + [StructField(c, extra[c], True) for c in partition_by
-                                    if c in extra and c not in schema.fieldNames()]
-    spark.createDataFrame([], StructType(fields)).write.mode("ignore").parquet(path)
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
 
 
 def ensure_catalog_table(spark: SparkSession, name: str, schema: StructType, *,
@@ -108,119 +102,111 @@ def ensure_catalog_table(spark: SparkSession, name: str, schema: StructType, *,
 
 
 class AppendTable:
-    """K4/K5: append a batch; replaying the same batch id replaces it."""
+    """K4/K5: append a batch; replaying the same batch of the same stream replaces it. With a
+    ``schema`` the table can be read before anything is written (K6)."""
 
     def __init__(self, path: str, schema: StructType | None = None, partition_by: Sequence[str] = ()):
         self.path, self.schema, self.partition_by = path, schema, tuple(partition_by)
 
-    def write(self, df: DataFrame, batch_id: int) -> int:
-        counted, obs = _count(df.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint")), "append")
-        _overwrite_partitions(counted, self.path, (BATCH_COL, *self.partition_by), rebalance=self.partition_by)
-        return _rows(obs)
+    def write(self, df: DataFrame, batch_id: int, stream_id: str = "default") -> int:
+        return replace_folder(df, folder_of(self.path, stream_id, batch_id), self.partition_by)
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return read_table(spark, self.path)
+        return read_table(spark, self.path, self.schema)
+
 
+class VersionLog:
+    """Versions of keyed rows, one immutable folder a batch. Every row carries the version of
+    its batch (a clock reading, kept when the batch is replayed) and its order columns."""
 
-class InsertOnceTable:
+    def __init__(self, path: str, key: str = "event_id", order_cols: Sequence[str] = ()):
+        self.path, self.key, self.order_cols = path, key, tuple(order_cols)
+
+    def _version(self, spark: SparkSession, folder: str) -> int:
+        had = None
+        if folder_exists(spark, f"{folder}/_SUCCESS"):
+            had = spark.read.parquet(folder).agg(F.max(VERSION_COL)).first()[0]
+        return had if had is not None else time.time_ns() // 1000
+
+    def append(self, rows: DataFrame, batch_id: int, stream_id: str) -> int:
+        folder = folder_of(self.path, stream_id, batch_id)
+        version = self._version(rows.sparkSession, folder)
+        return replace_folder(rows.withColumn(VERSION_COL, F.lit(version).cast("bigint")), folder)
+
+    def versions(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(self.path)
+
+    @property
+    def order(self) -> tuple[str, ...]:
+        return (VERSION_COL, *self.order_cols)
+
+
+class InsertOnceTable(VersionLog):
     """K2 with D2: plain insert semantics on ``key`` without aborting on duplicates.
 
-    The first version of a key (smallest ``order_cols``) is kept; later ones, inside the
-    batch or against earlier batches, are counted as rejects. Only the buckets the batch
-    touches are read, and only their key column.
+    The first version of a key (earliest batch, then smallest ``order_cols``) is the row; the
+    others, inside the batch or in later batches, are rejected. A batch is logged as it comes,
+    without reading the table, so its cost does not grow with the table. Rows with a null key
+    cannot be addressed and never reach the table (the fan-out quarantines them).
     """
 
-    def __init__(self, path: str, key: str = "event_id", order_cols: Sequence[str] = (),
-                 buckets: int = 16, broadcast_keys: int = BROADCAST_KEYS):
-        self.path, self.key, self.order_cols, self.buckets = path, key, tuple(order_cols), buckets
-        self.broadcast_keys = broadcast_keys
-        self._created = False
+    def write(self, df: DataFrame, batch_id: int, stream_id: str = "default") -> dict[str, int]:
+        return {"logged": self.append(df.where(F.col(self.key).isNotNull()), batch_id, stream_id)}
 
-    def write(self, df: DataFrame, batch_id: int) -> dict[str, int]:
-        """Returns ``inserted`` and ``rejected_existing`` (keys stored by earlier batches).
-        Null keys and repeats inside the batch never reach the table."""
-        spark = df.sparkSession
-        keyed = df.where(F.col(self.key).isNotNull())
-        first = first_per_key(keyed, self.key, self.order_cols) if self.order_cols else keyed.dropDuplicates([self.key])
-        first = first.withColumn(BUCKET_COL, bucket_of(F.col(self.key), self.buckets))
-        payload = [c for c in df.columns if c not in self.order_cols or c == self.key]
-        first = first.select(*payload, BUCKET_COL).persist()
-        stored = StructType(list(first.schema.fields) + [StructField(BATCH_COL, LongType(), True)])
-        if not self._created:
-            ensure_path_table(spark, self.path, stored)
-            self._created = True
-        try:
-            touched, n = _touched_buckets(first)
-            existing = (spark.read.schema(stored).parquet(self.path)
-                        .where(F.col(BUCKET_COL).isin(touched) & (F.col(BATCH_COL) != F.lit(batch_id)))
-                        .select(self.key, BUCKET_COL))
-            # Keys already stored: the table's key column (touched buckets only) semi-joined
-            # with the batch's keys, which are broadcast when their count allows; the table
-            # side is then never shuffled. The hits are at most the batch size.
-            keys = _keys_side(first.select(self.key, BUCKET_COL), n, self.broadcast_keys)
-            hits = existing.join(keys, [self.key, BUCKET_COL], "left_semi")
-            fresh = first.join(hits, [self.key, BUCKET_COL], "left_anti")
-            counted, obs = _count(fresh.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint")), "insert")
-            _overwrite_partitions(counted, self.path, (BUCKET_COL, BATCH_COL), rebalance=(BUCKET_COL,))
-            inserted = _rows(obs)
-            return {"inserted": inserted, "rejected_existing": n - inserted}
-        finally:
-            first.unpersist()
+    def read(self, spark: SparkSession, schema: StructType | None = None) -> DataFrame:
+        """The table; with a ``schema`` it is empty before the first write."""
+        if schema is not None and not folder_exists(spark, self.path):
+            return spark.createDataFrame([], schema)
+        log = self.versions(spark).drop(*BOOKKEEPING)
+        return first_per_key(log, self.key, self.order).drop(*[c for c in self.order if c != self.key])
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        return read_table(spark, self.path)
+    def rejected(self, spark: SparkSession) -> DataFrame:
+        """Every version that lost against an earlier one, with a reason."""
+        log = self.versions(spark).drop(*BOOKKEEPING)
+        first = log.groupBy(self.key).agg(F.min(F.struct(*self.order)).alias("_first"))
+        return (log.join(first, self.key).where(F.struct(*self.order) != F.col("_first"))
+                .select(F.lit(f"duplicate_{self.key}").alias("reason"), *[c for c in log.columns if c not in self.order or c == self.key]))
 
 
-class KeyedTable:
-    """K3: upsert on ``key``; the row with the greatest ``order_cols`` wins.
+class KeyedTable(VersionLog):
+    """K3: upsert on ``key``; the version of the latest batch, then with the greatest
+    ``order_cols``, wins.
 
     Every non-key column is overwritten by the winning version (nulls included). Rows with
     a null key cannot be addressed and never reach the table (the fan-out quarantines them).
     """
 
-    def __init__(self, path: str, schema: StructType, key: str = "event_id",
-                 order_cols: Sequence[str] = (), buckets: int = 16,
-                 broadcast_keys: int = BROADCAST_KEYS):
-        self.path, self.schema, self.key = path, schema, key
-        self.order_cols, self.buckets = tuple(order_cols), buckets
-        self.broadcast_keys = broadcast_keys
-        self._created = False
-
-    @property
-    def stored_schema(self) -> StructType:
-        return StructType(list(self.schema.fields) + [StructField(BUCKET_COL, IntegerType(), True)])
-
-    def create(self, spark: SparkSession) -> None:
-        if not self._created:
-            ensure_path_table(spark, self.path, self.schema, (BUCKET_COL,))
-            self._created = True
+    def __init__(self, path: str, schema: StructType, key: str = "event_id", order_cols: Sequence[str] = ()):
+        super().__init__(path, key, order_cols)
+        self.schema = schema
 
-    def write(self, df: DataFrame, batch_id: int | None = None) -> dict[str, int]:
-        spark = df.sparkSession
-        self.create(spark)
+    def write(self, df: DataFrame, batch_id: int, stream_id: str = "default") -> dict[str, int]:
         cols = self.schema.fieldNames()
         keyed = df.where(F.col(self.key).isNotNull())
-        latest = latest_per_key(keyed.select(*cols, *[c for c in self.order_cols if c not in cols]),
-                                self.key, self.order_cols).select(*cols)
-        latest = latest.withColumn(BUCKET_COL, bucket_of(F.col(self.key), self.buckets)).persist()
-        try:
-            touched, n = _touched_buckets(latest)
-            if n == 0:
-                return {"upserted": 0}
-            current = (spark.read.schema(self.stored_schema).parquet(self.path)
-                       .where(F.col(BUCKET_COL).isin(touched)).select(*cols, BUCKET_COL))
-            # Same key -> same bucket, so the anti-join on (key, bucket) is exact. The batch's
-            # keys are the build side (broadcast under the bound): stored rows stream through.
-            keys = _keys_side(latest.select(self.key, BUCKET_COL), n, self.broadcast_keys)
-            kept = current.join(keys, [self.key, BUCKET_COL], "left_anti")
-            merged, obs = _count(kept.unionByName(latest), "upsert")
-            _overwrite_partitions(merged, self.path, (BUCKET_COL,), rebalance=(BUCKET_COL,))
-            return {"upserted": n, "table_rows_in_touched_buckets": _rows(obs)}
-        finally:
-            latest.unpersist()
+        latest = latest_per_key(keyed.select(*cols, *[c for c in self.order_cols if c not in cols]), self.key, self.order_cols)
+        return {"upserted": self.append(latest, batch_id, stream_id)}
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return read_table(spark, self.path, self.stored_schema)
+        if not folder_exists(spark, self.path):
+            return spark.createDataFrame([], self.schema)
+        log = self.versions(spark).drop(*BOOKKEEPING)
+        return latest_per_key(log, self.key, self.order).select(*self.schema.fieldNames())
+
+    def compact(self, spark: SparkSession) -> int:
+        """Rewrite all batches but the last of each stream (which may be replayed) as one, then
+        remove them. A failure in between leaves versions twice, which changes nothing."""
+        log = self.versions(spark)
+        last = log.groupBy(STREAM_COL).agg(F.max(BATCH_COL).alias("_last"))
+        old = (log.join(last, STREAM_COL).where((F.col(BATCH_COL) < F.col("_last")) | (F.col(STREAM_COL) == COMPACTED)))
+        done = old.select(STREAM_COL, BATCH_COL).distinct().collect()          # one row a batch
+        if not done:
+            return 0
+        cols = [c for c in log.columns if c not in BOOKKEEPING]
+        n = replace_folder(latest_per_key(old.select(*cols), self.key, self.order).select(*cols),
+                           folder_of(self.path, COMPACTED, time.time_ns() // 1000))
+        for r in done:
+            remove_folder(spark, folder_of(self.path, r[STREAM_COL], r[BATCH_COL]))
+        return n
 
 
 def merge_upsert(spark: SparkSession, table: str, batch: DataFrame, key: str = "event_id",
@@ -228,12 +214,21 @@ def merge_upsert(spark: SparkSession, table: str, batch: DataFrame, key: str = "
     """K3 back end B: ``MERGE INTO`` for catalogs whose tables support row-level changes."""
     cols = [c for c in spark.table(table).columns]
     latest = latest_per_key(batch, key, order_cols).select(*cols)
-    view = f"_eventweave_upsert_{abs(hash((table, key))) % 10**8}"
+    view = f"_eventweave_upsert_{uuid.uuid4().hex[:8]}"
     latest.createOrReplaceTempView(view)
-    sets = ", ".join(f"t.{c} = s.{c}" for c in cols if c != key)
+    try:
+        spark.sql(merge_text(table, view, cols, key))
+    finally:
+        spark.catalog.dropTempView(view)
+
+
+def merge_text(table: str, view: str, cols: Sequence[str], key: str) -> str:
+    """The MERGE statement of :func:`merge_upsert`, names quoted."""
+    def q(name: str) -> str:
+        return "`" + name.replace("`", "``") + "`"
+    sets = ", ".join(f"t.{q(c)} = s.{q(c)}" for c in cols if c != key)
     update = f"WHEN MATCHED THEN UPDATE SET {sets} " if sets else ""
-    spark.sql(f"MERGE INTO {table} t USING {view} s ON t.{key} = s.{key} {update}"
-              f"WHEN NOT MATCHED THEN INSERT *")
+    return f"MERGE INTO {table} t USING {q(view)} s ON t.{q(key)} = s.{q(key)} {update}WHEN NOT MATCHED THEN INSERT *"
 
 
 def append_to_table(df: DataFrame, table: str) -> int:

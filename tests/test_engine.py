@@ -2,9 +2,11 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from eventweave.engine import Engine
+from eventweave.operators.federate import SourceRef
 from tests.fixtures import SAMPLE_SEGMENTS, sample_lines
 
 
@@ -31,3 +33,35 @@ def test_engine_end_to_end(spark, tmp_dir):
     assert eng.federate(limit=10).count() == 10
     eng.events.read(spark).createOrReplaceTempView("ew_engine_events")
     assert eng.query("SELECT COUNT(*) AS n FROM ew_engine_events WHERE event_type LIKE :p", args={"p": "order.%"}).first().n == 17
+
+
+def test_fresh_root_and_routed_queries(spark, tmp_dir):
+    eng = Engine(spark, tmp_dir("fresh"))
+    assert eng.sync("2026-05-25T00:00:00Z") == {"iceberg_rows": 0}
+    assert eng.query("SELECT count(*) AS n FROM events", "lakehouse").first().n == 0
+    file = tmp_dir("file")
+    spark.createDataFrame([(line,) for line in sample_lines()], "value string").coalesce(1).write.text(file)
+    eng.publish_file("events.raw", file, whole_files=False)
+    eng.stream("events.raw")
+    assert eng.query("SELECT count(*) AS n FROM events", "lakehouse").first().n == 25
+    assert eng.query("SELECT count(*) AS n FROM orders", "oltp").first().n == 25
+    eng.register("warehouse.public.event_segments", spark.createDataFrame(SAMPLE_SEGMENTS, "event_id string, segment string, score double"))
+    assert eng.query("", "federated").count() == 25                   # blank text: the default join
+    two = [SourceRef("oltp", "analytics", "orders", "o", ("amount",)), SourceRef("htap", "analytics", "events", "e", ("event_type",))]
+    assert eng.query(" ", "federated", sources=two, join_type="INNER").columns == ["o_amount", "e_event_type"]
+    assert eng.query("SELECT count(*) AS n FROM orders o JOIN event_segments s USING (event_id)", "federated").first().n == 25
+
+
+def test_broken_files_are_not_published(spark, tmp_dir):
+    eng, file = Engine(spark, tmp_dir("e")), tmp_dir("bad")
+    spark.createDataFrame([("[{\"event_id\": 1}, oops",)], "value string").coalesce(1).write.text(file)
+    with pytest.raises(Exception, match="not an event"):
+        eng.publish_file("events.raw", file)
+
+
+def test_last_published_version_wins(spark, tmp_dir):
+    eng = Engine(spark, tmp_dir("v"))
+    for run in range(2):
+        eng.publish("t", spark.createDataFrame([("k", f"v{run}-{i}") for i in range(100)], "event_id string, event_type string").coalesce(1))
+    eng.stream("t", targets=["events"])
+    assert [r.event_type for r in eng.events.read(spark).collect()] == ["v1-99"]

@@ -35,11 +35,11 @@ class _FailOnce:
     def __init__(self, inner):
         self.inner, self.failed = inner, False
 
-    def write(self, df, batch_id):
+    def write(self, df, batch_id, stream_id="default"):
         if not self.failed:
             self.failed = True
             raise RuntimeError("simulated crash in the middle of a batch")
-        return self.inner.write(df, batch_id)
+        return self.inner.write(df, batch_id, stream_id)
 
     def read(self, spark):
         return self.inner.read(spark)

@@ -50,7 +50,7 @@ def test_upsert_last_write_wins_and_nulls_overwrite(spark, tmp_dir):
 def test_upsert_independent_of_batch_split(spark, rows, n_batches):
     from eventweave.session import work_dir
     data = [(k, f"t{v}", None, None, 0, i) for i, (k, v) in enumerate(rows)]
-    tbl = T.KeyedTable(work_dir(spark, "prop"), EVENTS, order_cols=("partition", "offset"), buckets=4)
+    tbl = T.KeyedTable(work_dir(spark, "prop"), EVENTS, order_cols=("partition", "offset"))
     size = max(1, len(data) // n_batches)
     batches = [data[i:i + size] for i in range(0, len(data), size)]
     for bid, b in enumerate(batches):
@@ -62,12 +62,60 @@ def test_insert_once_keeps_first_and_rejects_later(spark, tmp_dir):
     schema = "event_id string, customer_id bigint, amount decimal(18,2), partition int, offset bigint"
     tbl = T.InsertOnceTable(tmp_dir("orders"), order_cols=("partition", "offset"))
     tbl.write(spark.createDataFrame([("a", 1, Decimal("1.00"), 0, 1), ("a", 2, Decimal("2.00"), 0, 2)], schema), 0)
-    out = tbl.write(spark.createDataFrame([("a", 3, Decimal("3.00"), 0, 3), ("b", 4, Decimal("4.00"), 0, 4)], schema), 1)
-    assert out == {"inserted": 1, "rejected_existing": 1}
-    # replay of batch 1 does not see its own earlier write as a duplicate
-    again = tbl.write(spark.createDataFrame([("a", 3, Decimal("3.00"), 0, 3), ("b", 4, Decimal("4.00"), 0, 4)], schema), 1)
-    assert again == {"inserted": 1, "rejected_existing": 1}
+    late = spark.createDataFrame([("a", 3, Decimal("3.00"), 0, 3), ("b", 4, Decimal("4.00"), 0, 4)], schema)
+    tbl.write(late, 1)
+    tbl.write(late, 1)                                     # a replay changes nothing
     assert sorted((r.event_id, r.customer_id) for r in tbl.read(spark).collect()) == [("a", 1), ("b", 4)]
+    assert sorted((r.reason, r.event_id, r.customer_id) for r in tbl.rejected(spark).collect()) == \
+        [("duplicate_event_id", "a", 2), ("duplicate_event_id", "a", 3)]
+
+
+def test_streams_do_not_touch_each_other(spark, tmp_dir):
+    """Two streams start at batch 0; a batch replayed on another day leaves nothing behind."""
+    lake = T.AppendTable(tmp_dir("l"), partition_by=("event_date",))
+    day = lambda n, d: spark.range(n).withColumn("event_date", F.lit(d).cast("date"))      # noqa: E731
+    lake.write(day(100, "2026-01-01"), 0, "s-1")
+    lake.write(day(10, "2026-01-01"), 0, "s-2")
+    assert lake.read(spark).count() == 110
+    lake.write(day(10, "2026-01-02"), 0, "s-2")
+    assert {(str(r.event_date), r["count"]) for r in lake.read(spark).groupBy("event_date").count().collect()} == \
+        {("2026-01-01", 100), ("2026-01-02", 10)}
+    lake.write(day(0, "2026-01-02"), 0, "s-2")
+    assert lake.read(spark).count() == 100
+
+
+def test_upsert_writes_only_its_batch_and_survives_a_failed_write(spark, tmp_dir):
+    import pytest
+    tbl = T.KeyedTable(tmp_dir("up"), EVENTS, order_cols=("partition", "offset"))
+    old = [(f"k{i}", "old", None, None, 0, i) for i in range(50)]
+    tbl.write(_versions(spark, old), 0, "s-1")
+    bad = _versions(spark, [("k1", "new", None, None, 0, 99)]).withColumn("payload", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception):
+        tbl.write(bad, 1, "s-1")
+    assert tbl.read(spark).count() == 50
+    tbl.write(_versions(spark, [("k1", "new", None, None, 0, 99)]), 1, "s-1")
+    tbl.write(_versions(spark, [("k2", "other", None, None, 0, 0)]), 0, "s-2")     # another stream, written later
+    files = spark.read.parquet(f"{tbl.path}/stream_id=s-1/batch_id=1")
+    assert files.count() == 1                                    # the batch, not the table
+    want = sorted([(f"k{i}", {1: "new", 2: "other"}.get(i, "old"), None) for i in range(50)])
+    assert _table_rows(tbl.read(spark)) == want
+    assert tbl.compact(spark) == 50 and _table_rows(tbl.read(spark)) == want
+    assert tbl.compact(spark) == 50 and _table_rows(tbl.read(spark)) == want
+    assert T.KeyedTable(tmp_dir("none"), EVENTS).read(spark).count() == 0
+
+
+def test_merge_text_quotes_names():
+    assert T.merge_text("c.s.t", "v", ["k", "a b"], "k") == \
+        "MERGE INTO c.s.t t USING `v` s ON t.`k` = s.`k` WHEN MATCHED THEN UPDATE SET t.`a b` = s.`a b` WHEN NOT MATCHED THEN INSERT *"
+
+
+def test_published_order_is_kept(spark, tmp_dir):
+    path = tmp_dir("topic")
+    for run in range(3):
+        df = spark.createDataFrame([("e", f"v{run}-{i}") for i in range(70)], "event_id string, event_type string").coalesce(1)
+        X.publish(df, "t", path=path)
+    recs = spark.read.json(path).orderBy("partition", "offset").collect()
+    assert [json.loads(r.value)["event_type"] for r in recs] == [f"v{run}-{i}" for run in range(3) for i in range(70)]
 
 
 def test_append_replay_replaces_its_batch(spark, tmp_dir):
@@ -126,7 +174,7 @@ def test_bulk_load_takes_target_schema(spark, tmp_dir):
                                "event_id string, event_type string, occurred_at timestamp_ntz, payload string, extra int")
     df.write.parquet(staging)
     assert X.bulk_load(spark, staging, LAKE_EVENTS, path=target) == 1
-    assert spark.read.parquet(target).columns == LAKE_EVENTS.fieldNames()
+    assert T.read_table(spark, target).columns == LAKE_EVENTS.fieldNames()
 
 
 def test_catalog_table_create_and_append(spark):

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventweave.operators import projections as P
-from eventweave.schemas import EVENTS
+from eventweave.schemas import EVENTS, QUARANTINE
 from eventweave.sinks import export as X
 from eventweave.sinks.tables import AppendTable, InsertOnceTable, KeyedTable
 from eventweave.sources.topics import read_topic
@@ -56,7 +56,7 @@ def test_restart_adds_nothing(spark, tmp_dir):
     assert run_fanout(read_topic(spark, topic, max_per_trigger=1), FanOut(targets), ckpt) == 25
     again = FanOut(targets)
     assert run_fanout(read_topic(spark, topic, max_per_trigger=1), again, ckpt) == 0
-    assert again.batches == []
+    assert not again.batches
     assert targets["metrics"].read(spark).count() == 25
     assert targets["orders"].read(spark).count() == 25
 
@@ -193,3 +193,51 @@ def test_per_record_handler(spark, tmp_dir):
     fan = FanOut({"metrics": AppendTable(tmp_dir("m"))}, on_record=handler)
     assert run_fanout(read_topic(spark, topic), fan, tmp_dir("ckpt")) == 25
     assert seen.value == 25
+
+
+def test_two_topics_into_the_same_targets(spark, tmp_dir):
+    """Each checkpoint is a stream of its own; a topic drained again under a new one adds metrics and lake rows, not keys."""
+    targets, one, two = _targets(tmp_dir), tmp_dir("t1"), tmp_dir("t2")
+    _publish_sample(spark, one, 2)
+    _publish_sample(spark, two, 1, extra=['{"event_id":"new","customer_id":1,"occurred_at":"2026-05-25T00:00:00Z"}'])
+    run_fanout(read_topic(spark, one), FanOut(targets), tmp_dir("c1"))
+    run_fanout(read_topic(spark, two), FanOut(targets), tmp_dir("c2"))
+    assert targets["metrics"].read(spark).count() == 51 and targets["lake"].read(spark).count() == 51
+    assert targets["orders"].read(spark).count() == 26 and targets["events"].read(spark).count() == 26
+    assert targets["orders"].rejected(spark).count() == 25
+
+
+def test_values_that_do_not_fit_and_lake_shape(spark, tmp_dir):
+    topic, targets = tmp_dir("topic"), _targets(tmp_dir)
+    extra = ['{"event_id":"x1","customer_id":1,"amount":"abc"}', '{"event_id":"x2","customer_id":1,"occurred_at":"garbage"}',
+             '{"event_id":"x3","customer_id":"?"}', '{"id":"x4","customer_id":1,"occurred_at":"2026-05-25T00:00:00Z"}',
+             '{"event_id":"x5","event_id":"x6","customer_id":1,"amount":null,"occurred_at":"2026-05-25T00:00:00Z"}']
+    _publish_sample(spark, topic, 1, extra=extra)
+    run_fanout(read_topic(spark, topic), FanOut(targets), tmp_dir("ckpt"))
+    assert sorted(r.reason for r in targets["quarantine"].read(spark).collect()) == \
+        ["bad_amount", "bad_customer_id", "bad_occurred_at", "missing_event_id"]
+    assert {r.event_id for r in targets["orders"].read(spark).collect()} >= {"x4", "x6"}
+    lake = {r.event_id: r.payload for r in targets["lake"].read(spark).collect()}
+    assert "x4" not in lake and lake["x6"] == "{}" and len(lake) == 26
+
+
+def test_lifecycle_orders_quarantine_only_what_orders_want(spark, tmp_dir):
+    topic, q = tmp_dir("topic"), AppendTable(tmp_dir("q"), QUARANTINE)
+    _publish_sample(spark, topic, 1, extra=['{"event_id":"v","event_type":"view"}', '{"event_id":"w","event_type":"order.x"}'])
+    orders = InsertOnceTable(tmp_dir("o"), order_cols=("partition", "offset"))
+    run_fanout(read_topic(spark, topic), FanOut({"orders": orders, "quarantine": q}, lifecycle_prefix="order."), tmp_dir("ckpt"))
+    assert [(r.reason, "order.x" in r.raw) for r in q.read(spark).collect()] == [("missing_customer_id", True)]
+
+
+def test_python_transform_keeps_large_integers_and_raises_user_errors(spark):
+    from pyspark.sql.types import StructType
+    schema = StructType.fromDDL("event_id string, customer_id bigint, amount decimal(18,2)")
+    rows = [(0, 0, '{"event_id":"a","customer_id":9007199254740993,"amount":1.5}'), (0, 1, '{"event_id":"b"}'), (0, 2, '{"event_id":"c","customer_id":"no"}')]
+    df = spark.createDataFrame(rows, "partition int, offset bigint, value string")
+    got = {r.event_id: (r.customer_id, None if r.amount is None else float(r.amount), r._status) for r in python_transform(lambda r: r, schema)(df).collect()}
+    assert got == {"a": (9007199254740993, 1.5, "ok"), "b": (None, None, "ok"), "c": (None, None, "bad_customer_id")}
+
+    def broken(raw):
+        raise ValueError("my own error")
+    with pytest.raises(Exception, match="my own error"):
+        python_transform(broken, schema)(df).collect()

@@ -59,6 +59,8 @@ def test_run_incremental_loads_and_early_exit(spark, lake, tmp_dir):
                             warehouse_path=wh, run_id="r1")
     assert stats == {"iceberg_rows": 15, "aggregate_groups": 5, "starrocks_loaded": 5, "redshift_copy": 1}
     assert read_table(spark, wh).count() == 15
+    run_incremental(spark, lake, "2026-05-25T12:00:00Z", summary_path=summary_path, warehouse_path=wh, run_id="r1")
+    assert read_table(spark, wh).count() == 15             # the run replaces its own rows
     # a re-run with the same run id replaces its summary rows
     run_incremental(spark, lake, "2026-05-25T12:00:00Z", summary_path=summary_path, run_id="r1")
     assert spark.read.parquet(summary_path).count() == 5
@@ -70,7 +72,13 @@ def test_date_layout_prunes_partitions(spark, lake, tmp_dir):
     table = AppendTable(tmp_dir("lake_by_day"), partition_by=("event_date",))
     table.write(lake.withColumn("event_date", F.to_date("occurred_at")), 0)
     df = table.read(spark)
-    plan = plan_text(type_summary(df, "2026-05-26T00:00:00Z"))
+    plan = plan_text(type_summary(df, "2026-05-26T00:00:00Z", date_col="event_date"))
     assert "PartitionFilters: [isnotnull(event_date" in plan and "(event_date#" in plan
-    got = {r.event_type: r.event_count for r in type_summary(df, "2026-05-26T00:00:00Z").collect()}
+    got = {r.event_type: r.event_count for r in type_summary(df, "2026-05-26T00:00:00Z", date_col="event_date").collect()}
     assert got == GOLDEN[2][2]
+
+
+def test_written_day_does_not_hide_rows(spark):
+    """event_date of metrics is the day as written, not the UTC day: it is no bound."""
+    df = spark.sql("SELECT 'a' AS event_id, 't' AS event_type, timestamp_ntz '2026-05-26 04:30:00' AS occurred_at, date '2026-05-25' AS event_date")
+    assert type_summary(df, "2026-05-26T00:00:00Z").first().event_count == 1
