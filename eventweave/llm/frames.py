@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, _parse_datatype_string
 
-from eventweave.llm.textops import BLOCK, blocks
+from eventweave.llm.textops import BLOCK, blocks, drop_worker_tables
 from eventweave.session import prepare, work_dir
 
 
@@ -43,6 +43,7 @@ def by_blocks(df: DataFrame, column: str, fn: Callable[[pa.RecordBatch], pa.Reco
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out_schema = arrow_schema(target)
+        drop_worker_tables()
         for batch in batches:
             for block in blocks(batch, column, limit):
                 got = fn(block)

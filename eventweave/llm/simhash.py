@@ -64,9 +64,9 @@ def fingerprint_rows(block: pa.RecordBatch, words: int, seed: int) -> np.ndarray
     some = np.flatnonzero(np.diff(first))
     totals = np.zeros((len(first) - 1, 64), np.int64)
     row = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    for lo in range(0, len(h), 1 << 17):        # a bounded number of shingles at a time
-        bits = np.unpackbits(h[lo:lo + (1 << 17)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        r = row[lo:lo + (1 << 17)]
+    for lo in range(0, len(h), 1 << 15):        # a bounded number of shingles at a time
+        bits = np.unpackbits(h[lo:lo + (1 << 15)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        r = row[lo:lo + (1 << 15)]
         cut = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
         totals[r[cut]] += np.add.reduceat(bits, cut, axis=0, dtype=np.int32)
     if len(some):
@@ -80,12 +80,13 @@ def fingerprints(docs: DataFrame, *, words: int = 3, seed: int = 42) -> DataFram
     need(docs, "doc_id", "text")
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), no_text_as_empty())
     return by_blocks(rows, "text", lambda b: {"rid": b.column("rid"), "doc_id": b.column("doc_id"), "fp": longs(fingerprint_rows(b, words, seed))},
-                     "rid long, doc_id long, fp long", 1 << 20)
+                     "rid long, doc_id long, fp long", 1 << 19)
 
 
 def arrow_map(df: DataFrame, fn, schema: str) -> DataFrame:
     """``fn`` over whole Arrow batches: dict of columns in, dict of columns (or None) out."""
     def run(batches):
+        X.drop_worker_tables()
         for b in batches:
             got = fn(b)
             if got is not None:
@@ -267,7 +268,7 @@ def _least_labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
-def star_edges(key: np.ndarray, fp: np.ndarray, side: np.ndarray, most: int, step: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+def star_edges(key: np.ndarray, fp: np.ndarray, side: np.ndarray, most: int, step: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
     """Star edges (fp, least fp of its component in the bucket) among entries sorted by (key, side)."""
     cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
     size = np.diff(np.concatenate([cut, [len(key)]]))

@@ -72,6 +72,7 @@ def anchors(docs: DataFrame, length: int) -> DataFrame:
     """One pass over all texts: kind 0: (rid, h) of every gram that represents a window;
     kind 1: (bucket h, n) counts of suffixes by prefix, summed over a task."""
     def run(batches):
+        X.drop_worker_tables()
         counts = np.zeros((len(PREFIXES), BUCKETS), np.int64)
         for batch in batches:
             for block in X.blocks(batch, "text", _BLOCK):

@@ -30,6 +30,15 @@ _MUL = U(0x9E3779B97F4A7C15 | 1)
 _INV = U(pow(int(_MUL), -1, 1 << 64))
 _powers: dict[str, np.ndarray] = {}
 
+#: Tables that a worker keeps between tasks of one kind; tasks of another kind drop them, as a
+#: worker goes on from stage to stage.
+WORKER_TABLES: list[dict] = []
+
+
+def drop_worker_tables() -> None:
+    for table in WORKER_TABLES:
+        table.clear()
+
 
 def powers(n: int, inverse: bool = False) -> np.ndarray:
     """1, m, m^2, ... modulo 2^64 (of the odd multiplier, or of its inverse)."""

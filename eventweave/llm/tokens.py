@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 
-from eventweave.llm.textops import SPACE, Words, column_bytes, split_words
+from eventweave.llm.textops import SPACE, WORKER_TABLES, Words, column_bytes, split_words
 
 #: Words whose ids one Python worker keeps (about 40 bytes each).
 MAX_WORDS = 400_000
@@ -185,6 +185,7 @@ class WordEncoder:
 
 
 _encoders: dict[str, WordEncoder] = {}
+WORKER_TABLES.append(_encoders)
 
 
 def encoder(path: str) -> WordEncoder:
