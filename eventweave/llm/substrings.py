@@ -55,10 +55,16 @@ def slide(a: np.ndarray, width: int, op) -> np.ndarray:
     return op(a[:-rest], a[rest:]) if rest else a
 
 
+def prefixes(length: int) -> tuple[int, ...]:
+    """Prefix lengths shorter than the window."""
+    return tuple(p for p in PREFIXES if p < length)
+
+
 def representatives(w: X.Words, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(representative of every window, mask of windows in one row, gram hashes)."""
-    grams = X.window_hashes(w.hash, GRAM)
-    least = slide(grams, length - GRAM + 1, np.minimum)
+    gram = min(GRAM, length)
+    grams = X.window_hashes(w.hash, gram)
+    least = slide(grams, length - gram + 1, np.minimum)
     inside = w.row[: len(least)] == w.row[length - 1:] if len(least) else np.zeros(0, bool)
     return least, inside, grams
 
@@ -73,18 +79,18 @@ def anchors(docs: DataFrame, length: int) -> DataFrame:
     kind 1: (bucket h, n) counts of suffixes by prefix, summed over a task."""
     def run(batches):
         X.drop_worker_tables()
-        counts = np.zeros((len(PREFIXES), BUCKETS), np.int64)
+        counts, gram = np.zeros((len(PREFIXES), BUCKETS), np.int64), min(GRAM, length)
         for batch in batches:
             for block in X.blocks(batch, "text", _BLOCK):
                 w = X.split_words(*X.column_bytes(block.column("text")))
                 least, inside, grams = representatives(w, length)
                 if not len(least):
                     continue
-                for i, p in enumerate(PREFIXES):
+                for i, p in enumerate(prefixes(length)):
                     counts[i] += np.bincount(prefix_buckets(w, p, len(least))[inside], minlength=BUCKETS)
                 low = np.where(inside, least, np.uint64(0))
-                edge = np.zeros(length - GRAM, np.uint64)
-                chosen = slide(np.concatenate([edge, low, edge]), length - GRAM + 1, np.maximum) == grams[: len(low) + length - GRAM]
+                edge = np.zeros(length - gram, np.uint64)
+                chosen = slide(np.concatenate([edge, low, edge]), length - gram + 1, np.maximum) == grams[: len(low) + length - gram]
                 at = np.flatnonzero(chosen)
                 rid = block.column("rid").to_numpy()[w.row[at]]
                 yield pa.RecordBatch.from_pydict({"kind": pa.array(np.zeros(len(at), np.int8)), "rid": pa.array(rid),
@@ -114,8 +120,8 @@ def suffixes(texts: DataFrame, counts: np.ndarray, length: int) -> DataFrame:
             return None
         name = X.span_hashes(w.hash, at, at + length)
         part = X.mix(name).view(np.int64) & np.int64((1 << 62) - 1)         # the whole window, unless a shorter prefix will do
-        for i in reversed(range(len(PREFIXES))):
-            b = prefix_buckets(w, PREFIXES[i], len(least))[at]
+        for i, p in reversed(list(enumerate(prefixes(length)))):
+            b = prefix_buckets(w, p, len(least))[at]
             part = np.where(small[i][b], b + i * BUCKETS, part)
         uniq, first, back, n = np.unique(name, return_index=True, return_inverse=True, return_counts=True)
         sure = n[back] > 1
@@ -193,7 +199,7 @@ def remove_repeats(docs: DataFrame, *, length: int = 35) -> DataFrame:
         texts = [raw[a:max(a, b - 1)] for a, b in zip(edge[:-1].tolist(), edge[1:].tolist())]
         turn = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8)))
         begin, stop = turn[0::2], turn[1::2]
-        inner = w.first[1:-1]                                       # spans end with their row
+        inner = np.unique(w.first[1:-1])                            # spans end with their row
         split = inner[(np.searchsorted(begin, inner, side="left") > np.searchsorted(stop, inner, side="right"))]
         begin, stop = np.sort(np.concatenate([begin, split])), np.sort(np.concatenate([stop, split]))
         at_row = w.row[begin] if len(begin) else begin

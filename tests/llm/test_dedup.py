@@ -28,7 +28,7 @@ def cut_brute(texts, length):
     return out
 
 
-@pytest.mark.parametrize("length, group", [(35, 1 << 20), (12, 1 << 20), (12, 3)])
+@pytest.mark.parametrize("length, group", [(35, 1 << 20), (12, 1 << 20), (5, 1 << 20), (35, 3)])
 def test_repeats_are_cut(spark, tmp_dir, monkeypatch, length, group):
     monkeypatch.setattr(substrings, "GROUP", group)         # 3: nearly every prefix is split by longer ones
     docs = cases.table(spark, tmp_dir)
