@@ -215,7 +215,7 @@ def _cells(part: int, value: np.ndarray, fp: np.ndarray, counts: np.ndarray, ind
 def entries(fp: np.ndarray, groups: list[list[int]], counts: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(key, fingerprint, side) of the index (0) and probe (1) entries of some fingerprints."""
     parts, budget = len(groups), most - len(groups) + 1
-    top = max(0, min(2, budget + parts - 1))
+    top = max(0, min(budget + parts - 1, max(2, -(-budget // parts))))       # further out only if the sum needs it
     values = [part_value(fp, g) for g in groups]
     patterns = [masks(len(g), top) for g in groups]
     costs = np.zeros((len(fp), parts, top + 2))
@@ -256,8 +256,6 @@ def _least_labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         new = label.copy()
         np.minimum.at(new, label[a], low)
         np.minimum.at(new, label[b], low)
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
         while not np.array_equal(new, new[new]):
             new = new[new]
         if np.array_equal(new, label):

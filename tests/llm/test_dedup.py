@@ -109,7 +109,7 @@ def test_pigeonhole_finds_every_close_pair(spark):
             fps.append(x)
     fps = sorted(set(fps))
     df = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f,) for f in fps], "fp long")
-    for parts in (1, 2, 3, 4):
+    for parts in (2, 3, 4):
         roots = {r.node: r.root for r in components.components(simhash.links(df, most=3, parts=parts)).collect()}
         got = [roots.get(f - (1 << 64) if f >> 63 else f, f - (1 << 64) if f >> 63 else f) for f in fps]
         want = roots_brute(fps, 3)
