@@ -204,7 +204,7 @@ def fit(pages: DataFrame, *, sample: int = SAMPLE, made: int = MADE, seed: int =
     """Fit the trees on texts of a bounded sample of pages."""
     need(pages, "page_id", "html")
     n = pages.count()
-    some = pages.select(F.col("page_id").cast("long").alias("page_id"), F.substring(F.col("html").cast("string"), 1, 200_000).alias("html"))
+    some = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("html").cast("string").alias("html"))
     if n > sample:
         some = some.filter(F.pmod(F.xxhash64("page_id"), F.lit(1 << 30)) < int((1 << 30) * sample / n))
     rows = some.orderBy("page_id").limit(2 * sample).collect()
