@@ -42,15 +42,19 @@ def build_session(master: str | None = None, *, shuffle_partitions: int | None =
     return spark
 
 
-def scale_conf(input_bytes: int, *, cores: int, target_partition_bytes: int = 256 << 20,
-               scan_split_bytes: int = 512 << 20) -> dict[str, str]:
+def scale_conf(input_bytes: int, *, cores: int, shuffled_fraction: float = 0.1, target_partition_bytes: int = 256 << 20,
+               scan_split_bytes: int = 512 << 20, most_partitions: int = 40_000) -> dict[str, str]:
     """Settings sized for an input volume (e.g. 100 TB on a 1000-executor cluster).
 
-    The initial shuffle width is one partition per ``target_partition_bytes`` of input (at
-    least 2x the cores); AQE then coalesces small partitions to the advisory size and splits
-    skewed ones, so a stage neither spills from oversized partitions nor drowns in tiny ones.
+    The initial shuffle width follows the bytes that are *shuffled* (filters, projections and
+    partial aggregates leave a fraction of the input): one partition per
+    ``target_partition_bytes``, at least 2x the cores and at most ``most_partitions``, beyond
+    which the map outputs' status on the driver and the number of blocks (maps x partitions)
+    cost more than larger partitions do. AQE coalesces small partitions to the advisory size
+    and splits skewed ones; what exceeds memory in the others spills.
     """
-    partitions = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    wanted = -(-int(input_bytes * shuffled_fraction) // target_partition_bytes)
+    partitions = min(max(2 * cores, wanted), max(most_partitions, 2 * cores))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),

@@ -31,6 +31,13 @@ def test_named_parameters_and_pushdown(spark, oltp):
     assert df.first().n == 2
 
 
+def test_store_table_is_read_by_several_tasks(spark, oltp):
+    from eventweave.sources.catalogs import store_table
+    df = store_table(spark, URL, "APP.EVENTS", driver=DRIVER, partition_column="N", partitions=3)
+    assert df.rdd.getNumPartitions() == 3 and sorted(r.EVENT_ID for r in df.collect()) == ["e1", "e2", "e3"]
+    assert store_table(spark, URL, "APP.EVENTS", driver=DRIVER).count() == 3
+
+
 def test_router_by_workload(spark, oltp):
     router = Router({Workload.OLTP: ("oltp", "APP")})
     assert router.query(spark, "SELECT COUNT(*) AS n FROM EVENTS", "oltp").first().n == 3
