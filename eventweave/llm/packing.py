@@ -137,7 +137,7 @@ def tokenise(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> Dat
                 start = piece * capacity
                 length = np.minimum(capacity, n[doc] - start)
                 at = np.repeat(np.cumsum(n) - n, pieces) + start
-                raw, wide = memoryview(ids.tobytes()), memoryview(ids.astype("<u4").tobytes())
+                raw, wide = ids.tobytes(), memoryview(ids.astype("<u4").tobytes())      # bytes: pyarrow keeps memoryviews alive
                 w = ids.dtype.itemsize
                 spans = list(zip(at.tolist(), (at + length).tolist()))
                 yield pa.RecordBatch.from_pydict({

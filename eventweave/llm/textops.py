@@ -8,6 +8,8 @@ a few machine words per word of it. Nothing here knows about Spark plans.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,6 +18,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U = np.uint64
+
+# Arrays of some hundred KB come and go with every block. By default the C library grows its
+# heap for them and gives little back; mapped on their own they are returned when freed.
+_M_MMAP_THRESHOLD = -3
+with contextlib.suppress(OSError, AttributeError):
+    ctypes.CDLL(None).mallopt(_M_MMAP_THRESHOLD, 128 << 10)
+
 #: Bytes of text hashed in one numpy pass.
 SLICE = 1 << 18
 #: Bytes of text handled as one block of rows.

@@ -185,7 +185,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                 n, names = b.bounds.n - 1, b.doc_ids()
                 for lo in range(0, n, 1024):
                     at = [b.bounds.select(i) for i in range(lo, min(lo + 1024, n) + 1)]
-                    wide = memoryview(b.ids[at[0]:at[-1]].astype("<u4").tobytes())
+                    wide = b.ids[at[0]:at[-1]].astype("<u4").tobytes()     # bytes: pyarrow keeps memoryviews alive
                     docs = [wide[4 * (a - at[0]):4 * (z - at[0])] for a, z in zip(at, at[1:])]
                     yield pa.RecordBatch.from_pydict({
                         "part": pa.array([part.as_py()] * len(docs), pa.int32()), "seq": pa.array([seq.as_py()] * len(docs), pa.int64()),

@@ -4,8 +4,8 @@ The ``tokenizers`` library does the encoding. Its pre-tokenizers cut every text
 that can be known beforehand (a single space or line break between two visible characters
 for the byte-level file; any ASCII white space for the word-end file), so the ids of a text
 are the ids of its words put together. A worker encodes each word once with the library's
-model and keeps its ids in a bounded numpy table under the word's 64-bit hash, its length
-and its first bytes; words beyond the bound are encoded again. Texts with other white space
+model and keeps its ids in a numpy hash table of fixed size under the word's 64-bit hash, its
+length and its first bytes; words beyond its bound are encoded again. Texts with other white space
 are encoded whole. The table only saves time: ids are those of encoding the whole text.
 """
 
@@ -20,7 +20,7 @@ import regex
 
 from eventweave.llm.textops import SPACE, WORKER_TABLES, Words, column_bytes, split_words
 
-#: Words whose ids one Python worker keeps (about 40 bytes each).
+#: Words whose ids one Python worker keeps (about 80 bytes each, allocated at once).
 MAX_WORDS = 400_000
 #: Pre-tokens kept beside them (about 200 bytes each).
 MAX_PARTS = 40_000
@@ -66,12 +66,15 @@ class WordEncoder:
         self.dtype = np.uint16 if self.tok.get_vocab_size() <= 1 << 16 else np.uint32
         self.max_words, self.max_parts = max_words, max_parts
         self.parts: dict[str, tuple[int, ...]] = {}
-        self.key = np.zeros(0, np.uint64)       # sorted; check, begin, count stand beside it
-        self.check = np.zeros(0, np.uint64)
-        self.begin = np.zeros(0, np.int64)
-        self.count = np.zeros(0, np.int32)
-        self.flat = np.zeros(1 << 16, self.dtype)
+        slots = 1 << (2 * max(max_words, 8)).bit_length()       # open addressing, at most half full
+        self.mask, self.n_words = slots - 1, 0
+        self.key = np.zeros(slots, np.uint64)                   # 0: free
+        self.check = np.zeros(slots, np.uint64)
+        self.begin = np.zeros(slots, np.int32)
+        self.count = np.zeros(slots, np.int32)
+        self.flat = np.zeros(8 * max(max_words, 8), self.dtype)
         self.n_flat = 0
+        self.line_break = self.tok.encode("\n", add_special_tokens=False).ids[:1]
 
     # -- pieces the table does not hold -------------------------------------------------
     def _plain_ids(self, piece: str) -> tuple[int, ...]:
@@ -102,50 +105,65 @@ class WordEncoder:
         return [np.array(self.tok.encode(t, add_special_tokens=False).ids, dtype=self.dtype) for t in texts]
 
     # -- the table ------------------------------------------------------------------------
+    def _find(self, keys: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(slot where each key stands or its probing ended, 1 known / 0 free slot / -1 another word's)."""
+        slot = (keys & np.uint64(self.mask)).astype(np.int64)
+        state = np.zeros(len(keys), np.int8)
+        left = np.arange(len(keys))
+        while len(left):
+            have = self.key[slot[left]]
+            same = have == keys[left]
+            state[left[same]] = np.where(self.check[slot[left[same]]] == check[left[same]], 1, -1)
+            left = left[~same & (have != 0)]
+            slot[left] = (slot[left] + 1) & self.mask
+        return slot, state
+
+    def _keep(self, keys: np.ndarray, check: np.ndarray, slot: np.ndarray, first: np.ndarray, n: np.ndarray) -> None:
+        slot, left = slot.copy(), np.arange(len(keys))
+        while len(left):
+            free = left[self.key[slot[left]] == 0]
+            _, one = np.unique(slot[free], return_index=True)          # one word a slot; the others go on
+            won = free[one]
+            at = slot[won]
+            self.key[at], self.check[at], self.begin[at], self.count[at] = keys[won], check[won], first[won], n[won]
+            left = left[self.key[slot[left]] != keys[left]]
+            slot[left] = (slot[left] + 1) & self.mask
+        self.n_words += len(keys)
+
     def _look_up(self, w: Words, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(flat ids, begin, count) of every word; kind: 0 bare, 1 after a space, 2 after a line break."""
-        keys = w.hash ^ (kind.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25))
+        keys = np.maximum(w.hash ^ (kind.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25)), np.uint64(1))
         uniq, at, back = np.unique(keys, return_index=True, return_inverse=True)
         s, n = w.start[at], w.end[at] - w.start[at]
         padded = np.concatenate([w.data, np.zeros(8, np.uint8)])
         lead = np.lib.stride_tricks.sliding_window_view(padded, 8)[s].copy().view(np.uint64)[:, 0]
         lead &= _FIRST >> (np.uint64(8) * (8 - np.minimum(n, 8)).astype(np.uint64))
         check = lead ^ (n.astype(np.uint64) << np.uint64(40)) ^ kind[at].astype(np.uint64)
-        pos = np.searchsorted(self.key, uniq)
-        known = np.zeros(len(uniq), bool)
-        inside = pos < len(self.key)
-        known[inside] = (self.key[pos[inside]] == uniq[inside]) & (self.check[pos[inside]] == check[inside])
+        slot, state = self._find(uniq, check)
+        known = state == 1
         begin, count = np.zeros(len(uniq), np.int64), np.zeros(len(uniq), np.int32)
-        begin[known], count[known] = self.begin[pos[known]], self.count[pos[known]]
+        begin[known], count[known] = self.begin[slot[known]], self.count[slot[known]]
         flat = self.flat
         new = np.flatnonzero(~known)
         if len(new):
-            raw, lead_in = w.data.tobytes(), ("", " ", "\n")
+            raw, lead_in = w.data.tobytes(), ("", " ", "")
             pieces = [lead_in[k] + raw[a:a + m].decode() for a, m, k in zip(s[new].tolist(), n[new].tolist(), kind[at[new]].tolist())]
+            ids, got = self._pieces(pieces)
             breaks = kind[at[new]] == 2
-            ids, got = self._pieces([p[1:] if x else p for p, x in zip(pieces, breaks.tolist())])
             if breaks.any():    # the line break's id stands before the word's
                 where = (np.cumsum(got) - got)[breaks]
                 ids, got = np.insert(ids, where, self.line_break), got + breaks
             first = self.n_flat + np.cumsum(got, dtype=np.int64) - got
             begin[new], count[new] = first, got
-            if len(self.key) + len(new) <= self.max_words:
-                if self.n_flat + len(ids) > len(self.flat):
-                    self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat) // 2, len(ids)), self.dtype)])
+            if self.n_words + len(new) <= self.max_words and self.n_flat + len(ids) <= len(self.flat):
                 self.flat[self.n_flat:self.n_flat + len(ids)] = ids
                 self.n_flat += len(ids)
-                flat = self.flat
-                at_key = pos[new]
-                self.key, self.check = np.insert(self.key, at_key, uniq[new]), np.insert(self.check, at_key, check[new])
-                self.begin, self.count = np.insert(self.begin, at_key, first), np.insert(self.count, at_key, got)
+                own = np.flatnonzero(state[new] == 0)
+                self._keep(uniq[new[own]], check[new[own]], slot[new[own]], first[own], got[own])
             else:
                 flat = np.concatenate([self.flat[: self.n_flat], ids])
         return flat, begin[back], count[back]
 
-    @property
-    def line_break(self) -> int:
-        return self.tok.encode("\n", add_special_tokens=False).ids[0]
-
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         data, offsets = column_bytes(column)
         rows = len(offsets) - 1
