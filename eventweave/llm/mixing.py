@@ -47,7 +47,8 @@ def topic(text: str = "text") -> Column:
 def targets(cells: DataFrame, dimension: str, alpha: float) -> DataFrame:
     """(dimension, share): tokens^alpha of each value, of their sum."""
     tokens = cells.groupBy(dimension).agg(F.sum("tokens").alias("t")).withColumn("p", F.when(F.col("t") > 0, F.pow(F.col("t").cast("double"), F.lit(alpha))).otherwise(0.0))
-    return tokens.join(F.broadcast(tokens.agg(F.sum("p").alias("all"))), how="cross").select(dimension, F.when(F.col("all") > 0, F.col("p") / F.col("all")).otherwise(0.0).alias("share"))
+    every = tokens.agg(F.sum("p")).first()[0]
+    return tokens.select(dimension, (F.col("p") / F.lit(every) if every else F.lit(0.0)).alias("share"))
 
 
 def rake(cells: DataFrame, shares: dict[str, DataFrame], *, sweeps: int = SWEEPS) -> DataFrame:
@@ -80,10 +81,11 @@ def mix(docs: DataFrame, *, alphas: dict[str, float] | None = None, shares: dict
     cells = stored(known.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens")), "cells")
     shares = shares or {d: targets(cells, d, a) for d, a in (alphas or ALPHAS).items()}
     raked = stored(rake(cells, shares, sweeps=sweeps), "raked-cells")
-    most = raked.agg(F.max("factor").alias("most"), (F.sum(F.col("factor") * F.col("tokens")) / F.sum("tokens")).alias("mean"))
-    cell = (raked.join(F.broadcast(most), how="cross")                 # one row
-            .select(*DIMENSIONS, F.round(F.coalesce(F.col("factor") / F.col("mean"), F.lit(1.0)), 9).alias("weight"),
-                    F.round(F.coalesce(F.col("factor") / F.col("most"), F.lit(1.0)), 9).alias("probability")))
+    most, mean = raked.agg(F.max("factor"), F.sum(F.col("factor") * F.col("tokens")) / F.sum("tokens")).first()
+
+    def part_of(whole: float | None) -> Column:
+        return F.round(F.coalesce(F.col("factor") / F.lit(whole), F.lit(1.0)) if whole else F.lit(1.0), 9)
+    cell = raked.select(*DIMENSIONS, part_of(mean).alias("weight"), part_of(most).alias("probability"))
     return known.join(cell, list(DIMENSIONS)).withColumn("selected", draw("doc_id", seed) < F.col("probability"))
 
 

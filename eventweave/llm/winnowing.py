@@ -107,12 +107,12 @@ def with_next(rows: DataFrame, key: str, values: list[str], tie: str) -> DataFra
     inside = Window.partitionBy("_cell").orderBy("_sub")
     top = ends.groupBy("_cell").agg(F.max("_sub").alias("_top"), F.min("_sub").alias("_bottom"))
     over = Window.orderBy("_cell")                                                  # <= CELLS + 1 rows
-    edge = top.agg(F.max("_cell").alias("_c1"), F.min(F.struct("_cell", "_bottom")).alias("_last"))
-    around = (top.select("_cell", F.lead(F.struct(F.col("_cell").alias("c"), F.col("_bottom").alias("s"))).over(over).alias("_above"))
-              .crossJoin(F.broadcast(edge)))                                        # one row: the stretch before the first is the last
+    last = top.agg(F.min(F.struct("_cell", "_bottom"))).first()[0]                   # the stretch before the first is the last
+    lowest = F.struct(F.lit(last["_cell"]).alias("c"), F.lit(last["_bottom"]).alias("s"))
+    around = top.select("_cell", F.lead(F.struct(F.col("_cell").alias("c"), F.col("_bottom").alias("s"))).over(over).alias("_above"))
     guests = (ends.withColumn("_up", F.lead("_sub").over(inside)).join(around, "_cell")
               .select("_cell", "_sub", "_first", F.when(F.col("_up").isNotNull(), F.struct(F.col("_cell").alias("c"), F.col("_up").alias("s")))
-                      .otherwise(F.coalesce("_above", F.struct(F.col("_last._cell").alias("c"), F.col("_last._bottom").alias("s")))).alias("_to")))
+                      .otherwise(F.coalesce(F.col("_above"), lowest)).alias("_to")))
     own = F.struct(F.col("_cell").alias("c"), F.col("_sub").alias("s"), F.lit(0).alias("guest"))
     guest = F.struct(F.col("_to.c").alias("c"), F.col("_to.s").alias("s"), F.lit(1).alias("guest"))
     sent = (dealt.join(F.broadcast(guests), ["_cell", "_sub"])
