@@ -25,12 +25,12 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared work folder and read back: cuts the lineage, so a lost
-    executor costs no more than the tasks that read the files."""
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """``df`` written to the shared work folder (with the writer's ``options``) and read back:
+    cuts the lineage, so a lost executor costs no more than the tasks that read the files."""
     spark = df.sparkSession
     path = work_dir(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

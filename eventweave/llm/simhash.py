@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventweave.llm import textops as X
@@ -74,11 +74,12 @@ def fingerprint_rows(block: pa.RecordBatch, words: int, seed: int) -> np.ndarray
     return out
 
 
-def fingerprints(docs: DataFrame, *, words: int = 3, seed: int = 42) -> DataFrame:
+def fingerprints(docs: DataFrame, *, words: int = 3, seed: int = 42, rid: Column | None = None) -> DataFrame:
     """(rid, doc_id, fp): the fingerprint of every row as a long with the same bits; ``rid`` is
-    the row's place in the input."""
+    the row's place in the input, if not given."""
     need(docs, "doc_id", "text")
-    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), no_text_as_empty())
+    place = F.monotonically_increasing_id() if rid is None else rid
+    rows = docs.select(place.alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), no_text_as_empty())
     return by_blocks(rows, "text", lambda b: {"rid": b.column("rid"), "doc_id": b.column("doc_id"), "fp": longs(fingerprint_rows(b, words, seed))},
                      "rid long, doc_id long, fp long", 1 << 19)
 
@@ -338,10 +339,10 @@ def links(distinct: DataFrame, *, most: int, parts: int) -> DataFrame:
     return dealt.mapInArrow(meet, "a long, b long")
 
 
-def grouped(docs: DataFrame, *, words: int, seed: int, most: int, parts: int | None) -> DataFrame:
+def grouped(docs: DataFrame, *, words: int, seed: int, most: int, parts: int | None, rid: Column | None = None) -> DataFrame:
     """(rid, doc_id, fp, best) of every row: ``best`` is the (no_id, doc_id, rid) of the first
     row of its component, by doc_id."""
-    rows = stored(fingerprints(docs, words=words, seed=seed), "fingerprints")
+    rows = stored(fingerprints(docs, words=words, seed=seed, rid=rid), "fingerprints")
     mine = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rid")
     names = stored(rows.groupBy("fp").agg(F.min(mine).alias("least")), "distinct-fingerprints")
     distinct = names.select("fp")
@@ -362,7 +363,7 @@ def near_duplicates(docs: DataFrame, *, words: int = 3, seed: int = 42, most: in
 
 def keep_one(docs: DataFrame, *, words: int = 3, seed: int = 42, most: int = 3, parts: int | None = None) -> DataFrame:
     """One row of every component: the one with the smallest doc_id, the first of equal ones.
-    ``docs`` must be a table scan (or a checkpoint) that reads the same rows again."""
-    gone = stored(grouped(docs, words=words, seed=seed, most=most, parts=parts).filter("rid <> best.rid").select(F.col("rid").alias("_gone")), "near-copies")
-    rows = docs.withColumn("_rid", F.monotonically_increasing_id())
+    Rows are numbered once and written with their number, which both jobs read."""
+    rows = stored(docs.withColumn("_rid", F.monotonically_increasing_id()), "rows", compression="zstd")
+    gone = stored(grouped(rows, words=words, seed=seed, most=most, parts=parts, rid=F.col("_rid")).filter("rid <> best.rid").select(F.col("rid").alias("_gone")), "near-copies")
     return rows.join(gone, rows["_rid"] == gone["_gone"], "left_anti").drop("_rid")

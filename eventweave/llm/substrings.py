@@ -14,8 +14,8 @@ represented by the least hash of its ``GRAM``-word grams, equal windows have the
 a window whose representative occurs once in the corpus occurs once. Equal windows that meet
 in one batch send one of them on; the others are known to be repeated.
 
-Rows are told apart by their place in the input, so ``docs`` must be a table scan (or a
-checkpoint) that reads the same rows again.
+Rows are numbered once and written with their number; every later job reads it from there, so
+the cut falls on the same rows however the input is split in between.
 
 Defined cases: null and empty texts have no words; a text shorter than a window loses
 nothing; equal rows repeat each other; null and repeated doc_ids do not matter; an empty
@@ -167,7 +167,7 @@ def remove_repeats(docs: DataFrame, *, length: int = 35) -> DataFrame:
     need(docs, "text")
     docs = docs.drop("kept_text", "n_words", "n_removed", "spans", "rid", "grams", "at")
     names = docs.columns
-    rows = docs.withColumn("text", F.col("text").cast("string")).withColumn("rid", F.monotonically_increasing_id())
+    rows = stored(docs.withColumn("text", F.col("text").cast("string")).withColumn("rid", F.monotonically_increasing_id()), "rows", compression="zstd")
     seen = stored(anchors(rows, length), "anchors")
     counts = np.zeros(len(PREFIXES) * BUCKETS, np.int64)
     for r in seen.filter("kind = 1").groupBy("h").agg(F.sum("n").alias("n")).collect():       # PREFIXES * BUCKETS rows at most
