@@ -1,5 +1,10 @@
 """Block trees of HTML pages: elements that lay out blocks, the text between them, and what
-describes an element. Lenient like a browser: unclosed and misnested tags are accepted."""
+describes an element. Lenient like a browser: unclosed and misnested tags are accepted.
+
+Raw text (scripts, styles, titles and the like) is skipped to its end tag. Other elements
+that are no page text are left out with their subtree once their own end tag is met; without
+it (also where an element around them ends first, or HTML breaks out of an svg) nothing is
+left out. Text of formulas stays."""
 
 from __future__ import annotations
 
@@ -12,9 +17,16 @@ import numpy as np
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|itemprop|style|aria-label)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
-#: Elements whose content is no page text.
-_SKIPPED = frozenset("script style template textarea title svg iframe noscript select object math video audio canvas".split())
-_END = {t: re.compile(rf"</{t}[\s>]", re.I) for t in _SKIPPED}
+#: Elements whose content is raw text and no page text.
+_RAW = frozenset("script style title textarea iframe".split())
+_END = {t: re.compile(rf"</{t}[\s>]", re.I) for t in _RAW}
+#: Elements that are left out with their subtree.
+_LEFT_OUT = frozenset("template svg noscript select object video audio canvas".split())
+#: Elements of an svg that hold HTML, and start tags that end an svg outside of them.
+_HOLDS_HTML = frozenset("foreignobject desc title".split())
+_BREAKS_OUT = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong "
+                        "strike sub sup table tt u ul var article main section header footer nav aside".split())
+_UNQUOTED = re.compile(r"=\s*[^\s\"'=<>`]+\Z")
 #: Elements that lay out blocks; all others stand inside a line.
 KINDS = {"article": 0, "main": 0, "nav": 1, "menu": 1, "header": 2, "footer": 3, "aside": 4, "section": 5, "div": 6, "p": 7, "blockquote": 7, "pre": 7, "dd": 7, "dt": 7,
          "h1": 8, "h2": 8, "h3": 8, "h4": 8, "h5": 8, "h6": 8, "ul": 9, "ol": 9, "dl": 9, "li": 10, "table": 11, "tbody": 11, "thead": 11, "tfoot": 11, "tr": 11, "td": 11, "th": 11,
@@ -67,23 +79,43 @@ def roles_of(attributes: str) -> int:
     return out
 
 
+def closes_itself(attributes: str) -> bool:
+    """Whether a tag ends with a slash of its own, not with that of an unquoted value."""
+    return attributes.endswith("/") and not _UNQUOTED.search(attributes)
+
+
 def parse(html: str) -> Page:
     page = Page()
+    opened: list[tuple] = []    # elements to leave out, with what there was before them
+    count = dict.fromkeys(_LEFT_OUT | _HOLDS_HTML, 0)
     stack = [0]
     text: list[str] = []
     link, in_link, pos, n = 0, False, 0, len(html)
 
     def flush() -> None:
-        nonlocal link
+        nonlocal link, text
         if text:
             t = " ".join(unescape("".join(text)).split())
             if t:
                 page.unit_node.append(stack[-1])
                 page.unit_text.append(t)
                 page.unit_link.append(min(link, len(t)))
-            text.clear()
+            text = []           # a new list: the old one may have to be restored
         link = 0
 
+    def forget() -> None:
+        """The innermost opened element is no longer left out."""
+        count[opened.pop()[0]] -= 1
+
+    def cut(depth: int) -> None:
+        del stack[depth:]
+        while opened and opened[-1][1] > depth:
+            forget()
+
+    def leave_out(name: str) -> None:
+        opened.append((name, len(stack), text, len(text), link, in_link, len(page.unit_node), len(page.tag), page.roles[0]))
+        count[name] += 1
+
     while pos < n:
         m = _TAG.search(html, pos)
         stop = m.start() if m else n
@@ -98,19 +130,38 @@ def parse(html: str) -> Page:
             continue
         name = m.group(2).lower()
         if m.group(1):
-            if name == "a":
+            if count.get(name):
+                while opened[-1][0] != name:
+                    forget()
+                _, depth, text, size, link, in_link, units, tags, role = opened[-1]
+                forget()
+                for own, keep in ((stack, depth), (text, size), (page.unit_node, units), (page.unit_text, units), (page.unit_link, units),
+                                  (page.tag, tags), (page.parent, tags), (page.roles, tags)):
+                    del own[keep:]
+                page.roles[0] = role
+            elif name == "a":
                 in_link = False
             elif name in KINDS:
                 for k in range(len(stack) - 1, 0, -1):
                     if page.tag[stack[k]] == name:
                         flush()
                         in_link = False
-                        del stack[k:]
+                        cut(k)
                         break
                 else:
                     flush()
             continue
-        if name in _SKIPPED:
+        while opened and opened[-1][0] == "svg" and name in _BREAKS_OUT:
+            forget()
+        in_svg = bool(opened) and opened[-1][0] == "svg"
+        if (in_svg or name == "svg") and closes_itself(m.group(3)):
+            continue
+        if name in _LEFT_OUT or in_svg and name in _HOLDS_HTML:
+            leave_out(name)
+            continue
+        if in_svg and name not in KINDS:        # no raw text in an svg
+            continue
+        if name in _RAW:
             end = _END[name].search(html, pos)
             if end:
                 pos = html.find(">", end.start())
@@ -133,10 +184,10 @@ def parse(html: str) -> Page:
                 stops = _STOPS[name]
             elif page.tag[stack[-1]] == "p":        # a block ends an open paragraph
                 closes, stops = {"p"}, frozenset()
-            for k in range(len(stack) - 1, 0, -1) if closes else ():
+            for k in range(len(stack) - 1, opened[-1][1] - 1 if opened else 0, -1) if closes else ():
                 t = page.tag[stack[k]]
                 if t in closes:
-                    del stack[k:]
+                    cut(k)
                     if name != "tr":
                         break
                 elif t in stops:

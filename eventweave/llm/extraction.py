@@ -15,7 +15,7 @@ text), gives the training pages. Every page of the table is then decoded from it
 
 Defined cases: null, empty and blank html give an empty text; text without elements is judged
 as one element; repeated rows give equal results; an empty table gives no rows; extra columns
-are ignored; broken and unclosed markup is read as browsers do.
+are ignored; broken and unclosed markup is read leniently (``dom``).
 """
 
 from __future__ import annotations

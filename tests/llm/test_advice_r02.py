@@ -4,7 +4,7 @@ from collections import Counter
 
 import pytest
 
-from eventweave.llm import frames, simhash, substrings
+from eventweave.llm import dom, frames, simhash, substrings
 from tests.llm import cases
 from tests.llm.test_dedup import cut_brute, fingerprint_brute, roots_brute
 
@@ -44,3 +44,36 @@ def test_near_copies_keep_their_number_when_splits_shift(spark, tmp_dir, shiftin
             least[k] = min(least.get(k, r.doc_id), r.doc_id)
     kept = simhash.keep_one(docs).collect()
     assert Counter(r.doc_id for r in kept) == Counter(least.get(k) for k in set(roots))
+
+
+@pytest.mark.parametrize("html, want", [
+    ('<svg class="i"/><article><p>b</p></article>', [("p", "b")]),
+    ('a<svg class="i" />c<math/><p>b</p>', [("html", "ac"), ("p", "b")]),
+    ("a<svg><g><text>no</text></g><title>no</title></svg>b", [("html", "ab")]),
+    ("<svg><title>no</svg><p>b</p><title>t</title>c", [("p", "b"), ("html", "c")]),
+    ("<svg><style/><path/></svg><p>b</p>", [("p", "b")]),
+    ("<svg><foreignObject><div>no</div></foreignObject></svg><p>b</p>", [("p", "b")]),
+    ("<svg class=i><path d=x><p>b</p><svg><text>no</text></svg>c", [("p", "b"), ("html", "c")]),
+    ("<svg href=a/><text>no</text></svg><p>b</p>", [("p", "b")]),
+    ("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p>", [("p", "so x=2 holds")]),
+    ("<video src=a><p>b</p>", [("p", "b")]),
+    ("<div><audio src=a></div><p>b</p><audio>no</audio>c", [("p", "b"), ("html", "c")]),
+    ("<div><canvas></div><p>b</p></canvas>c", [("p", "b"), ("html", "c")]),
+    ("<p>b</p><object data=x><p>c</p>", [("p", "b"), ("p", "c")]),
+    ("<nav><select><option>x</nav><p>b</p>", [("nav", "x"), ("p", "b")]),
+    ("<div>a<select><option>no<option>no</select>b</div>", [("div", "ab")]),
+    ("<div>a<video><p>no</p><div>no<ul><li>no</video>b</div>", [("div", "ab")]),
+    ("<template><div>no</div></template><noscript><p>no</p></noscript><p>b", [("p", "b")]),
+    ("<p>a <a href=x>l<object><p>no</p></object>m</a> b</p>", [("p", "a lm b")]),
+    ("a<script>b", [("html", "a")]),
+])
+def test_elements_that_are_left_out(html, want):
+    p = dom.parse(html)
+    assert [(p.tag[u], t) for u, t in zip(p.unit_node, p.unit_text)] == want
+    assert len(p.tag) == len(p.parent) == len(p.roles) and dom.features(p).shape[0] == len(p.tag)
+
+
+def test_many_unclosed_elements_take_linear_time():
+    n = 20_000
+    p = dom.parse("<object>" + "<video><svg>x</audio></div>" * n + "<p>end</p>")
+    assert p.unit_text == ["x"] * n + ["end"]
