@@ -7,6 +7,12 @@ is the probability with which each of its documents is kept, so kept tokens foll
 in expectation and no document is needed twice. The draw is a hash of doc_id: it does not
 depend on partitioning, and a rerun keeps the same documents.
 
+So the cell that is rarest against its target sets the kept share of the whole corpus. With
+``budget`` (tokens) the draw keeps that many tokens in expectation instead: a cell's weight is
+capped at its tokens in every step of the raking, so the others make up for cells that are kept
+whole, and the probability is min(1, c * factor) with c solved over the cells. Values with too
+few tokens for their target then fall short of it. The registered query has no budget.
+
 Targets are shares proportional to tokens^alpha of each value (alpha 1 keeps the corpus, 0
 makes values equal), or a table of shares. Cells are aggregated before any shuffle by them;
 raking only handles cells.
@@ -51,19 +57,38 @@ def targets(cells: DataFrame, dimension: str, alpha: float) -> DataFrame:
     return tokens.select(dimension, (F.col("p") / F.lit(every) if every else F.lit(0.0)).alias("share"))
 
 
-def rake(cells: DataFrame, shares: dict[str, DataFrame], *, sweeps: int = SWEEPS) -> DataFrame:
+def rake(cells: DataFrame, shares: dict[str, DataFrame], *, sweeps: int = SWEEPS, budget: float | None = None) -> DataFrame:
     """``cells`` (dimensions, tokens) with ``factor``, raked weight over tokens. Each step scales
-    the cells of a value to its target; the sums are windows over the cells of the value."""
+    the cells of a value to its target; the sums are windows over the cells of the value. With a
+    ``budget`` targets are tokens of it, and no cell weighs more than its tokens."""
     for d, share in shares.items():
         cells = cells.join(share.withColumnRenamed("share", f"_{d}"), d)
     cells = cells.withColumn("w", F.col("tokens").cast("double"))
     for _ in range(sweeps):
         for d in shares:
             total = F.sum("w").over(Window.partitionBy(d))
-            cells = cells.withColumn("w", F.when(total > 0, F.col("w") * F.col(f"_{d}") / total).otherwise(0.0))
+            goal = F.col("w") * F.col(f"_{d}") / total
+            if budget is not None:
+                goal = F.least(goal * F.lit(float(budget)), F.col("tokens").cast("double"))
+            cells = cells.withColumn("w", F.when(total > 0, goal).otherwise(0.0))
     return cells.withColumn("factor", F.when(F.col("tokens") > 0, F.col("w") / F.col("tokens"))).drop("w", *[f"_{d}" for d in shares])
 
 
+def scale(raked: DataFrame, budget: float) -> float:
+    """c for which the cells' tokens times min(1, c * factor) sum to ``budget``, infinite if they
+    cannot. Every round keeps at least one more cell whole; it ends when none is added."""
+    c, whole = 0.0, -1
+    weight = F.col("factor") * F.col("tokens")
+    while True:
+        full = F.col("factor") * F.lit(c) >= 1
+        n, kept, rest = raked.filter("factor > 0").agg(F.count_if(full), F.sum(F.when(full, F.col("tokens"))), F.sum(F.when(~full, weight))).first()
+        if not rest:
+            return float("inf")
+        if n == whole:
+            return c
+        c, whole = (float(budget) - (kept or 0)) / rest, n
+
+
 def draw(doc_id: str, seed: str) -> Column:
     """A number in [0, 1) from a hash of the id: 32 bits of its MD5."""
     text = F.concat(F.lit(seed + ":"), F.coalesce(F.col(doc_id).cast("string"), F.lit(NONE)))
@@ -71,21 +96,29 @@ def draw(doc_id: str, seed: str) -> Column:
 
 
 def mix(docs: DataFrame, *, alphas: dict[str, float] | None = None, shares: dict[str, DataFrame] | None = None, sweeps: int = SWEEPS,
-        seed: str = SEED, tokens: Column | None = None, topic_of: Column | None = None) -> DataFrame:
+        seed: str = SEED, tokens: Column | None = None, topic_of: Column | None = None, budget: float | None = None) -> DataFrame:
     """``docs`` with ``topic, n_tokens, weight`` (the cell's factor over the mean one),
-    ``probability`` and ``selected``; source, lang and topic are given as they were raked."""
+    ``probability`` and ``selected``; source, lang and topic are given as they were raked.
+    ``budget``: tokens to keep in expectation; None keeps the most at which no cell is capped."""
+    if budget is not None and not budget > 0:
+        raise ValueError("budget must be positive")
     need(docs, "doc_id", "text", "source", "lang")
     own = docs.drop("topic", "n_tokens", "weight", "probability", "selected")
     known = (own.withColumn("n_tokens", words() if tokens is None else tokens).withColumn("topic", topic() if topic_of is None else topic_of)
              .withColumns({d: F.coalesce(F.col(d).cast("string"), F.lit(NONE)) for d in DIMENSIONS}))
     cells = stored(known.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens")), "cells")
     shares = shares or {d: targets(cells, d, a) for d, a in (alphas or ALPHAS).items()}
-    raked = stored(rake(cells, shares, sweeps=sweeps), "raked-cells")
+    raked = stored(rake(cells, shares, sweeps=sweeps, budget=budget), "raked-cells")
     most, mean = raked.agg(F.max("factor"), F.sum(F.col("factor") * F.col("tokens")) / F.sum("tokens")).first()
 
     def part_of(whole: float | None) -> Column:
         return F.round(F.coalesce(F.col("factor") / F.lit(whole), F.lit(1.0)) if whole else F.lit(1.0), 9)
-    cell = raked.select(*DIMENSIONS, part_of(mean).alias("weight"), part_of(most).alias("probability"))
+    chance = part_of(most)
+    if budget is not None:
+        c = scale(raked, budget)
+        part = F.least(F.lit(1.0), F.col("factor") * F.lit(c)) if c != float("inf") else F.when(F.col("factor") > 0, 1.0).otherwise(F.col("factor"))
+        chance = F.round(F.coalesce(part, F.lit(1.0)), 9)
+    cell = raked.select(*DIMENSIONS, part_of(mean).alias("weight"), chance.alias("probability"))
     return known.join(cell, list(DIMENSIONS)).withColumn("selected", draw("doc_id", seed) < F.col("probability"))
 
 

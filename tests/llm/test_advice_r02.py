@@ -1,10 +1,12 @@
 """Cases of the second review."""
 
+import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
-from eventweave.llm import dom, frames, simhash, substrings
+from eventweave.llm import dom, frames, mixing, quality, simhash, substrings
 from tests.llm import cases
 from tests.llm.test_dedup import cut_brute, fingerprint_brute, roots_brute
 
@@ -77,3 +79,33 @@ def test_many_unclosed_elements_take_linear_time():
     n = 20_000
     p = dom.parse("<object>" + "<video><svg>x</audio></div>" * n + "<p>end</p>")
     assert p.unit_text == ["x"] * n + ["end"]
+
+
+def skewed(rare):
+    rows = [(i, "w " * 50, "en", "big", 0) for i in range(2000)] + [(5000 + i, "w " * 50, "en", "small", 0) for i in range(200)]
+    return rows + [(9000 + i, "w " * 40, "xx", "rare", 0) for i in range(rare)]
+
+
+@pytest.mark.parametrize("rare", [0, 1])
+@pytest.mark.parametrize("budget", [1_000, 30_000, 60_000, 109_000])
+def test_draw_to_a_token_budget(spark, rare, budget):
+    docs = spark.createDataFrame(skewed(rare), cases.SCHEMA)
+    rows = mixing.mix(docs, budget=budget).collect()
+    assert len(rows) == 2200 + rare and all(0 <= r.probability <= 1 for r in rows)
+    assert abs(sum(r.n_tokens * r.probability for r in rows) - budget) < 1
+    drawn = sum(r.n_tokens for r in rows if r.selected)
+    assert abs(drawn - budget) < 0.1 * budget + 1000
+    if not rare and budget == 30_000:           # targets are met while no cell is kept whole
+        got = Counter()
+        for r in rows:
+            got[r.source] += r.n_tokens * r.probability
+        want = {s: t ** 0.5 for s, t in (("big", 100_000), ("small", 10_000))}
+        assert abs(got["small"] / budget - want["small"] / sum(want.values())) < 1e-3
+
+
+def test_budget_beyond_the_corpus_keeps_all(spark):
+    rows = mixing.mix(spark.createDataFrame(skewed(3), cases.SCHEMA), budget=10**9).collect()
+    assert all(r.selected and r.probability == 1 for r in rows)
+    assert mixing.mix(spark.createDataFrame([], cases.SCHEMA), budget=10).count() == 0
+    with pytest.raises(ValueError):
+        mixing.mix(spark.createDataFrame([], cases.SCHEMA), budget=0)
