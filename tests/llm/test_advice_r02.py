@@ -81,6 +81,20 @@ def test_many_unclosed_elements_take_linear_time():
     assert p.unit_text == ["x"] * n + ["end"]
 
 
+def test_threshold_counts_only_rows_that_the_score_decides(spark):
+    rng = random.Random(4)
+    good = [(i, cases.prose(rng, 60)) for i in range(300)]
+    short = [(1000 + i, f"zq{i}#") for i in range(40)]          # trusted, but the base rule rejects them
+    docs = spark.createDataFrame(good + short, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i, _ in good + short], "doc_id long, quality int")
+    model = quality.fit(docs, labels)
+    half = {r.doc_id for r in docs.selectExpr("doc_id", "pmod(xxhash64(doc_id), 2) AS h").collect() if r.h == 1}
+    rows = quality.judge(docs, model).collect()
+    scores = [r.score for r in rows if r.doc_id in half and not r.base_failed]
+    assert any(r.base_failed and r.score < min(scores) for r in rows if r.doc_id in half)
+    assert abs(model.threshold - np.percentile(scores, 0.1)) < 1e-9
+
+
 def skewed(rare):
     rows = [(i, "w " * 50, "en", "big", 0) for i in range(2000)] + [(5000 + i, "w " * 50, "en", "small", 0) for i in range(200)]
     return rows + [(9000 + i, "w " * 40, "xx", "rare", 0) for i in range(rare)]
