@@ -6,8 +6,8 @@ prefix of variable length, the shortest of ``PREFIXES`` whose bucket holds at mo
 suffixes of the corpus (the counts come from the first pass), so that a part fits in memory;
 frequent prefixes are split by longer ones, down to the whole window. In a part the suffixes
 are ordered by prefix and by the name (64-bit hash) of their first ``length`` words; a run of
-equal names is a node with its leaves, read as a stream. Maximal repeats are the merged spans
-of such leaves.
+equal names is a node with its leaves, read as a stream. Spans are the unions of such leaves'
+windows; deeper nodes are not derived, so two repeats that touch are one span.
 
 Most suffixes cannot be that deep and are left out beforehand, exactly: every window is
 represented by the least hash of its ``GRAM``-word grams, equal windows have the same one, and
@@ -163,7 +163,7 @@ def deep_leaves(found: DataFrame) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, *, length: int = 35) -> DataFrame:
     """``docs`` with ``kept_text`` (kept words joined by one space), ``n_words``, ``n_removed``
-    and ``spans`` (first word and number of words of every maximal repeated span)."""
+    and ``spans`` (first word and number of words of every stretch covered by repeated windows)."""
     need(docs, "text")
     docs = docs.drop("kept_text", "n_words", "n_removed", "spans", "rid", "grams", "at")
     names = docs.columns
