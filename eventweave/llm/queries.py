@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventweave.llm import extraction, mixing, packing, quality, sharding, simhash, substrings, tokenfile, toxicity, winnowing
+from eventweave.llm import extraction, mixing, packing, quality, sharding, simhash, substrings, tokenfile, toxicity, whitening, winnowing
 from eventweave.llm.frames import read, session
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,3 +109,10 @@ def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 4096 tokens."""
     got = packing.pack(read(spark, sf_dir, "documents"), tokenizer=tokenizer_path("word_bpe_49k.json"), capacity=4096, end_id=1)
     return got.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@register("op11_whitening")
+def whitened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 16 leading whitened components of every embedding."""
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whitening.whiten(rows, whitening.fit(rows))
