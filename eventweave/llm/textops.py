@@ -16,6 +16,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 U = np.uint64
 
@@ -33,8 +34,6 @@ BLOCK = 4 << 20
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
-_rng = np.random.Generator(np.random.PCG64(20240607))
-_BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * U(2) + U(1)
 _MUL = U(0x9E3779B97F4A7C15 | 1)
 _INV = U(pow(int(_MUL), -1, 1 << 64))
 _powers: dict[str, np.ndarray] = {}
@@ -73,8 +72,63 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+_ALL = U(0xFFFFFFFFFFFFFFFF)
+#: Spans of more bytes are hashed one by one.
+LONG = 64
+
+
+def eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from every position on, as little-endian integers (zeros after the end)."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[:len(data)] = data
+    return np.ndarray((len(data) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+
+
+def _lane(view: np.ndarray, at: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Up to eight bytes from ``at`` on, those beyond ``left`` as zeros."""
+    return view[at] & (_ALL >> ((8 - np.minimum(left, 8)) * 8).astype(np.uint64))
+
+
+def byte_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the bytes ``data[start:end]`` of many spans, eight bytes a step. Every
+    step is a bijection of those bytes, so spans of one length up to eight never share a hash;
+    others do as often as random numbers."""
+    n = end - start
+    h = n.astype(np.uint64) * U(0xD6E8FEB86659FD93) ^ U(0x2545F4914F6CDD1D)
+    if len(n) and len(data):
+        view, own = eights(data), np.arange(len(n))
+        for i in range(0, LONG, 8):
+            own = own[(n[own] > i) & (n[own] <= LONG)]
+            if not len(own):
+                break
+            k = _lane(view, start[own] + i, n[own] - i) * U(0x87C37B91114253D5)
+            k = ((k << U(31)) | (k >> U(33))) * U(0x4CF5AD432745937F)
+            g = h[own] ^ k
+            h[own] = ((g << U(27)) | (g >> U(37))) * U(5) + U(0x52DCE729)
+        for i in np.flatnonzero(n > LONG).tolist():
+            h[i] = xxhash.xxh64_intdigest(data[start[i]:end[i]].tobytes(), int(n[i]) & 0xFFFFFFFF)
+    return mix(h)
+
+
+def same_bytes(a: np.ndarray, a_at: np.ndarray, b: np.ndarray, b_at: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Whether ``a[a_at:a_at + n]`` and ``b[b_at:b_at + n]`` are the same bytes, for many spans."""
+    same = np.ones(len(n), bool)
+    if not len(n) or not len(a) or not len(b):
+        return same
+    left, right, own, at = eights(a), eights(b), np.arange(len(n)), 0
+    while len(own := own[same[own] & (n[own] > at)]):
+        if at >= LONG:          # long ones: few, whole
+            for i in own.tolist():
+                same[i] = a[a_at[i] + at:a_at[i] + n[i]].tobytes() == b[b_at[i] + at:b_at[i] + n[i]].tobytes()
+            break
+        same[own] = _lane(left, a_at[own] + at, n[own] - at) == _lane(right, b_at[own] + at, n[own] - at)
+        at += 8
+    return same
+
+
 def span_hashes(codes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hashes of ``codes[start:end]`` for many spans (``codes``: uint64 symbols)."""
+    """64-bit hashes of ``codes[start:end]`` for many spans of at most some dozens of symbols;
+    ``codes`` are hashes themselves (a polynomial of plain bytes would not tell all spans apart)."""
     n = len(codes)
     c = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum(codes * powers(n), out=c[1:])
@@ -135,9 +189,9 @@ def _edges(space: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return flip[0::2], flip[1::2]
 
 
-def split_words(data: np.ndarray, offsets: np.ndarray, apart: np.ndarray = SPACE, code: np.ndarray = _BYTE) -> Words:
+def split_words(data: np.ndarray, offsets: np.ndarray, apart: np.ndarray = SPACE, fold: np.ndarray | None = None) -> Words:
     """Words of every row of a block. Rows are kept apart although their bytes touch.
-    ``apart``: the bytes between words; ``code``: the value of each byte in a word's hash."""
+    ``apart``: the bytes between words; ``fold``: the byte that a word's hash takes for each byte."""
     n = len(data)
     starts, ends, hashes = [], [], []
     pos = 0
@@ -166,7 +220,7 @@ def split_words(data: np.ndarray, offsets: np.ndarray, apart: np.ndarray = SPACE
                 s = np.sort(np.concatenate([s, inner]))
                 e = np.sort(np.concatenate([e, inner]))
         if len(s):
-            hashes.append(span_hashes(code[part], s, e))
+            hashes.append(byte_hashes(part if fold is None else fold[part], s, e))
             starts.append(s + pos)
             ends.append(e + pos)
         pos = stop

@@ -4,9 +4,10 @@ The ``tokenizers`` library does the encoding. Its pre-tokenizers cut every text
 that can be known beforehand (a single space or line break between two visible characters
 for the byte-level file; any ASCII white space for the word-end file), so the ids of a text
 are the ids of its words put together. A worker encodes each word once with the library's
-model and keeps its ids in a numpy hash table of fixed size under the word's 64-bit hash, its
-length and its first bytes; words beyond its bound are encoded again. Texts with other white space
-are encoded whole. The table only saves time: ids are those of encoding the whole text.
+model and keeps its ids and its bytes in a numpy hash table of fixed size under the word's 64-bit
+hash; a word found there is compared with those bytes, and words beyond the bounds are encoded
+again. Texts with other white space are encoded whole. The table only saves time: ids are those
+of encoding the whole text.
 """
 
 from __future__ import annotations
@@ -18,9 +19,10 @@ import numpy as np
 import pyarrow as pa
 import regex
 
-from eventweave.llm.textops import SPACE, WORKER_TABLES, Words, column_bytes, split_words
+from eventweave.llm.textops import LONG, SPACE, WORKER_TABLES, Words, column_bytes, same_bytes, split_words
 
-#: Words whose ids one Python worker keeps (about 80 bytes each, allocated at once).
+#: Words whose ids one Python worker keeps (about 100 bytes each, allocated at once); words of more
+#: than ``LONG`` bytes are not kept.
 MAX_WORDS = 400_000
 #: Pre-tokens kept beside them (about 200 bytes each).
 MAX_PARTS = 40_000
@@ -44,7 +46,6 @@ def _byte_alphabet() -> dict[int, str]:
 _ALPHABET = _byte_alphabet()
 
 
-_FIRST = np.uint64(0xFFFFFFFFFFFFFFFF)
 #: Bytes that may start white space beyond ASCII, or separators that libraries see differently.
 _UNSURE = np.zeros(256, dtype=bool)
 _UNSURE[[0xC2, 0xE1, 0xE2, 0xE3, 0xEF, 0x1C, 0x1D, 0x1E, 0x1F]] = True
@@ -69,7 +70,10 @@ class WordEncoder:
         slots = 1 << (2 * max(max_words, 8)).bit_length()       # open addressing, at most half full
         self.mask, self.n_words = slots - 1, 0
         self.key = np.zeros(slots, np.uint64)                   # 0: free
-        self.check = np.zeros(slots, np.uint64)
+        self.word = np.zeros(slots, np.int32)                   # where its bytes begin
+        self.size = np.zeros(slots, np.int8)                    # and how many there are
+        self.kind = np.zeros(slots, np.int8)
+        self.pool, self.n_pool = np.zeros(16 * max(max_words, 8), np.uint8), 0
         self.begin = np.zeros(slots, np.int32)
         self.count = np.zeros(slots, np.int32)
         self.flat = np.zeros(8 * max(max_words, 8), self.dtype)
@@ -105,7 +109,7 @@ class WordEncoder:
         return [np.array(self.tok.encode(t, add_special_tokens=False).ids, dtype=self.dtype) for t in texts]
 
     # -- the table ------------------------------------------------------------------------
-    def _find(self, keys: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _find(self, keys: np.ndarray, data: np.ndarray, start: np.ndarray, n: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(slot where each key stands or its probing ended, 1 known / 0 free slot / -1 another word's)."""
         slot = (keys & np.uint64(self.mask)).astype(np.int64)
         state = np.zeros(len(keys), np.int8)
@@ -113,19 +117,27 @@ class WordEncoder:
         while len(left):
             have = self.key[slot[left]]
             same = have == keys[left]
-            state[left[same]] = np.where(self.check[slot[left[same]]] == check[left[same]], 1, -1)
+            hit = left[same]
+            own = (self.size[slot[hit]] == n[hit]) & (self.kind[slot[hit]] == kind[hit])
+            own[own] = same_bytes(self.pool[:self.n_pool], self.word[slot[hit[own]]].astype(np.int64), data, start[hit[own]], n[hit[own]])
+            state[hit] = np.where(own, 1, -1)
             left = left[~same & (have != 0)]
             slot[left] = (slot[left] + 1) & self.mask
         return slot, state
 
-    def _keep(self, keys: np.ndarray, check: np.ndarray, slot: np.ndarray, first: np.ndarray, n: np.ndarray) -> None:
+    def _keep(self, keys: np.ndarray, data: np.ndarray, start: np.ndarray, size: np.ndarray, kind: np.ndarray,
+              slot: np.ndarray, first: np.ndarray, n: np.ndarray) -> None:
+        word = self.n_pool + np.cumsum(size) - size
+        self.pool[self.n_pool:self.n_pool + int(size.sum())] = data[np.repeat(start - (word - self.n_pool), size) + np.arange(int(size.sum()))]
+        self.n_pool += int(size.sum())
         slot, left = slot.copy(), np.arange(len(keys))
         while len(left):
             free = left[self.key[slot[left]] == 0]
             _, one = np.unique(slot[free], return_index=True)          # one word a slot; the others go on
             won = free[one]
             at = slot[won]
-            self.key[at], self.check[at], self.begin[at], self.count[at] = keys[won], check[won], first[won], n[won]
+            self.key[at], self.begin[at], self.count[at] = keys[won], first[won], n[won]
+            self.word[at], self.size[at], self.kind[at] = word[won], size[won], kind[won]
             left = left[self.key[slot[left]] != keys[left]]
             slot[left] = (slot[left] + 1) & self.mask
         self.n_words += len(keys)
@@ -134,12 +146,17 @@ class WordEncoder:
         """(flat ids, begin, count) of every word; kind: 0 bare, 1 after a space, 2 after a line break."""
         keys = np.maximum(w.hash ^ (kind.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25)), np.uint64(1))
         uniq, at, back = np.unique(keys, return_index=True, return_inverse=True)
-        s, n = w.start[at], w.end[at] - w.start[at]
-        padded = np.concatenate([w.data, np.zeros(8, np.uint8)])
-        lead = np.lib.stride_tricks.sliding_window_view(padded, 8)[s].copy().view(np.uint64)[:, 0]
-        lead &= _FIRST >> (np.uint64(8) * (8 - np.minimum(n, 8)).astype(np.uint64))
-        check = lead ^ (n.astype(np.uint64) << np.uint64(40)) ^ kind[at].astype(np.uint64)
-        slot, state = self._find(uniq, check)
+        # words that only share a hash stand for themselves
+        size = w.end - w.start
+        like = at[back]
+        other = (size != size[like]) | (kind != kind[like])
+        more = np.flatnonzero(~other & (like != np.arange(len(like))))
+        other[more] = ~same_bytes(w.data, w.start[more], w.data, w.start[like[more]], size[more])
+        alone = np.flatnonzero(other)
+        back[alone] = len(uniq) + np.arange(len(alone))
+        uniq, at = np.concatenate([uniq, keys[alone]]), np.concatenate([at, alone])
+        s, n, kinds = w.start[at], size[at], kind[at]
+        slot, state = self._find(uniq, w.data, s, n, kinds)
         known = state == 1
         begin, count = np.zeros(len(uniq), np.int64), np.zeros(len(uniq), np.int32)
         begin[known], count[known] = self.begin[slot[known]], self.count[slot[known]]
@@ -147,19 +164,21 @@ class WordEncoder:
         new = np.flatnonzero(~known)
         if len(new):
             raw, lead_in = w.data.tobytes(), ("", " ", "")
-            pieces = [lead_in[k] + raw[a:a + m].decode() for a, m, k in zip(s[new].tolist(), n[new].tolist(), kind[at[new]].tolist())]
+            pieces = [lead_in[k] + raw[a:a + m].decode() for a, m, k in zip(s[new].tolist(), n[new].tolist(), kinds[new].tolist())]
             ids, got = self._pieces(pieces)
-            breaks = kind[at[new]] == 2
+            breaks = kinds[new] == 2
             if breaks.any():    # the line break's id stands before the word's
                 where = (np.cumsum(got) - got)[breaks]
                 ids, got = np.insert(ids, where, self.line_break), got + breaks
             first = self.n_flat + np.cumsum(got, dtype=np.int64) - got
             begin[new], count[new] = first, got
-            if self.n_words + len(new) <= self.max_words and self.n_flat + len(ids) <= len(self.flat):
+            own = np.flatnonzero((state[new] == 0) & (n[new] <= LONG) & (new < len(uniq) - len(alone)))
+            if (self.n_words + len(own) <= self.max_words and self.n_flat + len(ids) <= len(self.flat)
+                    and self.n_pool + int(n[new[own]].sum()) <= len(self.pool)):
                 self.flat[self.n_flat:self.n_flat + len(ids)] = ids
                 self.n_flat += len(ids)
-                own = np.flatnonzero(state[new] == 0)
-                self._keep(uniq[new[own]], check[new[own]], slot[new[own]], first[own], got[own])
+                kept = new[own]
+                self._keep(uniq[kept], w.data, s[kept], n[kept], kinds[kept], slot[kept], first[own], got[own])
             else:
                 flat = np.concatenate([self.flat[: self.n_flat], ids])
         return flat, begin[back], count[back]

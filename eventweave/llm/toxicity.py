@@ -38,8 +38,8 @@ MAX_LABELLED = 200_000
 
 _APART = X.SPACE.copy()
 _APART[[b for b in range(128) if not chr(b).isalnum()]] = True
-_LOWER = X._BYTE.copy()
-_LOWER[0x41:0x5B] = X._BYTE[0x61:0x7B]
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 0x20
 
 
 def features(data: np.ndarray, offsets: np.ndarray) -> tuple[X.Words, list[np.ndarray]]:
@@ -53,7 +53,7 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[X.Words, list[np.nd
             s, e = w.start[lo:lo + (1 << 17)], w.end[lo:lo + (1 << 17)]
             base = int(s[0])
             part = _LOWER[data[base:int(e[-1])]]
-            h[lo:lo + len(s)] = X.span_hashes(part, s - base, np.minimum(e, s + k) - base)
+            h[lo:lo + len(s)] = X.byte_hashes(part, s - base, np.minimum(e, s + k) - base)
         out.append(h ^ np.uint64(k * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
     return w, out
 
