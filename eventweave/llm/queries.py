@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventweave.llm import extraction, mixing, packing, quality, sharding, simhash, substrings, tokenfile, toxicity, whitening, winnowing
+from eventweave.llm import extraction, lexical, mixing, packing, quality, sharding, simhash, substrings, tokenfile, toxicity, whitening, winnowing
 from eventweave.llm.frames import read, session
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,3 +116,9 @@ def whitened(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 16 leading whitened components of every embedding."""
     rows = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return whitening.whiten(rows, whitening.fit(rows))
+
+
+@register("op13_lexical_search", lexical.ORACLE)
+def ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return lexical.search(lexical.build(read(spark, sf_dir, "documents")), read(spark, sf_dir, "benchmark"))
