@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventweave.llm import extraction, lexical, mixing, packing, quality, sharding, simhash, substrings, tokenfile, toxicity, whitening, winnowing
+from eventweave.llm import extraction, lexical, linequality, mixing, packing, quality, sharding, simhash, substrings, tokenfile, toxicity, whitening, winnowing
 from eventweave.llm.frames import read, session
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,6 +118,20 @@ def whitened(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(rows, whitening.fit(rows))
 
 
+def line_held_out():
+    """Rows whose quality labels are never learnt from."""
+    return F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+
+
+@register("op12_quality_classifier")
+def line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; labels come from the rows that are not held out."""
+    docs = read(spark, sf_dir, "documents")
+    model = linequality.fit(docs, read(spark, sf_dir, "labels").filter(~line_held_out()))
+    got = linequality.score(docs, model)
+    return got.select("doc_id", F.coalesce(line_held_out(), F.lit(False)).alias("held_out"), "score", "predicted", "n_lines", "n_bad_lines")
+
+
 @register("op13_lexical_search", lexical.ORACLE)
 def ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best documents of every benchmark item."""

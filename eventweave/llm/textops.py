@@ -247,6 +247,15 @@ def per_row(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return c[first[1:]] - c[first[:-1]]
 
 
+def per_row_float(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The same for doubles; each row is summed for itself, so rows do not touch each other."""
+    out = np.zeros(len(first) - 1)
+    some = np.diff(first) > 0
+    if some.any():
+        out[some] = np.add.reduceat(values.astype(float), first[:-1][some])
+    return out
+
+
 def ordered(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     """Stable order by two keys."""
     return np.lexsort((second, first))
