@@ -28,10 +28,13 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     """``df`` written to the shared work folder (with the writer's ``options``) and read back:
     cuts the lineage, so a lost executor costs no more than the tasks that read the files."""
-    spark = df.sparkSession
-    path = work_dir(spark, name)
+    return stored_at(df, work_dir(df.sparkSession, name), **options)
+
+
+def stored_at(df: DataFrame, path: str, **options: str) -> DataFrame:
+    """The same in a given folder, for a table that is removed after its last reader."""
     df.write.options(**options).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def by_blocks(df: DataFrame, column: str, fn: Callable[[pa.RecordBatch], pa.RecordBatch | dict | None],

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import _parse_datatype_string
 
 from eventweave.llm import textops as X
-from eventweave.llm.frames import arrow_schema, need, record_batch, stored
+from eventweave.llm.frames import arrow_schema, need, record_batch, stored, stored_at
 from eventweave.session import work_dir
 from eventweave.sinks.tables import remove_folder
 
@@ -184,8 +184,7 @@ def build(docs: DataFrame) -> Index:
     need(docs, "doc_id", "text")
     spark = docs.sparkSession
     path = work_dir(spark, "segments")
-    segments(docs).write.option("compression", "zstd").parquet(path)
-    parts = spark.read.schema(_parse_datatype_string(SEGMENT)).parquet(path)
+    parts = stored_at(segments(docs), path, compression="zstd")
     sums = parts.agg(F.sum("with_terms").alias("n"), F.sum("total").alias("l")).first()
     n_docs, total = int(sums["n"] or 0), int(sums["l"] or 0)
     words = stored(lexicon(parts), "lexicon", compression="zstd")

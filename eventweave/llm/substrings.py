@@ -32,7 +32,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from eventweave.llm import textops as X
-from eventweave.llm.frames import by_blocks, longs, need, stored
+from eventweave.llm.frames import by_blocks, longs, need, stored, stored_at
+from eventweave.session import work_dir
+from eventweave.sinks.tables import remove_folder
 
 GRAM = 8
 #: Prefix lengths in words; the whole window comes after them.
@@ -102,9 +104,9 @@ def anchors(docs: DataFrame, length: int) -> DataFrame:
 
 
 def suffixes(texts: DataFrame, counts: np.ndarray, length: int) -> DataFrame:
-    """Suffixes that may be deep: (part, name, rid, pos, sure). ``texts`` has rid, text and
+    """Suffixes that may be deep: (part, name, rid, pos, n, sure). ``texts`` has rid, text and
     ``grams``, the repeated representatives of the text. Of equal windows in a batch one is
-    sent to its part (``sure``), the others carry part -1."""
+    sent to its part (``sure``); the others carry part -1, runs of ``n`` neighbours as one row."""
     small = counts <= GROUP
 
     def run(block: pa.RecordBatch) -> dict | None:
@@ -127,16 +129,24 @@ def suffixes(texts: DataFrame, counts: np.ndarray, length: int) -> DataFrame:
         sure = n[back] > 1
         lead = np.zeros(len(at), bool)
         lead[first] = True
-        return {"part": np.where(lead, part, -1), "name": longs(name), "rid": block.column("rid").to_numpy()[w.row[at]],
-                "pos": (at - w.first[w.row[at]]), "sure": pa.array(sure)}
+        others = at[~lead]
+        starts = np.ones(len(others), bool)
+        starts[1:] = (others[1:] != others[:-1] + 1) | (w.row[others[1:]] != w.row[others[:-1]])
+        begin = np.flatnonzero(starts)
+        n = np.concatenate([np.ones(int(lead.sum()), np.int64), np.diff(np.concatenate([begin, [len(others)]]))])
+        some = np.concatenate([at[lead], others[begin]])
+        few = len(begin)
+        return {"part": np.concatenate([part[lead], np.full(few, -1)]), "name": longs(np.concatenate([name[lead], np.zeros(few, np.uint64)])),
+                "rid": block.column("rid").to_numpy()[w.row[some]], "pos": some - w.first[w.row[some]], "n": n,
+                "sure": pa.array(np.concatenate([sure[lead], np.ones(few, bool)]))}
 
-    return by_blocks(texts.select("rid", "text", "grams"), "text", run, "part long, name long, rid long, pos long, sure boolean", _BLOCK)
+    return by_blocks(texts.select("rid", "text", "grams"), "text", run, "part long, name long, rid long, pos long, n long, sure boolean", _BLOCK)
 
 
 def deep_leaves(found: DataFrame) -> DataFrame:
-    """(rid, pos) of the suffixes below nodes of the window's depth. Every part is one sorted
+    """(rid, pos, n) of the suffixes below nodes of the window's depth. Every part is one sorted
     stream; only the last suffix of a batch is carried on."""
-    dealt = found.filter("part >= 0").repartition("part").sortWithinPartitions("part", "name")
+    dealt = found.filter("part >= 0").drop("n").repartition("part").sortWithinPartitions("part", "name")
 
     def run(batches):
         last = None             # (part, name, rid, pos, given): the leaf that may have a twin in the next batch
@@ -158,7 +168,7 @@ def deep_leaves(found: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"rid": pa.array(np.concatenate([rid[deep], np.array(extra_rid, np.int64)])),
                                               "pos": pa.array(np.concatenate([pos[deep], np.array(extra_pos, np.int64)]))})
 
-    return dealt.mapInArrow(run, "rid long, pos long").union(found.filter("part < 0").select("rid", "pos"))
+    return dealt.mapInArrow(run, "rid long, pos long").withColumn("n", F.lit(1).cast("long")).union(found.filter("part < 0").select("rid", "pos", "n"))
 
 
 def remove_repeats(docs: DataFrame, *, length: int = 35) -> DataFrame:
@@ -168,15 +178,17 @@ def remove_repeats(docs: DataFrame, *, length: int = 35) -> DataFrame:
     docs = docs.drop("kept_text", "n_words", "n_removed", "spans", "rid", "grams", "at")
     names = docs.columns
     rows = stored(docs.withColumn("text", F.col("text").cast("string")).withColumn("rid", F.monotonically_increasing_id()), "rows", compression="zstd")
-    seen = stored(anchors(rows, length), "anchors")
+    spark, place = docs.sparkSession, work_dir(docs.sparkSession, "anchors")
+    seen = stored_at(anchors(rows, length), place, compression="zstd")
     counts = np.zeros(len(PREFIXES) * BUCKETS, np.int64)
     for r in seen.filter("kind = 1").groupBy("h").agg(F.sum("n").alias("n")).collect():       # PREFIXES * BUCKETS rows at most
         counts[r["h"]] = r["n"]
     grams = seen.filter("kind = 0").select("rid", "h")
     twice = grams.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
     lists = grams.distinct().join(twice, "h").groupBy("rid").agg(F.collect_list("h").alias("grams"))      # at most a text's own grams
-    found = stored(suffixes(rows.select("rid", "text").join(lists, "rid"), counts.reshape(len(PREFIXES), BUCKETS), length), "suffixes")
-    leaves = deep_leaves(found).groupBy("rid").agg(F.collect_list("pos").alias("at"))
+    found = stored(suffixes(rows.select("rid", "text").join(lists, "rid"), counts.reshape(len(PREFIXES), BUCKETS), length), "suffixes", compression="zstd")
+    remove_folder(spark, place)         # its last reader is done
+    leaves = deep_leaves(found).groupBy("rid").agg(F.collect_list(F.struct("pos", "n")).alias("at"))
     schema = StructType([*docs.schema.fields, StructField("kept_text", StringType()), StructField("n_words", LongType()), StructField("n_removed", LongType()),
                          StructField("spans", ArrayType(StructType([StructField("first", LongType()), StructField("words", LongType())])))])
 
@@ -185,7 +197,9 @@ def remove_repeats(docs: DataFrame, *, length: int = 35) -> DataFrame:
         w = X.split_words(data, offsets)
         lists = block.column("at").fill_null([])
         row = np.repeat(np.arange(block.num_rows), np.diff(np.asarray(lists.offsets)))
-        at = np.asarray(lists.values.slice(lists.offsets[0].as_py(), len(row))) + w.first[row]
+        runs = lists.values.slice(lists.offsets[0].as_py(), len(row))
+        at, n = (np.asarray(runs.field(c)) for c in ("pos", "n"))
+        at = np.repeat(at + w.first[row], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         gone = X.covered(len(w.hash), at, length) if len(at) else np.zeros(len(w.hash), bool)
         size = np.where(gone, 0, w.end - w.start + 1)              # a kept word and the space after it
         place = np.concatenate([[0], np.cumsum(size)])
