@@ -7,7 +7,9 @@ composition of the operators, sources and sinks of this package; tables live und
 
 from __future__ import annotations
 
+import datetime as dt
 import json
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
@@ -19,6 +21,7 @@ from eventweave.plans.sync import run_incremental
 from eventweave.schemas import EVENT_METRICS, EVENTS, LAKE_BY_DAY, ORDERS, QUARANTINE
 from eventweave.session import prepare
 from eventweave.sinks.export import event_records, publish, publish_records
+from eventweave.sinks.snapshots import Between
 from eventweave.sinks.tables import AppendTable, InsertOnceTable, KeyedTable, read_table
 from eventweave.sources.catalogs import Router, Workload
 from eventweave.sources.files import read_event_files
@@ -28,6 +31,15 @@ from eventweave.streaming.fanout import FanOut, Transform, default_transform, ru
 ORDER = ("partition", "offset")
 
 
+def since_bounds(since: str) -> list[Between]:
+    """The bound of a sync as a condition on parts and files; none if it is no plain ISO time."""
+    try:
+        dt.datetime.fromisoformat(since)
+    except ValueError:
+        return []
+    return [Between("occurred_at", since)]
+
+
 @dataclass
 class Engine:
     spark: SparkSession
@@ -84,20 +96,20 @@ class Engine:
     # -- sync (T8) ----------------------------------------------------------------
     def sync(self, since: str, *, warehouse: bool = True) -> dict[str, int]:
         """Lake rows since ``since`` -> per-type summary table (+ warehouse copy)."""
-        return run_incremental(self.spark, self.lake.read(self.spark), since, summary_path=f"{self.root}/type_summary",
+        return run_incremental(self.spark, self.lake.read(self.spark, since_bounds(since)), since, summary_path=f"{self.root}/type_summary",
                                warehouse_path=f"{self.root}/warehouse_events" if warehouse else None, date_col="event_date")
 
     # -- query (U1) and federation (J1-J7) ----------------------------------------
-    def mounted(self, workload: Workload) -> dict[str, DataFrame]:
-        """The root's tables by the names that SQL of a workload knows them by."""
+    def mounted(self, workload: Workload, sql: str | None = None) -> dict[str, DataFrame]:
+        """The root's tables by the names that SQL of a workload knows them by; with ``sql`` those
+        whose names occur in it (a table is listed when it is read)."""
         spark = self.spark
         own = {"orders": lambda: self.orders.read(spark, ORDERS), "serving_events": lambda: self.events.read(spark),
                "event_metrics": lambda: self.metrics.read(spark), "lake_events": lambda: self.lake.read(spark),
                "events": lambda: self.events.read(spark) if workload in (Workload.OLTP, Workload.HTAP) else self.lake.read(spark)}
-        tables = {name: read() for name, read in own.items()}
         for qualified, table in self.tables.items():
-            tables.setdefault(qualified.rpartition(".")[2], read_table(spark, table) if isinstance(table, str) else table)
-        return tables
+            own.setdefault(qualified.rpartition(".")[2], lambda t=table: read_table(spark, t) if isinstance(t, str) else t)
+        return {name: read() for name, read in own.items() if sql is None or re.search(rf"\b{re.escape(name)}\b", sql, re.IGNORECASE)}
 
     def query(self, sql: str, workload: Workload | str | None = None,
               args: Sequence[Any] | Mapping[str, Any] | None = None, *,
@@ -109,7 +121,7 @@ class Engine:
             return self.federate(sources, **join)
         if label in self.router.routes:
             return self.router.query(self.spark, sql, label, args)
-        names = self.mounted(label)
+        names = self.mounted(label, sql)
         # Analysed here, so the names are only needed for a moment; a caller's views come back.
         before = {t.name: self.spark.table(t.name) for t in self.spark.catalog.listTables() if t.isTemporary and t.name in names}
         for n, df in names.items():

@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 
 def _pick(df: DataFrame, key: str, order_cols: Sequence[str], newest: bool) -> DataFrame:
+    if not order_cols:
+        raise ValueError("name the columns that order the versions of a key")
     values = [c for c in df.columns if c != key]
     if not values:
         return df.select(key).distinct()
-    order = F.struct(*[F.col(c) for c in order_cols]) if order_cols else F.monotonically_increasing_id()
+    order = F.struct(*[F.col(c) for c in order_cols])
     row = F.struct(*[F.col(c) for c in values])
     pick = F.max_by(row, order) if newest else F.min_by(row, order)
     # max_by/min_by aggregate partially before the shuffle: a key with many versions

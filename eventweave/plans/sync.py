@@ -15,7 +15,7 @@ from eventweave.operators.summary import run_stats, since_filter, type_summary
 from eventweave.schemas import LAKE_EVENTS
 from eventweave.sinks.export import bulk_load, load_summary
 from eventweave.session import work_dir
-from eventweave.sinks.tables import remove_folder
+from eventweave.sinks.snapshots import remove_folder
 
 
 def run_incremental(spark: SparkSession, lake: DataFrame | str, since: str, *,

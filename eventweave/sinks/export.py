@@ -3,7 +3,6 @@ bulk load of staged Parquet (K7) and the summary load (K8)."""
 
 from __future__ import annotations
 
-import time
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +12,8 @@ from pyspark.sql.types import (BinaryType, DateType, DecimalType, StructType, Ti
 
 from eventweave.operators.canonical import OK, STATUS
 from eventweave.sources.files import read_staged
-from eventweave.sinks.tables import RUN_COL, append_to_table, read_table, replace_folder
+from eventweave.sinks.snapshots import SnapshotLog
+from eventweave.sinks.tables import AppendTable, append_to_table, read_table
 
 _TO_JSON_KEEP_NULLS = {"ignoreNullFields": "false"}
 _TEXT_TYPES = (DateType, TimestampType, TimestampNTZType, DecimalType, BinaryType)
@@ -33,12 +33,16 @@ def keyed_records(df: DataFrame, *, key_col: str | None = "event_id", topic: str
     return df.select(*[c for c in ("partition", "offset") if c in df.columns], *out)
 
 
-def with_offsets(records: DataFrame) -> DataFrame:
+#: Offsets of one publish into a file topic.
+OFFSETS = 1 << 40
+
+
+def with_offsets(records: DataFrame, topic_path: str) -> DataFrame:
     """``records`` with a partition and an offset, for a topic that is a folder: offsets follow
-    the row order and those of earlier publishes (they start at the clock's microseconds, a
-    thousand a microsecond). ``records`` should be cached: it is counted by partition first."""
+    the row order and those of earlier publishes (every publish takes the topic's next number, no
+    clock). ``records`` should be cached: it is counted by partition first."""
     counts = {r[0]: r[1] for r in records.groupBy(F.spark_partition_id()).count().collect()}     # one row a partition
-    base, starts = (time.time_ns() // 1000) << 10, []
+    base, starts = SnapshotLog(records.sparkSession, topic_path).next_version() * OFFSETS, []
     for pid in sorted(counts):
         starts.append((pid, base))
         base += counts[pid]
@@ -69,7 +73,7 @@ def publish_records(records: DataFrame, topic: str, *, fmt: str = "json", path:
         return
     cached = records.select("key", "value").persist()
     try:
-        _write_topic(with_offsets(cached), topic, path, options)
+        _write_topic(with_offsets(cached, path), topic, path, options)
     finally:
         cached.unpersist()
 
@@ -105,10 +109,9 @@ def export_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     as_json_safe(df).write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
-def run_folder(path: str, run_id: str | None) -> str:
-    """The folder that one run owns in a path table."""
-    safe = "".join(c if c.isalnum() or c in "-." else "_" for c in run_id or "default")
-    return f"{path}/{RUN_COL}=r-{safe}"
+def load_run(df: DataFrame, path: str, run_id: str | None) -> int:
+    """The rows of one run in a path table; the same run loaded again replaces them."""
+    return AppendTable(path).write(df, 0, f"run-{run_id or 'default'}")
 
 
 def bulk_load(spark: SparkSession, staging: str, schema: StructType, *, table: str | None = None,
@@ -121,7 +124,7 @@ def bulk_load(spark: SparkSession, staging: str, schema: StructType, *, table: s
         return append_to_table(staged, table)
     if path is None:
         raise ValueError("give a table or a path")
-    return replace_folder(staged, run_folder(path, run_id))
+    return load_run(staged, path, run_id)
 
 
 def load_summary(summary: DataFrame, *, table: str | None = None, path: str | None = None,
@@ -132,7 +135,7 @@ def load_summary(summary: DataFrame, *, table: str | None = None, path: str | No
         return append_to_table(summary, table)
     if path is None:
         raise ValueError("give a table or a path")
-    return replace_folder(summary, run_folder(path, run_id))
+    return load_run(summary, path, run_id)
 
 
 __all__ = ["as_json_safe", "bulk_load", "export_json", "keyed_records", "load_summary", "publish",

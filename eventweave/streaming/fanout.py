@@ -33,7 +33,7 @@ from eventweave.functions import fields as J
 from eventweave.operators import canonical as C
 from eventweave.operators import projections as P
 from eventweave.schemas import CANONICAL
-from eventweave.sinks.tables import folder_exists
+from eventweave.sinks.snapshots import folder_exists
 
 ORDER_COLS = ("partition", "offset")
 

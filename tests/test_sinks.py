@@ -95,13 +95,14 @@ def test_upsert_writes_only_its_batch_and_survives_a_failed_write(spark, tmp_dir
     assert tbl.read(spark).count() == 50
     tbl.write(_versions(spark, [("k1", "new", None, None, 0, 99)]), 1, "s-1")
     tbl.write(_versions(spark, [("k2", "other", None, None, 0, 0)]), 0, "s-2")     # another stream, written later
-    files = spark.read.parquet(f"{tbl.path}/stream_id=s-1/batch_id=1")
-    assert files.count() == 1                                    # the batch, not the table
+    assert [p.rows for p in tbl.snapshot(spark).of_batch("s-1", 1)] == [1]          # the batch, not the table
     want = sorted([(f"k{i}", {1: "new", 2: "other"}.get(i, "old"), None) for i in range(50)])
     assert _table_rows(tbl.read(spark)) == want
     assert tbl.compact(spark) == 50 and _table_rows(tbl.read(spark)) == want
     assert tbl.compact(spark) == 50 and _table_rows(tbl.read(spark)) == want
-    assert T.KeyedTable(tmp_dir("none"), EVENTS).read(spark).count() == 0
+    assert T.KeyedTable(tmp_dir("none"), EVENTS, order_cols=("offset",)).read(spark).count() == 0
+    with pytest.raises(ValueError, match="order"):
+        T.KeyedTable(tmp_dir("none"), EVENTS)                    # ties would be decided by chance
 
 
 def test_merge_text_quotes_names():

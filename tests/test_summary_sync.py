@@ -63,7 +63,7 @@ def test_run_incremental_loads_and_early_exit(spark, lake, tmp_dir):
     assert read_table(spark, wh).count() == 15             # the run replaces its own rows
     # a re-run with the same run id replaces its summary rows
     run_incremental(spark, lake, "2026-05-25T12:00:00Z", summary_path=summary_path, run_id="r1")
-    assert spark.read.parquet(summary_path).count() == 5
+    assert read_table(spark, summary_path).count() == 5
     assert run_incremental(spark, lake, "2026-06-01T00:00:00Z", summary_path=summary_path) == {"iceberg_rows": 0}
 
 
