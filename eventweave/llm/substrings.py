@@ -77,8 +77,8 @@ def prefix_buckets(w: X.Words, words: int, count: int) -> np.ndarray:
 
 
 def anchors(docs: DataFrame, length: int) -> DataFrame:
-    """One pass over all texts: kind 0: (rid, h) of every gram that represents a window;
-    kind 1: (bucket h, n) counts of suffixes by prefix, summed over a task."""
+    """One pass over all texts: kind 0: (rid, h, n) of every gram that represents a window, once
+    a text; kind 1: (bucket h, n) counts of suffixes by prefix, summed over a task."""
     def run(batches):
         X.drop_worker_tables()
         counts, gram = np.zeros((len(PREFIXES), BUCKETS), np.int64), min(GRAM, length)
@@ -94,9 +94,14 @@ def anchors(docs: DataFrame, length: int) -> DataFrame:
                 edge = np.zeros(length - gram, np.uint64)
                 chosen = slide(np.concatenate([edge, low, edge]), length - gram + 1, np.maximum) == grams[: len(low) + length - gram]
                 at = np.flatnonzero(chosen)
-                rid = block.column("rid").to_numpy()[w.row[at]]
-                yield pa.RecordBatch.from_pydict({"kind": pa.array(np.zeros(len(at), np.int8)), "rid": pa.array(rid),
-                                                  "h": pa.array(longs(grams[at])), "n": pa.array(np.ones(len(at), np.int64))})
+                if not len(at):
+                    continue
+                row, h = w.row[at], grams[at]
+                o = X.ordered(row, h)
+                row, h = row[o], h[o]
+                begin = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (h[1:] != h[:-1])]))
+                yield pa.RecordBatch.from_pydict({"kind": pa.array(np.zeros(len(begin), np.int8)), "rid": pa.array(block.column("rid").to_numpy()[row[begin]]),
+                                                  "h": pa.array(longs(h[begin])), "n": pa.array(np.diff(np.concatenate([begin, [len(h)]])))})
         level, bucket = np.nonzero(counts)
         yield pa.RecordBatch.from_pydict({"kind": pa.array(np.ones(len(level), np.int8)), "rid": pa.array(np.zeros(len(level), np.int64)),
                                           "h": pa.array(level * BUCKETS + bucket), "n": pa.array(counts[level, bucket])})
@@ -183,9 +188,9 @@ def remove_repeats(docs: DataFrame, *, length: int = 35) -> DataFrame:
     counts = np.zeros(len(PREFIXES) * BUCKETS, np.int64)
     for r in seen.filter("kind = 1").groupBy("h").agg(F.sum("n").alias("n")).collect():       # PREFIXES * BUCKETS rows at most
         counts[r["h"]] = r["n"]
-    grams = seen.filter("kind = 0").select("rid", "h")
-    twice = grams.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
-    lists = grams.distinct().join(twice, "h").groupBy("rid").agg(F.collect_list("h").alias("grams"))      # at most a text's own grams
+    grams = seen.filter("kind = 0").select("rid", "h", "n")
+    twice = grams.groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1").select("h")
+    lists = grams.select("rid", "h").join(twice, "h").groupBy("rid").agg(F.collect_list("h").alias("grams"))      # at most a text's own grams
     found = stored(suffixes(rows.select("rid", "text").join(lists, "rid"), counts.reshape(len(PREFIXES), BUCKETS), length), "suffixes", compression="zstd")
     remove_folder(spark, place)         # its last reader is done
     leaves = deep_leaves(found).groupBy("rid").agg(F.collect_list(F.struct("pos", "n")).alias("at"))

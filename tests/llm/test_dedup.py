@@ -56,6 +56,12 @@ def test_self_overlapping_and_short_texts(spark, tmp_dir):
     assert got == {1: 40, 2: 9, 3: 8, 4: 8}
 
 
+def test_many_texts_shorter_than_a_window(spark, tmp_dir):
+    docs = cases.table(spark, tmp_dir, [(i, "a b c d e f g h i j", None, None, 0) for i in range(50)])
+    got = substrings.remove_repeats(docs, length=35).collect()
+    assert len(got) == 50 and not any(r.n_removed for r in got)
+
+
 def fingerprint_brute(text):
     low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     w = WORD.findall(low)
