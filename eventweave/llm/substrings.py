@@ -15,7 +15,9 @@ a window whose representative occurs once in the corpus occurs once. Equal windo
 in one batch send one of them on; the others are known to be repeated.
 
 Rows are numbered once and written with their number; every later job reads it from there, so
-the cut falls on the same rows however the input is split in between.
+the cut falls on the same rows however the input is split in between. They are written as one
+bucket a task, without a shuffle: a row carries a small number whose hash is its task's bucket, so
+what is found out about texts is sent to them and no text is ever shuffled.
 
 Defined cases: null and empty texts have no words; a text shorter than a window loses
 nothing; equal rows repeat each other; null and repeated doc_ids do not matter; an empty
@@ -25,6 +27,8 @@ are replaced).
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,9 +36,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from eventweave.llm import textops as X
-from eventweave.llm.frames import by_blocks, longs, need, stored, stored_at
+from eventweave.llm.frames import by_blocks, longs, need, stored
 from eventweave.session import work_dir
-from eventweave.sinks.tables import remove_folder
 
 GRAM = 8
 #: Prefix lengths in words; the whole window comes after them.
@@ -77,8 +80,8 @@ def prefix_buckets(w: X.Words, words: int, count: int) -> np.ndarray:
 
 
 def anchors(docs: DataFrame, length: int) -> DataFrame:
-    """One pass over all texts: kind 0: (rid, h, n) of every gram that represents a window, once
-    a text; kind 1: (bucket h, n) counts of suffixes by prefix, summed over a task."""
+    """One pass over all texts: kind 0: (bucket, rid, h, n) of every gram that represents a window,
+    once a text; kind 1: (bucket h, n) counts of suffixes by prefix, summed over a task."""
     def run(batches):
         X.drop_worker_tables()
         counts, gram = np.zeros((len(PREFIXES), BUCKETS), np.int64), min(GRAM, length)
@@ -100,18 +103,20 @@ def anchors(docs: DataFrame, length: int) -> DataFrame:
                 o = X.ordered(row, h)
                 row, h = row[o], h[o]
                 begin = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (h[1:] != h[:-1])]))
-                yield pa.RecordBatch.from_pydict({"kind": pa.array(np.zeros(len(begin), np.int8)), "rid": pa.array(block.column("rid").to_numpy()[row[begin]]),
+                yield pa.RecordBatch.from_pydict({"kind": pa.array(np.zeros(len(begin), np.int8)), "bucket": block.column("bucket").take(pa.array(row[begin])),
+                                                  "rid": block.column("rid").take(pa.array(row[begin])),
                                                   "h": pa.array(longs(h[begin])), "n": pa.array(np.diff(np.concatenate([begin, [len(h)]])))})
         level, bucket = np.nonzero(counts)
-        yield pa.RecordBatch.from_pydict({"kind": pa.array(np.ones(len(level), np.int8)), "rid": pa.array(np.zeros(len(level), np.int64)),
+        yield pa.RecordBatch.from_pydict({"kind": pa.array(np.ones(len(level), np.int8)), "bucket": pa.array(np.zeros(len(level), np.int32)), "rid": pa.array(np.zeros(len(level), np.int64)),
                                           "h": pa.array(level * BUCKETS + bucket), "n": pa.array(counts[level, bucket])})
-    return docs.select("rid", "text").mapInArrow(run, "kind byte, rid long, h long, n long")
+    return docs.select("bucket", "rid", "text").mapInArrow(run, "kind byte, bucket int, rid long, h long, n long")
 
 
 def suffixes(texts: DataFrame, counts: np.ndarray, length: int) -> DataFrame:
-    """Suffixes that may be deep: (part, name, rid, pos, n, sure). ``texts`` has rid, text and
-    ``grams``, the repeated representatives of the text. Of equal windows in a batch one is
-    sent to its part (``sure``); the others carry part -1, runs of ``n`` neighbours as one row."""
+    """Suffixes that may be deep: (part, name, bucket, rid, at). ``texts`` has bucket, rid, text and
+    ``grams``, the repeated representatives of the text. ``at`` holds position, run length and
+    whether the window is known to repeat (see ``packed``). Of equal windows in a batch one is sent
+    to its part; the others, known to repeat, travel as runs under parts below zero."""
     small = counts <= GROUP
 
     def run(block: pa.RecordBatch) -> dict | None:
@@ -137,63 +142,107 @@ def suffixes(texts: DataFrame, counts: np.ndarray, length: int) -> DataFrame:
         others = at[~lead]
         starts = np.ones(len(others), bool)
         starts[1:] = (others[1:] != others[:-1] + 1) | (w.row[others[1:]] != w.row[others[:-1]])
+        starts[::_RUN] = True
         begin = np.flatnonzero(starts)
         n = np.concatenate([np.ones(int(lead.sum()), np.int64), np.diff(np.concatenate([begin, [len(others)]]))])
         some = np.concatenate([at[lead], others[begin]])
-        few = len(begin)
-        return {"part": np.concatenate([part[lead], np.full(few, -1)]), "name": longs(np.concatenate([name[lead], np.zeros(few, np.uint64)])),
-                "rid": block.column("rid").to_numpy()[w.row[some]], "pos": some - w.first[w.row[some]], "n": n,
-                "sure": pa.array(np.concatenate([sure[lead], np.ones(few, bool)]))}
+        row = w.row[some]
+        rid = block.column("rid").to_numpy()[row]
+        away = -1 - (X.mix(rid[len(rid) - len(begin):].view(np.uint64)) & np.uint64(0xFFFF)).astype(np.int64)
+        return {"part": np.concatenate([part[lead], away]), "name": longs(np.concatenate([name[lead], np.zeros(len(begin), np.uint64)])),
+                "bucket": block.column("bucket").take(pa.array(row)), "rid": rid,
+                "at": packed(some - w.first[row], n, np.concatenate([sure[lead], np.ones(len(begin), bool)]))}
+
+    return by_blocks(texts.select("bucket", "rid", "text", "grams"), "text", run, "part long, name long, bucket int, rid long, at long", _BLOCK)
+
+
+#: Windows of one run at most.
+_RUN = 1 << 20
+
+
+def packed(pos: np.ndarray, n: np.ndarray, sure: np.ndarray) -> np.ndarray:
+    """First position, number of neighbouring windows and the mark of windows known to repeat."""
+    return (pos << 21) | ((n - 1) << 1) | sure
+
 
-    return by_blocks(texts.select("rid", "text", "grams"), "text", run, "part long, name long, rid long, pos long, n long, sure boolean", _BLOCK)
+def unpacked(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return at >> 21, ((at >> 1) & (_RUN - 1)) + 1, (at & 1).astype(bool)
 
 
 def deep_leaves(found: DataFrame) -> DataFrame:
-    """(rid, pos, n) of the suffixes below nodes of the window's depth. Every part is one sorted
-    stream; only the last suffix of a batch is carried on."""
-    dealt = found.filter("part >= 0").drop("n").repartition("part").sortWithinPartitions("part", "name")
+    """(bucket, rid, at) of the suffixes below nodes of the window's depth. Every part is one
+    sorted stream; only the last suffix of a batch is carried on."""
+    dealt = found.repartition("part").sortWithinPartitions("part", "name")
 
     def run(batches):
-        last = None             # (part, name, rid, pos, given): the leaf that may have a twin in the next batch
+        last = None             # (part, name, bucket, rid, at, given): the leaf that may have a twin in the next batch
         for batch in batches:
-            part, name, rid, pos = (batch.column(c).to_numpy() for c in ("part", "name", "rid", "pos"))
-            sure = np.asarray(batch.column("sure"))
+            part, name, bucket, rid, at = (batch.column(c).to_numpy() for c in ("part", "name", "bucket", "rid", "at"))
             if not len(part):
                 continue
-            same = (part[1:] == part[:-1]) & (name[1:] == name[:-1])
-            deep = sure.copy()
+            same = (part[1:] == part[:-1]) & (name[1:] == name[:-1]) & (part[1:] >= 0)
+            deep = (at & 1).astype(bool)
             deep[1:] |= same
             deep[:-1] |= same
-            extra_rid, extra_pos = [], []
-            if last is not None and last[0] == part[0] and last[1] == name[0]:
+            carried = None
+            if last is not None and last[0] == part[0] and last[1] == name[0] and part[0] >= 0:
                 deep[0] = True
-                if not last[4]:
-                    extra_rid, extra_pos = [last[2]], [last[3]]
-            last = (part[-1], name[-1], rid[-1], pos[-1], bool(deep[-1]))
-            yield pa.RecordBatch.from_pydict({"rid": pa.array(np.concatenate([rid[deep], np.array(extra_rid, np.int64)])),
-                                              "pos": pa.array(np.concatenate([pos[deep], np.array(extra_pos, np.int64)]))})
+                if not last[5]:
+                    carried = last
+            last = (part[-1], name[-1], bucket[-1], rid[-1], at[-1], bool(deep[-1]))
+            out = {"bucket": bucket[deep], "rid": rid[deep], "at": at[deep]}
+            if carried is not None:
+                out = {c: np.append(v, np.array(x, v.dtype)) for (c, v), x in zip(out.items(), carried[2:5])}
+            yield pa.RecordBatch.from_pydict({c: pa.array(v) for c, v in out.items()})
+
+    return dealt.mapInArrow(run, "bucket int, rid long, at long")
+
+
+#: Buckets of the stored rows at most (a bucket may hold the rows of several tasks).
+MOST_BUCKETS = 20_000
+
+
+def numbered(docs: DataFrame) -> tuple[DataFrame, int]:
+    """``docs`` with ``rid``, a row's number, and ``bucket``, stored in buckets as its tasks read
+    them (``bucket`` is a number whose hash is the bucket of the task, so nothing is shuffled), and
+    the number of buckets."""
+    spark = docs.sparkSession
+    # joins on (bucket, rid) may use the buckets as they are
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    n = min(max(docs.rdd.getNumPartitions(), 1), MOST_BUCKETS)
+    number = F.col("id").cast("int")
+    keys = spark.range(32 * n + 1000).groupBy(F.pmod(F.hash(number), F.lit(n)).alias("_task")).agg(F.min(number).alias("bucket"))     # n rows
+    name, path = f"ew_rows_{uuid.uuid4().hex[:12]}", work_dir(spark, "rows")
+    (docs.withColumn("text", F.col("text").cast("string")).withColumn("rid", F.monotonically_increasing_id())
+     .withColumn("_task", F.spark_partition_id() % n).join(F.broadcast(keys), "_task").drop("_task")
+     .write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(n, "bucket").saveAsTable(name))
+    rows = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")         # the name alone; the files stay
+    return rows, n
+
 
-    return dealt.mapInArrow(run, "rid long, pos long").withColumn("n", F.lit(1).cast("long")).union(found.filter("part < 0").select("rid", "pos", "n"))
+def beside(rows: DataFrame, buckets: int, found: DataFrame, how: str = "inner") -> DataFrame:
+    """Stored rows with what was found out about them (at most a row a text): that is sent to the
+    rows' buckets."""
+    return rows.join(found.repartition(buckets, "bucket").hint("shuffle_hash"), ["bucket", "rid"], how)
 
 
 def remove_repeats(docs: DataFrame, *, length: int = 35) -> DataFrame:
     """``docs`` with ``kept_text`` (kept words joined by one space), ``n_words``, ``n_removed``
     and ``spans`` (first word and number of words of every stretch covered by repeated windows)."""
     need(docs, "text")
-    docs = docs.drop("kept_text", "n_words", "n_removed", "spans", "rid", "grams", "at")
+    docs = docs.drop("kept_text", "n_words", "n_removed", "spans", "rid", "bucket", "_task", "grams", "at")
     names = docs.columns
-    rows = stored(docs.withColumn("text", F.col("text").cast("string")).withColumn("rid", F.monotonically_increasing_id()), "rows", compression="zstd")
-    spark, place = docs.sparkSession, work_dir(docs.sparkSession, "anchors")
-    seen = stored_at(anchors(rows, length), place, compression="zstd")
+    rows, buckets = numbered(docs)
+    seen = stored(anchors(rows, length), "anchors", compression="zstd")
     counts = np.zeros(len(PREFIXES) * BUCKETS, np.int64)
     for r in seen.filter("kind = 1").groupBy("h").agg(F.sum("n").alias("n")).collect():       # PREFIXES * BUCKETS rows at most
         counts[r["h"]] = r["n"]
-    grams = seen.filter("kind = 0").select("rid", "h", "n")
+    grams = seen.filter("kind = 0")
     twice = grams.groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1").select("h")
-    lists = grams.select("rid", "h").join(twice, "h").groupBy("rid").agg(F.collect_list("h").alias("grams"))      # at most a text's own grams
-    found = stored(suffixes(rows.select("rid", "text").join(lists, "rid"), counts.reshape(len(PREFIXES), BUCKETS), length), "suffixes", compression="zstd")
-    remove_folder(spark, place)         # its last reader is done
-    leaves = deep_leaves(found).groupBy("rid").agg(F.collect_list(F.struct("pos", "n")).alias("at"))
+    lists = grams.select("bucket", "rid", "h").join(twice, "h").groupBy("bucket", "rid").agg(F.collect_list("h").alias("grams"))      # at most a text's own grams
+    texts = beside(rows.select("bucket", "rid", "text"), buckets, lists)
+    leaves = deep_leaves(suffixes(texts, counts.reshape(len(PREFIXES), BUCKETS), length)).groupBy("bucket", "rid").agg(F.collect_list("at").alias("at"))
     schema = StructType([*docs.schema.fields, StructField("kept_text", StringType()), StructField("n_words", LongType()), StructField("n_removed", LongType()),
                          StructField("spans", ArrayType(StructType([StructField("first", LongType()), StructField("words", LongType())])))])
 
@@ -202,8 +251,7 @@ def remove_repeats(docs: DataFrame, *, length: int = 35) -> DataFrame:
         w = X.split_words(data, offsets)
         lists = block.column("at").fill_null([])
         row = np.repeat(np.arange(block.num_rows), np.diff(np.asarray(lists.offsets)))
-        runs = lists.values.slice(lists.offsets[0].as_py(), len(row))
-        at, n = (np.asarray(runs.field(c)) for c in ("pos", "n"))
+        at, n, _ = unpacked(np.asarray(lists.values.slice(lists.offsets[0].as_py(), len(row))))
         at = np.repeat(at + w.first[row], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         gone = X.covered(len(w.hash), at, length) if len(at) else np.zeros(len(w.hash), bool)
         size = np.where(gone, 0, w.end - w.start + 1)              # a kept word and the space after it
@@ -229,4 +277,4 @@ def remove_repeats(docs: DataFrame, *, length: int = 35) -> DataFrame:
         return own | {"kept_text": pa.array(texts, pa.binary()).cast(pa.string()), "n_words": np.diff(w.first),
                       "n_removed": X.per_row(gone, w.first), "spans": spans}
 
-    return by_blocks(rows.join(leaves, "rid", "left").drop("rid"), "text", cut, schema, _BLOCK)
+    return by_blocks(beside(rows, buckets, leaves, "left").drop("bucket", "rid"), "text", cut, schema, _BLOCK)

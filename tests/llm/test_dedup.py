@@ -149,3 +149,18 @@ def test_sha_of_kept_words(spark):
     for d, (w, gone) in zip(data, cut_brute([d.text for d in data], 35)):
         kept = " ".join(x for x, g in zip(w, gone) if not g)
         assert (rows[d.doc_id].n_words, rows[d.doc_id].n_removed, rows[d.doc_id].kept_sha256) == (len(w), sum(gone), hashlib.sha256(kept.encode()).hexdigest())
+
+
+def test_no_text_is_shuffled(spark, tmp_dir):
+    """The stored rows are joined in their buckets: no exchange stands above their scan."""
+    docs = cases.table(spark, tmp_dir)
+    old = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    try:
+        for k in old:
+            spark.conf.set(k, "-1")
+        plan = substrings.remove_repeats(docs)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert plan.count("Bucketed: true") == 2
+    assert not [line for line in plan.splitlines() if "Exchange" in line and "text" in line]
