@@ -13,8 +13,9 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 
 @dataclass(frozen=True)
@@ -61,56 +62,131 @@ def join_how(join_type: str) -> str:
 
 @dataclass(frozen=True)
 class SkewGuard:
-    """Hot-key split for the star join.
-
-    A key holding a large share of a joined (right) side would put all those rows into one
-    task: AQE splits skewed partitions only on the streamed side of an outer join. Hot keys
-    are found without shuffling the keys: ``freqItems`` (one pass, per-task frequent-item
-    counters merged on the driver) returns a superset of every key above ``hot_fraction``
-    of the rows, and one pass counting only those candidates (a handful of groups) keeps
-    the keys with at least ``hot_fraction`` of the rows and ``min_rows`` rows. If the plan's
-    rows for them number at most ``max_broadcast_rows`` (counted, so the broadcast has a
-    proven bound), the hot rows are joined against a broadcast of those few plan rows,
-    spread over every task, and the other keys take the ordinary shuffle join. Otherwise
-    the ordinary join is kept. Results are exactly the plain join's.
+    """Two-sided split of hot keys in the star join.
+
+    A key with a large share of a side would put all those rows into one task: AQE splits skewed
+    partitions only on the streamed side of an outer join, and neither side of a full one. Keys with
+    at least ``hot_fraction`` of the rows of any side (and ``min_rows`` rows) are found without
+    shuffling keys: ``freqItems`` (one pass, per-task counters merged on the driver) returns a
+    superset, one pass a side counts those candidates alone. A hot key with l left and r right rows
+    is dealt out as a grid of tasks: left rows fall into one of its rows of cells by their hash and
+    are sent to every cell of it, right rows likewise by columns, so each pair meets in one cell. A
+    cell gets about ``cell_bytes`` of either side and ``cell_pairs`` pairs; the grid is as wide as that
+    needs, at most ``most_cells`` a side, whatever the other side's size. Hot keys that one side lacks
+    are not joined at all. Keys below the bar take the ordinary join. Results are exactly its results.
+
+    A side that the optimizer puts below ``min_bytes`` has no key worth a split and is not counted,
+    nor is one whose size it does not know (a store's table, say: counting it would read it twice
+    more); with ``min_bytes=0`` every side is.
     """
 
     hot_fraction: float = 0.01
     min_rows: int = 1_000_000
-    max_broadcast_rows: int = 100_000
+    min_bytes: int = 256 << 20
+    cell_bytes: int = 64 << 20
+    cell_pairs: int = 200_000_000
+    most_cells: int = 4096
 
 
 def _key_col(alias: str) -> str:
     return f"__{alias}_key"
 
 
-def _hot_keys(right: DataFrame, key: str, guard: SkewGuard) -> list:
-    candidates = [k for k in right.freqItems([key], guard.hot_fraction).first()[0] if k is not None]
-    if not candidates:
-        return []
-    per_key = (right.groupBy(F.when(F.col(key).isin(candidates), F.col(key)).alias("k"))
-               .count().collect())                      # <= len(candidates) + 1 groups
-    total = sum(r["count"] for r in per_key)
-    bar = max(guard.min_rows, guard.hot_fraction * total)
-    return [r["k"] for r in per_key if r["k"] is not None and r["count"] >= bar]
+#: The optimizer's size of what it knows nothing about, about.
+UNKNOWN = 1 << 62
 
 
-def _hot_split(plan: DataFrame, right: DataFrame, base_key: str, right_key: str, how: str,
-               guard: SkewGuard, hot: list) -> DataFrame | None:
+def _bytes_of(df: DataFrame) -> int:
+    """The optimizer's estimate of a side's size."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no JVM view (Spark Connect)
+        return UNKNOWN
+
+
+def _candidates(df: DataFrame, key: str, guard: SkewGuard) -> set:
+    return {k for k in df.freqItems([key], guard.hot_fraction).first()[0] if k is not None}
+
+
+def _counts(df: DataFrame, key: str, candidates: list) -> tuple[dict, int]:
+    """(rows of every candidate, rows of the side)."""
+    groups = df.groupBy(F.when(F.col(key).isin(candidates), F.col(key)).alias("k")).count().collect()   # <= candidates + 1 groups
+    return {r["k"]: r["count"] for r in groups if r["k"] is not None}, sum(r["count"] for r in groups)
+
+
+@dataclass
+class _Side:
+    counts: dict            # rows of every candidate key
+    rows: int
+    row_bytes: int
+
+
+def _count_sides(frames: Sequence[DataFrame], keys: Sequence[str], guard: SkewGuard) -> list[_Side]:
+    """Rows of all candidate keys on every side. Sides are independent, so their small jobs run
+    from parallel driver threads."""
+    from concurrent.futures import ThreadPoolExecutor
+    sizes = [_bytes_of(f) for f in frames]
+    with ThreadPoolExecutor(max_workers=len(frames)) as pool:
+        found = [pool.submit(_candidates, f, k, guard) for f, k, n in zip(frames, keys, sizes) if not guard.min_bytes or guard.min_bytes <= n < UNKNOWN]
+        candidates = sorted(set().union(*(x.result() for x in found)), key=str)
+        if not candidates:
+            return []
+        counted = [pool.submit(_counts, f, k, candidates) for f, k in zip(frames, keys)]
+        return [_Side(*c.result(), max(16, n // max(c.result()[1], 1)) if n < UNKNOWN else 100) for c, n in zip(counted, sizes)]
+
+
+def _grid(left: int, right: int, left_bytes: int, right_bytes: int, guard: SkewGuard) -> tuple[int, int]:
+    """(rows, columns) of cells for a key with so many rows on either side."""
+    a, b = (max(1, -(-n * size // guard.cell_bytes)) for n, size in ((left, left_bytes), (right, right_bytes)))
+    more = left * right / guard.cell_pairs / (a * b)
+    if more > 1:            # cells with fewer pairs: cut the longer side first, it is sent less often
+        wide = min(more, max(1.0, (left / a) / (right / b)))
+        a, more = a * wide, more / wide
+        b *= more
+    return tuple(int(min(guard.most_cells, n, -(-x // 1))) for x, n in ((a, left), (b, right)))
+
+
+def _salt(df: DataFrame, cells: Column) -> Column:
+    """The row or column of cells a row falls into: by its values and the task that reads it, so
+    equal rows are dealt out as well (those of one task stay together), and a task that runs
+    again deals them alike."""
+    plain = [c for c, t in df.dtypes if not any(x in t for x in ("map", "variant"))]
+    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in plain], F.spark_partition_id()), cells)
+
+
+def _grid_join(plan: DataFrame, right: DataFrame, base_key: str, right_key: str, cells: dict) -> DataFrame:
+    """Inner join of the hot keys in ``cells`` (key -> rows, columns), a cell a task."""
+    spark, dtype = plan.sparkSession, plan.schema[base_key].dataType
+    shape = StructType([StructField("__k", dtype), StructField("__rows", IntegerType()), StructField("__columns", IntegerType())])
+    grid = F.broadcast(spark.createDataFrame([(k, r, c) for k, (r, c) in cells.items()], shape))        # a row a hot key
+    left = plan.where(F.col(base_key).isin(list(cells))).join(grid, F.col(base_key) == F.col("__k")).drop("__k")
+    left = left.withColumn("__row", _salt(plan, F.col("__rows"))).withColumn("__column", F.explode(F.sequence(F.lit(0), F.col("__columns") - 1)))
+    other = right.where(F.col(right_key).isin(list(cells))).join(grid, F.col(right_key) == F.col("__k")).drop("__k")
+    other = (other.withColumn("__right_column", _salt(right, F.col("__columns")))
+             .withColumn("__right_row", F.explode(F.sequence(F.lit(0), F.col("__rows") - 1))).drop("__rows", "__columns"))
+    cond = ((F.col(base_key) == F.col(right_key)) & (F.col("__row") == F.col("__right_row")) & (F.col("__column") == F.col("__right_column")))
+    joined = left.hint("merge").join(other, cond)       # both sides may be large: never a broadcast
+    return joined.select(*plan.columns, *right.columns)
+
+
+def _hot_split(plan: DataFrame, right: DataFrame, base_key: str, right_key: str, how: str, guard: SkewGuard,
+               left_counts: dict, left: _Side, other: _Side) -> DataFrame:
+    """The join with its hot keys dealt out; the plain join if there are none."""
+    bars = [max(guard.min_rows, guard.hot_fraction * side.rows) for side in (left, other)]
+    hot = [k for k in left_counts.keys() | other.counts.keys() if left_counts.get(k, 0) >= bars[0] or other.counts.get(k, 0) >= bars[1]]
     if not hot:
-        return None
-    is_hot_plan, is_hot_right = F.col(base_key).isin(hot), F.col(right_key).isin(hot)
-    plan_hot = plan.where(is_hot_plan)
-    if plan_hot.count() > guard.max_broadcast_rows:
-        return None
-    cond = F.col(base_key) == F.col(right_key)
-    cold = plan.where(~is_hot_plan | F.col(base_key).isNull()).join(
-        right.where(~is_hot_right | F.col(right_key).isNull()), cond, how)
-    # Every hot key has right rows, so plan rows with a hot key always match: the hot part
-    # is an inner join (LEFT, INNER) or keeps unmatched right rows (RIGHT, FULL).
-    hot_how = "inner" if how in ("left", "inner") else "right"
-    hot_part = F.broadcast(plan_hot).join(right.where(is_hot_right), cond, hot_how)
-    return cold.unionByName(hot_part)
+        return _join(plan, right, base_key, right_key, how)
+    both = {k: _grid(left_counts[k], other.counts[k], left.row_bytes, other.row_bytes, guard) for k in hot if left_counts.get(k) and other.counts.get(k)}
+    out = _join(plan.where(~F.col(base_key).isin(hot) | F.col(base_key).isNull()),
+                right.where(~F.col(right_key).isin(hot) | F.col(right_key).isNull()), base_key, right_key, how)
+    if both:                # every pair of rows of such a key matches, under all four join types
+        out = out.unionByName(_grid_join(plan, right, base_key, right_key, both))
+    alone = [k for k in hot if k not in both]
+    if alone and how in ("left", "full"):
+        out = out.unionByName(plan.where(F.col(base_key).isin(alone)), allowMissingColumns=True)
+    if alone and how in ("right", "full"):
+        out = out.unionByName(right.where(F.col(right_key).isin(alone)), allowMissingColumns=True)
+    return out
 
 
 #: Tasks over which rows with a null key are spread in a FULL join.
@@ -126,31 +202,30 @@ def _join(plan: DataFrame, right: DataFrame, base_key: str, right_key: str, how:
         return plan.join(right, cond, how)
 
     def spread(df: DataFrame, key: str, name: str) -> DataFrame:
-        place = F.pmod(F.xxhash64(*df.columns), F.lit(NULL_SPREAD)) + 1
+        place = _salt(df, F.lit(NULL_SPREAD)) + 1
         return df.withColumn(name, F.when(F.col(key).isNull(), place).otherwise(F.lit(0)))
     left, other = spread(plan, base_key, "__left_spread"), spread(right, right_key, "__right_spread")
     return left.join(other, cond & (F.col("__left_spread") == F.col("__right_spread")), how).drop("__left_spread", "__right_spread")
 
 
-def _detect_all(sources: Sequence[SourceRef], frames: Sequence[DataFrame], guard: SkewGuard) -> dict:
-    """Hot keys of every joined side; the sides are independent, so their small jobs run
-    from parallel driver threads."""
-    from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=max(1, len(sources))) as pool:
-        futures = {s.alias: pool.submit(_hot_keys, f, _key_col(s.alias), guard) for s, f in zip(sources, frames)}
-        return {alias: fut.result() for alias, fut in futures.items()}
+def _counts_after(counts: dict, other: dict, how: str) -> dict:
+    """Rows of every candidate key, by the base's key, after a join."""
+    keep = {"inner": lambda l, r: l * r, "right": lambda l, r: l * r,
+            "left": lambda l, r: l * max(r, 1), "full": lambda l, r: l * max(r, 1)}[how]
+    return {k: n for k, l in counts.items() if (n := keep(l, other.get(k, 0)))}
 
 
 def federate(spark: SparkSession, sources: Sequence[SourceRef] | None = None, *,
              sql: str | None = None, join_key: str = "event_id", join_type: str = "LEFT",
              limit: int | None = None,
              resolve: Callable[[SourceRef], DataFrame] | None = None,
-             skew_guard: SkewGuard | None = None) -> DataFrame:
+             skew_guard: SkewGuard | None = SkewGuard()) -> DataFrame:
     """SQL text wins when non-blank; else the given sources; else the default three.
 
     ``resolve`` maps a source to a DataFrame (default ``spark.table(qualified)``).
     Every row is returned unless ``limit`` is given; a limit without order returns arbitrary rows.
-    ``skew_guard`` enables the hot-key split (it runs small counting jobs up front).
+    ``skew_guard`` deals hot keys of large sides out over many tasks (counted up front); None
+    leaves the join as it is.
     """
     if sql is not None and sql.strip():
         return spark.sql(sql)
@@ -175,12 +250,15 @@ def federate(spark: SparkSession, sources: Sequence[SourceRef] | None = None, *,
             cols.append(F.col(join_key).alias(_key_col(s.alias)))
         projected.append(f.select(*cols))
     base_key = _key_col(srcs[0].alias)
-    hot_keys = _detect_all(srcs[1:], projected[1:], skew_guard) if skew_guard else {}
+    keys = [_key_col(s.alias) for s in srcs]
+    sides = _count_sides(projected, keys, skew_guard) if skew_guard and joined else []
     plan = projected[0]
-    for s, f in zip(srcs[1:], projected[1:]):
-        right_key = _key_col(s.alias)
-        split = (_hot_split(plan, f, base_key, right_key, how, skew_guard, hot_keys[s.alias])
-                 if hot_keys.get(s.alias) else None)
-        plan = split if split is not None else _join(plan, f, base_key, right_key, how)
+    counts = dict(sides[0].counts) if sides else {}
+    for i in range(1, len(srcs)):
+        if sides:
+            plan = _hot_split(plan, projected[i], base_key, keys[i], how, skew_guard, counts, sides[0], sides[i])
+            counts = _counts_after(counts, sides[i].counts, how)
+        else:
+            plan = _join(plan, projected[i], base_key, keys[i], how)
     out = plan.select(*out_names)
     return out.limit(limit) if limit is not None else out
