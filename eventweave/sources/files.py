@@ -20,24 +20,29 @@ def read_event_files(spark: SparkSession, path: str, *, whole_files: bool = Fals
                      strict: bool = False) -> DataFrame:
     """JSON event files -> one row per event (``value`` text, ``_v`` variant, ``_status``).
 
-    A file (or line) may hold one object or an array of objects; an array is exploded, an
-    object is kept as one event. ``whole_files=True`` reads each file as one text (for small
-    pretty-printed files; such a file is one task, H9). The default reads JSON lines, which
-    splits large files across tasks. Each line is parsed once; array elements are turned
-    back into text only for the ``value`` column.
+    A file (or line) may hold one object or an array of objects; an array is taken apart, an
+    object is kept as one event. ``whole_files=True`` takes each file as one document, pretty-printed
+    or not: many tasks cut a large one into its elements (``json_files.json_elements``), so it is
+    never one value, and a broken element is one row with a status. The default reads JSON
+    lines. Each line or element is parsed once; array elements of a line are turned back into
+    text only for the ``value`` column.
     """
     from eventweave.functions import fields as J
     from eventweave.operators.canonical import MALFORMED, NOT_OBJECT, OK, STATUS
+    from eventweave.sources.json_files import json_elements
 
-    text = spark.read.text(path, wholetext=whole_files)
+    text = json_elements(spark, path) if whole_files else spark.read.text(path)
     doc = J.parse(F.col("value"), strict=strict)
-    parsed = text.select(F.col("value").alias("_text"), doc.alias("_doc"))
-    items = F.try_variant_get(F.col("_doc"), "$", "array<variant>")
-    exploded = parsed.select(
-        "_text", items.isNotNull().alias("_is_array"),
-        F.explode(F.when(items.isNotNull(), items).otherwise(F.array(F.col("_doc")))).alias("_v"))
-    value = F.when(F.col("_is_array"), F.to_json(F.col("_v"))).otherwise(F.col("_text"))
-    events = exploded.select(value.alias("value"), "_v")
+    if whole_files:         # a generator: a filter on the status does not parse a second time
+        events = text.select("value", F.explode(F.array(doc)).alias("_v"))
+    else:
+        parsed = text.select(F.col("value").alias("_text"), doc.alias("_doc"))
+        items = F.try_variant_get(F.col("_doc"), "$", "array<variant>")
+        exploded = parsed.select(
+            "_text", items.isNotNull().alias("_is_array"),
+            F.explode(F.when(items.isNotNull(), items).otherwise(F.array(F.col("_doc")))).alias("_v"))
+        value = F.when(F.col("_is_array"), F.to_json(F.col("_v"))).otherwise(F.col("_text"))
+        events = exploded.select(value.alias("value"), "_v")
     status = (F.when(F.col("_v").isNull(), F.lit(MALFORMED))
               .when(~J.is_object(F.col("_v")), F.lit(NOT_OBJECT))
               .otherwise(F.lit(OK)))
