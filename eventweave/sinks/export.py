@@ -13,7 +13,7 @@ from pyspark.sql.types import (BinaryType, DateType, DecimalType, StructType, Ti
 from eventweave.operators.canonical import OK, STATUS
 from eventweave.sources.files import read_staged
 from eventweave.sinks.snapshots import SnapshotLog
-from eventweave.sinks.tables import AppendTable, append_to_table, read_table
+from eventweave.sinks.tables import AppendTable, append_to_table, load_run_to_table, read_table
 
 _TO_JSON_KEEP_NULLS = {"ignoreNullFields": "false"}
 _TEXT_TYPES = (DateType, TimestampType, TimestampNTZType, DecimalType, BinaryType)
@@ -116,12 +116,12 @@ def load_run(df: DataFrame, path: str, run_id: str | None) -> int:
 
 def bulk_load(spark: SparkSession, staging: str, schema: StructType, *, table: str | None = None,
               path: str | None = None, run_id: str | None = None) -> int:
-    """K7 + S9: read staged Parquet with the target schema and load it into the target: a
-    Parquet folder, where a run replaces what it loaded before, or a catalog table, to which
-    it is appended. Columns not in the schema are left out."""
+    """K7 + S9: read staged Parquet with the target schema and load it into the target: a path
+    table or a catalog table. A run that is loaded again leaves one copy of its rows (without a
+    ``run_id`` a catalog table is appended to). Columns not in the schema are left out."""
     staged = read_staged(spark, staging, schema).select(*schema.fieldNames())
     if table is not None:
-        return append_to_table(staged, table)
+        return append_to_table(staged, table) if run_id is None else load_run_to_table(staged, table, run_id)
     if path is None:
         raise ValueError("give a table or a path")
     return load_run(staged, path, run_id)
@@ -129,10 +129,10 @@ def bulk_load(spark: SparkSession, staging: str, schema: StructType, *, table: s
 
 def load_summary(summary: DataFrame, *, table: str | None = None, path: str | None = None,
                  run_id: str | None = None) -> int:
-    """K8: put the per-type summary into its own table (D6); in a path table a re-run
-    replaces its own rows."""
+    """K8: put the per-type summary into its own table (D6); a run that is loaded again leaves
+    one copy of its rows."""
     if table is not None:
-        return append_to_table(summary, table)
+        return append_to_table(summary, table) if run_id is None else load_run_to_table(summary, table, run_id)
     if path is None:
         raise ValueError("give a table or a path")
     return load_run(summary, path, run_id)

@@ -29,6 +29,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from dataclasses import replace
+from hashlib import sha256
 from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -37,8 +38,9 @@ from pyspark.sql.types import DateType, StructType, TimestampNTZType
 
 from eventweave.operators.latest import first_per_key, latest_per_key
 from eventweave.operators.layout import bucket_of
-from eventweave.sinks.snapshots import (SNAPSHOTS, Between, Part, Snapshot, SnapshotLog, folder_exists, has_bounds, merged_schema,
-                                        remove_folder)
+from eventweave.session import checkpoint_root
+from eventweave.sinks.snapshots import (SNAPSHOTS, Between, Part, Snapshot, SnapshotLog, add_ranges, create_if_absent, folder_exists,
+                                        has_bounds, merged_schema, read_text, remove_folder, versions_of, without)
 
 RUN_COL, VERSION_COL = "run_id", "_version"
 #: Parts of one level that become one of the next; bytes that are merged while batches are written;
@@ -62,12 +64,14 @@ def ensure_path_table(spark: SparkSession, path: str, schema: StructType) -> Non
     SnapshotLog(spark, path).ensure(schema)
 
 
-def ensure_catalog_table(spark: SparkSession, name: str, schema: StructType, *,
-                         source: str = "parquet", path: str | None = None) -> DataFrame:
-    """K6 for catalog tables: ``CREATE TABLE IF NOT EXISTS`` with the fixed schema."""
-    if not spark.catalog.tableExists(name):
-        kwargs = {"path": path} if path else {}
-        spark.catalog.createTable(name, source=source, schema=schema, **kwargs)
+def ensure_catalog_table(spark: SparkSession, name: str, schema: StructType, *, source: str = "parquet",
+                         path: str | None = None, by_run: bool = False) -> DataFrame:
+    """K6 for catalog tables: ``CREATE TABLE IF NOT EXISTS`` with the fixed schema; ``by_run`` adds a
+    partition column ``run_id``, so that a load can be replaced (see :func:`load_run_to_table`)."""
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    run = f", `{RUN_COL}` string" if by_run else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({fields}{run}) USING {source}"
+              + (f" PARTITIONED BY ({RUN_COL})" if by_run else "") + (f" LOCATION '{path}'" if path else ""))
     return spark.table(name)
 
 
@@ -119,6 +123,12 @@ class SnapshotTable:
         if batch_id <= head.merged.get(stream_id, -1):
             raise ValueError(f"batch {batch_id} of stream {stream_id} was merged with others; only later batches can be written")
 
+    def _version(self, spark: SparkSession, batch_id: int, stream_id: str) -> int:
+        """A batch's version: the next number, or its own if it is replayed."""
+        log = self.log(spark)
+        had = (log.head() or Snapshot()).of_batch(stream_id, int(batch_id))
+        return had[0].version if had and had[0].version is not None else log.next_version()
+
     # -- compaction -----------------------------------------------------------------------
     def _mergeable(self, head: Snapshot) -> list[Part]:
         last = {}
@@ -161,7 +171,8 @@ class SnapshotTable:
         size, kind = sum(p.size for p in parts), parts[0].kind
         bounds, new = self.bound_columns(head.schema), []
         for rows, own_kind, unique in self._pieces(log.read_parts(parts, head.schema), kind):
-            part = log.write_part(self._laid_out(rows, head.schema, size), bounds, self.partition_by, level=level, kind=own_kind, unique=unique)
+            part = log.write_part(self._laid_out(rows, head.schema, size), bounds, self.partition_by, level=level, kind=own_kind, unique=unique,
+                                  versions=add_ranges(*map(versions_of, parts)))
             if part.rows:
                 new.append(log.index(part, head.schema, bounds, self.key) if part.size >= self.index_bytes else part)
         gone = {p.id for p in parts}
@@ -201,19 +212,50 @@ class SnapshotTable:
 
 class AppendTable(SnapshotTable):
     """K4/K5: append a batch; replaying the same batch of the same stream replaces it. With a
-    ``schema`` the table can be read before anything is written (K6)."""
+    ``schema`` the table can be read before anything is written (K6).
+
+    ``versioned`` rows carry their batch's version, so that a reader can ask for those that came
+    after a state it knows (:meth:`read_new`), merged or not. A batch keeps its version when it is
+    replayed, as its rows are the same then."""
+
+    def __init__(self, path: str, schema: StructType | None = None, partition_by: Sequence[str] = (), *, versioned: bool = False, **options):
+        super().__init__(path, schema, partition_by, **options)
+        self.versioned = versioned
 
     def write(self, df: DataFrame, batch_id: int, stream_id: str = "default") -> int:
+        version = None
+        if self.versioned:
+            version = self._version(df.sparkSession, batch_id, stream_id)
+            df = df.withColumn(VERSION_COL, F.lit(version).cast("bigint"))
         # Rows are grouped by the partition columns first (one file set per subfolder); AQE still
         # splits a subfolder that is too big for one task.
-        return self._commit_batch(df.hint("rebalance", *self.partition_by) if self.partition_by else df, batch_id, stream_id).rows
+        return self._commit_batch(df.hint("rebalance", *self.partition_by) if self.partition_by else df, batch_id, stream_id, version).rows
+
+    def bound_columns(self, schema: StructType) -> list[str]:
+        return [*super().bound_columns(schema), *([VERSION_COL] if VERSION_COL in schema.names else [])]
 
     def read(self, spark: SparkSession, where: Sequence[Between] = (), as_of: int | None = None) -> DataFrame:
         """The rows of the latest (or a given) snapshot; ``where`` also leaves out parts and files."""
         head = self.snapshot(spark, as_of)
         if head.schema is None:
             raise ValueError(f"no table at {self.path}")
-        return self._read(spark, head, "rows", where, None)
+        return self._read(spark, head, "rows", where, None).drop(VERSION_COL)
+
+    def read_new(self, spark: SparkSession, known: Sequence[Sequence[int]]) -> tuple[DataFrame, list[list[int]]]:
+        """(rows of batches whose versions are not among ``known`` ranges, all versions now). Parts
+        that hold known batches only are not opened."""
+        head = self.snapshot(spark)
+        every = add_ranges(known, *map(versions_of, head.parts))
+        new = without(every, known)
+        parts = [p for p in head.parts if p.kind == "rows" and without(versions_of(p), known)]
+        if head.schema is None:
+            raise ValueError(f"no table at {self.path}")
+        if not parts:
+            return spark.createDataFrame([], head.schema).drop(VERSION_COL), every
+        own = F.lit(False)
+        for first, last in new:
+            own = own | F.col(VERSION_COL).between(first, last)
+        return self.log(spark).read_parts(parts, head.schema).where(own).drop(VERSION_COL), every
 
 
 class VersionLog(SnapshotTable):
@@ -236,9 +278,7 @@ class VersionLog(SnapshotTable):
         return (latest_per_key if self.newest else first_per_key)(rows, self.key, self.order).select(*rows.columns)
 
     def append(self, rows: DataFrame, batch_id: int, stream_id: str, unique: bool) -> int:
-        log = self.log(rows.sparkSession)
-        had = (log.head() or Snapshot()).of_batch(stream_id, int(batch_id))
-        version = had[0].version if had else log.next_version()
+        version = self._version(rows.sparkSession, batch_id, stream_id)
         return self._commit_batch(rows.withColumn(VERSION_COL, F.lit(version).cast("bigint")), batch_id, stream_id, version, unique).rows
 
     def _winners(self, spark: SparkSession, head: Snapshot, keys: Sequence[Any] | None) -> DataFrame:
@@ -369,6 +409,38 @@ def append_to_table(df: DataFrame, table: str) -> int:
     return _rows(obs)
 
 
+def load_run_to_table(df: DataFrame, table: str, run_id: str, *, ledger: str | None = None) -> int:
+    """K7/K8 into a catalog table, once a run: loading the same run again leaves one copy.
+
+    A table with the partition column ``run_id`` has the run's partition replaced. Any other table
+    is appended to, and a ledger (a folder, in the shared work folder by default) remembers the
+    runs: a run that ended is not loaded again. A run that broke off between its append and its
+    entry cannot be told from one that appended nothing, so it is refused, never doubled.
+    """
+    spark = df.sparkSession
+    columns = spark.catalog.listColumns(table)
+    names = [c.name for c in columns if c.name != RUN_COL]
+    if any(c.name == RUN_COL and c.isPartition for c in columns):
+        counted, obs = _count(df.select(*names), "run_load")
+        view = f"_eventweave_run_{uuid.uuid4().hex[:8]}"
+        counted.createOrReplaceTempView(view)
+        try:
+            quoted = run_id.replace("\\", "\\\\").replace("'", "\\'")
+            spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({RUN_COL} = '{quoted}') SELECT * FROM {view}")
+        finally:
+            spark.catalog.dropTempView(view)
+        return _rows(obs)
+    folder = ledger or f"{checkpoint_root(spark)}/eventweave/ledger/{table}"
+    entry = f"{folder}/{sha256(run_id.encode()).hexdigest()}"
+    if folder_exists(spark, f"{entry}.done"):
+        return int(read_text(spark, f"{entry}.done"))
+    if not create_if_absent(spark, f"{entry}.begun", run_id):
+        raise RuntimeError(f"run {run_id!r} into {table} broke off before: see whether its rows are there, then remove {entry}.begun")
+    rows = append_to_table(df, table)
+    create_if_absent(spark, f"{entry}.done", str(rows))
+    return rows
+
+
 def write_bucketed(df: DataFrame, table: str, key: str = "event_id", buckets: int = 16,
                    sort_by: Sequence[str] = (), mode: str = "overwrite", path: str | None = None) -> None:
     """Hash-distributed (and optionally sorted) table; joins and aggregations on

@@ -10,6 +10,9 @@ passes otherwise): lost records are not skipped unseen.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,3 +40,33 @@ def read_topic(spark: SparkSession, topic_or_path: str, *, fmt: str = "json", st
         opts.setdefault("maxFilesPerTrigger", str(max_per_trigger))
     reader = (spark.readStream if streaming else spark.read).schema(RAW_RECORD).options(**opts)
     return reader.format(fmt).load(topic_or_path)
+
+
+def read_slice(spark: SparkSession, topic_or_path: str, *, fmt: str = "json", after: Mapping[tuple[str, int], int],
+               until: Mapping[tuple[str, int], int] | None = None, options: Mapping[str, str] | None = None) -> DataFrame:
+    """The records of a topic, as a batch, with offsets above ``after`` (by topic and partition;
+    from the start where it has none) and, if given, up to ``until``.
+
+    Kafka reads only that range (the offsets go to the broker; partitions added to a topic later
+    need its ``until``). A file topic is scanned and filtered.
+    """
+    opts = dict(options or {})
+    if fmt == "kafka":
+        for name, ends in (("startingOffsets", after), ("endingOffsets", until)):
+            if ends:
+                by: dict[str, dict[str, int]] = {}
+                for (t, p), o in ends.items():
+                    by.setdefault(t, {})[str(p)] = o + 1         # the next offset, excluded at the end
+                opts[name] = json.dumps(by)
+    df = read_topic(spark, topic_or_path, fmt=fmt, streaming=False, options=opts)
+    shape = "topic string, partition int, _offset bigint"
+
+    def ends_of(ends):          # a row a partition
+        return F.broadcast(spark.createDataFrame([(t, p, o) for (t, p), o in ends.items()], shape))
+
+    same = [F.col("r.topic").eqNullSafe(F.col("e.topic")), F.col("r.partition").eqNullSafe(F.col("e.partition"))]
+    if after:
+        df = df.alias("r").join(ends_of(after).alias("e"), same, "left").where(F.col("_offset").isNull() | (F.col("offset") > F.col("_offset"))).select("r.*")
+    if until is not None:
+        df = df.alias("r").join(ends_of(until).alias("e"), same).where(F.col("offset") <= F.col("_offset")).select("r.*")
+    return df

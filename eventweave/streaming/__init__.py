@@ -1,3 +1,3 @@
-from eventweave.streaming.fanout import FanOut, python_transform, run_fanout, start_fanout
+from eventweave.streaming.fanout import FanOut, python_transform, run_bounded, run_fanout, start_fanout, stream_identity
 
-__all__ = ["FanOut", "python_transform", "run_fanout", "start_fanout"]
+__all__ = ["FanOut", "python_transform", "run_bounded", "run_fanout", "start_fanout", "stream_identity"]

@@ -8,8 +8,10 @@ the folder of its (stream, batch) (see ``sinks/tables.py``), so a restart after
 neither loses nor doubles rows, and streams that share a target do not touch each other (T5, stronger than auto-commit).
 
 ``run_fanout`` drains what is there and stops (``trigger(availableNow=True)``); the cap
-per micro-batch is ``max_per_trigger`` (files or offsets). It returns the number of
-records processed (A6).
+per micro-batch is ``max_per_trigger`` (files or offsets). ``run_bounded`` processes at most so many
+records and stops; the next run goes on behind them (T1, L2). Both return the number of records
+processed (A6): a ledger in the checkpoint holds it for every batch, so a batch that is replayed
+after a failure counts once.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ from eventweave.operators import canonical as C
 from eventweave.operators import projections as P
 from eventweave.schemas import CANONICAL
 from eventweave.sinks.snapshots import folder_exists
+from eventweave.sources.topics import read_slice
+from eventweave.streaming.ledger import LEDGER, PLANS, BatchLedger, RunPlans
 
 ORDER_COLS = ("partition", "offset")
 
@@ -141,8 +145,15 @@ class FanOut:
     on_record: Callable[[object], None] | None = None   # T7: called per raw record, on executors
     parallel_writes: bool = True       # submit the independent target writes side by side
     stream_id: str | None = None       # set from the checkpoint when the stream starts
-    processed: int = 0
+    ledger: BatchLedger | None = None  # set from the checkpoint when the stream starts
     batches: deque = field(default_factory=lambda: deque(maxlen=1000))     # the latest statistics
+    _before: int = 0                   # records of earlier batches
+    _last: tuple[int, int] = (-1, 0)   # the latest batch and its records
+
+    @property
+    def processed(self) -> int:
+        """Records of all batches; a batch that came twice counts once."""
+        return self._before + self._last[1]
 
     def shapes(self, canonical: DataFrame) -> dict[str, DataFrame]:
         # The lake takes the P5 shape: an event_id key of its own, the payload or {}.
@@ -173,9 +184,8 @@ class FanOut:
             return {role: f.result() for role, f in futures.items()}
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        if self.on_record is not None:
-            batch.foreach(self.on_record)       # Row(topic, partition, offset, key, value)
-        tagged = self.transform(batch).persist()
+        raw = batch.persist() if self.on_record is not None else batch       # the source is read once
+        tagged = self.transform(raw).persist()
         try:
             keyed_targets = any(r in self.targets for r in ("orders", "events"))
             check_customer = (self.require_customer and "orders" in self.targets
@@ -208,12 +218,20 @@ class FanOut:
                     reason.alias("reason"), F.col("_raw").alias("raw"))
                 writes["quarantine"] = (quarantine, bad)
             stats.update(self._write_all(writes, batch_id))
+            if self.on_record is not None:
+                raw.foreach(self.on_record)     # Row(topic, partition, offset, key, value) of a batch whose targets are written
             if self.on_batch is not None:
                 self.on_batch(good, batch_id)
-            self.processed += n
+            if self.ledger is not None:
+                self.ledger.record(batch_id, n)
+            if batch_id != self._last[0]:
+                self._before += self._last[1]
+            self._last = (batch_id, n)
             self.batches.append(stats)
         finally:
             tagged.unpersist()
+            if raw is not batch or self.on_record is not None:
+                raw.unpersist()
 
 
 def start_fanout(source: DataFrame, fanout: FanOut, checkpoint: str, *,
@@ -221,7 +239,11 @@ def start_fanout(source: DataFrame, fanout: FanOut, checkpoint: str, *,
                  query_name: str | None = None):
     """Start the fan-out and return the ``StreamingQuery`` (continuous runs: a
     processing-time trigger, or Spark's default of one micro-batch after another)."""
-    fanout.stream_id = fanout.stream_id or stream_identity(source.sparkSession, checkpoint)
+    spark = source.sparkSession
+    if folder_exists(spark, f"{checkpoint}/{PLANS}"):
+        raise ValueError(f"{checkpoint} belongs to bounded runs; a stream needs a checkpoint of its own")
+    fanout.stream_id = fanout.stream_id or stream_identity(spark, checkpoint)
+    fanout.ledger = fanout.ledger or BatchLedger(spark, f"{checkpoint}/{LEDGER}")
     writer = source.writeStream.foreachBatch(fanout.process).option("checkpointLocation", checkpoint)
     if query_name:
         writer = writer.queryName(query_name)
@@ -235,8 +257,40 @@ def start_fanout(source: DataFrame, fanout: FanOut, checkpoint: str, *,
 def run_fanout(source: DataFrame, fanout: FanOut, checkpoint: str, *,
                query_name: str | None = None) -> int:
     """Drain what the source holds (``availableNow``), stop, return the record count."""
+    ledger = BatchLedger(source.sparkSession, f"{checkpoint}/{LEDGER}")
+    before = ledger.total()
     query = start_fanout(source, fanout, checkpoint, available_now=True, query_name=query_name)
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    return fanout.processed
+    return ledger.total() - before
+
+
+def run_bounded(spark: SparkSession, topic: str, fanout: FanOut, checkpoint: str, limit: int, *,
+                fmt: str = "json", options: Mapping[str, str] | None = None) -> int:
+    """Process the next ``limit`` records of a topic (fewer if there are fewer), stop,
+    return their number; the next run goes on behind them.
+
+    A run is planned before it starts: the ``limit`` smallest offsets beyond those of the last run
+    give an end offset for every partition, which the checkpoint keeps. A run that failed is done
+    again with the same ends and the same batch number, so targets stay exact.
+    """
+    if limit < 1:
+        raise ValueError("a run takes at least one record")
+    if folder_exists(spark, f"{checkpoint}/offsets"):
+        raise ValueError(f"{checkpoint} belongs to a stream; bounded runs need a checkpoint of their own")
+    plans = RunPlans(spark, f"{checkpoint}/{PLANS}")
+    plan = plans.open()
+    if plan is None:
+        after = plans.ends()
+        ahead = read_slice(spark, topic, fmt=fmt, after=after, options=options)
+        chosen = ahead.select("topic", "partition", "offset").orderBy("offset", "partition", "topic").limit(limit)
+        ends = chosen.groupBy("topic", "partition").agg(F.max("offset").alias("end")).collect()         # a row a partition
+        if not ends:
+            return 0
+        plan = plans.add(after, {**after, **{(r["topic"], r["partition"]): r["end"] for r in ends}})
+    fanout.stream_id = fanout.stream_id or stream_identity(spark, checkpoint)
+    fanout.ledger = fanout.ledger or BatchLedger(spark, f"{checkpoint}/{LEDGER}")
+    fanout.process(read_slice(spark, topic, fmt=fmt, after=plan.after, until=plan.until, options=options), plan.number)
+    plans.close(plan)
+    return fanout.ledger.records(plan.number)

@@ -1,0 +1,168 @@
+"""Capped runs, exact counters, the record hook."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from eventweave.engine import Engine
+from eventweave.schemas import EVENTS
+from eventweave.sinks.tables import AppendTable, InsertOnceTable, KeyedTable
+from eventweave.sources.topics import read_topic
+from eventweave.streaming import FanOut, run_bounded, run_fanout, start_fanout
+from eventweave.streaming.ledger import LEDGER, PLANS, BatchLedger, RunPlans
+from tests.test_stream import _publish_sample, _targets
+
+
+def ids(table, spark):
+    return sorted(r.event_id for r in table.read(spark).collect())
+
+
+@pytest.mark.parametrize("files", [1, 4])
+def test_runs_take_so_many_and_go_on(spark, tmp_dir, files):
+    topic, ckpt = tmp_dir("topic"), tmp_dir("ckpt")
+    _publish_sample(spark, topic, files)
+    metrics, seen, total = AppendTable(tmp_dir("m")), [], 0
+    for want in (10, 10, 5, 0):
+        got = run_bounded(spark, topic, FanOut({"metrics": metrics}), ckpt, 10)
+        assert got == want
+        total += got
+        now = ids(metrics, spark)
+        assert len(now) == len(set(now)) == total and set(seen) <= set(now)
+        seen = now
+    assert BatchLedger(spark, f"{ckpt}/{LEDGER}").total() == 25
+
+
+def test_first_records_come_first(spark, tmp_dir):
+    topic, ckpt, metrics = tmp_dir("topic"), tmp_dir("ckpt"), AppendTable(tmp_dir("m"))
+    _publish_sample(spark, topic, 3)
+    run_bounded(spark, topic, FanOut({"metrics": metrics}), ckpt, 7)
+    want = sorted(r.key for r in read_topic(spark, topic, streaming=False).where("offset < 7").collect())
+    assert ids(metrics, spark) == want
+
+
+def test_a_failed_run_is_done_again(spark, tmp_dir):
+    topic, ckpt = tmp_dir("topic"), tmp_dir("ckpt")
+    _publish_sample(spark, topic, 2)
+    targets = {"metrics": AppendTable(tmp_dir("m")), "orders": InsertOnceTable(tmp_dir("o"), order_cols=("partition", "offset"))}
+
+    def fail(df, batch_id):
+        raise RuntimeError("simulated crash after the writes")
+
+    assert run_bounded(spark, topic, FanOut(targets), ckpt, 8) == 8
+    with pytest.raises(RuntimeError, match="simulated"):
+        run_bounded(spark, topic, FanOut(targets, on_batch=fail), ckpt, 8)
+    _publish_sample_more(spark, topic)                             # later records do not enter the planned run
+    assert run_bounded(spark, topic, FanOut(targets), ckpt, 100) == 8        # the plan stands, whatever the limit now
+    assert targets["metrics"].read(spark).count() == targets["orders"].read(spark).count() == 16
+    assert run_bounded(spark, topic, FanOut(targets), ckpt, 100) == 12
+    assert targets["metrics"].read(spark).count() == 28
+    assert BatchLedger(spark, f"{ckpt}/{LEDGER}").total() == 28
+
+
+def _publish_sample_more(spark, topic):
+    rows = [("events.raw", 0, 1000 + i, None, f'{{"event_id":"late{i}","customer_id":1}}') for i in range(3)]
+    spark.createDataFrame(rows, "topic string, partition int, offset bigint, key string, value string").write.mode("append").json(topic)
+
+
+def test_streams_and_bounded_runs_do_not_share_a_checkpoint(spark, tmp_dir):
+    topic = tmp_dir("topic")
+    _publish_sample(spark, topic, 1)
+    one, two = tmp_dir("c1"), tmp_dir("c2")
+    fan = {"metrics": AppendTable(tmp_dir("m"))}
+    run_fanout(read_topic(spark, topic), FanOut(fan), one)
+    with pytest.raises(ValueError, match="stream"):
+        run_bounded(spark, topic, FanOut(fan), one, 5)
+    run_bounded(spark, topic, FanOut(fan), two, 5)
+    with pytest.raises(ValueError, match="bounded"):
+        run_fanout(read_topic(spark, topic), FanOut(fan), two)
+    with pytest.raises(ValueError, match="at least"):
+        run_bounded(spark, topic, FanOut(fan), two, 0)
+
+
+def test_two_drivers_plan_one_run(spark, tmp_dir):
+    plans = [RunPlans(spark, f"{tmp_dir('c')}/{PLANS}")] * 1
+    other = RunPlans(spark, plans[0].path)
+    a = plans[0].add({}, {("t", 0): 5})
+    assert a.number == 0 and plans[0].open() == a
+    numbers = plans[0]._numbers
+    other._numbers = lambda: []                                      # looked before the first one wrote
+    assert other.add({}, {("t", 0): 9}) == a
+    plans[0].close(a)
+    assert plans[0].open() is None and plans[0].ends() == {("t", 0): 5} and numbers() == [0]
+
+
+def test_engine_limit(spark, tmp_dir):
+    eng = Engine(spark, tmp_dir("e"))
+    for i in range(3):
+        eng.publish("t", spark.createDataFrame([(f"{i}-{j}", "x", 1) for j in range(5)], "event_id string, event_type string, customer_id bigint").coalesce(1))
+    assert [eng.stream("t", limit=6) for _ in range(4)] == [6, 6, 3, 0]
+    assert eng.events.read(spark).count() == eng.metrics.read(spark).count() == 15
+
+
+def test_a_replayed_batch_counts_once(spark, tmp_dir):
+    """The batch's targets and counter are written, then the batch fails and comes again."""
+    topic, ckpt, metrics = tmp_dir("topic"), tmp_dir("ckpt"), AppendTable(tmp_dir("m"))
+    _publish_sample(spark, topic, 3)
+    plain = FanOut.process
+
+    def dies(self, batch, batch_id):
+        plain(self, batch, batch_id)
+        if batch_id == 1:
+            raise RuntimeError("simulated")
+
+    FanOut.process = dies
+    try:
+        with pytest.raises(Exception, match="simulated"):
+            run_fanout(read_topic(spark, topic, max_per_trigger=1), FanOut({"metrics": metrics}), ckpt)
+    finally:
+        FanOut.process = plain
+    ledger = BatchLedger(spark, f"{ckpt}/{LEDGER}")
+    before = ledger.total()
+    fan = FanOut({"metrics": metrics})
+    got = run_fanout(read_topic(spark, topic, max_per_trigger=1), fan, ckpt)
+    assert before + got == ledger.total() == 25 and metrics.read(spark).count() == 25
+    assert fan.processed > got                                      # the replayed batch was processed, not counted, again
+
+
+def test_a_batch_given_twice_counts_once(spark, tmp_dir, sample_raw):
+    fan = FanOut({"metrics": AppendTable(tmp_dir("m"))})
+    for batch_id in (0, 0, 1, 1):
+        fan.process(sample_raw, batch_id)
+    assert fan.processed == 50
+
+
+def test_the_hook_reads_the_source_once(spark, tmp_dir):
+    topic = tmp_dir("topic")
+    _publish_sample(spark, topic, 2, extra=["{bad"])
+    seen = spark.sparkContext.accumulator(0)
+    fan = FanOut(_targets(tmp_dir), on_record=lambda record: seen.add(1))
+    query = start_fanout(read_topic(spark, topic), fan, tmp_dir("ckpt"), available_now=True)
+    query.awaitTermination()
+    assert seen.value == 26 and sum(p.numInputRows for p in query.recentProgress) == 26
+
+
+def test_the_hook_sees_no_batch_that_failed(spark, tmp_dir, sample_raw):
+    class Broken:
+        def write(self, df, batch_id, stream_id="default"):
+            raise RuntimeError("no room")
+    seen = spark.sparkContext.accumulator(0)
+    with pytest.raises(RuntimeError, match="no room"):
+        FanOut({"metrics": Broken()}, on_record=lambda record: seen.add(1)).process(sample_raw, 0)
+    assert seen.value == 0
+
+
+def test_ledger_forgets_old_entries_not_their_records(spark, tmp_dir):
+    ledger = BatchLedger(spark, tmp_dir("l"))
+    for b in range(70):
+        ledger.record(b, 2)
+        ledger.record(b, 9)                                          # the first entry stands
+    assert ledger.total() == 140 and len(ledger._numbers()) < 60 and ledger.records(69) == 2
+
+
+def test_keyed_order_over_runs(spark, tmp_dir):
+    topic, table = tmp_dir("t"), KeyedTable(tmp_dir("k"), EVENTS, order_cols=("partition", "offset"))
+    rows = [("t", 0, i, "k", f'{{"event_id":"k","event_type":"v{i}"}}') for i in range(9)]
+    spark.createDataFrame(rows, "topic string, partition int, offset bigint, key string, value string").write.json(topic)
+    for n in range(3):
+        assert run_bounded(spark, topic, FanOut({"events": table}), f"{topic}-c", 3) == 3
+        assert [r.event_type for r in table.read(spark).collect()] == [f"v{3 * n + 2}"]
+    assert read_topic(spark, topic, streaming=False).agg(F.max("offset")).first()[0] == 8

@@ -82,3 +82,49 @@ def test_written_day_does_not_hide_rows(spark):
     """event_date of metrics is the day as written, not the UTC day: it is no bound."""
     df = spark.sql("SELECT 'a' AS event_id, 't' AS event_type, timestamp_ntz '2026-05-26 04:30:00' AS occurred_at, date '2026-05-25' AS event_date")
     assert type_summary(df, "2026-05-26T00:00:00Z").first().event_count == 1
+
+
+def test_sync_into_catalog_tables_twice_equals_once(spark, lake, tmp_dir):
+    from eventweave.schemas import LAKE_EVENTS, TYPE_SUMMARY
+    from eventweave.sinks.tables import ensure_catalog_table
+    names = ("ew_sync_summary", "ew_sync_wh")
+    for by_run in (True, False):
+        for n in names:
+            spark.sql(f"DROP TABLE IF EXISTS {n}")
+        ensure_catalog_table(spark, names[0], TYPE_SUMMARY, path=tmp_dir("s"), by_run=by_run)
+        ensure_catalog_table(spark, names[1], LAKE_EVENTS, path=tmp_dir("w"), by_run=by_run)
+        run = f"it's run {by_run}"
+        for _ in range(2):
+            stats = run_incremental(spark, lake, "2026-05-25T12:00:00Z", summary_table=names[0], warehouse_table=names[1], run_id=run)
+            assert stats == {"iceberg_rows": 15, "aggregate_groups": 5, "starrocks_loaded": 5, "redshift_copy": 1}
+            assert (spark.table(names[0]).count(), spark.table(names[1]).count()) == (5, 15)
+        run_incremental(spark, lake, "2026-05-26T00:00:00Z", summary_table=names[0], warehouse_table=names[1], run_id=run + " b")
+        assert (spark.table(names[0]).count(), spark.table(names[1]).count()) == (7, 20)
+    for n in names:
+        spark.sql(f"DROP TABLE IF EXISTS {n}")
+
+
+def test_a_load_that_broke_off_is_refused(spark, lake, tmp_dir):
+    from eventweave.schemas import LAKE_EVENTS
+    from eventweave.sinks.tables import ensure_catalog_table, load_run_to_table
+    name, ledger = "ew_broken_load", tmp_dir("ledger")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    ensure_catalog_table(spark, name, LAKE_EVENTS, path=tmp_dir("t"))
+    with pytest.raises(Exception):
+        load_run_to_table(lake.withColumn("payload", F.raise_error(F.lit("lost")).cast("string")), name, "r", ledger=ledger)
+    with pytest.raises(RuntimeError, match="broke off"):
+        load_run_to_table(lake, name, "r", ledger=ledger)
+    assert load_run_to_table(lake, name, "r2", ledger=ledger) == load_run_to_table(lake, name, "r2", ledger=ledger) == 25
+    assert spark.table(name).count() == 25
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_lake_with_refused_rows_only(spark, tmp_dir):
+    """One event without an event_id key: the lake stays readable, the sync finds nothing."""
+    from eventweave.engine import Engine
+    eng = Engine(spark, tmp_dir("e"))
+    eng.publish_event("t", {"id": "x", "customer_id": 1, "occurred_at": "2026-05-25T00:00:00Z"})
+    assert eng.stream("t") == 1
+    assert eng.lake.read(spark).count() == 0 and eng.orders.read(spark).count() == 1 and eng.quarantine.read(spark).count() == 1
+    assert eng.sync("2026-05-25T00:00:00Z") == {"iceberg_rows": 0}
+    assert eng.query("SELECT count(*) AS n FROM events", "lakehouse").first().n == 0
