@@ -110,12 +110,15 @@ def byte_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix(h)
 
 
-def same_bytes(a: np.ndarray, a_at: np.ndarray, b: np.ndarray, b_at: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Whether ``a[a_at:a_at + n]`` and ``b[b_at:b_at + n]`` are the same bytes, for many spans."""
+def same_bytes(a: np.ndarray, a_at: np.ndarray, b: np.ndarray, b_at: np.ndarray, n: np.ndarray,
+               left: np.ndarray | None = None, right: np.ndarray | None = None) -> np.ndarray:
+    """Whether ``a[a_at:a_at + n]`` and ``b[b_at:b_at + n]`` are the same bytes, for many spans;
+    ``left`` and ``right`` are their ``eights``, if the caller has them."""
     same = np.ones(len(n), bool)
     if not len(n) or not len(a) or not len(b):
         return same
-    left, right, own, at = eights(a), eights(b), np.arange(len(n)), 0
+    left, right = eights(a) if left is None else left, eights(b) if right is None else right
+    own, at = np.arange(len(n)), 0
     while len(own := own[same[own] & (n[own] > at)]):
         if at >= LONG:          # long ones: few, whole
             for i in own.tolist():

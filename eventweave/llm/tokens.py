@@ -20,6 +20,7 @@ import pyarrow as pa
 import regex
 
 from eventweave.llm.textops import LONG, SPACE, WORKER_TABLES, Words, column_bytes, same_bytes, split_words
+from eventweave.llm.textops import eights as view_eights
 
 #: Words whose ids one Python worker keeps (about 100 bytes each, allocated at once); words of more
 #: than ``LONG`` bytes are not kept.
@@ -73,7 +74,9 @@ class WordEncoder:
         self.word = np.zeros(slots, np.int32)                   # where its bytes begin
         self.size = np.zeros(slots, np.int8)                    # and how many there are
         self.kind = np.zeros(slots, np.int8)
-        self.pool, self.n_pool = np.zeros(16 * max(max_words, 8), np.uint8), 0
+        spare = np.zeros(16 * max(max_words, 8) + 8, np.uint8)
+        self.pool, self.n_pool = spare[:-8], 0
+        self.pool_eights = np.ndarray((len(self.pool),), "<u8", buffer=spare, strides=(1,))
         self.begin = np.zeros(slots, np.int32)
         self.count = np.zeros(slots, np.int32)
         self.flat = np.zeros(8 * max(max_words, 8), self.dtype)
@@ -109,8 +112,9 @@ class WordEncoder:
         return [np.array(self.tok.encode(t, add_special_tokens=False).ids, dtype=self.dtype) for t in texts]
 
     # -- the table ------------------------------------------------------------------------
-    def _find(self, keys: np.ndarray, data: np.ndarray, start: np.ndarray, n: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(slot where each key stands or its probing ended, 1 known / 0 free slot / -1 another word's)."""
+    def _find(self, keys: np.ndarray, data: np.ndarray, eights: np.ndarray, start: np.ndarray, n: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(slot where each key stands or its probing ended, 1 known / 0 free slot / -1 another word's).
+        Words of one length up to eight bytes never share a hash; longer ones are compared."""
         slot = (keys & np.uint64(self.mask)).astype(np.int64)
         state = np.zeros(len(keys), np.int8)
         left = np.arange(len(keys))
@@ -119,7 +123,9 @@ class WordEncoder:
             same = have == keys[left]
             hit = left[same]
             own = (self.size[slot[hit]] == n[hit]) & (self.kind[slot[hit]] == kind[hit])
-            own[own] = same_bytes(self.pool[:self.n_pool], self.word[slot[hit[own]]].astype(np.int64), data, start[hit[own]], n[hit[own]])
+            more = np.flatnonzero(own & (n[hit] > 8))
+            at = hit[more]
+            own[more] = same_bytes(self.pool, self.word[slot[at]].astype(np.int64), data, start[at], n[at], self.pool_eights, eights)
             state[hit] = np.where(own, 1, -1)
             left = left[~same & (have != 0)]
             slot[left] = (slot[left] + 1) & self.mask
@@ -150,13 +156,14 @@ class WordEncoder:
         size = w.end - w.start
         like = at[back]
         other = (size != size[like]) | (kind != kind[like])
-        more = np.flatnonzero(~other & (like != np.arange(len(like))))
-        other[more] = ~same_bytes(w.data, w.start[more], w.data, w.start[like[more]], size[more])
+        own = view_eights(w.data)
+        more = np.flatnonzero(~other & (size > 8) & (like != np.arange(len(like))))
+        other[more] = ~same_bytes(w.data, w.start[more], w.data, w.start[like[more]], size[more], own, own)
         alone = np.flatnonzero(other)
         back[alone] = len(uniq) + np.arange(len(alone))
         uniq, at = np.concatenate([uniq, keys[alone]]), np.concatenate([at, alone])
         s, n, kinds = w.start[at], size[at], kind[at]
-        slot, state = self._find(uniq, w.data, s, n, kinds)
+        slot, state = self._find(uniq, w.data, own, s, n, kinds)
         known = state == 1
         begin, count = np.zeros(len(uniq), np.int64), np.zeros(len(uniq), np.int32)
         begin[known], count[known] = self.begin[slot[known]], self.count[slot[known]]
