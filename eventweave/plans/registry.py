@@ -19,6 +19,7 @@ from eventweave.operators.federate import DEFAULT_SOURCES, SkewGuard, SourceRef,
 from eventweave.operators.summary import run_stats, type_summary
 from eventweave.plans import derived as D
 from eventweave.plans import oracle as O
+from eventweave.plans import table_queries
 from eventweave.session import prepare, work_dir
 from eventweave.sources.catalogs import Router, Workload
 
@@ -603,20 +604,28 @@ def sync_targets(spark, sf_dir):
 _HOT = "CASE WHEN event_id % 3 = 0 THEN 7 WHEN event_id % 13 = 0 THEN NULL ELSE event_id END"
 
 
+_HOT_BASE = "CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_type = 'click' AND value >= 100 THEN 7 WHEN event_type = 'view' THEN -1 ELSE event_id END"
+
+
 @register("federated_hot_key", f"""
-WITH b AS (SELECT CASE WHEN event_id % 11 = 0 THEN NULL ELSE event_id END AS k, event_id AS v FROM events WHERE event_id % 2 = 1),
-     r AS (SELECT {_HOT} AS k, event_id AS w FROM events)
-""" + " UNION ALL ".join(f"SELECT '{j}' AS join_type, COUNT(*) AS n, COUNT(v) AS base, COUNT(w) AS other, CAST(SUM(COALESCE(v, 0) + COALESCE(w, 0)) AS BIGINT) AS total FROM b {j} JOIN r ON b.k = r.k"
-                         for j in ("LEFT", "INNER", "RIGHT", "FULL")))
+WITH b AS (SELECT {_HOT_BASE} AS k, event_id AS v FROM events),
+     r AS (SELECT {_HOT} AS k, event_id AS w FROM events),
+     lk AS (SELECT k, COUNT(*) AS n, SUM(v) AS s FROM b WHERE k IS NOT NULL GROUP BY k), rk AS (SELECT k, COUNT(*) AS n, SUM(w) AS s FROM r WHERE k IS NOT NULL GROUP BY k),
+     m AS (SELECT SUM(lk.n * rk.n) AS n, SUM(lk.s * rk.n + rk.s * lk.n) AS total FROM lk JOIN rk USING (k)),
+     ul AS (SELECT COUNT(*) AS n, SUM(v) AS total FROM b WHERE k IS NULL OR k NOT IN (SELECT k FROM rk)),
+     ur AS (SELECT COUNT(*) AS n, SUM(w) AS total FROM r WHERE k IS NULL OR k NOT IN (SELECT k FROM lk))
+SELECT j.join_type, CAST(m.n + l * ul.n + r * ur.n AS BIGINT) AS n, CAST(m.n + l * ul.n AS BIGINT) AS base, CAST(m.n + r * ur.n AS BIGINT) AS other,
+       CAST(m.total + l * ul.total + r * ur.total AS BIGINT) AS total
+FROM m, ul, ur, (VALUES ('LEFT', 1, 0), ('INNER', 0, 0), ('RIGHT', 0, 1), ('FULL', 1, 1)) j(join_type, l, r)""")
 def federated_hot_key(spark, sf_dir):
-    """J2 with one key of a third of the rows and rows without a key, thresholds that trigger."""
+    """J2 over whole tables: one key hot on both sides, one on the base side alone, rows without a
+    key, thresholds that trigger the split."""
     events = _events(spark, sf_dir)
-    tables = {"t.b": events.where("event_id % 2 = 1").selectExpr("CASE WHEN event_id % 11 = 0 THEN NULL ELSE event_id END AS k", "event_id AS v"),
-              "t.r": events.selectExpr(f"{_HOT} AS k", "event_id AS w")}
+    tables = {"t.b": events.selectExpr(f"{_HOT_BASE} AS k", "event_id AS v"), "t.r": events.selectExpr(f"{_HOT} AS k", "event_id AS w")}
     sources = [SourceRef(None, "t", "b", "b", ("v",)), SourceRef(None, "t", "r", "r", ("w",))]
-    out = None
+    guard, out = SkewGuard(hot_fraction=0.05, min_rows=10, min_bytes=0, cell_pairs=1_000_000), None
     for how in ("LEFT", "INNER", "RIGHT", "FULL"):
-        joined = federate(spark, sources, join_key="k", join_type=how, resolve=lambda s: tables[s.qualified], skew_guard=SkewGuard(hot_fraction=0.05, min_rows=10))
+        joined = federate(spark, sources, join_key="k", join_type=how, resolve=lambda s: tables[s.qualified], skew_guard=guard)
         row = joined.agg(F.count(F.lit(1)).alias("n"), F.count("b_v").alias("base"), F.count("r_w").alias("other"),
                          F.sum(F.coalesce("b_v", F.lit(0)) + F.coalesce("r_w", F.lit(0))).alias("total")).select(F.lit(how).alias("join_type"), "n", "base", "other", "total")
         out = row if out is None else out.unionByName(row)
@@ -690,6 +699,9 @@ def malformed_split(spark, sf_dir):
     return tagged.groupBy(F.col(C.STATUS).alias("reason")).agg(F.count(F.lit(1)).alias("records"))
 
 
+table_queries.register_all(register)
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

@@ -148,7 +148,7 @@ def test_parts_and_files_are_left_out(spark, tmp_dir):
         lake.read(spark, [S.Between("nothing", 1)])
 
 
-def test_key_reads_open_few_files(spark, tmp_dir):
+def test_key_reads_open_few_files(spark, tmp_dir, small_jobs):
     table = keyed(tmp_dir("t"), fanout=100, file_bytes=3000, index_bytes=0)
     keys = [f"k{i * 7919 % 100_003:06d}" for i in range(1200)]
     for b in range(6):
@@ -182,7 +182,19 @@ def test_bounds_of_every_type(spark, tmp_dir):
     assert opened(table.read(spark, [S.Between("s", "z", "z")])) == 1
 
 
-def test_two_hundred_batches(spark, tmp_dir):
+@pytest.fixture
+def small_jobs(spark):
+    """Many tiny writes: one shuffle partition, no re-planning."""
+    keys = {"spark.sql.shuffle.partitions": "1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def test_two_hundred_batches(spark, tmp_dir, small_jobs):
     """Parts a read meets and rows a batch rewrites stay bounded; the result is that of one batch."""
     table, fanout, n = keyed(tmp_dir("t"), fanout=5), 5, 200
     most, written = 0, 0
@@ -206,7 +218,7 @@ def test_two_hundred_batches(spark, tmp_dir):
     assert types(table, spark) == want
 
 
-def test_orders_and_lake_are_merged_too(spark, tmp_dir):
+def test_orders_and_lake_are_merged_too(spark, tmp_dir, small_jobs):
     orders, lake = T.InsertOnceTable(tmp_dir("o"), order_cols=("partition", "offset"), fanout=4), T.AppendTable(tmp_dir("l"), partition_by=("event_date",), fanout=4)
     n = 30
     for b in range(n):
