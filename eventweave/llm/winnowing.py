@@ -88,8 +88,8 @@ def with_next(rows: DataFrame, key: str, values: list[str], tie: str) -> DataFra
     by ``tie``); the first row follows the last.
 
     Keys are cut into stretches of about ``STRETCH`` rows (equal-width cells, dense ones cut
-    again); every stretch also gets the first row of the one that follows, and the rest is
-    one shuffle and a window inside each stretch."""
+    again; rows without a key are a cell that is cut by ``tie``); every stretch also gets the first
+    row of the one that follows, and the rest is one shuffle and a window inside each stretch."""
     wide = F.col(key).cast("decimal(20,0)")
     low, high, n = rows.agg(F.min(wide), F.max(wide), F.count(F.lit(1))).first()
     if not n:
@@ -97,13 +97,15 @@ def with_next(rows: DataFrame, key: str, values: list[str], tie: str) -> DataFra
     low, high = (0, 0) if low is None else (int(low), int(high))
     width = (high - low) // max(1, min(CELLS, n // STRETCH)) + 1
     cell = F.coalesce(F.floor((wide - F.lit(low).cast("decimal(20,0)")) / F.lit(width).cast("decimal(20,0)")).cast("int"), F.lit(-1))
-    keyed = rows.withColumn("_cell", cell)
-    cells = (keyed.groupBy("_cell").agg(F.min(wide).alias("_lo"), F.max(wide).alias("_hi"), F.count(F.lit(1)).alias("_n"))   # <= CELLS + 1 rows
-             .withColumn("_k", F.least(F.lit(SPLITS), F.ceil(F.col("_n") / (2 * STRETCH))).cast("decimal(20,0)"))
+    back = F.negative(F.col(tie).cast("decimal(20,0)"))
+    keyed = rows.withColumn("_cell", cell).withColumn("_place", F.coalesce(wide, back))      # falls along the order, without a key too
+    most = F.greatest(F.lit(SPLITS), F.floor(F.col("_n") * CELLS / F.lit(n)))                # a cell with many rows may have many
+    cells = (keyed.groupBy("_cell").agg(F.min("_place").alias("_lo"), F.max("_place").alias("_hi"), F.count(F.lit(1)).alias("_n"))   # <= CELLS + 1 rows
+             .withColumn("_k", F.least(most, F.ceil(F.col("_n") / (2 * STRETCH))).cast("decimal(20,0)"))
              .withColumn("_step", F.floor((F.col("_hi") - F.col("_lo")) / F.col("_k")).cast("decimal(20,0)") + 1).select("_cell", "_lo", "_step"))
-    sub = F.coalesce(F.floor((wide - F.col("_lo")) / F.col("_step")).cast("int"), F.lit(0))
-    dealt = keyed.join(F.broadcast(cells), "_cell").withColumn("_sub", sub).drop("_lo", "_step")
-    ends = dealt.groupBy("_cell", "_sub").agg(F.max(key).alias("_first"))           # <= (CELLS + 1) * SPLITS rows
+    sub = F.floor((F.col("_place") - F.col("_lo")) / F.col("_step")).cast("int")
+    dealt = keyed.join(F.broadcast(cells), "_cell").withColumn("_sub", sub).withColumn("_rank", F.struct("_place", back)).drop("_lo", "_step")
+    ends = dealt.groupBy("_cell", "_sub").agg(F.max("_rank").alias("_first"))       # <= CELLS * (SPLITS + 1) + 1 rows
     inside = Window.partitionBy("_cell").orderBy("_sub")
     top = ends.groupBy("_cell").agg(F.max("_sub").alias("_top"), F.min("_sub").alias("_bottom"))
     over = Window.orderBy("_cell")                                                  # <= CELLS + 1 rows
@@ -116,7 +118,7 @@ def with_next(rows: DataFrame, key: str, values: list[str], tie: str) -> DataFra
     own = F.struct(F.col("_cell").alias("c"), F.col("_sub").alias("s"), F.lit(0).alias("guest"))
     guest = F.struct(F.col("_to.c").alias("c"), F.col("_to.s").alias("s"), F.lit(1).alias("guest"))
     sent = (dealt.join(F.broadcast(guests), ["_cell", "_sub"])
-            .withColumn("_at", F.explode(F.when(F.col(key).eqNullSafe(F.col("_first")), F.array(own, guest)).otherwise(F.array(own))))
+            .withColumn("_at", F.explode(F.when(F.col("_rank") == F.col("_first"), F.array(own, guest)).otherwise(F.array(own))))
             .select(*rows.columns, F.col("_at.c").alias("_c"), F.col("_at.s").alias("_s"), F.col("_at.guest").alias("_guest")))
     order = Window.partitionBy("_c", "_s").orderBy("_guest", F.desc_nulls_last(key), tie)
     return (sent.select("*", *[F.lead(v).over(order).alias(f"next_{v}") for v in values])

@@ -330,3 +330,14 @@ def test_extraction_of_the_table(spark):
 def pages_text():
     from pyspark.sql import functions as F
     return F.lit("own text")
+
+
+def test_next_among_rows_without_ids(spark, monkeypatch):
+    """Half of the rows have no id: they follow the others by their tie, over many stretches."""
+    monkeypatch.setattr(winnowing, "STRETCH", 4)
+    rng = random.Random(8)
+    rows = [(i if i % 2 else None, f"t{i}", rng.randint(-2**63, 2**63 - 1)) for i in range(400)] + [(777, f"u{i}", i) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, tie long").repartition(5)
+    got = {r.text: r.next_text for r in winnowing.with_next(df, "doc_id", ["text"], "tie").collect()}
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[2]))
+    assert got == {a[1]: b[1] for a, b in zip(order, order[1:] + order[:1])}
