@@ -125,6 +125,8 @@ def _count_sides(frames: Sequence[DataFrame], keys: Sequence[str], guard: SkewGu
     """Rows of all candidate keys on every side. Sides are independent, so their small jobs run
     from parallel driver threads."""
     from concurrent.futures import ThreadPoolExecutor
+    if len({f.schema[k].dataType.simpleString() for f, k in zip(frames, keys)}) > 1:
+        return []           # keys of different types compare by Spark's casts: the plain join
     sizes = [_bytes_of(f) for f in frames]
     with ThreadPoolExecutor(max_workers=len(frames)) as pool:
         found = [pool.submit(_candidates, f, k, guard) for f, k, n in zip(frames, keys, sizes) if not guard.min_bytes or guard.min_bytes <= n < UNKNOWN]

@@ -245,11 +245,13 @@ class AppendTable(SnapshotTable):
         """(rows of batches whose versions are not among ``known`` ranges, all versions now). Parts
         that hold known batches only are not opened."""
         head = self.snapshot(spark)
+        if head.schema is None:
+            raise ValueError(f"no table at {self.path}")
+        if head.parts and VERSION_COL not in head.schema.names:
+            raise ValueError(f"the rows of {self.path} carry no versions (versioned=True when they are written)")
         every = add_ranges(known, *map(versions_of, head.parts))
         new = without(every, known)
         parts = [p for p in head.parts if p.kind == "rows" and without(versions_of(p), known)]
-        if head.schema is None:
-            raise ValueError(f"no table at {self.path}")
         if not parts:
             return spark.createDataFrame([], head.schema).drop(VERSION_COL), every
         own = F.lit(False)

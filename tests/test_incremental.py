@@ -107,6 +107,13 @@ def test_empty_lake(spark, tmp_dir):
     assert summary.update(spark, lake).count() == 0
 
 
+def test_rows_without_versions_are_refused(spark, tmp_dir):
+    lake = AppendTable(tmp_dir("lake"))
+    lake.write(spark.createDataFrame(rows(random.Random(1), 5), LAKE), 0)
+    with pytest.raises(ValueError, match="no versions"):
+        IncrementalSummary(tmp_dir("state")).update(spark, lake)
+
+
 def test_version_ranges():
     assert S.ranges([3, 1, 2, 7]) == [[1, 3], [7, 7]]
     assert S.add_ranges([[1, 3]], [[4, 4], [9, 9]], [[2, 6]]) == [[1, 6], [9, 9]]

@@ -100,3 +100,9 @@ def test_small_sides_are_not_counted(spark, monkeypatch):
     monkeypatch.setattr(J, "_candidates", fail)
     tables = {n: spark.range(10).selectExpr("id AS k", "id AS v") for n in ("t.a", "t.b")}
     assert federate(spark, sources("a", "b"), join_key="k", resolve=lambda s: tables[s.qualified]).count() == 10
+
+
+def test_keys_of_two_types_take_the_plain_join(spark):
+    tables = {"t.a": spark.range(50).selectExpr("1 AS k", "id AS v"), "t.b": spark.range(50).selectExpr("CAST(1 AS BIGINT) AS k", "id AS v")}
+    out = federate(spark, sources("a", "b"), join_key="k", resolve=lambda s: tables[s.qualified], skew_guard=GUARD)
+    assert out.count() == 2500
