@@ -293,9 +293,9 @@ def processed_counts(spark, sf_dir):
     return spark.createDataFrame(list(counts.items()), "run string, processed bigint")
 
 
-@query("optional_targets", O.with_ctes(O.CANONICAL_CTE, O.LAKE_CTE) + """
+@query("chosen_targets", O.with_ctes(O.CANONICAL_CTE, O.LAKE_CTE) + """
 SELECT 'metrics' AS target, COUNT(*) AS n, COUNT(DISTINCT event_id) AS ids FROM canon UNION ALL SELECT 'lake', COUNT(*), COUNT(DISTINCT event_id) FROM lake""")
-def optional_targets(spark, sf_dir):
+def chosen_targets(spark, sf_dir):
     """A fan-out with two of its five targets; each is written once a micro-batch."""
     from eventweave.sources.topics import read_topic
     from eventweave.streaming import FanOut, run_fanout
