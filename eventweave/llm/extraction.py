@@ -7,8 +7,8 @@ out, or only divides its children; below an element that is out nothing is in, a
 consistent choice for the whole page is found in one pass up and one down the tree. The text
 units inside are the result, in page order.
 
-No page is labelled. The trees are fitted on at most ``SAMPLE`` pages, chosen by a hash of
-page_id: what pages say themselves (article and main elements against menus, footers,
+No page is labelled. The trees are fitted on at most ``SAMPLE`` pages of at most ``MOST_BYTES``,
+chosen by a hash of page_id: what pages say themselves (article and main elements against menus, footers,
 sidebars) marks real text as article or not, and this text, laid out anew in many ways (other
 elements, telling or meaningless class words, comments and notices made of other pages'
 text), gives the training pages. Every page of the table is then decoded from its whole html.
@@ -32,6 +32,8 @@ from eventweave.llm.frames import by_blocks, need
 
 #: Pages used for fitting at most (in expectation), and training pages made from them.
 SAMPLE, MADE = 400, 900
+#: Pages of more bytes teach nothing (a bound on what the driver holds; every page is decoded).
+MOST_BYTES = 256 << 10
 _OUT_TAGS = frozenset("nav menu header footer aside form".split())
 _OUT_ROLES = sum(1 << i for i in (1, 3, 4, 5, 6, 7, 9))
 
@@ -207,7 +209,8 @@ def fit(pages: DataFrame, *, sample: int = SAMPLE, made: int = MADE, seed: int =
     some = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("html").cast("string").alias("html"))
     if n > sample:
         some = some.filter(F.pmod(F.xxhash64("page_id"), F.lit(1 << 30)) < int((1 << 30) * sample / n))
-    rows = some.orderBy("page_id").limit(2 * sample).collect()
+    small = F.coalesce(F.octet_length("html"), F.lit(0)) <= MOST_BYTES
+    rows = some.filter(small).orderBy("page_id").limit(2 * sample).collect()
     articles, lines, x, y = [], [], [], []
     for row in rows:
         page = dom.parse(row["html"] or "")

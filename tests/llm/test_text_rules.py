@@ -341,3 +341,16 @@ def test_next_among_rows_without_ids(spark, monkeypatch):
     got = {r.text: r.next_text for r in winnowing.with_next(df, "doc_id", ["text"], "tie").collect()}
     order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[2]))
     assert got == {a[1]: b[1] for a, b in zip(order, order[1:] + order[:1])}
+
+
+def test_huge_pages_do_not_teach(spark, monkeypatch):
+    """Pages of many bytes are decoded whole, but the driver never holds them."""
+    monkeypatch.setattr(extraction, "MOST_BYTES", 3000)
+    body = "<p>" + "Some plain words of an article, long enough to be text. " * 4 + "</p>"
+    pages = [(i, f"u{i}", f"<html><body><nav><a href=x>menu {i}</a></nav><article>{body * 3}</article></body></html>") for i in range(30)]
+    huge = (99, "u99", "<html><body><article>" + body * 400 + "</article></body></html>")
+    df = spark.createDataFrame([*pages, huge], "page_id long, url string, html string")
+    alone = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.page_id: r.n_chars for r in extraction.extract(df, extraction.fit(df)).collect()}
+    want = {r.page_id: r.n_chars for r in extraction.extract(df, extraction.fit(alone)).collect()}
+    assert got == want and got[99] > 80_000
