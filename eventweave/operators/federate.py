@@ -3,9 +3,9 @@
 Every later source joins to the *first* source's key with an explicit condition on
 the base key (a USING join would coalesce keys and change FULL-join results). Output
 columns are named ``<alias>_<column>`` so the result can be written (names repeat
-across sources otherwise). Join strategy is left to Catalyst/AQE: a side is broadcast
-only when its measured size is under ``spark.sql.autoBroadcastJoinThreshold``; otherwise
-both sides shuffle on the key once, and later joins reuse the base side's partitioning.
+across sources otherwise). Join strategy is left to Catalyst/AQE, except that a side is not
+broadcast for the size of its compressed files alone (see :func:`_join`); otherwise both sides
+shuffle on the key once, and later joins reuse the base side's partitioning.
 """
 
 from __future__ import annotations
@@ -195,11 +195,27 @@ def _hot_split(plan: DataFrame, right: DataFrame, base_key: str, right_key: str,
 NULL_SPREAD = 4096
 
 
+#: Bytes of a broadcast hash table for a byte of compressed file that the optimizer knows of, about.
+EXPANSION = 64
+
+
+def _guessed_small(spark: SparkSession, *sides: DataFrame) -> bool:
+    """Some side is small by the optimizer's estimate alone: few bytes of compressed files whose
+    rows need not be few. Each task would hold all of them as a hash table."""
+    try:
+        limit = int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    except Exception:  # noqa: BLE001 - no JVM view (Spark Connect)
+        return False
+    return any(limit < n * EXPANSION and n <= limit for n in map(_bytes_of, sides))
+
+
 def _join(plan: DataFrame, right: DataFrame, base_key: str, right_key: str, how: str) -> DataFrame:
-    """The plain join. A FULL join keeps the rows without a key on both sides, and the engine
-    splits neither: a second join column spreads them (it is 0 for every row with a key, so
-    it decides nothing)."""
+    """The plain join. A side whose estimate allows a broadcast that its rows may not is shuffled and
+    merged. A FULL join keeps the rows without a key on both sides, and the engine splits neither: a
+    second join column spreads them (it is 0 for every row with a key, so it decides nothing)."""
     cond = F.col(base_key) == F.col(right_key)
+    if _guessed_small(plan.sparkSession, plan, right):
+        right = right.hint("merge")
     if how != "full":
         return plan.join(right, cond, how)
 
