@@ -46,6 +46,8 @@ RUN_COL, VERSION_COL = "run_id", "_version"
 #: Parts of one level that become one of the next; bytes that are merged while batches are written;
 #: bytes of one file of a merged part; bytes from which a merged part gets an index of its files.
 FANOUT, INLINE_BYTES, FILE_BYTES, INDEX_BYTES = 8, 1 << 30, 256 << 20, 64 << 20
+#: Rows of one file of a merged part, about: one task sorts them, and compressed bytes say little of its memory.
+FILE_ROWS = 1 << 19
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
@@ -155,9 +157,10 @@ class SnapshotTable:
         """What merged rows become: (rows, kind, one row a key)."""
         return [(rows, kind, False)]
 
-    def _laid_out(self, rows: DataFrame, schema: StructType, size: int) -> DataFrame:
-        """Files of about ``file_bytes``, each a range of the key or of the first bound column."""
-        files = max(1, -(-size // self.file_bytes))
+    def _laid_out(self, rows: DataFrame, schema: StructType, size: int, count: int) -> DataFrame:
+        """Files of about ``file_bytes`` or ``FILE_ROWS`` rows, whichever are smaller, each a range of
+        the key or of the first bound column."""
+        files = max(1, -(-size // self.file_bytes), -(-count // FILE_ROWS))
         if self.partition_by:
             return rows.hint("rebalance", *self.partition_by)
         by = [c for c in ([self.key] if self.key else self.bound_columns(schema)[:1]) if c in schema.names]
@@ -168,10 +171,10 @@ class SnapshotTable:
         return rows.repartitionByRange(files, *by, F.xxhash64(*rows.columns)).sortWithinPartitions(*by)      # one common value is not one file
 
     def _merge(self, log: SnapshotLog, head: Snapshot, parts: Sequence[Part], level: int) -> Snapshot:
-        size, kind = sum(p.size for p in parts), parts[0].kind
+        size, count, kind = sum(p.size for p in parts), sum(p.rows for p in parts), parts[0].kind
         bounds, new = self.bound_columns(head.schema), []
         for rows, own_kind, unique in self._pieces(log.read_parts(parts, head.schema), kind):
-            part = log.write_part(self._laid_out(rows, head.schema, size), bounds, self.partition_by, level=level, kind=own_kind, unique=unique,
+            part = log.write_part(self._laid_out(rows, head.schema, size, count), bounds, self.partition_by, level=level, kind=own_kind, unique=unique,
                                   versions=add_ranges(*map(versions_of, parts)))
             if part.rows:
                 new.append(log.index(part, head.schema, bounds, self.key) if part.size >= self.index_bytes else part)
