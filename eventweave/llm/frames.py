@@ -83,12 +83,49 @@ def no_text_as_empty(column: str = "text"):
     return F.coalesce(F.col(column).cast("string"), F.lit("")).alias(column)
 
 
-def labelled(labels: DataFrame, column: str, most: int) -> DataFrame:
-    """(doc_id, label 0/1), one row a document, about ``most`` at most; conflicting labels count as 0."""
+def all_labelled(labels: DataFrame, column: str) -> DataFrame:
+    """(doc_id, label 0/1), one row a document; conflicting labels count as 0."""
     need(labels, "doc_id", column)
-    own = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(column).cast("int").alias("label"))
-           .dropna().groupBy("doc_id").agg(F.min("label").alias("label")))
+    return (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(column).cast("int").alias("label"))
+            .dropna().groupBy("doc_id").agg(F.min("label").alias("label")))
+
+
+def labelled(labels: DataFrame, column: str, most: int) -> DataFrame:
+    """The same of about ``most`` documents at most, chosen by a hash."""
+    own = all_labelled(labels, column)
     n = own.count()
     if n > most:
         own = own.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * most / n))
     return own
+
+
+#: Bins of one pass over the values (rows to the driver).
+BINS = 1 << 14
+
+
+def percentile(df: DataFrame, column: str, share: float) -> float | None:
+    """The exact percentile of a column of doubles, between two values by their distance as Spark's own
+    ``percentile``, which gathers all distinct values in one task. Here the values are counted in
+    bins, and the bin that holds the place is cut into bins again until it holds one value."""
+    n, low, high = df.agg(F.count(column), F.min(column), F.max(column)).first()
+    if not n:
+        return None
+
+    def at(rank: int, low: float, high: float) -> float:
+        while low < high:
+            own = df.where(F.col(column).between(low, high))
+            place = F.floor((F.col(column) - F.lit(low)) / F.lit(high - low) * BINS)
+            bins = (own.groupBy(F.least(place, F.lit(BINS - 1)).alias("bin"))
+                    .agg(F.count(F.lit(1)).alias("n"), F.min(column).alias("low"), F.max(column).alias("high")).orderBy("bin").collect())
+            for b in bins:
+                if rank < b["n"]:
+                    low, high = b["low"], b["high"]
+                    break
+                rank -= b["n"]
+        return low
+
+    place = share * (n - 1)
+    below = int(place)
+    first = at(below, low, high)
+    next_ = first if place == below else at(below + 1, low, high)
+    return first if next_ == first else (below + 1 - place) * first + (place - below) * next_

@@ -8,8 +8,9 @@ counted over its rows that pass the base rule (for others the score decides noth
 document gets a fixed verdict; it also fails when the base counts say so. Weights are integers (units of 1e-4), so a score
 does not depend on how rows are grouped into batches.
 
-The corpus counts cover all documents; the target uses at most about ``MAX_LABELLED``
-labelled rows, chosen by a hash of doc_id. Counts per bucket are summed on the executors;
+The corpus counts cover all documents; the target and the threshold come from all labelled
+rows. Up to ``BROADCAST_LABELLED`` of them are sent to every task; more are joined by a shuffle, which
+writes no text twice: a document is of one half. Counts per bucket are summed on the executors;
 the driver gets ``BUCKETS`` rows at most.
 
 Defined cases: null and empty texts have zero counts, score 0 and fail the base rule; texts
@@ -29,12 +30,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from eventweave.llm import textops as X
-from eventweave.llm.frames import by_blocks, labelled, need
+from eventweave.llm.frames import all_labelled, by_blocks, need, percentile, stored
 
 GRAM = 4
 BUCKETS = 1 << 18
-#: Labelled rows used at most (in expectation; chosen by hash).
-MAX_LABELLED = 200_000
+#: Labelled rows up to which they are sent to every task; the texts stay where they are then.
+BROADCAST_LABELLED = 200_000
 UNIT = 1e-4
 
 _SYMBOL = np.zeros(256, bool)
@@ -107,32 +108,35 @@ class Model:
     threshold: float
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, miss: float = 0.001, most_labelled: int = MAX_LABELLED) -> Model:
+def _bucket_counts(texts: DataFrame) -> np.ndarray:
+    """N-grams of all texts by bucket."""
+    def count(batches):
+        n = np.zeros(BUCKETS, np.int64)
+        for batch in batches:
+            for block in X.blocks(batch, "text"):
+                n += np.bincount(gram_buckets(*X.column_bytes(block.column("text")))[0], minlength=BUCKETS)
+        some = np.flatnonzero(n)
+        yield pa.RecordBatch.from_pydict({"bucket": pa.array(some.astype(np.int32)), "n": pa.array(n[some])})
+
+    out = np.zeros(BUCKETS)
+    for r in texts.select("text").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():     # BUCKETS rows at most
+        out[r["bucket"]] = r["n"]
+    return out
+
+
+def fit(docs: DataFrame, labels: DataFrame, *, miss: float = 0.001, broadcast_labelled: int = BROADCAST_LABELLED) -> Model:
     """Estimate both multinomials and the threshold."""
     need(docs, "doc_id", "text")
     half = F.pmod(F.xxhash64("doc_id"), F.lit(2))       # one half teaches the target, the other sets the threshold
-    known = labelled(labels, "quality", most_labelled)                  # bounded by most_labelled
-    teach, rest = F.broadcast(known.filter(half == 0)), F.broadcast(known.filter((half == 1) & (F.col("label") == 1)).select("doc_id"))
+    good = all_labelled(labels, "quality").filter("label = 1").select("doc_id")
+    few = good.limit(broadcast_labelled + 1).count() <= broadcast_labelled
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
-    def count(batches):
-        raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
-        for batch in batches:
-            for block in X.blocks(batch, "text"):
-                data, offsets = X.column_bytes(block.column("text"))
-                bucket, first = gram_buckets(data, offsets)
-                raw += np.bincount(bucket, minlength=BUCKETS)
-                good = np.asarray(block.column("label").fill_null(0)) == 1
-                if good.any():
-                    target += np.bincount(bucket[np.repeat(good, np.diff(first))], minlength=BUCKETS)
-        some = np.flatnonzero(raw)
-        yield pa.RecordBatch.from_pydict({"bucket": pa.array(some.astype(np.int32)), "raw": pa.array(raw[some]), "target": pa.array(target[some])})
-
-    sums = (texts.join(teach, "doc_id", "left").mapInArrow(count, "bucket int, raw long, target long")
-            .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).collect())    # BUCKETS rows at most
-    raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    for r in sums:
-        raw[r["bucket"]], target[r["bucket"]] = r["raw"], r["target"]
+    def trusted(own: int) -> DataFrame:
+        known = good.filter(half == own)
+        return texts.filter(half == own).join(F.broadcast(known) if few else known.hint("shuffle_hash"), "doc_id", "left_semi")
+
+    raw, target = _bucket_counts(texts), _bucket_counts(trusted(0))
     if not target.sum():
         return Model(np.zeros(BUCKETS, np.int32), 0.0)
     prior = (raw + 1) / (raw.sum() + BUCKETS)       # the target is smoothed towards the corpus
@@ -143,8 +147,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, miss: float = 0.001, most_labelle
         n = base_counts(*X.column_bytes(block.column("text")))
         return {"score": mean_weight(block, weights)[~base_failed(n["n_words"], n["n_repeat_words"])]}
 
-    scores = by_blocks(texts.join(rest, "doc_id", "left_semi"), "text", passing, "score double")
-    low = scores.agg(F.percentile("score", miss)).first()[0]
+    low = percentile(stored(by_blocks(trusted(1), "text", passing, "score double"), "quality_scores"), "score", miss)
     return Model(weights, float(low) if low is not None else 0.0)
 
 
