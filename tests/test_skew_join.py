@@ -106,3 +106,46 @@ def test_keys_of_two_types_take_the_plain_join(spark):
     tables = {"t.a": spark.range(50).selectExpr("1 AS k", "id AS v"), "t.b": spark.range(50).selectExpr("CAST(1 AS BIGINT) AS k", "id AS v")}
     out = federate(spark, sources("a", "b"), join_key="k", resolve=lambda s: tables[s.qualified], skew_guard=GUARD)
     assert out.count() == 2500
+
+
+def test_grid_sends_few_rows_and_bounds_pairs():
+    """Cells hold about ``cell_pairs`` pairs where one side alone cannot be cut so finely."""
+    guard = SkewGuard(cell_pairs=1_000_000)
+    for left, right in ((147_900, 2_000_040), (2_000_040, 147_900), (3, 10**10), (14_790, 200_004)):
+        a, b = J._grid(left, right, 16, 16, guard)
+        full = guard.most_cells if left == 3 else 0
+        assert b == full or left * right / (a * b) <= guard.cell_pairs
+        assert left == 3 or left * b + right * a <= 2.2 * (left * right * left * right / guard.cell_pairs) ** 0.5 + left + right
+
+
+@pytest.mark.parametrize("how", ["LEFT", "INNER", "RIGHT", "FULL"])
+def test_sums_of_each_part_equal_sums_of_the_join(spark, how):
+    rows = {"a": [("both", 1)] * 70 + [("left", 2)] * 60 + [(f"k{i % 50}", i) for i in range(90)] + [(None, 5)] * 4,
+            "b": [("both", 3)] * 50 + [("right", None)] * 55 + [(f"k{i % 70}", i) for i in range(80)] + [(None, 7)] * 3}
+    tables = {f"t.{n}": spark.createDataFrame(r, "k string, v bigint").repartition(3) for n, r in rows.items()}
+    sums = lambda df: df.agg(F.count(F.lit(1)).alias("n"), F.count("a_v").alias("a"), F.count("b_v").alias("b"), F.sum("a_v").alias("sa"), F.sum("b_v").alias("sb"))
+    join = lambda **kw: federate(spark, sources("a", "b"), join_key="k", join_type=how, resolve=lambda s: tables[s.qualified], **kw)
+    parts = join(skew_guard=GUARD, each_part=sums)
+    assert parts.count() > 1 and join(skew_guard=None, each_part=sums).count() == 1
+    assert parts.agg(*[F.sum(c) for c in parts.columns]).first()[:] == sums(join(skew_guard=None)).first()[:]
+
+
+def test_each_part_takes_no_limit_and_no_sql(spark):
+    for more in ({"limit": 3}, {"sql": "SELECT 1"}):
+        with pytest.raises(ValueError):
+            federate(spark, sources("a", "b"), join_key="k", each_part=lambda df: df, **more)
+
+
+def test_pairs_of_a_hot_key_are_made_once_for_all_join_types(spark, tmp_path):
+    """The four join types of federated_hot_key share the pairs: one join of the cells in the plan run."""
+    from eventweave.plans.registry import QUERIES
+    from tests.conftest import plan_text
+    events = spark.range(600).selectExpr("id AS event_id", "CASE WHEN id % 2 = 0 THEN 'click' ELSE 'view' END AS event_type", "CAST(id AS DOUBLE) AS value")
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    out = QUERIES["federated_hot_key"](spark, str(tmp_path))
+    rows = {r["join_type"]: r for r in out.collect()}
+    left = sum(i % 11 != 0 and i % 2 == 0 and i >= 100 for i in range(600))
+    assert rows["INNER"]["n"] >= left * 200 and rows["FULL"]["n"] > rows["LEFT"]["n"] > rows["INNER"]["n"]
+    final = plan_text(out, "simple").split("Initial Plan")[0]
+    cells = [line for line in final.splitlines() if "SortMergeJoin" in line and "__row" in line]
+    assert len(cells) == 1 and "ReusedExchange" in final
