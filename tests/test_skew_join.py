@@ -149,3 +149,43 @@ def test_pairs_of_a_hot_key_are_made_once_for_all_join_types(spark, tmp_path):
     final = plan_text(out, "simple").split("Initial Plan")[0]
     cells = [line for line in final.splitlines() if "SortMergeJoin" in line and "__row" in line]
     assert len(cells) == 1 and "ReusedExchange" in final
+
+
+@pytest.mark.parametrize("how", ["LEFT", "INNER", "RIGHT", "FULL"])
+def test_copies_grow_with_the_rows_and_not_with_the_pairs(spark, monkeypatch, how):
+    """Twice the rows of a hot key are four times the pairs, but about twice the rows sent, in cells that the tasks share."""
+    join, sent, sizes = J._grid_join, [], {}
+
+    def counted(plan, right, base_key, right_key, cells):
+        sent.append(sum(sizes[k][0] * columns + sizes[k][1] * rows for k, (rows, columns) in cells.items()))
+        assert sum(r * c for r, c in cells.values()) >= 4 * 4
+        return join(plan, right, base_key, right_key, cells)
+    monkeypatch.setattr(J, "_grid_join", counted)
+    for n in (1, 2):
+        sizes = {"hot": (300 * n, 500 * n), "warm": (60 * n, 90 * n)}
+        rows = [[(k, i % 7) for k, m in sizes.items() for i in range(m[side])] + [(f"k{i}", i) for i in range(20)] + [(None, 1)] for side in (0, 1)]
+        tables = {t: spark.createDataFrame(r, "k string, v bigint").repartition(3) for t, r in zip(("t.a", "t.b"), rows)}
+        guard = SkewGuard(hot_fraction=0.02, min_rows=20, min_bytes=0, cell_pairs=1, most_cells=64)
+        plain, split = (federate(spark, sources("a", "b"), join_key="k", join_type=how, resolve=lambda s: tables[s.qualified], skew_guard=g)
+                        .groupBy("a_k", "a_v", "b_k", "b_v").count() for g in (None, guard))
+        assert norm(split) == norm(plain)
+    assert sent[0] <= 20 * (300 + 500 + 60 + 90) and sent[1] <= 2.2 * sent[0]
+
+
+def test_disk_of_federated_hot_key_grows_with_the_rows():
+    """Rows sent at 6 times the rows are about 6 times as many, not 36 times (guard of the query)."""
+    guard, sent = SkewGuard(hot_fraction=0.05, min_rows=10, min_bytes=0, cell_pairs=1_000_000), []
+    for n in (60, 360):
+        left, right = 2_465 * n, 33_334 * n
+        (rows, columns), = J._grids({7: left, 8: None}, {7: right, 9: 5}, 16, 16, guard, 200).values()
+        sent.append(left * columns + right * rows)
+        assert guard.most_cells <= rows * columns <= 1.2 * guard.most_cells     # still dealt out evenly over 200 tasks
+    assert sent[1] <= 6.5 * sent[0]
+
+
+def test_more_tasks_get_more_cells():
+    guard = SkewGuard(cell_pairs=100)
+    for tasks in (1, 200, 5_000):
+        cells = sum(r * c for r, c in J._grids({1: 10**6, 2: 10**4}, {1: 10**6, 2: 10**4}, 16, 16, guard, tasks).values())
+        assert max(4096, 16 * tasks) <= cells <= 1.2 * max(4096, 16 * tasks)
+    assert J._grids({1: 1000}, {1: 1000}, 16, 16, guard, 5_000) == {1: J._grid(1000, 1000, 16, 16, guard)}      # bound by pairs as before
